@@ -94,9 +94,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     return merge(target, source, keys, update_cols, id_col, as_of, created_col, updated_col).drop(ACTION)
 
 
-def ensure_dimension(dimension: DataFrame, names: DataFrame, id_col: str, name_col: str, max_length: int = 100,
-                     collation: str | None = None) -> DataFrame:
-    """The dimension with a row for every name; new ones are numbered on in name order.
+def new_dimension_rows(dimension: DataFrame, names: DataFrame, id_col: str, name_col: str, max_length: int = 100,
+                       collation: str | None = None, start_id: int | None = None) -> DataFrame:
+    """Rows to add so that the dimension has every name, numbered on in name order.
 
     With a collation, names it holds equal are one; a new one is stored in its
     smallest spelling. Names are made distinct in the map tasks before anything
@@ -109,12 +109,17 @@ def ensure_dimension(dimension: DataFrame, names: DataFrame, id_col: str, name_c
     wanted = cut.groupBy(folded(name_col).alias("__folded")).agg(F.min(name_col).alias(name_col))
     present = dimension.select(folded(name_col).alias("__present"))
     new = wanted.join(present, F.col("__folded") == F.col("__present"), "left_anti").select(name_col)
-    numbered = dense_ids(new, [name_col], id_col, highest_id(dimension, id_col))
+    numbered = dense_ids(new, [name_col], id_col, highest_id(dimension, id_col) if start_id is None else start_id)
     types = {f.name: f.dataType for f in dimension.schema.fields}
-    return dimension.unionByName(numbered.select(
-        F.col(id_col).cast(types[id_col]).alias(id_col), F.col(name_col),
-        *[F.lit(None).cast(types[c]).alias(c) for c in dimension.columns if c not in (id_col, name_col)],
-    ))
+    return numbered.select(*[
+        (F.col(c) if c in (id_col, name_col) else F.lit(None)).cast(types[c]).alias(c) for c in dimension.columns
+    ])
+
+
+def ensure_dimension(dimension: DataFrame, names: DataFrame, id_col: str, name_col: str, max_length: int = 100,
+                     collation: str | None = None) -> DataFrame:
+    """The dimension with a row for every name."""
+    return dimension.unionByName(new_dimension_rows(dimension, names, id_col, name_col, max_length, collation))
 
 
 def replace_children(bridge: DataFrame, pairs: DataFrame, parent_key: str,

@@ -108,6 +108,12 @@ def unique_violations(df: DataFrame, keys: Sequence[str], collation: str | None
 
 
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose parent is missing; a null reference passes."""
+    """Child rows whose parent is missing; a null reference passes.
+
+    References are made distinct in the map tasks and compared with the parents
+    first. Only the missing ones, usually few, go back to the child table.
+    """
+    references = child.select(F.col(fk).alias("__fk")).where(F.col("__fk").isNotNull()).distinct()
     parents = parent.select(F.col(pk).alias("__pk"))
-    return child.where(F.col(fk).isNotNull()).join(parents, F.col(fk) == F.col("__pk"), "left_anti")
+    missing = references.join(parents, F.col("__fk") == F.col("__pk"), "left_anti")
+    return child.join(missing, F.col(fk) == F.col("__fk"), "left_semi")

@@ -57,6 +57,20 @@ AUDIT = T.StructType([
     T.StructField("changed_fields", T.StringType()),
 ])
 
+QUARANTINE = T.StructType([
+    T.StructField("external_id", T.LongType(), False),
+    T.StructField("polled_at", T.TimestampNTZType(), False),
+    T.StructField("reasons", T.StringType(), False),
+])
+
+# One raw answer of a feed, as the fetcher leaves it in the landing folder.
+LANDED = T.StructType([
+    T.StructField("polled_at", T.TimestampNTZType(), False),
+    T.StructField("feed", T.StringType(), False),
+    T.StructField("external_id", T.LongType()),
+    T.StructField("body", T.StringType(), False),
+])
+
 # The rating labels that may be stored.
 RATING_LABELS = (
     "Overwhelmingly Positive",

@@ -1,7 +1,8 @@
 """Raw JSON feeds into columns.
 
 A raw feed is a DataFrame with the JSON text in ``body``. Feeds that are
-fetched per item also carry the item's ``external_id``.
+fetched per item also carry the item's ``external_id``. Further columns, such as
+the time of the poll, are kept.
 """
 
 from __future__ import annotations
@@ -30,12 +31,16 @@ def _parsed(schema: str) -> Column:
     return F.from_json("body", schema)
 
 
+def _kept(raw: DataFrame) -> list[str]:
+    return [c for c in raw.columns if c not in ("body", "external_id")]
+
+
 def read_ranking(raw: DataFrame, n: int = 100) -> DataFrame:
     """First ``n`` entries in feed order: ``position, external_id, ranked_count, ranked_peak``."""
-    keep = [c for c in raw.columns if c != "body"]
+    keep = _kept(raw)
     entries = raw.select(*keep, F.posexplode(_parsed(_RANKING)["response"]["ranks"]).alias("position", "entry"))
     return entries.where(F.col("position") < n).select(
-        *[c for c in keep if c != "external_id"],
+        *keep,
         "position",
         F.col("entry.appid").alias("external_id"),
         F.coalesce("entry.concurrent_in_game", F.lit(0)).alias("ranked_count"),
@@ -45,9 +50,11 @@ def read_ranking(raw: DataFrame, n: int = 100) -> DataFrame:
 
 def read_details(raw: DataFrame) -> DataFrame:
     """Successful entries, flattened; ``categories`` stays an array."""
-    entries = raw.select(F.explode(_parsed(_DETAILS)).alias("external_id", "entry")).where("entry.success")
+    keep = _kept(raw)
+    entries = raw.select(*keep, F.explode(_parsed(_DETAILS)).alias("external_id", "entry")).where("entry.success")
     data = F.col("entry.data")
     return entries.select(
+        *keep,
         F.col("external_id").cast("long").alias("external_id"),
         scalars.strip(F.coalesce(data["name"], F.lit(""))).alias("name"),
         F.coalesce(data["short_description"], F.lit("")).alias("description"),
@@ -61,9 +68,10 @@ def read_details(raw: DataFrame) -> DataFrame:
 
 def read_ratings(raw: DataFrame) -> DataFrame:
     """Answers with success 1: ``external_id, positive, negative, label``."""
-    parsed = raw.select("external_id", _parsed(_RATINGS).alias("r")).where("r.success = 1")
+    keep = [*_kept(raw), "external_id"]
+    parsed = raw.select(*keep, _parsed(_RATINGS).alias("r")).where("r.success = 1")
     return parsed.select(
-        "external_id",
+        *keep,
         F.coalesce("r.query_summary.total_positive", F.lit(0)).alias("positive"),
         F.coalesce("r.query_summary.total_negative", F.lit(0)).alias("negative"),
         F.nullif(F.col("r.query_summary.review_score_desc"), F.lit("")).alias("label"),
@@ -72,26 +80,30 @@ def read_ratings(raw: DataFrame) -> DataFrame:
 
 def read_current(raw: DataFrame) -> DataFrame:
     """Answers with result 1: ``external_id, live_count``."""
-    parsed = raw.select("external_id", _parsed(_CURRENT).alias("r")).where("r.response.result = 1")
-    return parsed.select("external_id", F.coalesce("r.response.player_count", F.lit(0)).alias("live_count"))
+    keep = [*_kept(raw), "external_id"]
+    parsed = raw.select(*keep, _parsed(_CURRENT).alias("r")).where("r.response.result = 1")
+    return parsed.select(*keep, F.coalesce("r.response.player_count", F.lit(0)).alias("live_count"))
 
 
-def assemble(ranking: DataFrame, details: DataFrame, ratings: DataFrame, current: DataFrame) -> DataFrame:
+def assemble(ranking: DataFrame, details: DataFrame, ratings: DataFrame, current: DataFrame,
+             poll: str | None = None) -> DataFrame:
     """One row per ranked item that has a name, with all its figures.
 
     The live count wins over the ranked one, the peak is at least the count, and
     ``rated`` tells whether there was a ratings answer. Details, ratings and
-    live counts hold one row per item.
+    live counts hold one row per item; with ``poll``, the column that tells the
+    polls apart, one row per item and poll.
     """
+    keys = ["external_id"] if poll is None else [poll, "external_id"]
     rated = ratings.withColumn("rated", F.lit(True))
     joined = (
-        ranking.join(details.where(F.col("name") != ""), "external_id")
-        .join(rated, "external_id", "left")
-        .join(current, "external_id", "left")
+        ranking.join(details.where(F.col("name") != ""), keys)
+        .join(rated, keys, "left")
+        .join(current, keys, "left")
     )
     count = F.coalesce("live_count", "ranked_count")
     return joined.select(
-        "position", "external_id",
+        *keys, "position",
         F.substring("name", 1, NAME_LENGTH).alias("name"),
         "description", "price", "released", "maker", "publisher", "categories",
         count.alias("current_count"),

@@ -1,0 +1,216 @@
+"""Tables as parquet folders that are never overwritten while they are read.
+
+Every write belongs to a numbered batch and counts only once the batch is
+committed by a small file in ``_commits``, written last. A batch that died half
+way is simply run again and replaces its own folders. A store has one writer at
+a time and any number of readers.
+
+Keyed tables   <table>/bucket=<b>/batch=<n>   a batch rewrites the buckets it touches
+Series         <table>/batch=<n>/...          a batch adds rows
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from snapmart import schema as S
+
+BUCKET, BATCH = "bucket", "batch"
+
+
+@dataclass(frozen=True)
+class Keyed:
+    schema: T.StructType
+    key: str
+    buckets: int = 64
+
+
+@dataclass(frozen=True)
+class Series:
+    schema: T.StructType
+    # folders below the batch: a column of the table, or a new one made by a function
+    folders: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+
+
+TABLES: dict[str, Keyed | Series] = {
+    "entity": Keyed(S.ENTITY, "external_id"),
+    "category": Series(S.CATEGORY),
+    "bridge": Keyed(S.BRIDGE, "entity_id"),
+    "snapshot": Series(S.SNAPSHOT, {"recorded_date": lambda: F.col("recorded_at").cast("date")}),
+    "rating": Keyed(S.RATING, "entity_id"),
+    "audit": Series(S.AUDIT, {"table_name": lambda: F.col("table_name"),
+                              "logged_date": lambda: F.col("logged_at").cast("date")}),
+    "quarantine": Series(S.QUARANTINE),
+}
+
+
+class TableStore:
+    def __init__(self, spark: SparkSession, root: str, tables: Mapping[str, Keyed | Series] = TABLES):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.tables = dict(tables)
+        self._pending: dict[str, int] = {}
+
+    # ---- commits
+
+    def committed(self) -> int:
+        """The last committed batch, -1 for a new store."""
+        return max((int(n) for n in self._names(f"{self.root}/_commits")), default=-1)
+
+    def marks(self) -> dict[str, int]:
+        """Numbers kept with the last commit, such as the highest id handed out."""
+        last = self.committed()
+        if last < 0:
+            return {}
+        path = self._path(f"{self.root}/_commits/{last:012d}")
+        stream = self._fs(path).open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def remember(self, marks: Mapping[str, int]) -> None:
+        """Numbers to keep with the next commit, whoever makes it."""
+        self._pending.update(marks)
+
+    def commit(self, batch: int, marks: Mapping[str, int]) -> None:
+        folder = self._path(f"{self.root}/_commits")
+        fs = self._fs(folder)
+        fs.mkdirs(folder)
+        draft, final = self._path(f"{self.root}/_draft"), self._path(f"{self.root}/_commits/{batch:012d}")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps({**marks, **self._pending}), "utf-8"))
+        out.close()
+        if not fs.rename(draft, final):
+            raise RuntimeError(f"batch {batch} could not be committed")
+        self._pending.clear()
+
+    # ---- reading
+
+    def read(self, table: str, buckets: Sequence[int] | None = None, upto: int | None = None) -> DataFrame:
+        """The table as of the last commit, or as of batch ``upto``.
+
+        ``buckets`` limits a keyed table to some buckets. A series also has its
+        folder columns, for filters that choose folders.
+        """
+        spec = self.tables[table]
+        limit = self.committed() if upto is None else upto
+        if isinstance(spec, Keyed):
+            newest = self._newest(table, limit)
+            paths = [p for b, p in sorted(newest.items()) if buckets is None or b in buckets]
+            if not paths:
+                return self._empty(spec.schema)
+            return self.spark.read.schema(spec.schema).parquet(*paths)
+        base = f"{self.root}/{table}"
+        if not self._names(base):
+            return self._with_folders(self._empty(spec.schema), spec)
+        since = self.marks().get(f"{table}_since", 0) if limit >= 0 else 0
+        extra = [T.StructField(c, T.DateType()) for c in spec.folders if c not in spec.schema.fieldNames()]
+        full = T.StructType([*spec.schema.fields, *extra, T.StructField(BATCH, T.LongType())])
+        rows = self.spark.read.schema(full).parquet(base)
+        rows = rows.where(F.col(BATCH).between(since, limit))
+        return rows.select(*spec.schema.fieldNames(), *[f.name for f in extra])
+
+    def batch_rows(self, table: str, batch: int) -> DataFrame:
+        """Rows a batch added to a series, committed or not."""
+        spec = self.tables[table]
+        base = f"{self.root}/{table}"
+        if f"{BATCH}={batch}" not in self._names(base):
+            return self._empty(spec.schema)
+        full = spec.schema.add(BATCH, T.LongType())
+        rows = self.spark.read.schema(full).parquet(base).where(F.col(BATCH) == batch)
+        return rows.select(*spec.schema.fieldNames())
+
+    # ---- writing
+
+    def bucket_of(self, table: str, key: str | None = None) -> Column:
+        spec = self.tables[table]
+        return F.pmod(F.xxhash64(key or spec.key), F.lit(spec.buckets)).cast("int")
+
+    def touched(self, table: str, changes: DataFrame) -> list[int]:
+        """Buckets that hold the keys of ``changes``: at most the number of buckets."""
+        rows = changes.select(self.bucket_of(table).alias(BUCKET)).distinct().collect()
+        return sorted(r[BUCKET] for r in rows)
+
+    def rewrite(self, table: str, rows: DataFrame, batch: int, buckets: Sequence[int] | None = None) -> None:
+        """Write the new content of the touched buckets, or of all."""
+        spec = self.tables[table]
+        if buckets is None:
+            buckets = range(spec.buckets)
+        placed = self._conformed(rows, spec.schema).withColumns(
+            {BUCKET: self.bucket_of(table), BATCH: F.lit(batch)}
+        )
+        self._write(placed.hint("rebalance", BUCKET), table, [BUCKET, BATCH])
+        for b in self._without(table, buckets, batch):
+            self._empty(spec.schema).write.mode("overwrite").parquet(f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={batch}")
+
+    def append(self, table: str, rows: DataFrame, batch: int) -> None:
+        """Add rows to a series; running the batch again replaces them."""
+        spec = self.tables[table]
+        placed = self._with_folders(self._conformed(rows, spec.schema), spec).withColumn(BATCH, F.lit(batch))
+        self._write(placed, table, [BATCH, *spec.folders])
+
+    def _write(self, rows: DataFrame, table: str, folders: Sequence[str]) -> None:
+        (
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*folders).parquet(f"{self.root}/{table}")
+        )
+
+    def _with_folders(self, rows: DataFrame, spec: Series) -> DataFrame:
+        return rows.withColumns({c: make() for c, make in spec.folders.items()})
+
+    def _conformed(self, rows: DataFrame, wanted: T.StructType) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+    def _empty(self, wanted: T.StructType) -> DataFrame:
+        return self.spark.createDataFrame([], wanted)
+
+    # ---- folders
+
+    def _path(self, text: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _fs(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(folder)
+        fs = self._fs(path)
+        if not fs.exists(path):
+            return []
+        return [n for n in (s.getPath().getName() for s in fs.listStatus(path)) if not n.startswith(("_", "."))]
+
+    def _versions(self, table: str) -> Iterable[tuple[int, int]]:
+        pattern = self._path(f"{self.root}/{table}/{BUCKET}=*/{BATCH}=*")
+        for status in self._fs(pattern).globStatus(pattern) or []:
+            path = status.getPath()
+            yield int(path.getParent().getName().split("=")[1]), int(path.getName().split("=")[1])
+
+    def _newest(self, table: str, limit: int) -> dict[int, str]:
+        """Per bucket the folder of its last version up to ``limit``."""
+        newest: dict[int, int] = {}
+        for bucket, batch in self._versions(table):
+            if batch <= limit and batch > newest.get(bucket, -1):
+                newest[bucket] = batch
+        return {b: f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={n}" for b, n in newest.items()}
+
+    def _without(self, table: str, buckets: Iterable[int], batch: int) -> list[int]:
+        """Touched buckets that got no row and so no folder."""
+        written = {b for b, n in self._versions(table) if n == batch}
+        return [b for b in buckets if b not in written]
+
+    def superseded(self, table: str, keep: int = 1) -> list[str]:
+        """Folders of a keyed table that no read needs any more, for a clean-up job to delete."""
+        by_bucket: dict[int, list[int]] = {}
+        limit = self.committed()
+        for bucket, batch in self._versions(table):
+            if batch <= limit:
+                by_bucket.setdefault(bucket, []).append(batch)
+        return [f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={n}"
+                for b, batches in by_bucket.items() for n in sorted(batches)[:-keep]]
