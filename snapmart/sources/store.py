@@ -123,7 +123,7 @@ class TableStore:
         base = f"{self.root}/{table}"
         if f"{BATCH}={batch}" not in self._names(base):
             return self._empty(spec.schema)
-        full = spec.schema.add(BATCH, T.LongType())
+        full = T.StructType([*spec.schema.fields, T.StructField(BATCH, T.LongType())])
         rows = self.spark.read.schema(full).parquet(base).where(F.col(BATCH) == batch)
         return rows.select(*spec.schema.fieldNames())
 

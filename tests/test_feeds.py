@@ -1,0 +1,100 @@
+import json
+from datetime import date
+from decimal import Decimal
+
+
+from snapmart.sources import feeds
+from snapmart.sources.tables import append_snapshots, jdbc_options, overwrite_tables, read_table, to_json_rows
+
+
+def bodies(spark, *documents):
+    return spark.createDataFrame([(json.dumps(d),) for d in documents], "body string")
+
+
+def answers(spark, **documents):
+    return spark.createDataFrame([(int(k[1:]), json.dumps(d)) for k, d in documents.items()],
+                                 "external_id long, body string")
+
+
+def test_ranking_keeps_feed_order(spark):
+    ranks = [{"appid": 30, "concurrent_in_game": 5, "peak_in_game": 9}, {"appid": 10}, {"appid": 20, "peak_in_game": 1}]
+    got = feeds.read_ranking(bodies(spark, {"response": {"ranks": ranks}}), 2).orderBy("position").collect()
+    assert [tuple(r) for r in got] == [(0, 30, 5, 9), (1, 10, 0, 0)]
+    assert feeds.read_ranking(bodies(spark, {"response": {}}, {}, {"response": {"ranks": []}}), 2).count() == 0
+
+
+def test_details(spark):
+    full = {"success": True, "data": {
+        "name": "  Alpha ", "short_description": "d", "price_overview": {"final": 1999},
+        "release_date": {"date": "May 13, 2020"}, "developers": ["X", "Y"], "publishers": ["Z"],
+        "genres": [{"id": "1", "description": "RPG"}, {"description": "RPG"}]}}
+    bare = {"success": True, "data": {"name": None, "release_date": {"date": "Coming Soon"}, "developers": []}}
+    got = {r["external_id"]: r for r in feeds.read_details(
+        bodies(spark, {"1": full}, {"2": bare}, {"3": {"success": False}}, {"4": {"success": True}})).collect()}
+    assert set(got) == {1, 2, 4}
+    one = got[1]
+    assert (one["name"], one["price"], one["released"], one["maker"], one["publisher"], one["categories"]) == (
+        "Alpha", Decimal("19.99"), date(2020, 5, 13), "X, Y", "Z", ["RPG", "RPG"])
+    two = got[2]
+    assert (two["name"], two["description"], two["price"], two["released"], two["maker"], two["categories"]) == (
+        "", "", Decimal("0.00"), None, None, [])
+
+
+def test_ratings_and_current(spark):
+    rated = answers(spark, _1={"success": 1, "query_summary": {"total_positive": 3, "total_negative": 1, "review_score_desc": "Mixed"}},
+                    _2={"success": 0}, _3={"success": 1, "query_summary": {"review_score_desc": ""}}, _4={"success": 1})
+    got = {tuple(r) for r in feeds.read_ratings(rated).collect()}
+    assert got == {(1, 3, 1, "Mixed"), (3, 0, 0, None), (4, 0, 0, None)}
+    live = answers(spark, _1={"response": {"result": 1, "player_count": 7}}, _2={"response": {"result": 42}},
+                   _3={"response": {"result": 1}}, _4={})
+    assert {tuple(r) for r in feeds.read_current(live).collect()} == {(1, 7), (3, 0)}
+
+
+def test_assemble(spark):
+    ranking = feeds.read_ranking(bodies(spark, {"response": {"ranks": [
+        {"appid": 1, "concurrent_in_game": 5, "peak_in_game": 6}, {"appid": 2, "concurrent_in_game": 8, "peak_in_game": 3},
+        {"appid": 3, "concurrent_in_game": 1}]}}))
+    details = feeds.read_details(bodies(spark, *[
+        {k: {"success": True, "data": {"name": n}}} for k, n in (("1", "A" * 300), ("2", "B"), ("3", "  "))]))
+    ratings = feeds.read_ratings(answers(spark, _1={"success": 1, "query_summary": {
+        "total_positive": 2, "total_negative": 1, "review_score_desc": "7 user reviews"}}))
+    current = feeds.read_current(answers(spark, _1={"response": {"result": 1, "player_count": 0}}))
+    got = {r["external_id"]: r for r in feeds.assemble(ranking, details, ratings, current).collect()}
+    assert set(got) == {1, 2}
+    a, b = got[1], got[2]
+    assert len(a["name"]) == 255
+    # a live count of 0 still wins over the ranked one
+    assert (a["current_count"], a["peak_count"], a["total_ratings"], a["positive_pct"], a["label"], a["rated"]) == (
+        0, 6, 3, Decimal("66.67"), None, True)
+    assert (b["current_count"], b["peak_count"], b["total_ratings"], b["rated"]) == (8, 8, 0, False)
+
+
+def test_json_rows_keep_nulls(spark):
+    df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, CAST(1.50 AS DECIMAL(5,2)) AS c, "
+                   "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS t")
+    assert json.loads(to_json_rows(df).first()["row"]) == {"a": 1, "b": None, "c": 1.5, "t": "2024-01-01T00:00:00"}
+
+
+def test_table_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, i, 9, 5) for i in range(10)], "id long, entity_id long, current_count long, peak_count long")
+    path = str(tmp_path / "t")
+    assert overwrite_tables({"t": df}, {"t": path}, ["t"]) == {"t": 10}
+    assert overwrite_tables({"t": df.limit(4)}, {"t": path}, ["t"]) == {"t": 4}
+    behind = read_table(spark, path, ["id"], "id", 1)
+    assert sorted(r["id"] for r in behind.collect()) == [2, 3]
+    plan = behind._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,1)" in plan and "ReadSchema: struct<id:bigint>" in plan
+    readings = df.selectExpr("*", "TIMESTAMP_NTZ '2024-01-01 10:00:00' AS recorded_at")
+    series = str(tmp_path / "s")
+    assert append_snapshots(readings, series) == 10
+    assert append_snapshots(readings, series) == 10
+    back = spark.read.parquet(series)
+    assert back.count() == 20 and back.where("peak_count < current_count").count() == 0
+    assert str(back.first()["recorded_date"]) == "2024-01-01"
+
+
+def test_jdbc_options():
+    assert jdbc_options("jdbc:x", "t")["batchsize"] == "500"
+    assert jdbc_options("jdbc:x", "t", 100, driver="d") == {"url": "jdbc:x", "dbtable": "t", "batchsize": "100", "driver": "d"}
+
+
