@@ -113,6 +113,14 @@ def audit_batch(before: DataFrame, after: DataFrame, key: str, tracked: Sequence
     with the batch; together they hold every row. A batch without rows is not
     logged. Null fields are left out of the JSON.
     """
+    return audit_parts(before, after, key, tracked, table, database, as_of, user, columns, rows_per_log_row,
+                       collation)[0]
+
+
+def audit_parts(before: DataFrame, after: DataFrame, key: str, tracked: Sequence[str], table: str, database: str,
+                as_of=None, user: str | None = None, columns: Sequence[str] | None = None,
+                rows_per_log_row: int = ROWS_PER_LOG_ROW, collation: str | None = None) -> tuple[DataFrame, int]:
+    """``audit_batch`` and the number of parts; every ``part`` is below it."""
     facts = batch_facts(before, after, key, tracked, collation).first()
     largest = max(facts["rows_before"], facts["rows_after"])
     parts = math.ceil(largest / rows_per_log_row)
@@ -133,7 +141,7 @@ def audit_batch(before: DataFrame, after: DataFrame, key: str, tracked: Sequence
     grouped = side(before, "old").unionByName(side(after, "new")).groupBy("part").agg(
         image("old").alias("before_rows"), image("new").alias("after_rows")
     )
-    return grouped.select(
+    log = grouped.select(
         F.lit(database).alias("database_name"),
         F.lit(table).alias("table_name"),
         F.lit(facts["operation"]).alias("operation"),
@@ -144,6 +152,7 @@ def audit_batch(before: DataFrame, after: DataFrame, key: str, tracked: Sequence
         F.lit(facts["changed_fields"]).cast("string").alias("changed_fields"),
         "part",
     )
+    return log, parts
 
 
 def numbered_log(rows: DataFrame, start_id: int) -> DataFrame:

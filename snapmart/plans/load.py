@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
 from snapmart.operators import changes, quality
-from snapmart.operators.audit import audit_batch, numbered_log
+from snapmart.operators.audit import audit_parts, numbered_log
 from snapmart.operators.skew import dense_ids
 from snapmart.sources import feeds
 from snapmart.sources.store import TableStore
@@ -59,17 +60,17 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     apart with the reasons and do not stop the others. Returns one row of
     tallies.
     """
-    spark = store.spark
     if batch <= store.committed():
-        return _tally(spark, batch, {})
-    marks = store.marks()
+        return _tally(store.spark, batch, 0, 0, 0, {}, {})
+    start = store.marks()
+    marks = dict(start)
     moment = scalars.timestamp(as_of)
 
     ranking = feeds.read_ranking(raw.ranking, top_n)
     assembled = feeds.assemble(ranking, feeds.read_details(raw.details), feeds.read_ratings(raw.ratings),
                                feeds.read_current(raw.current), POLL).persist()
     valid, rejected = quality.split_valid(assembled, load_rules())
-    newest = changes.last_by_key(valid, ["external_id"], [POLL, "position"])
+    newest = changes.last_by_key(valid, ["external_id"], [POLL, "position"]).persist()
 
     # entities
     touched = store.touched("entity", newest)
@@ -78,16 +79,15 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
                            "entity_id", moment, "created_at", "updated_at", marks.get("entity", 0))
     store.rewrite("entity", merged.drop(changes.ACTION), batch, touched)
     new_entities = store.read("entity", touched, batch)
-    marks["entity"] = max(marks.get("entity", 0), changes.highest_id(new_entities, "entity_id"))
+    _raise_mark(marks, "entity", new_entities, "entity_id")
     ids = new_entities.select("external_id", "entity_id")
 
     # categories and their pairs
     named = newest.select("external_id", F.explode("categories").alias("category_name"))
-    categories = store.read("category")
-    added = changes.new_dimension_rows(categories, named, "category_id", "category_name", collation=collation,
-                                       start_id=marks.get("category", 0))
+    added = changes.new_dimension_rows(store.read("category"), named, "category_id", "category_name",
+                                       collation=collation, start_id=marks.get("category", 0))
     store.append("category", added, batch)
-    marks["category"] = max(marks.get("category", 0), changes.highest_id(store.batch_rows("category", batch), "category_id"))
+    _raise_mark(marks, "category", store.batch_rows("category", batch), "category_id")
     parents = newest.select("external_id").join(ids, "external_id").select("entity_id")
     touched = store.touched("bridge", parents)
     pairs = _category_pairs(named.join(ids, "external_id"), store.read("category", upto=batch), collation)
@@ -100,7 +100,7 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     numbered = dense_ids(readings, ["recorded_at", "position", "entity_id"], "snapshot_id", marks.get("snapshot", 0))
     store.append("snapshot", numbered, batch)
     added_readings = store.batch_rows("snapshot", batch)
-    marks["snapshot"] = max(marks.get("snapshot", 0), changes.highest_id(added_readings, "snapshot_id"))
+    _raise_mark(marks, "snapshot", added_readings, "snapshot_id")
 
     # ratings: an item without an answer in its last poll keeps what it had
     answered = changes.last_by_key(valid.where("rated"), ["external_id"], [POLL, "position"])
@@ -109,26 +109,22 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     ratings = changes.merge(store.read("rating", touched), votes, ["entity_id"], RATING_FIELDS, "rating_id",
                             start_id=marks.get("rating", 0))
     store.rewrite("rating", ratings.drop(changes.ACTION), batch, touched)
-    marks["rating"] = max(marks.get("rating", 0), changes.highest_id(store.read("rating", touched, batch), "rating_id"))
+    _raise_mark(marks, "rating", store.read("rating", touched, batch), "rating_id")
 
     store.append("quarantine", rejected.select("external_id", POLL, "reasons"), batch)
     if audited:
         marks["audit"] = _log(store, batch, newest, old_entities, new_entities, added_readings, marks.get("audit", 0),
                               moment, user, database, collation)
 
-    before = old_entities.join(newest.select("external_id"), "external_id", "left_semi")
-    counts = {
-        "ranked": ranking.count(),
-        "assembled": assembled.count(),
-        "rejected": store.batch_rows("quarantine", batch).count(),
-        "snapshots_inserted": added_readings.count(),
-        "categories_inserted": store.batch_rows("category", batch).count(),
-        "entities_updated": before.count(),
-        "entities_touched": newest.count(),
-    }
+    tally = _tally(store.spark, batch, ranking.count(), assembled.count(), newest.count(), start, marks)
     store.commit(batch, marks)
+    newest.unpersist()
     assembled.unpersist()
-    return _tally(spark, batch, counts)
+    return tally
+
+
+def _raise_mark(marks: dict[str, int], table: str, rows: DataFrame, id_col: str) -> None:
+    marks[table] = max(marks.get(table, 0), changes.highest_id(rows, id_col))
 
 
 def _category_pairs(named: DataFrame, categories: DataFrame, collation: str | None) -> DataFrame:
@@ -148,29 +144,30 @@ def _log(store: TableStore, batch: int, newest: DataFrame, old: DataFrame, new:
     known = before.select("external_id")
     inserted = after.join(known, "external_id", "left_anti")
     updated = after.join(known, "external_id", "left_semi")
+    def images(frames, key, tracked, table, columns):
+        return audit_parts(*frames, key, tracked, table, database, moment, user, columns, collation=collation)
+
     logs = [
-        audit_batch(inserted.limit(0), inserted, "entity_id", ENTITY_FIELDS, "entity", database, moment, user,
-                    old.columns, collation=collation),
-        audit_batch(before, updated, "entity_id", ENTITY_FIELDS, "entity", database, moment, user, old.columns,
-                    collation=collation),
-        audit_batch(readings.limit(0), readings, "snapshot_id", SNAPSHOT_FIELDS, "snapshot", database, moment, user),
+        images((inserted.limit(0), inserted), "entity_id", ENTITY_FIELDS, "entity", old.columns),
+        images((before, updated), "entity_id", ENTITY_FIELDS, "entity", old.columns),
+        images((readings.limit(0), readings), "snapshot_id", SNAPSHOT_FIELDS, "snapshot", None),
     ]
-    rows = None
-    for log in logs:
-        # one row or a few per statement
-        numbered = numbered_log(log, start)
-        start = numbered.agg(F.coalesce(F.max("audit_id"), F.lit(start)).alias("m")).first()["m"]
-        rows = numbered if rows is None else rows.unionByName(numbered)
-    store.append("audit", rows, batch)
+    numbered = []
+    for log, parts in logs:
+        numbered.append(numbered_log(log, start))
+        start += parts
+    store.append("audit", reduce(DataFrame.unionByName, numbered), batch)
     return start
 
 
-def _tally(spark, batch: int, counts: dict[str, int]) -> DataFrame:
-    ranked, assembled = counts.get("ranked", 0), counts.get("assembled", 0)
-    rejected, updated = counts.get("rejected", 0), counts.get("entities_updated", 0)
-    row = (batch, assembled - rejected, ranked - assembled, rejected, updated,
-           counts.get("entities_touched", 0) - updated, counts.get("snapshots_inserted", 0),
-           counts.get("categories_inserted", 0))
+def _tally(spark, batch: int, ranked: int, assembled: int, items: int, start: dict[str, int],
+           end: dict[str, int]) -> DataFrame:
+    """Ids are handed out without gaps, so the marks tell how many rows were added."""
+    added = {table: end.get(table, 0) - start.get(table, 0) for table in ("entity", "category", "snapshot")}
+    # every valid row is a reading
+    loaded = added["snapshot"]
+    row = (batch, loaded, ranked - assembled, assembled - loaded, items - added["entity"], added["entity"],
+           loaded, added["category"])
     return spark.createDataFrame([row], (
         "batch long, loaded long, skipped long, rejected long, entities_updated long, entities_inserted long, "
         "snapshots_inserted long, categories_inserted long"))

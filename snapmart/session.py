@@ -19,6 +19,7 @@ def build_session(app: str = "snapmart", master: str | None = None, conf: dict |
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master is not None:
         builder = builder.master(master)

@@ -38,23 +38,25 @@ class Series:
     folders: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
 
 
-TABLES: dict[str, Keyed | Series] = {
-    "entity": Keyed(S.ENTITY, "external_id"),
-    "category": Series(S.CATEGORY),
-    "bridge": Keyed(S.BRIDGE, "entity_id"),
-    "snapshot": Series(S.SNAPSHOT, {"recorded_date": lambda: F.col("recorded_at").cast("date")}),
-    "rating": Keyed(S.RATING, "entity_id"),
-    "audit": Series(S.AUDIT, {"table_name": lambda: F.col("table_name"),
-                              "logged_date": lambda: F.col("logged_at").cast("date")}),
-    "quarantine": Series(S.QUARANTINE),
-}
+def layout(buckets: int = 64) -> dict[str, Keyed | Series]:
+    """The tables of a catalogue. A bucket should hold some hundred megabytes."""
+    return {
+        "entity": Keyed(S.ENTITY, "external_id", buckets),
+        "category": Series(S.CATEGORY),
+        "bridge": Keyed(S.BRIDGE, "entity_id", buckets),
+        "snapshot": Series(S.SNAPSHOT, {"recorded_date": lambda: F.col("recorded_at").cast("date")}),
+        "rating": Keyed(S.RATING, "entity_id", buckets),
+        "audit": Series(S.AUDIT, {"table_name": lambda: F.col("table_name"),
+                                  "logged_date": lambda: F.col("logged_at").cast("date")}),
+        "quarantine": Series(S.QUARANTINE),
+    }
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, tables: Mapping[str, Keyed | Series] = TABLES):
+    def __init__(self, spark: SparkSession, root: str, tables: Mapping[str, Keyed | Series] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = dict(tables)
+        self.tables = dict(layout() if tables is None else tables)
         self._pending: dict[str, int] = {}
 
     # ---- commits

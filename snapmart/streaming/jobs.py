@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from snapmart.operators.audit import audit_batch, numbered_log
+from snapmart.operators.audit import audit_parts, numbered_log
 from snapmart.operators.changes import upsert
 from snapmart.plans.load import Feeds, load_batch
 from snapmart.schema import LANDED
+from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources.store import TableStore
 
 ONCE = {"availableNow": True}
@@ -73,13 +74,14 @@ def latest_into(store: TableStore, table: str) -> Callable[[DataFrame, int], Non
     key = store.tables[table].key
 
     def sink(rows: DataFrame, batch: int) -> None:
-        changed = rows.persist()
+        # the state is worked out once, then the rows are used several times
+        ensure_checkpoint_dir(store.spark)
+        changed = rows.checkpoint()
         touched = store.touched(table, changed)
         target = store.read(table, touched)
         others = [c for c in target.columns if c != key]
         store.rewrite(table, upsert(target, changed, [key], others), batch, touched)
         store.commit(batch, store.marks())
-        changed.unpersist()
 
     return sink
 
@@ -101,10 +103,10 @@ def stream_audit(source: DataFrame, store: TableStore, checkpoint: str, key: str
     def log(rows: DataFrame, batch: int) -> None:
         kept = rows.persist()
         marks = store.marks()
-        entries = audit_batch(kept.limit(0), kept, key, tracked, table, database, as_of, user)
-        store.append("audit", numbered_log(entries, marks.get("audit", 0)), batch)
-        last = store.batch_rows("audit", batch).agg(F.max("audit_id").alias("m")).first()["m"]
-        store.commit(batch, {**marks, "audit": last or marks.get("audit", 0)})
+        last = marks.get("audit", 0)
+        entries, parts = audit_parts(kept.limit(0), kept, key, tracked, table, database, as_of, user)
+        store.append("audit", numbered_log(entries, last), batch)
+        store.commit(batch, {**marks, "audit": last + parts})
         kept.unpersist()
 
     return _start(source, once(store, checkpoint, log), checkpoint, trigger)

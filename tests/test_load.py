@@ -10,7 +10,7 @@ from snapmart.operators.latest import latest_per_group
 from snapmart.plans.load import Feeds, load_batch
 from snapmart.plans.sync_job import sync_tables
 from snapmart.schema import LANDED, SNAPSHOT
-from snapmart.sources.store import TableStore
+from snapmart.sources.store import TableStore, layout
 from snapmart.streaming import jobs
 
 T1, T2 = datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 12, 5)
@@ -61,7 +61,7 @@ def content(store):
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
-    store = TableStore(spark, str(tmp_path_factory.mktemp("store")))
+    store = TableStore(spark, str(tmp_path_factory.mktemp("store")), layout(4))
     first = load_batch(store, landed(spark, FIRST), 0, "2024-01-01 12:01:00").first()
     after_first = content(store)
     second = load_batch(store, landed(spark, SECOND), 1, "2024-01-01 12:06:00").first()
@@ -120,7 +120,7 @@ def test_a_committed_batch_is_not_loaded_again(spark, loaded):
 
 
 def test_a_batch_that_died_is_run_again(spark, loaded, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path), layout(4))
     load_batch(store, landed(spark, FIRST), 0, "2024-01-01 12:01:00")
     commit, store.commit = store.commit, lambda *a: (_ for _ in ()).throw(OSError("lost"))
     with pytest.raises(OSError):
@@ -132,7 +132,7 @@ def test_a_batch_that_died_is_run_again(spark, loaded, tmp_path):
 
 
 def test_two_polls_in_one_batch(spark, loaded, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path), layout(4))
     load_batch(store, landed(spark, FIRST + SECOND), 0)
     both, apart = content(store), content(loaded[0])
     # the same rows, only the ids are given out in another order
@@ -144,7 +144,7 @@ def test_two_polls_in_one_batch(spark, loaded, tmp_path):
 def test_stream_equals_batch(spark, loaded, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    store = TableStore(spark, str(tmp_path / "store"))
+    store = TableStore(spark, str(tmp_path / "store"), layout(4))
 
     def arrive(name, rows):
         lines = [json.dumps({"polled_at": t.isoformat(), "feed": f, "external_id": a, "body": b}) for t, f, a, b in rows]
@@ -163,7 +163,7 @@ def test_stream_equals_batch(spark, loaded, tmp_path):
 
 
 def test_buckets_emptied_and_kept(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path), layout(4))
     rows = spark.range(200).selectExpr("id AS entity_id", "id AS category_id")
     store.rewrite("bridge", rows, 0)
     store.commit(0, {})
@@ -186,14 +186,14 @@ def same(a, b):
 
 def test_sync_full_and_incremental_agree(spark, loaded, tmp_path):
     source = loaded[0]
-    full = TableStore(spark, str(tmp_path / "full"))
+    full = TableStore(spark, str(tmp_path / "full"), layout(4))
     done = sync_tables(source_of(source), full, 0, "FULL").first()
     assert (done["entity_rows"], done["snapshot_rows"], done["mode"]) == (3, 4, "FULL")
     assert same(full, source)
     sync_tables(source_of(source), full, 1, "full")
     assert same(full, source)
 
-    steps = TableStore(spark, str(tmp_path / "steps"))
+    steps = TableStore(spark, str(tmp_path / "steps"), layout(4))
     early = {"category": "category_id <= 2", "entity": "entity_id <= 1", "bridge": "entity_id <= 1",
              "rating": "rating_id <= 1", "snapshot": "snapshot_id <= 2"}
     sync_tables({t: df.where(early[t]) for t, df in source_of(source).items()}, steps, 0)
@@ -206,7 +206,7 @@ def test_sync_full_and_incremental_agree(spark, loaded, tmp_path):
 
 def test_sync_by_change_time_sees_updates(spark, loaded, tmp_path):
     source = loaded[0]
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path), layout(4))
     old = source_of(source)
     old["entity"] = old["entity"].withColumn("name", old["entity"]["publisher"])
     sync_tables(old, store, 0, "FULL")
@@ -218,7 +218,7 @@ def test_sync_by_change_time_sees_updates(spark, loaded, tmp_path):
 
 
 def test_modes(spark, loaded, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = TableStore(spark, str(tmp_path), layout(4))
     with pytest.raises(ValueError):
         sync_tables(source_of(loaded[0]), store, 0, "PARTIAL")
     with pytest.raises(ValueError):
@@ -252,7 +252,7 @@ def test_stream_latest_equals_batch(spark, tmp_path):
 def test_stream_sync_and_audit(spark, tmp_path):
     path = str(tmp_path / "in")
     table = write_parts(spark, path)
-    store = TableStore(spark, str(tmp_path / "copy"))
+    store = TableStore(spark, str(tmp_path / "copy"), layout(4))
     for _ in range(2):
         jobs.stream_sync(jobs.file_stream(spark, path, SNAPSHOT, 1), store, str(tmp_path / "ck"),
                          trigger=jobs.ONCE).awaitTermination(300)
