@@ -119,6 +119,7 @@ SQL = {
     # orders as runs, ended by their last line
     "run": """
         SELECT o.o_orderkey AS run_id,
+               CASE WHEN o.o_orderpriority = '5-LOW' THEN 'archive' ELSE 'shop' END AS database_name,
                CASE o.o_orderstatus WHEN 'F' THEN 'D' WHEN 'O' THEN 'I' ELSE 'X' END AS kind,
                o.o_orderdate AS started, m.finished, o.o_totalprice AS bytes
         FROM {orders} o
@@ -128,9 +129,9 @@ SQL = {
         SELECT o_orderkey AS run_id, concat('/runs/', o_orderpriority) AS file FROM {orders}""",
     # suppliers and customers as jobs, nations as schedules
     "job": """
-        SELECT s_suppkey AS job_id, s_name AS job_name FROM {supplier}
+        SELECT s_suppkey AS job_id, s_name AS job_name, s_acctbal > 0 AS enabled FROM {supplier}
         UNION ALL
-        SELECT -1 - c_custkey AS job_id, c_name AS job_name FROM {customer}""",
+        SELECT -1 - c_custkey AS job_id, c_name AS job_name, c_acctbal > 0 AS enabled FROM {customer}""",
     "job_schedule": """
         SELECT s_suppkey AS job_id, s_nationkey AS schedule_id FROM {supplier}
         UNION ALL
@@ -139,16 +140,36 @@ SQL = {
         SELECT n_nationkey AS schedule_id, n_name AS schedule_name,
                CASE WHEN n_regionkey IN (0, 3) THEN 4 WHEN n_regionkey IN (1, 4) THEN 8 ELSE 12 END AS freq_type,
                CASE n_regionkey WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 8 ELSE 2 END AS subday_type,
-               n_regionkey * 5 AS subday_every, n_nationkey * 10000 + n_regionkey * 1000 AS start_hhmmss
+               n_regionkey * 5 AS subday_every, n_nationkey * 10000 + n_regionkey * 1000 AS start_hhmmss,
+               n_regionkey <> 4 AS schedule_enabled
         FROM {nation}""",
 }
 
 
+# Declared like all schemas, so that opening a table starts no job.
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One role as a DataFrame."""
     text = SQL[name].replace("TIMESTAMP '", "TIMESTAMP_NTZ '").replace("{div}", "div")
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(text, **{t: driver_table(spark, sf_dir, t) for t in used})
 
 
 def role_sql(name: str) -> str:
@@ -156,5 +177,7 @@ def role_sql(name: str) -> str:
     return SQL[name].format(div="//", **{t: t for t in DRIVER_TABLES})
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(*[role(spark, sf_dir, n) for n in ("entity", "category", "bridge", "snapshot", "rating")])
+def tables(spark: SparkSession, sf_dir: str, *names: str) -> Tables:
+    """The named roles, or all five."""
+    wanted = names or ("entity", "category", "bridge", "snapshot", "rating")
+    return Tables(**{n: role(spark, sf_dir, n) for n in wanted})

@@ -129,7 +129,7 @@ def replace_children(bridge: DataFrame, pairs: DataFrame, parent_key: str,
     ``touched`` names the parents; without it they are those in ``pairs``. A
     parent that is touched but has no pair keeps no child.
     """
-    parents = (pairs if touched is None else touched).select(parent_key).distinct()
+    parents = (pairs if touched is None else touched).select(parent_key)
     others = bridge.join(parents, parent_key, "left_anti")
     return others.unionByName(pairs.select(*bridge.columns).distinct())
 
@@ -144,15 +144,20 @@ class ForeignKey:
 
 def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey], root: str,
                    keys: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Delete rows of ``root`` by key, and then whatever refers to deleted rows."""
-    gone = {root: tables[root].join(keys.select(key).distinct(), key, "left_semi")}
+    """Delete rows of ``root`` by key, and then whatever refers to deleted rows.
+
+    The keys are not made distinct and the rows of ``root`` are not looked up for
+    them: each child meets a plain list of keys, which Spark broadcasts if it is
+    small, and otherwise it can split a parent with very many children.
+    """
+    gone = {root: keys.select(key)}
     left = dict(tables)
-    left[root] = tables[root].join(keys.select(key).distinct(), key, "left_anti")
+    left[root] = tables[root].join(keys.select(key), key, "left_anti")
     waiting = [root]
     while waiting:
         parent = waiting.pop(0)
         for fk in (f for f in foreign_keys if f.parent == parent):
-            deleted = gone[parent].select(F.col(fk.key).alias("__gone")).distinct()
+            deleted = gone[parent].select(F.col(fk.key).alias("__gone"))
             match = F.col(fk.column) == F.col("__gone")
             lost = left[fk.child].join(deleted, match, "left_semi")
             left[fk.child] = left[fk.child].join(deleted, match, "left_anti")

@@ -13,8 +13,8 @@ from snapmart.session import ensure_checkpoint_dir
 
 # A group above this many rows is sorted in several tasks.
 HOT_ROWS = 5_000_000
-# More hot keys than this are joined by shuffle.
-_BROADCAST_KEYS = 100_000
+# Up to this many rows of keys or chunk ends are broadcast.
+_BROADCAST_ROWS = 500_000
 
 
 def deltas(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[str],
@@ -33,13 +33,14 @@ def deltas(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[
 
     ensure_checkpoint_dir(df.sparkSession)
     names = hot.select(F.col(key).alias("__hot")).checkpoint()
-    if found["keys"] <= _BROADCAST_KEYS:
+    if found["keys"] <= _BROADCAST_ROWS:
         names = F.broadcast(names)
     is_hot = F.col(key).eqNullSafe(F.col("__hot"))
     ordinary = _windowed(df.join(names, is_hot, "left_anti"),
                          Window.partitionBy(key).orderBy(*order_by), measures, prefix)
     chunks = math.ceil(found["rows"] / hot_rows) + 1
-    split = _chunked(df.join(names, is_hot, "left_semi"), key, order_by, measures, prefix, chunks)
+    split = _chunked(df.join(names, is_hot, "left_semi"), key, order_by, measures, prefix, chunks,
+                     chunks + found["keys"] <= _BROADCAST_ROWS)
     return ordinary.unionByName(split)
 
 
@@ -51,7 +52,7 @@ def _windowed(df: DataFrame, window, measures: Sequence[str], prefix: str) -> Da
 
 
 def _chunked(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[str], prefix: str,
-             chunks: int) -> DataFrame:
+             chunks: int, few_ends: bool) -> DataFrame:
     pieces = range_chunks(df, [key, *order_by], chunks)
     last_row = F.struct(*measures)
     # at most one row per chunk and one more per hot key
@@ -61,7 +62,7 @@ def _chunked(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequenc
         F.lag("__last").over(Window.partitionBy(key).orderBy(CHUNK)).alias("__before"),
     )
     joined = pieces.join(
-        carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col(CHUNK) == F.col("__piece")), "left"
+        F.broadcast(carried) if few_ends else carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col(CHUNK) == F.col("__piece")), "left"
     )
     window = Window.partitionBy(key, CHUNK).orderBy(*order_by)
     first = F.row_number().over(window) == 1

@@ -47,28 +47,36 @@ def top_entities(t: Tables) -> DataFrame:
     )
 
 
-def by_category(t: Tables) -> DataFrame:
-    """Every category with its number of entities, mean price, mean and best rating.
-
-    Averages are combined per category in the map tasks, so a category that
-    holds a third of the bridge sends one row per task.
+def category_figures(t: Tables, how: str) -> DataFrame:
+    """Per category of the bridge: number of entities, mean price, mean and best rating.
+
+    Prices and ratings are looked up and combined per category separately. Each
+    lookup is a single join of the bridge, which Spark can split if an entity
+    has very many categories, and a category that holds a third of the bridge
+    sends one row per map task. A pair stands in the bridge once, and what is
+    rated is an entity.
     """
     r = t.roles
-    measured = (
-        t.bridge.select(r.entity_id, r.category_id)
-        .join(t.entity.select(r.entity_id, r.price), r.entity_id, "left")
-        .join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id, "left")
-    )
-    totals = measured.groupBy(r.category_id).agg(
+    pairs = t.bridge.select(r.entity_id, r.category_id)
+    prices = pairs.join(t.entity.select(r.entity_id, r.price), r.entity_id, how).groupBy(r.category_id).agg(
         F.count(r.entity_id).alias("entities"),
         F.avg(r.price).cast("decimal(10,2)").alias("mean_price"),
+    )
+    ratings = pairs.join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id).groupBy(r.category_id).agg(
         F.avg(r.positive_pct).cast("decimal(5,2)").alias("mean_rating"),
         F.max(r.positive_pct).cast("decimal(5,2)").alias("best_rating"),
     )
+    return prices.join(ratings, r.category_id, "left")
+
+
+def by_category(t: Tables) -> DataFrame:
+    """Every category with its number of entities, mean price, mean and best rating."""
+    r = t.roles
     return (
         t.category.select(r.category_id, r.category_name)
-        .join(totals, r.category_id, "left")
+        .join(category_figures(t, "left"), r.category_id, "left")
         .withColumn("entities", F.coalesce("entities", F.lit(0)))
+        .select(r.category_id, r.category_name, "entities", "mean_price", "mean_rating", "best_rating")
     )
 
 
@@ -124,7 +132,7 @@ def register_sql(t: Tables, prefix: str = "") -> None:
     Views ``top_entities``, ``by_category``, ``best_rated`` and table functions
     ``by_price_range(low, high)``, ``by_min_rating(low)``, ``entity_history(id)``.
     """
-    r, spark = t.roles, t.spark
+    r, spark = t.roles, t.entity.sparkSession
     top_entities(t).createOrReplaceTempView(prefix + "top_entities")
     by_category(t).createOrReplaceTempView(prefix + "by_category")
     best_rated(t).createOrReplaceTempView(prefix + "best_rated")

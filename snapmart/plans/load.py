@@ -67,8 +67,9 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     moment = scalars.timestamp(as_of)
 
     ranking = feeds.read_ranking(raw.ranking, top_n)
-    assembled = feeds.assemble(ranking, feeds.read_details(raw.details), feeds.read_ratings(raw.ratings),
-                               feeds.read_current(raw.current), POLL).persist()
+    assembled = feeds.assemble(
+        ranking, feeds.read_details(_one_answer(raw.details)), feeds.read_ratings(_one_answer(raw.ratings)),
+        feeds.read_current(_one_answer(raw.current)), POLL).persist()
     valid, rejected = quality.split_valid(assembled, load_rules())
     newest = changes.last_by_key(valid, ["external_id"], [POLL, "position"]).persist()
 
@@ -123,6 +124,11 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     return tally
 
 
+def _one_answer(raw: DataFrame) -> DataFrame:
+    """One answer per item and poll, always the same one if a fetch was repeated."""
+    return raw.groupBy(POLL, "external_id").agg(F.max("body").alias("body"))
+
+
 def _raise_mark(marks: dict[str, int], table: str, rows: DataFrame, id_col: str) -> None:
     marks[table] = max(marks.get(table, 0), changes.highest_id(rows, id_col))
 

@@ -14,14 +14,14 @@ ONCE, EVERY_MINUTES, EVERY_HOURS = 1, 4, 8
 ONCE_TEXT, EVERY_TEXT, MINUTES_TEXT, HOURS_TEXT, UNKNOWN_TEXT = "Una vez", "Cada ", " min", " h", "?"
 
 
-def run_history(runs: DataFrame, files: DataFrame, k: int = 20) -> DataFrame:
-    """The newest runs with kind, seconds, megabytes and file."""
+def run_history(runs: DataFrame, files: DataFrame, database: str, k: int = 20) -> DataFrame:
+    """The newest runs of a database with kind, seconds, megabytes and file."""
     newest = (
-        runs.join(files, "run_id")
+        runs.where(F.col("database_name") == database).join(files, "run_id")
         .orderBy(F.desc("started"), F.asc("run_id"), F.asc("file")).limit(k)
     )
     return newest.select(
-        "run_id",
+        "run_id", "database_name",
         scalars.decode("kind", RUN_KINDS).alias("kind"),
         "started", "finished",
         scalars.boundaries_between("SECOND", "started", "finished").alias("seconds"),
@@ -47,7 +47,7 @@ def schedule_report(jobs: DataFrame, links: DataFrame, schedules: DataFrame, nam
         jobs.where(F.col("job_name").startswith(name_prefix))
         .join(links, "job_id").join(schedules, "schedule_id")
         .select(
-            "job_id", "job_name", "schedule_name",
+            "job_id", "job_name", "enabled", "schedule_name",
             scalars.decode("freq_type", FREQUENCIES, F.col("freq_type").cast("string")).alias("frequency"),
             _sub_frequency(UNKNOWN_TEXT).alias("sub_frequency"),
             scalars.clock_text("start_hhmmss").alias("starts_at"),
@@ -60,7 +60,7 @@ def job_schedule(jobs: DataFrame, links: DataFrame, schedules: DataFrame, job_na
     return (
         jobs.where(F.col("job_name") == job_name)
         .join(links, "job_id").join(schedules, "schedule_id")
-        .select("job_name", "schedule_name", _sub_frequency(ONCE_TEXT).alias("sub_frequency"))
+        .select("job_name", "schedule_name", _sub_frequency(ONCE_TEXT).alias("sub_frequency"), "schedule_enabled")
     )
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
 from snapmart.operators.latest import latest_per_group, pair_up, top_k, with_position
+from snapmart.plans.catalog import category_figures
 from snapmart.roles import Tables
+from snapmart.session import ensure_checkpoint_dir
 
 
 def _last_rows(t: Tables, k: int) -> DataFrame:
@@ -95,18 +97,7 @@ def top_now(t: Tables, k: int = 10) -> DataFrame:
 def report_top_categories(t: Tables, k: int = 10) -> DataFrame:
     """Categories with most entities; unlike ``by_category`` only those that have any."""
     r = t.roles
-    measured = (
-        t.bridge.select(r.entity_id, r.category_id)
-        .join(t.entity.select(r.entity_id, r.price), r.entity_id)
-        .join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id, "left")
-    )
-    totals = measured.groupBy(r.category_id).agg(
-        # a pair stands in the bridge once
-        F.count(r.entity_id).alias("entities"),
-        F.avg(r.positive_pct).cast("decimal(5,2)").alias("mean_rating"),
-        F.avg(r.price).cast("decimal(10,2)").alias("mean_price"),
-    )
-    named = totals.join(t.category.select(r.category_id, r.category_name), r.category_id)
+    named = category_figures(t, "inner").join(t.category.select(r.category_id, r.category_name), r.category_id)
     return top_k(named, k, F.desc("entities"), F.asc(r.category_id)).select(
         r.category_name, "entities", "mean_rating", "mean_price"
     )
@@ -130,7 +121,7 @@ def movers(t: Tables, k: int = 5, last_rows: DataFrame | None = None) -> DataFra
     )
 
 
-@dataclass
+@dataclass(frozen=True)
 class DailyReport:
     """Four result tables over one stored reduction of the snapshots."""
 
@@ -138,19 +129,19 @@ class DailyReport:
     top_now: DataFrame
     top_categories: DataFrame
     movers: DataFrame
-    last_rows: DataFrame
-
-    def release(self) -> None:
-        self.last_rows.unpersist()
 
 
 def daily_report(t: Tables, report_day=None) -> DailyReport:
-    """The snapshots are read once: at most two rows per entity are kept for all parts."""
-    last_rows = _last_rows(t, 2).persist()
+    """All parts of the report.
+
+    The snapshots are read once: at most two rows per entity are written to the
+    shared checkpoint folder, and three of the parts start from those.
+    """
+    ensure_checkpoint_dir(t.snapshot.sparkSession)
+    last_rows = _last_rows(t, 2).checkpoint()
     return DailyReport(
         summary=summary(t, report_day, last_rows),
         top_now=report_top_now(t, 5, last_rows),
         top_categories=report_top_categories(t, 10),
         movers=movers(t, 5, last_rows),
-        last_rows=last_rows,
     )

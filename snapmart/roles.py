@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -47,13 +47,11 @@ class Roles:
 
 @dataclass(frozen=True)
 class Tables:
-    entity: DataFrame
-    category: DataFrame
-    bridge: DataFrame
-    snapshot: DataFrame
-    rating: DataFrame
-    roles: Roles = field(default_factory=Roles)
+    """The tables a query needs; the others may be left out."""
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.entity.sparkSession
+    entity: DataFrame | None = None
+    category: DataFrame | None = None
+    bridge: DataFrame | None = None
+    snapshot: DataFrame | None = None
+    rating: DataFrame | None = None
+    roles: Roles = field(default_factory=Roles)

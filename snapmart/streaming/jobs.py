@@ -112,7 +112,7 @@ def stream_audit(source: DataFrame, store: TableStore, checkpoint: str, key: str
     return _start(source, once(store, checkpoint, log), checkpoint, trigger)
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

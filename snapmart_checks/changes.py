@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from snapmart.driver_tables import role
+from snapmart.driver_tables import driver_table, role
 from snapmart.operators import changes, sync
 from snapmart.operators.changes import ForeignKey
 from snapmart_checks.base import AS_OF, check, num
@@ -76,7 +76,7 @@ def _merge_ratings(spark, sf_dir):
        ("category",))
 def _ensure_categories(spark, sf_dir):
     category = role(spark, sf_dir, "category")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_name").alias("category_name"))
+    customers = driver_table(spark, sf_dir, "customer").select(F.col("c_name").alias("category_name"))
     names = customers.unionByName(category.select("category_name"))
     return changes.ensure_dimension(category, names, "category_id", "category_name")
 
@@ -87,9 +87,9 @@ def _ensure_categories(spark, sf_dir):
     SELECT DISTINCT l_partkey, l_suppkey FROM lineitem JOIN part ON p_partkey = l_partkey
     WHERE p_type = 'ECONOMY' AND l_quantity >= 45""", ("bridge",))
 def _replace_children(spark, sf_dir):
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_type = 'ECONOMY'")
+    parts = driver_table(spark, sf_dir, "part").where("p_type = 'ECONOMY'")
     touched = parts.select(F.col("p_partkey").alias("entity_id"))
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_quantity >= 45")
+    lines = driver_table(spark, sf_dir, "lineitem").where("l_quantity >= 45")
     pairs = lines.select(F.col("l_partkey").alias("entity_id"), F.col("l_suppkey").alias("category_id"))
     return changes.replace_children(role(spark, sf_dir, "bridge"), pairs.join(touched, "entity_id", "left_semi"),
                                     "entity_id", touched)

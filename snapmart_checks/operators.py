@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapmart.driver_tables import role
+from snapmart.driver_tables import driver_table, role
 from snapmart.functions import scalars
 from snapmart.operators import audit, filters, history, latest, quality, sync
 from snapmart.sources.tables import to_json_rows
@@ -117,7 +117,7 @@ def _freshness(spark, sf_dir):
            WHEN event_type = 'view' THEN strftime(ts, '%Y-01-01') ELSE strftime(ts, '%Y-%m-%d') END AS parsed
     FROM events""")
 def _parsed_dates(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = driver_table(spark, sf_dir, "events")
     kind = F.col("event_type")
     shown = (
         F.when(kind == "error", F.date_format("ts", "'Q'q yyyy"))
@@ -165,7 +165,7 @@ def _quarantine(spark, sf_dir):
     SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def _unique_violations(spark, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = driver_table(spark, sf_dir, "lineitem")
     return quality.unique_violations(lines, ["l_orderkey", "l_linenumber"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from snapmart import driver_tables
 from snapmart.driver_tables import role, tables
 from snapmart.plans import catalog, ops_reports, reports
-from snapmart_checks.base import AS_OF, REPORT_DAY, check, mean_sql, num, text
+from snapmart_checks.base import REPORT_DAY, check, mean_sql, num, text
 
 CATALOG = ("entity", "category", "bridge", "rating")
 ALL = ("entity", "category", "bridge", "snapshot", "rating")
@@ -48,14 +48,14 @@ _BY_CATEGORY = f"""
 
 @check("by_category", _BY_CATEGORY, CATALOG)
 def _by_category(spark, sf_dir):
-    return catalog.by_category(tables(spark, sf_dir))
+    return catalog.by_category(tables(spark, sf_dir, *CATALOG))
 
 
 @check("top_categories", f"""
     SELECT category_name, entities, mean_price, mean_rating FROM ({_BY_CATEGORY}) v
     ORDER BY entities DESC, category_id LIMIT 10""", CATALOG)
 def _top_categories(spark, sf_dir):
-    return catalog.top_categories(tables(spark, sf_dir))
+    return catalog.top_categories(tables(spark, sf_dir, *CATALOG))
 
 
 @check("best_rated", f"""
@@ -63,7 +63,7 @@ def _top_categories(spark, sf_dir):
            {num('r.positive_pct')}, r.label, r.positive + r.negative AS votes
     FROM entity e JOIN rating r ON r.entity_id = e.entity_id WHERE r.positive_pct > 90""", ("entity", "rating"))
 def _best_rated(spark, sf_dir):
-    return catalog.best_rated(tables(spark, sf_dir), 90)
+    return catalog.best_rated(tables(spark, sf_dir, "entity", "rating"), 90)
 
 
 @check("by_price_range", f"""
@@ -72,7 +72,7 @@ def _best_rated(spark, sf_dir):
     FROM entity e LEFT JOIN rating r ON r.entity_id = e.entity_id
     WHERE e.price BETWEEN 905 AND 915""", ("entity", "rating"))
 def _by_price_range(spark, sf_dir):
-    return catalog.by_price_range(tables(spark, sf_dir), 905, 915)
+    return catalog.by_price_range(tables(spark, sf_dir, "entity", "rating"), 905, 915)
 
 
 _MIN_RATING = f"""
@@ -83,7 +83,7 @@ _MIN_RATING = f"""
 
 @check("by_min_rating", _MIN_RATING, ("entity", "rating"))
 def _by_min_rating(spark, sf_dir):
-    return catalog.by_min_rating(tables(spark, sf_dir), "66.67")
+    return catalog.by_min_rating(tables(spark, sf_dir, "entity", "rating"), "66.67")
 
 
 @check("by_min_rating_function", _MIN_RATING, ("entity", "rating"))
@@ -99,7 +99,7 @@ def _by_min_rating_function(spark, sf_dir):
            total_ratings - lag(total_ratings, 1, total_ratings) OVER w AS delta_total_ratings
     FROM snapshot WHERE entity_id = 3 WINDOW w AS (ORDER BY recorded_at, snapshot_id)""", ("snapshot",))
 def _entity_history(spark, sf_dir):
-    return catalog.entity_history(tables(spark, sf_dir), 3)
+    return catalog.entity_history(tables(spark, sf_dir, "snapshot"), 3)
 
 
 _FIGURES = f"""
@@ -117,12 +117,12 @@ _FIGURES_FROM = """
 @check("report_summary", _with_latest(MOVING, f"""
     SELECT '{REPORT_DAY}' AS report_day, max(u.peak_count) AS highest_peak, {_FIGURES} {_FIGURES_FROM}"""))
 def _report_summary(spark, sf_dir):
-    return reports.summary(tables(spark, sf_dir), REPORT_DAY)
+    return reports.summary(tables(spark, sf_dir, *MOVING), REPORT_DAY)
 
 
 @check("stats", _with_latest(MOVING, f"SELECT {_FIGURES} {_FIGURES_FROM}"))
 def _stats(spark, sf_dir):
-    return reports.stats(tables(spark, sf_dir), REPORT_DAY)
+    return reports.stats(tables(spark, sf_dir, *MOVING), REPORT_DAY)
 
 
 @check("report_top_now", _with_latest(MOVING, f"""
@@ -131,7 +131,7 @@ def _stats(spark, sf_dir):
     FROM latest u JOIN entity e ON e.entity_id = u.entity_id LEFT JOIN rating r ON r.entity_id = e.entity_id
     WHERE u.rn = 1 ORDER BY u.current_count DESC, e.entity_id LIMIT 5"""))
 def _report_top_now(spark, sf_dir):
-    return reports.report_top_now(tables(spark, sf_dir))
+    return reports.report_top_now(tables(spark, sf_dir, *MOVING))
 
 
 @check("top_now", _with_latest(MOVING, f"""
@@ -142,7 +142,7 @@ def _report_top_now(spark, sf_dir):
           FROM latest u JOIN entity e ON e.entity_id = u.entity_id LEFT JOIN rating r ON r.entity_id = e.entity_id
           WHERE u.rn = 1 ORDER BY u.current_count DESC, e.entity_id LIMIT 10) v"""))
 def _top_now(spark, sf_dir):
-    return reports.top_now(tables(spark, sf_dir), 10)
+    return reports.top_now(tables(spark, sf_dir, *MOVING), 10)
 
 
 @check("report_top_categories", f"""
@@ -152,7 +152,7 @@ def _top_now(spark, sf_dir):
     LEFT JOIN rating r ON r.entity_id = e.entity_id
     GROUP BY g.category_id, g.category_name ORDER BY entities DESC, g.category_id LIMIT 10""", CATALOG)
 def _report_top_categories(spark, sf_dir):
-    return reports.report_top_categories(tables(spark, sf_dir))
+    return reports.report_top_categories(tables(spark, sf_dir, *CATALOG))
 
 
 @check("report_movers", _with_latest(("entity", "snapshot"), """
@@ -165,18 +165,18 @@ def _report_top_categories(spark, sf_dir):
     JOIN entity e ON e.entity_id = a.entity_id
     WHERE a.rn = 1 ORDER BY abs(a.current_count - p.current_count) DESC, e.entity_id LIMIT 5"""))
 def _report_movers(spark, sf_dir):
-    return reports.movers(tables(spark, sf_dir))
+    return reports.movers(tables(spark, sf_dir, "entity", "snapshot"))
 
 
 @check("run_history", """
-    SELECT run_id, CASE kind WHEN 'D' THEN 'FULL' WHEN 'I' THEN 'DIFERENCIAL' WHEN 'L' THEN 'LOG' END AS kind,
+    SELECT run_id, database_name, CASE kind WHEN 'D' THEN 'FULL' WHEN 'I' THEN 'DIFERENCIAL' WHEN 'L' THEN 'LOG' END AS kind,
            started, finished, datediff('second', started, finished) AS seconds,
            CAST(CAST(bytes / 1048576.0 AS DECIMAL(12,2)) AS DOUBLE) AS size_mb,
            strftime(started, '%Y%m%d_%H%M%S') AS stamp, file
-    FROM (SELECT r.*, f.file FROM run r JOIN run_file f ON f.run_id = r.run_id
+    FROM (SELECT r.*, f.file FROM run r JOIN run_file f ON f.run_id = r.run_id WHERE r.database_name = 'shop'
           ORDER BY started DESC, run_id, file LIMIT 20) v""", ("run", "run_file"))
 def _run_history(spark, sf_dir):
-    return ops_reports.run_history(role(spark, sf_dir, "run"), role(spark, sf_dir, "run_file"))
+    return ops_reports.run_history(role(spark, sf_dir, "run"), role(spark, sf_dir, "run_file"), "shop")
 
 
 _SUB = """CASE subday_type WHEN 1 THEN 'Una vez'
@@ -188,7 +188,7 @@ _JOB_JOIN = """FROM job j JOIN job_schedule k ON k.job_id = j.job_id
 
 
 @check("schedule_report", f"""
-    SELECT j.job_id, j.job_name, s.schedule_name,
+    SELECT j.job_id, j.job_name, j.enabled, s.schedule_name,
            CASE freq_type WHEN 4 THEN 'Diario' WHEN 8 THEN 'Semanal' ELSE CAST(freq_type AS VARCHAR) END AS frequency,
            {_SUB.format('?')},
            concat(right(concat('0', CAST(start_hhmmss // 10000 AS VARCHAR)), 2), ':',
@@ -199,14 +199,14 @@ def _schedule_report(spark, sf_dir):
 
 
 @check("job_schedule", f"""
-    SELECT j.job_name, s.schedule_name, {_SUB.format('Una vez')}
+    SELECT j.job_name, s.schedule_name, {_SUB.format('Una vez')}, s.schedule_enabled
     {_JOB_JOIN} WHERE j.job_name = 'Supplier#000000003'""", _JOBS)
 def _job_schedule(spark, sf_dir):
     return ops_reports.job_schedule(*[role(spark, sf_dir, n) for n in _JOBS], "Supplier#000000003")
 
 
 @check("expired_runs", """
-    SELECT run_id, kind, started, finished, bytes FROM run
+    SELECT run_id, database_name, kind, started, finished, bytes FROM run
     WHERE started < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 7 DAY""", ("run",))
 def _expired_runs(spark, sf_dir):
     return ops_reports.expired_runs(role(spark, sf_dir, "run"), 7, "1998-01-01 00:00:00")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.driver_tables import role, tables
+from snapmart.driver_tables import COLUMNS, role, tables
 from snapmart.plans import catalog, reports
 from snapmart.plans.load import POLL, Feeds, load_batch
 from snapmart.plans.sync_job import sync_tables
@@ -113,9 +113,8 @@ def _sync_store(spark, sf_dir):
 
 def _reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream of readings."""
-    path = f"{sf_dir}/events.parquet"
     # a pattern, since a stream source takes no single file
-    events = jobs.file_stream(spark, f"{path}*", spark.read.parquet(path).schema)
+    events = jobs.file_stream(spark, f"{sf_dir}/events.parquet*", COLUMNS["events"])
     count = F.round(F.col("value") * 100).cast("long")
     return events.select(
         F.col("event_id").alias("snapshot_id"), F.col("user_id").alias("entity_id"), count.alias("current_count"),
