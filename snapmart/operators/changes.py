@@ -11,30 +11,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
+from snapmart.operators.latest import newest_per_group, oldest_per_group
 from snapmart.operators.skew import dense_ids
 
 ACTION = "__action"
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
 
 
-def _one_by_key(source: DataFrame, keys: Sequence[str], order) -> DataFrame:
-    # Spark keeps one row per key in every map task, so a repeated key shrinks before the shuffle
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return source.withColumn("__n", F.row_number().over(window)).where(F.col("__n") == 1).drop("__n")
-
-
 def first_by_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order_by``."""
-    return _one_by_key(source, keys, [F.col(c).asc() for c in order_by])
+    """One row per key, the first in ``order_by``; a repeated key shrinks before the shuffle."""
+    return oldest_per_group(source, keys, order_by)
 
 
 def last_by_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the last in ``order_by``."""
-    return _one_by_key(source, keys, [F.col(c).desc() for c in order_by])
+    """One row per key, the last in ``order_by``; a repeated key shrinks before the shuffle."""
+    return newest_per_group(source, keys, order_by)
 
 
 def highest_id(df: DataFrame, id_col: str) -> int:

@@ -57,12 +57,13 @@ def category_figures(t: Tables, how: str) -> DataFrame:
     rated is an entity.
     """
     r = t.roles
-    pairs = t.bridge.select(r.entity_id, r.category_id)
+    # the same rows for both lookups, so that they are shuffled once
+    pairs = t.bridge.select(r.entity_id, r.category_id).where(F.col(r.entity_id).isNotNull())
     prices = pairs.join(t.entity.select(r.entity_id, r.price), r.entity_id, how).groupBy(r.category_id).agg(
         F.count(r.entity_id).alias("entities"),
         F.avg(r.price).cast("decimal(10,2)").alias("mean_price"),
     )
-    ratings = pairs.join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id).groupBy(r.category_id).agg(
+    ratings = pairs.join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id, "left").groupBy(r.category_id).agg(
         F.avg(r.positive_pct).cast("decimal(5,2)").alias("mean_rating"),
         F.max(r.positive_pct).cast("decimal(5,2)").alias("best_rating"),
     )

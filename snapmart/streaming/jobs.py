@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from snapmart.operators.audit import audit_parts, numbered_log
 from snapmart.operators.changes import upsert
+from snapmart.operators.latest import newest_per_group
 from snapmart.plans.load import Feeds, load_batch
 from snapmart.schema import LANDED
 from snapmart.session import ensure_checkpoint_dir
@@ -53,20 +53,10 @@ def once(store: TableStore, stream: str, work: Callable[[DataFrame, int], None])
     return run
 
 
-def latest_state(snapshots: DataFrame, key: str, order_by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Newest row per key as an aggregate, so that it runs on a stream as well as on a table.
-
-    The state holds one row per key.
-    """
-    newest = F.max_by(F.struct(*columns), F.struct(*order_by)).alias("newest")
-    return snapshots.groupBy(key).agg(newest).select(key, "newest.*")
-
-
-def stream_latest(snapshots: DataFrame, key: str, order_by: Sequence[str], columns: Sequence[str],
-                  sink: Callable[[DataFrame, int], None], checkpoint: str,
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Hand the changed newest rows of every micro-batch to ``sink``."""
-    return _start(latest_state(snapshots, key, order_by, columns), sink, checkpoint, trigger, "update")
+def stream_latest(snapshots: DataFrame, key: str, order_by: Sequence[str], sink: Callable[[DataFrame, int], None],
+                  checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Hand the changed newest rows of every micro-batch to ``sink``. The state holds one row per key."""
+    return _start(newest_per_group(snapshots, [key], order_by), sink, checkpoint, trigger, "update")
 
 
 def latest_into(store: TableStore, table: str) -> Callable[[DataFrame, int], None]:

@@ -132,7 +132,7 @@ def _stream_latest(spark, sf_dir):
     progress = f"{folder}/progress"
     jobs.stream_latest(
         _reading_stream(spark, sf_dir), "entity_id", ["recorded_at", "snapshot_id"],
-        ["snapshot_id", *MEASURES, "recorded_at"], jobs.once(store, progress, jobs.latest_into(store, "latest")),
+        jobs.once(store, progress, jobs.latest_into(store, "latest")),
         progress, jobs.ONCE).awaitTermination()
     return store.read("latest")
 

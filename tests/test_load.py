@@ -236,11 +236,10 @@ def test_stream_latest_equals_batch(spark, tmp_path):
     from snapmart.sources.store import Keyed
     path = str(tmp_path / "in")
     table = write_parts(spark, path)
-    columns = ["snapshot_id", "current_count", "peak_count", "total_ratings", "recorded_at"]
     store = TableStore(spark, str(tmp_path / "out"), {"latest": Keyed(SNAPSHOT, "entity_id", 4)})
     stream = jobs.file_stream(spark, path, SNAPSHOT, 1)
     ck = str(tmp_path / "ck")
-    query = jobs.stream_latest(stream, "entity_id", ["recorded_at", "snapshot_id"], columns,
+    query = jobs.stream_latest(stream, "entity_id", ["recorded_at", "snapshot_id"],
                                jobs.once(store, ck, jobs.latest_into(store, "latest")), ck, jobs.ONCE)
     query.awaitTermination(300)
     want = latest_per_group(table, "entity_id", ["recorded_at", "snapshot_id"]).drop("recency")
