@@ -269,3 +269,19 @@ def test_stream_sync_and_audit(spark, tmp_path):
     jobs.stream_sync(jobs.file_stream(spark, path, SNAPSHOT, 1), store, str(tmp_path / "ck"),
                      trigger=jobs.ONCE).awaitTermination(300)
     assert store.read("snapshot").count() == 31
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from snapmart import __main__ as cli
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "1.json").write_text("\n".join(json.dumps(
+        {"polled_at": t.isoformat(), "feed": f, "external_id": a, "body": b}) for t, f, a, b in FIRST))
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    cli.main(["--buckets", "4", "load", "--landing", str(landing), "--store", first, "--progress", str(tmp_path / "p"), "--once"])
+    cli.main(["--buckets", "4", "sync", "--source", first, "--store", second, "--mode", "FULL"])
+    assert same(TableStore(spark, first, layout(4)), TableStore(spark, second, layout(4)))
+    cli.main(["--buckets", "4", "report", "--store", first])
+    assert "Twenty" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.main(["sync", "--store", first])
