@@ -156,14 +156,23 @@ def register_sql(t: Tables, prefix: str = "") -> None:
         FROM {prefix}entity e JOIN {prefix}rating q ON q.{r.entity_id} = e.{r.entity_id}
         WHERE q.{r.positive_pct} >= low
     """)
+    measures = (r.current_count, r.peak_count, r.total_ratings)
     changes = ", ".join(
-        f"s.{m} - lag(s.{m}, 1, s.{m}) OVER (ORDER BY s.{r.recorded_at}, s.{r.snapshot_id}) AS delta_{m}"
-        for m in (r.current_count, r.peak_count, r.total_ratings)
+        f"s.{m} - CASE WHEN row_number() OVER w > 1 THEN lag(s.{m}) OVER w "
+        f"WHEN c.ends IS NULL THEN s.{m} ELSE c.ends.{m} END AS delta_{m}" for m in measures
     )
+    # a window per day, and the last values of the day before for the first row of each
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {prefix}entity_history(id BIGINT)
         RETURNS TABLE RETURN
         SELECT s.{r.snapshot_id}, s.{r.recorded_at}, s.{r.current_count}, s.{r.peak_count}, s.{r.total_ratings},
                {changes}
-        FROM {prefix}snapshot s WHERE s.{r.entity_id} = id
+        FROM {prefix}snapshot s
+        JOIN (SELECT day, lag(last_row) OVER (ORDER BY day) AS ends
+              FROM (SELECT CAST({r.recorded_at} AS DATE) AS day,
+                           max_by(struct({", ".join(measures)}), struct({r.recorded_at}, {r.snapshot_id})) AS last_row
+                    FROM {prefix}snapshot WHERE {r.entity_id} = id GROUP BY 1)) c
+          ON c.day = CAST(s.{r.recorded_at} AS DATE)
+        WHERE s.{r.entity_id} = id
+        WINDOW w AS (PARTITION BY CAST(s.{r.recorded_at} AS DATE) ORDER BY s.{r.recorded_at}, s.{r.snapshot_id})
     """)

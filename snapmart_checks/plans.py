@@ -66,15 +66,24 @@ def _best_rated(spark, sf_dir):
     return catalog.best_rated(tables(spark, sf_dir, "entity", "rating"), 90)
 
 
-@check("by_price_range", f"""
+_PRICE_RANGE = f"""
     SELECT e.entity_id, e.external_id, e.name, {num('e.price')}, e.maker, e.publisher, {text('e.released')},
            {num('r.positive_pct')}, r.label
     FROM entity e LEFT JOIN rating r ON r.entity_id = e.entity_id
-    WHERE e.price BETWEEN 905 AND 915""", ("entity", "rating"))
+    WHERE e.price BETWEEN 905 AND 915"""
+
+
+@check("by_price_range", _PRICE_RANGE, ("entity", "rating"))
 def _by_price_range(spark, sf_dir):
     return catalog.by_price_range(tables(spark, sf_dir, "entity", "rating"), 905, 915)
 
 
+@check("by_price_range_function", _PRICE_RANGE, ("entity", "rating"))
+def _by_price_range_function(spark, sf_dir):
+    catalog.register_sql(tables(spark, sf_dir), "shop_")
+    return spark.sql("SELECT * FROM shop_by_price_range(905, 915)")
+
+
 _MIN_RATING = f"""
     SELECT e.entity_id, e.external_id, e.name, {num('e.price')}, e.maker, r.positive, r.negative,
            {num('r.positive_pct')}, r.label, r.positive + r.negative AS votes
@@ -92,16 +101,25 @@ def _by_min_rating_function(spark, sf_dir):
     return spark.sql("SELECT * FROM shop_by_min_rating(66.67)")
 
 
-@check("entity_history", """
+_HISTORY = """
     SELECT snapshot_id, recorded_at, current_count, peak_count, total_ratings,
            current_count - lag(current_count, 1, current_count) OVER w AS delta_current_count,
            peak_count - lag(peak_count, 1, peak_count) OVER w AS delta_peak_count,
            total_ratings - lag(total_ratings, 1, total_ratings) OVER w AS delta_total_ratings
-    FROM snapshot WHERE entity_id = 3 WINDOW w AS (ORDER BY recorded_at, snapshot_id)""", ("snapshot",))
+    FROM snapshot WHERE entity_id = 3 WINDOW w AS (ORDER BY recorded_at, snapshot_id)"""
+
+
+@check("entity_history", _HISTORY, ("snapshot",))
 def _entity_history(spark, sf_dir):
     return catalog.entity_history(tables(spark, sf_dir, "snapshot"), 3)
 
 
+@check("entity_history_function", _HISTORY, ("snapshot",))
+def _entity_history_function(spark, sf_dir):
+    catalog.register_sql(tables(spark, sf_dir), "shop_")
+    return spark.sql("SELECT * FROM shop_entity_history(3)")
+
+
 _FIGURES = f"""
     count(DISTINCT e.entity_id) AS entities, count(DISTINCT r.rating_id) AS rated_entities,
     CAST(sum(u.current_count) AS BIGINT) AS current_total,
