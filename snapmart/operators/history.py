@@ -61,9 +61,8 @@ def _chunked(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequenc
         F.col(key).alias("__key"), F.col(CHUNK).alias("__piece"),
         F.lag("__last").over(Window.partitionBy(key).orderBy(CHUNK)).alias("__before"),
     )
-    joined = pieces.join(
-        F.broadcast(carried) if few_ends else carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col(CHUNK) == F.col("__piece")), "left"
-    )
+    same_piece = F.col(key).eqNullSafe(F.col("__key")) & (F.col(CHUNK) == F.col("__piece"))
+    joined = pieces.join(F.broadcast(carried) if few_ends else carried, same_piece, "left")
     window = Window.partitionBy(key, CHUNK).orderBy(*order_by)
     first = F.row_number().over(window) == 1
 

@@ -14,21 +14,21 @@ from snapmart.roles import Tables
 SEPARATOR = ", "
 
 
-def category_lists(t: Tables) -> DataFrame:
+def category_lists(t: Tables, collation: str | None = None) -> DataFrame:
     """One row per entity: its category names in order, as one text.
 
-    The length of a list is bounded by the number of categories, since a pair
+    Names are ordered by their bytes or by a collation. The length of a list is bounded by the number of categories, since a pair
     stands in the bridge once.
     """
     r = t.roles
     named = t.bridge.join(t.category.select(r.category_id, r.category_name), r.category_id)
-    ordered = F.expr(
-        f"listagg(`{r.category_name}`, '{SEPARATOR}') WITHIN GROUP (ORDER BY `{r.category_name}`)"
-    )
+    name = f"`{r.category_name}`"
+    order = name if collation is None else f"collate({name}, '{collation}'), {name}"
+    ordered = F.expr(f"listagg({name}, '{SEPARATOR}') WITHIN GROUP (ORDER BY {order})")
     return named.groupBy(r.entity_id).agg(ordered.alias("categories"))
 
 
-def top_entities(t: Tables) -> DataFrame:
+def top_entities(t: Tables, collation: str | None = None) -> DataFrame:
     """Every entity with its highest peak, last reading, categories and rating.
 
     Snapshots and bridge are reduced to one row per entity before any join, so
@@ -42,7 +42,7 @@ def top_entities(t: Tables) -> DataFrame:
     return (
         t.entity.select(r.entity_id, r.external_id, r.name, r.maker, r.publisher, r.price, r.released)
         .join(peaks, r.entity_id, "left")
-        .join(category_lists(t), r.entity_id, "left")
+        .join(category_lists(t, collation), r.entity_id, "left")
         .join(ratings, r.entity_id, "left")
     )
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
 from snapmart.sources.store import Keyed, TableStore
+from snapmart.sources.tables import read_table, write_jdbc
 
 # Parents first; the key in the middle is the watermark, the last list names a row.
 ORDER = (
@@ -25,23 +26,23 @@ WAYS = ("max_key", "changed_since")
 
 def sync_tables(source: Mapping[str, DataFrame], store: TableStore, batch: int, mode: str = "INCREMENTAL",
                 by: str = "max_key", as_of=None, hours: int = 24, natural_key: str = "external_id",
-                changed_at: str = "updated_at") -> DataFrame:
+                changed_at: str = "updated_at", order: Sequence[tuple] = ORDER) -> DataFrame:
     """Copy what the store lacks, commit it, and return one row of counts.
 
     FULL replaces everything. INCREMENTAL by ``max_key`` sends the rows behind
     the highest key of each table; by ``changed_since`` entities are sent if
     their natural key is unknown or they changed lately, and the other tables as
-    before.
+    before. ``order`` names the tables, parents first, with watermark and keys.
     """
     mode = sync.check_mode(mode)
     if by not in WAYS:
         raise ValueError(f"unknown way {by!r}, use one of {', '.join(WAYS)}")
     started = time.monotonic()
     if batch <= store.committed():
-        return _result(store, batch, mode, {}, started)
+        return _result(store.spark, order, mode, {}, started)
 
     marks, sent = store.marks(), {}
-    for table, watermark, keys in ORDER:
+    for table, watermark, keys in order:
         if mode == "FULL":
             sent[table] = _replace(store, table, source[table], batch, marks)
         elif table == "entity" and by == "changed_since":
@@ -53,7 +54,7 @@ def sync_tables(source: Mapping[str, DataFrame], store: TableStore, batch: int,
             sent[table] = _put(store, table, sync.insert_ignore(source[table], store.read(table), watermark, keys),
                                batch, keys)
     store.commit(batch, marks)
-    return _result(store, batch, mode, sent, started)
+    return _result(store.spark, order, mode, sent, started)
 
 
 def _replace(store: TableStore, table: str, rows: DataFrame, batch: int, marks: dict[str, int]) -> int:
@@ -81,11 +82,42 @@ def _put(store: TableStore, table: str, rows: DataFrame, batch: int, keys: list[
     return total
 
 
-def _result(store: TableStore, batch: int, mode: str, sent: Mapping[str, int], started: float) -> DataFrame:
-    names = [table for table, _, _ in ORDER]
-    row = (batch, mode, *[sent.get(n, 0) for n in names], int((time.monotonic() - started) * 1000),
+def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str, str]], mode: str = "INCREMENTAL",
+              order: Sequence[tuple] = ORDER) -> DataFrame:
+    """Copy tables to a database; ``targets`` holds the JDBC options of each table.
+
+    FULL empties the tables, children first, and reloads them, parents first.
+    INCREMENTAL asks the database for its highest key and appends what is behind
+    it. Every partition writes in batches of its own.
+    """
+    mode = sync.check_mode(mode)
+    spark = next(iter(source.values())).sparkSession
+    started, sent = time.monotonic(), {}
+    if mode == "FULL":
+        for table, _, _ in reversed(order):
+            write_jdbc(source[table].limit(0), targets[table], "overwrite")
+    for table, watermark, keys in order:
+        rows = source[table]
+        if mode == "INCREMENTAL":
+            rows = sync.first_by_key(rows.where(F.col(watermark) > jdbc_max_key(spark, targets[table], watermark)),
+                                     keys, [watermark])
+        sent[table] = write_jdbc(rows, targets[table])
+    return _result(spark, order, mode, sent, started)
+
+
+def jdbc_max_key(spark: SparkSession, options: Mapping[str, str], key: str) -> int:
+    """The highest key of a database table, worked out by the database; 0 if it is empty."""
+    asked = {k: v for k, v in options.items() if k != "dbtable"}
+    asked["query"] = f"SELECT COALESCE(MAX({key}), 0) AS max_key FROM {options['dbtable']}"
+    return int(read_table(spark, asked).first()[0])
+
+
+def _result(spark: SparkSession, order: Sequence[tuple], mode: str, sent: Mapping[str, int],
+            started: float) -> DataFrame:
+    names = [table for table, _, _ in order]
+    counts = [sent.get(n, 0) for n in names]
+    row = (mode, *counts, sum(counts), int((time.monotonic() - started) * 1000),
            datetime.now(timezone.utc).replace(tzinfo=None))
     columns = ", ".join(f"{n}_rows long" for n in names)
-    return store.spark.createDataFrame(
-        [row], f"batch long, mode string, {columns}, duration_ms long, finished_at timestamp_ntz"
-    ).withColumn("total_rows", sum((F.col(f"{n}_rows") for n in names[1:]), F.col(f"{names[0]}_rows")))
+    return spark.createDataFrame(
+        [row], f"mode string, {columns}, total_rows long, duration_ms long, finished_at timestamp_ntz")

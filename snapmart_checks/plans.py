@@ -16,7 +16,7 @@ LATEST = """latest AS (
                    ORDER BY recorded_at DESC, snapshot_id DESC) AS rn FROM snapshot s) x WHERE rn <= 2)"""
 
 
-def _with_latest(roles, body: str) -> tuple[str, tuple]:
+def _with_latest(roles, body: str) -> str:
     ctes = ",\n".join(f"{r} AS ({driver_tables.role_sql(r)})" for r in roles)
     return f"WITH {ctes},\n{LATEST}\n{body}"
 

@@ -225,6 +225,65 @@ def test_modes(spark, loaded, tmp_path):
         sync_tables(source_of(loaded[0]), store, 0, by="guess")
 
 
+def test_sync_to_a_database(spark, loaded, monkeypatch):
+    """The steps of a copy, with a dictionary in place of the database."""
+    from snapmart.plans import sync_job
+    source, copy, calls = source_of(loaded[0]), {}, []
+    keys = {table: key for table, key, _ in sync_job.ORDER}
+
+    def write(df, options, mode="append"):
+        rows, table = [tuple(r) for r in df.select(keys[options["dbtable"]]).collect()], options["dbtable"]
+        calls.append((mode, table))
+        copy[table] = rows if mode == "overwrite" else copy.get(table, []) + rows
+        return len(rows)
+
+    def read(spark, options):
+        assert "dbtable" not in options and "COALESCE(MAX(" in options["query"]
+        table = options["query"].rsplit(" ", 1)[1]
+        return spark.createDataFrame([(max([r[0] for r in copy.get(table, [])], default=0),)], "max_key long")
+
+    monkeypatch.setattr(sync_job, "write_jdbc", write)
+    monkeypatch.setattr(sync_job, "read_table", read)
+    targets = {table: {"url": "jdbc:x", "dbtable": table} for table in keys}
+    early = {t: df.where(f"{keys[t]} <= 1") for t, df in source.items()}
+    sync_job.sync_jdbc(early, targets)
+    done = sync_job.sync_jdbc(source, targets).first()
+    assert {t: len(rows) for t, rows in copy.items()} == {t: df.count() for t, df in source.items()}
+    assert done["entity_rows"] == 2 and done["total_rows"] == sum(df.count() for df in source.values()) - sum(
+        df.count() for df in early.values())
+    assert sync_job.sync_jdbc(source, targets).first()["total_rows"] == 0
+    calls.clear()
+    sync_job.sync_jdbc(source, targets, "FULL")
+    assert [t for m, t in calls if m == "overwrite"] == ["snapshot", "rating", "bridge", "entity", "category"]
+    assert {t: len(rows) for t, rows in copy.items()} == {t: df.count() for t, df in source.items()}
+
+
+def test_a_stream_that_died_goes_on(spark, tmp_path):
+    path = str(tmp_path / "in")
+    table = write_parts(spark, path)
+    store = TableStore(spark, str(tmp_path / "copy"), layout(4))
+    commit, tries = store.commit, []
+
+    def failing(*args):
+        tries.append(1)
+        if len(tries) == 2:
+            raise OSError("lost")
+        commit(*args)
+
+    store.commit = failing
+
+    def run():
+        jobs.stream_sync(jobs.file_stream(spark, path, SNAPSHOT, 1), store, str(tmp_path / "ck"),
+                         trigger=jobs.ONCE).awaitTermination(300)
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert store.read("snapshot").count() < 30
+    run()
+    copied = store.read("snapshot").select(table.columns)
+    assert copied.count() == 30 and copied.exceptAll(table).count() == 0
+
+
 def write_parts(spark, path):
     rows = [(i, i % 3, i * 10, i * 10, i, datetime(2024, 1, 1, 0, i)) for i in range(1, 31)]
     for part in (rows[:10], rows[10:12], rows[12:]):

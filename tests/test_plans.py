@@ -162,3 +162,11 @@ def test_entity_without_readings_and_categories(spark):
                full.rating.where("entity_id <> 5"))
     row = catalog.top_entities(t).where("entity_id = 5").first()
     assert (row["highest_peak"], row["last_reading"], row["categories"], row["label"]) == (None,) * 4
+
+
+def test_category_order_by_collation(spark):
+    t = Tables(category=spark.createDataFrame([(1, "Zeta"), (2, "alfa"), (3, "Élite"), (4, "beta")],
+                                              "category_id long, category_name string"),
+               bridge=spark.createDataFrame([(1, i) for i in range(1, 5)], "entity_id long, category_id long"))
+    assert catalog.category_lists(t).first()["categories"] == "Zeta, alfa, beta, Élite"
+    assert catalog.category_lists(t, "es_CI_AI_RTRIM").first()["categories"] == "alfa, beta, Élite, Zeta"
