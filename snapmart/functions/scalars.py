@@ -203,11 +203,12 @@ def megabytes(size: Column | str) -> Column:
 
 
 def iso_text(moment: Column | str) -> Column:
-    """ISO text; the fraction is written only where there is one."""
-    c = _col(moment)
+    """ISO text; the fraction is written, with six digits, only where there is one."""
+    c = _col(moment).cast("timestamp_ntz")
     fraction = F.pmod(epoch_micros(c), F.lit(MICROS["SECOND"]))
-    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(fraction == 0, whole).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    whole = F.replace(F.substring(c.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+    digits = F.lpad(fraction.cast("string"), 6, "0")
+    return F.when(fraction == 0, whole).otherwise(F.concat(whole, F.lit("."), digits))
 
 
 def compact_stamp(moment: Column | str) -> Column:

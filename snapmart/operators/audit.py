@@ -126,11 +126,17 @@ def audit_parts(before: DataFrame, after: DataFrame, key: str, tracked: Sequence
     parts = math.ceil(largest / rows_per_log_row)
     shown = list(columns or after.columns)
 
+    def shown_as(f: T.StructField) -> Column:
+        # the writer's own format would cut microseconds
+        moment = isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))
+        return scalars.iso_text(f.name).alias(f.name) if moment else F.col(f.name)
+
     def side(df: DataFrame, name: str) -> DataFrame:
+        document = F.to_json(F.struct(*[shown_as(df.schema[c]) for c in shown]))
         return df.select(
             F.pmod(F.xxhash64(key), F.lit(max(parts, 1))).cast("int").alias("part"),
             F.lit(name).alias("side"),
-            F.struct(F.col(key).alias("k"), F.to_json(F.struct(*shown)).alias("json")).alias("row"),
+            F.struct(F.col(key).alias("k"), document.alias("json")).alias("row"),
         )
 
     def image(name: str) -> Column:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
 from snapmart.operators import changes, quality
 from snapmart.operators.audit import audit_parts, numbered_log
 from snapmart.operators.skew import dense_ids
+from snapmart.session import held
 from snapmart.sources import feeds
 from snapmart.sources.store import TableStore
 from snapmart.sources.tables import with_valid_peak
@@ -62,16 +64,24 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     """
     if batch <= store.committed():
         return _tally(store.spark, batch, 0, 0, 0, {}, {})
+    ranking = feeds.read_ranking(raw.ranking, top_n)
+    answers = (feeds.read_details(_one_answer(raw.details)), feeds.read_ratings(_one_answer(raw.ratings)),
+               feeds.read_current(_one_answer(raw.current)))
     start = store.marks()
-    marks = dict(start)
-    moment = scalars.timestamp(as_of)
+    with held(feeds.assemble(ranking, *answers, POLL)) as assembled:
+        valid, rejected = quality.split_valid(assembled, load_rules())
+        with held(changes.last_by_key(valid, ["external_id"], [POLL, "position"])) as newest:
+            marks = _write(store, batch, valid, newest, start, scalars.timestamp(as_of), user, database, collation, audited)
+            store.append("quarantine", rejected.select("external_id", POLL, "reasons"), batch)
+            tally = _tally(store.spark, batch, ranking.count(), assembled.count(), newest.count(), start, marks)
+    store.commit(batch, marks)
+    return tally
 
-    ranking = feeds.read_ranking(raw.ranking, top_n)
-    assembled = feeds.assemble(
-        ranking, feeds.read_details(_one_answer(raw.details)), feeds.read_ratings(_one_answer(raw.ratings)),
-        feeds.read_current(_one_answer(raw.current)), POLL).persist()
-    valid, rejected = quality.split_valid(assembled, load_rules())
-    newest = changes.last_by_key(valid, ["external_id"], [POLL, "position"]).persist()
+
+def _write(store: TableStore, batch: int, valid: DataFrame, newest: DataFrame, start: Mapping[str, int], moment: Column,
+           user: str, database: str, collation: str | None, audited: bool) -> dict[str, int]:
+    """Write all tables of a batch: ``valid`` has the rows of every poll, ``newest`` the last one per item."""
+    marks = dict(start)
 
     # entities
     touched = store.touched("entity", newest)
@@ -112,16 +122,10 @@ def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int
     store.rewrite("rating", ratings.drop(changes.ACTION), batch, touched)
     _raise_mark(marks, "rating", store.read("rating", touched, batch), "rating_id")
 
-    store.append("quarantine", rejected.select("external_id", POLL, "reasons"), batch)
     if audited:
         marks["audit"] = _log(store, batch, newest, old_entities, new_entities, added_readings, marks.get("audit", 0),
                               moment, user, database, collation)
-
-    tally = _tally(store.spark, batch, ranking.count(), assembled.count(), newest.count(), start, marks)
-    store.commit(batch, marks)
-    newest.unpersist()
-    assembled.unpersist()
-    return tally
+    return marks
 
 
 def _one_answer(raw: DataFrame) -> DataFrame:

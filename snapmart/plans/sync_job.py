@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
+from snapmart.session import held
 from snapmart.sources.store import Keyed, TableStore
 from snapmart.sources.tables import read_table, write_jdbc
 
@@ -71,15 +72,13 @@ def _put(store: TableStore, table: str, rows: DataFrame, batch: int, keys: list[
     if not isinstance(store.tables[table], Keyed):
         store.append(table, rows, batch)
         return store.batch_rows(table, batch).count()
-    sent = rows.persist()
-    touched = store.touched(table, sent)
-    total = sent.count()
-    if touched:
-        target = store.read(table, touched)
-        others = [c for c in target.columns if c not in keys]
-        store.rewrite(table, changes.upsert(target, sent, keys, others), batch, touched)
-    sent.unpersist()
-    return total
+    with held(rows) as sent:
+        touched = store.touched(table, sent)
+        if touched:
+            target = store.read(table, touched)
+            others = [c for c in target.columns if c not in keys]
+            store.rewrite(table, changes.upsert(target, sent, keys, others), batch, touched)
+        return sent.count()
 
 
 def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str, str]], mode: str = "INCREMENTAL",

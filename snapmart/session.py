@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "snapmart", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -55,5 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept by the executors while the block runs; lost parts are worked out again."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

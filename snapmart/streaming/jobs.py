@@ -18,7 +18,7 @@ from snapmart.operators.changes import upsert
 from snapmart.operators.latest import newest_per_group
 from snapmart.plans.load import Feeds, load_batch
 from snapmart.schema import LANDED
-from snapmart.session import ensure_checkpoint_dir
+from snapmart.session import ensure_checkpoint_dir, held
 from snapmart.sources.store import TableStore
 
 ONCE = {"availableNow": True}
@@ -33,9 +33,8 @@ def stream_load(store: TableStore, landing: str, checkpoint: str, trigger: dict
     raw = reader.json(landing)
 
     def load(rows: DataFrame, batch: int) -> None:
-        kept = rows.persist()
-        load_batch(store, Feeds.landed(kept), batch, **load_options)
-        kept.unpersist()
+        with held(rows) as kept:
+            load_batch(store, Feeds.landed(kept), batch, **load_options)
 
     return _start(raw, once(store, checkpoint, load), checkpoint, trigger)
 
@@ -91,13 +90,12 @@ def stream_audit(source: DataFrame, store: TableStore, checkpoint: str, key: str
                  trigger: dict | None = None) -> StreamingQuery:
     """Log every micro-batch of inserted rows."""
     def log(rows: DataFrame, batch: int) -> None:
-        kept = rows.persist()
         marks = store.marks()
         last = marks.get("audit", 0)
-        entries, parts = audit_parts(kept.limit(0), kept, key, tracked, table, database, as_of, user)
-        store.append("audit", numbered_log(entries, last), batch)
+        with held(rows) as kept:
+            entries, parts = audit_parts(kept.limit(0), kept, key, tracked, table, database, as_of, user)
+            store.append("audit", numbered_log(entries, last), batch)
         store.commit(batch, {**marks, "audit": last + parts})
-        kept.unpersist()
 
     return _start(source, once(store, checkpoint, log), checkpoint, trigger)
 

@@ -96,3 +96,10 @@ def test_tail_without_changes(spark):
                                       "logged_at timestamp_ntz, user_name string, changed_fields string")
     assert [(r["audit_id"], r["changed_text"]) for r in audit.audit_tail(log, 2).collect()] == [(2, "a, b"), (1, "—")]
     assert [r["audit_id"] for r in audit.audit_tail(log, 1).collect()] == [2]
+
+
+def test_images_keep_microseconds(spark):
+    after = spark.createDataFrame([(1, datetime(2024, 1, 1, 0, 0, 0, 123456)), (2, datetime(2024, 1, 1))],
+                                  "id long, at timestamp_ntz")
+    log = audit.audit_batch(after.limit(0), after, "id", [], "t", "d").first()
+    assert [r["at"] for r in json.loads(log["after_rows"])] == ["2024-01-01T00:00:00.123456", "2024-01-01T00:00:00"]

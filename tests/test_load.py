@@ -344,3 +344,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert "Twenty" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         cli.main(["sync", "--store", first])
+
+
+def test_a_poll_without_items(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), layout(4))
+    tally = load_batch(store, landed(spark, poll(T1, [], {}) + poll(T2, [(1, 2, 3)], {})), 0).first()
+    assert (tally["loaded"], tally["skipped"], tally["rejected"]) == (0, 1, 0)
+    assert store.committed() == 0 and store.read("entity").count() == 0 == store.read("audit").count()
