@@ -98,3 +98,35 @@ def running_totals(df: DataFrame, group: str, keys: Sequence[str], amount: str)
 def digits_only(name: str) -> str:
     """A name that is safe in a column name."""
     return re.sub(r"\W", "_", name)
+
+
+def map_texts(df: DataFrame, key: str, text: str, work, columns: str, slice_chars: int = 2_000_000) -> DataFrame:
+    """``work`` over lists of texts inside tasks: ``key`` and the columns that it returns.
+
+    ``work(texts)`` gets texts (null for null) and returns one list for each of ``columns``. Arrow
+    batches are cut so that it sees about ``slice_chars`` characters at a time; a longer text comes
+    alone and whole.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    rows = df.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
+    added = StructType.fromDDL(columns)
+    schema = StructType([rows.schema[0], *added.fields])
+    types = [to_arrow_type(f.dataType) for f in added.fields]
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            start, held = 0, 0
+            for i, t in enumerate(texts):
+                held += len(t or "")
+                if held >= slice_chars or i == len(texts) - 1:
+                    got = work(texts[start:i + 1])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(start, i + 1 - start),
+                         *[pa.array(v, type=kind) for v, kind in zip(got, types)]], names=schema.names)
+                    start, held = i + 1, 0
+
+    return rows.mapInArrow(run, schema)

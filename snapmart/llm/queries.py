@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from snapmart.llm import mixing, sharding, url_rules
+from snapmart.llm import bpe, mixing, secret_scan, sharding, url_rules
 from snapmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("op4_mixing", mixing.curriculum_sql())
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -38,3 +44,8 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), sharding.even_tree(8))
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
