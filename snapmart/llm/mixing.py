@@ -116,7 +116,7 @@ def curriculum(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES
         rows.withColumn("taken", taken.cast("long"))
         .withColumn("position", F.when(F.col("taken") > 0, position))
         .select("doc_id", "size", "source_size", "target", "taken", "position", "source")
-        .sort(F.col("position").asc_nulls_last())
+        .sort(F.col("position").asc_nulls_last(), "doc_id", "size")  # the ids spread what has no position
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import bpe, mixing, secret_scan, sharding, url_rules
+from snapmart.llm import bpe, embeddings, language_id, mixing, quality, secret_scan, sharding, simhash, url_rules
 from snapmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,12 +30,23 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op4_mixing", mixing.curriculum_sql())
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.curriculum(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
 @query("op6_url_filter")
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
@@ -49,3 +60,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_covered", "longest_repeat")
+
+
+@query("op10_embeddings")
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
