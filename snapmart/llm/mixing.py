@@ -83,23 +83,15 @@ def _time_of(share: Column, schedule: Sequence[float]) -> Column:
     return F.least(time, F.lit(1.0))
 
 
-def curriculum(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, max_passes: int = MAX_PASSES,
-               doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """How often each document is taken and when, one row per document, in order of first position.
-
-    Returns ``doc_id, size, source_size, target, taken, position, source``. ``taken`` is a whole number
-    of words: full passes, and in the last pass the words up to the source's target, so that a source's
-    taken words are its target rounded down. ``position`` is the training time of the first word taken,
-    null if none is. A null text has size 0 and is never taken; a source without words has target 0. A
-    null source is a source of its own. Repeated rows count each. If a source's share stays at 0 over a
-    whole piece of its schedule the sum of the two knots must still be above 0. An empty table gives no
-    rows. Reruns agree: the order in a source comes from a hash of doc_id and size.
-    """
+def _planned(docs: DataFrame, schedules: Sequence[Sequence[float]], max_passes: int, doc_id: str, text: str,
+             source: str) -> DataFrame:
+    """One row per document with its place in its source's row of words and the words taken."""
     for s in schedules:
         if len(s) < 2 or any(a + b <= 0 or min(a, b) < 0 for a, b in zip(s, s[1:])):
             raise ValueError("a schedule needs two knots, none below 0 and no two neighbours of 0")
     sized = kept_in_shared_folder(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest")))
     targets = source_targets(sized, schedules, max_passes)
     rows = running_totals(sized, "source", ["doc_id", "size"], "size").join(
         targets.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
@@ -108,18 +100,76 @@ def curriculum(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES
     last = whole - F.floor(whole / F.greatest(total, F.lit(1))).cast("long") * total
     in_last = F.least(F.greatest(last - F.col("amount_before"), F.lit(0)), size)
     taken = F.when(total == 0, F.lit(0)).otherwise(F.floor(whole / total).cast("long") * size + in_last)
-    share = F.col("amount_before") / F.col("target")
-    position = F.lit(None).cast("double")
+    return rows.withColumn("taken", taken.cast("long"))
+
+
+def _position(words_before: Column, schedules: Sequence[Sequence[float]]) -> Column:
+    """Training time at which a source's demand reaches so many words."""
+    share, position = words_before / F.col("target"), F.lit(None).cast("double")
     for i, s in enumerate(schedules):
         position = F.when(F.col("rank") % len(schedules) == i, _time_of(share, s)).otherwise(position)
+    return position
+
+
+def curriculum(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, max_passes: int = MAX_PASSES,
+               doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """How often each document is taken and when, one row per document, in order of first position.
+
+    Returns ``doc_id, size, source_size, target, taken, position, source``. ``taken`` is a whole number
+    of words: full passes, and in the last pass the words up to the source's target, so that a source's
+    taken words are its target rounded down. ``position`` is the training time of the first word taken,
+    null if none is. A null text has size 0 and is never taken; a source without words has target 0. A
+    null source is a source of its own. Repeated rows count each. An empty table gives no rows. Reruns
+    agree: the order in a source comes from a hash of doc_id and size.
+    """
     return (
-        rows.withColumn("taken", taken.cast("long"))
-        .withColumn("position", F.when(F.col("taken") > 0, position))
+        _planned(docs, schedules, max_passes, doc_id, text, source)
+        .withColumn("position", F.when(F.col("taken") > 0, _position(F.col("amount_before"), schedules)))
         .select("doc_id", "size", "source_size", "target", "taken", "position", "source")
         .sort(F.col("position").asc_nulls_last(), "doc_id", "size")  # the ids spread what has no position
     )
 
 
+def training_rows(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, max_passes: int = MAX_PASSES,
+                  doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, range-sorted by training position.
+
+    A row cannot be cut, so the pass in which a source's target falls inside a document keeps it if at
+    least half of its words are taken. Documents that are never taken go. All columns stay.
+    """
+    size, before = F.col("size"), F.col("amount_before")
+    keys = ["__id", "__source", "__digest"]
+    passes = F.when(size > 0, F.floor((2 * F.col("taken") + size) / (2 * size))).otherwise(F.lit(0)).cast("int")
+    starts = F.transform(F.sequence(F.lit(0), F.col("passes") - 1),
+                         lambda p: _position(p * F.col("source_size") + before, schedules))
+    planned = kept_in_shared_folder(
+        _planned(docs, schedules, max_passes, doc_id, text, source).withColumn("passes", passes)
+        .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("digest").alias("__digest"),
+                F.when(F.col("passes") > 0, starts).otherwise(F.array().cast("array<double>")).alias("starts")))
+    plan = planned.withColumn("__position", F.explode("starts")).drop("starts")
+    keyed = docs.withColumn("__body", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    own = [F.col(doc_id), F.col(source), F.col("__body")]
+
+    def matching(right: DataFrame):
+        same = [a.eqNullSafe(right[k]) for a, k in zip(own, keys)]
+        return same[0] & same[1] & same[2]
+
+    def same_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        other = right.select(*[F.col(k).alias(f"{k}_2") for k in keys])
+        a, b, c = (left[k].eqNullSafe(other[f"{k}_2"]) for k in keys)
+        return left.join(other, a & b & c, how)
+
+    # Equal rows have a place each in the plan; they are joined as one row of ``docs``.
+    repeated = kept_in_shared_folder(planned.groupBy(*keys).count().where("count > 1").select(*keys))
+    if repeated.isEmpty():
+        rows = keyed.join(plan, matching(plan))
+    else:
+        once, several = same_key(plan, repeated, "left_anti"), same_key(plan, repeated, "left_semi")
+        single = keyed.join(repeated, matching(repeated), "left_semi").dropDuplicates([doc_id, source, "__body"])
+        rows = keyed.join(once, matching(once)).unionByName(single.join(several, matching(several)))
+    return rows.sort("__position", doc_id).select(*docs.columns)
+
+
 def _time_of_sql(schedule: Sequence[float]) -> str:
     step, whole = 1.0 / (len(schedule) - 1), integral(schedule)
     need, used, text, last = f"(share * {whole!r})", 0.0, "", ""

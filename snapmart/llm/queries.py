@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import bpe, embeddings, language_id, mixing, quality, secret_scan, sharding, simhash, url_rules
+from snapmart.llm import bpe, embeddings, html_extract, language_id, mixing, quality, secret_scan, sharding, simhash, url_rules
 from snapmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html")
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")

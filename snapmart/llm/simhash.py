@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm.common import kept_in_shared_folder, map_texts
 from snapmart.llm.components import components
+from snapmart.session import shuffle_partitions
 
 # Fixed values of the contract: XXH64 with this seed; three words; two bits.
 SEED = 42
@@ -66,7 +67,8 @@ def meeting_links(keys: DataFrame, bits: int) -> DataFrame:
     masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(bits)]
     all_masks = F.array(*[F.lit(m).cast("long") for m in masks])
     met = (
-        keys.select("key", F.explode(all_masks).alias("mask"))
+        # so few bytes become so many rows here that a partition of the usual size would be too long a task
+        keys.repartition(shuffle_partitions(keys.sparkSession), "key").select("key", F.explode(all_masks).alias("mask"))
         .groupBy(F.col("key").bitwiseXOR(F.col("mask")).alias("middle"))
         .agg(F.bit_or("mask").alias("around"), F.max(F.col("mask") == 0).alias("itself"))
         .where(F.bit_count("around") + F.col("itself").cast("int") > 1)
@@ -184,6 +186,7 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words:
         match = (F.col("__body") == F.col("__c")) & F.col(doc_id).eqNullSafe(F.col("__i"))
         return keyed.join(part.select(F.col("id").alias("__i"), F.col("class").alias("__c")), match, "left_semi")
 
-    once = of(chosen.where("count = 1"))
-    repeated = of(chosen.where("count > 1")).dropDuplicates([doc_id, "__body"])
-    return once.unionByName(repeated).select(*docs.columns)
+    kept, repeated = of(chosen.where("count = 1")), chosen.where("count > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(of(repeated).dropDuplicates([doc_id, "__body"]))
+    return kept.select(*docs.columns)
