@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts
+from snapmart.llm.common import map_texts, small_batches
 
 PAD = (1 << 17) - 1
 NONE = np.int32(2**31 - 1)
@@ -202,6 +202,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
 
     schema = StructType([*df.schema.fields]).add("decoded", BinaryType())
     at = df.columns.index(ids)
+    small_batches(df.sparkSession)
 
     def run(batches):
         back = tokenizer(path, pattern).decode

@@ -32,6 +32,17 @@ def kept_in_shared_folder(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1000 rows, unless the session says otherwise.
+
+    Texts are long: with Spark's 10,000 rows the buffers of the JVM and of the Python workers take
+    hundreds of megabytes.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -111,6 +122,7 @@ def map_texts(df: DataFrame, key: str, text: str, work, columns: str, slice_char
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
+    small_batches(df.sparkSession)
     rows = df.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
     added = StructType.fromDDL(columns)
     schema = StructType([rows.schema[0], *added.fields])

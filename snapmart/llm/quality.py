@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts
+from snapmart.llm.common import map_texts, small_batches
 
 # Fixed values of the contract.
 WINDOW = 8
@@ -173,6 +173,7 @@ def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text") -> D
     import pyarrow as pa
 
     at = df.columns.index(text)
+    small_batches(df.sparkSession)
 
     def good(texts: list[str | None]) -> list[bool]:
         n_words, _, n_symbols, _, n_repeat, n_shouted, n_covered, longest = measure(texts, limits.min_repeat)

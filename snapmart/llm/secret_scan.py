@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts
+from snapmart.llm.common import map_texts, small_batches
 
 
 @dataclass(frozen=True)
@@ -375,6 +375,7 @@ def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, mask: str = "[sec
     import pyarrow as pa
 
     rules, at = tuple(rules), df.columns.index(text)
+    small_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
