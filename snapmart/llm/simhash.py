@@ -66,10 +66,13 @@ def meeting_links(keys: DataFrame, bits: int) -> DataFrame:
     """
     masks = [0] + [(1 << b) - (1 << 64 if b == 63 else 0) for b in range(bits)]
     all_masks = F.array(*[F.lit(m).cast("long") for m in masks])
+    parts = shuffle_partitions(keys.sparkSession)
     met = (
         # so few bytes become so many rows here that a partition of the usual size would be too long a task
-        keys.repartition(shuffle_partitions(keys.sparkSession), "key").select("key", F.explode(all_masks).alias("mask"))
-        .groupBy(F.col("key").bitwiseXOR(F.col("mask")).alias("middle"))
+        keys.repartition(parts, "key").select("key", F.explode(all_masks).alias("mask"))
+        .select(F.col("key").bitwiseXOR(F.col("mask")).alias("middle"), "mask")
+        # hardly two of a task meet, and no number has more rows than masks: nothing to combine before the shuffle
+        .repartition(parts, "middle").groupBy("middle")
         .agg(F.bit_or("mask").alias("around"), F.max(F.col("mask") == 0).alias("itself"))
         .where(F.bit_count("around") + F.col("itself").cast("int") > 1)
     )
