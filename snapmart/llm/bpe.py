@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import regex
@@ -27,7 +27,7 @@ PAD = (1 << 17) - 1
 NONE = np.int32(2**31 - 1)
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128)
 _CELLS = 1 << 20
-_CACHED_PIECES = 150_000
+_KNOWN_PIECES = 200_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,6 +66,12 @@ class PairTable:
         return found.reshape(left.shape)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Tokenizer:
     """Ranks from a file of base64 tokens and ranks; ids are ranks."""
 
@@ -85,40 +91,71 @@ class Tokenizer:
         self.pairs = PairTable(np.fromiter(pairs.keys(), np.int64, len(pairs)),
                                np.fromiter(pairs.values(), np.int32, len(pairs)))
         self.pieces_of = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text; none for null and for the empty text."""
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.token_sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        # Known pieces: a number for each, and where its ids stand in one array.
+        self.numbers: dict[str, int] = {}
+        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has; none for null and for the empty text."""
         pieces = [self.pieces_of(t) if t else [] for t in texts]
-        new = set().union(*pieces) - self.cache.keys()
-        if len(self.cache) + len(new) > _CACHED_PIECES:
-            self.cache.clear()
-            new = set().union(*pieces)
-        new = list(new)
-        self.cache.update(zip(new, self.merged([p.encode() for p in new])))
-        look = self.cache.__getitem__
-        return [list(chain.from_iterable(map(look, p))) for p in pieces]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        result: list = [None] * len(pieces)
-        groups: dict[int, list[int]] = {}
-        for i, p in enumerate(pieces):
-            whole = self.ranks.get(p)
-            if whole is not None:
-                result[i] = (whole,)
-            elif len(p) > WIDTHS[-1]:
-                result[i] = self._merge_long(p)
-            else:
-                groups.setdefault(next(w for w in WIDTHS if w >= len(p)), []).append(i)
-        for width, members in groups.items():
-            for at in range(0, len(members), _CELLS // width):
-                part = members[at:at + _CELLS // width]
-                for i, row in zip(part, self._merge_rows([pieces[i] for i in part], width).tolist()):
-                    result[i] = tuple(x for x in row if x != PAD)
-        return result
+        wanted = set().union(*pieces)
+        new = wanted - self.numbers.keys()
+        if len(self.numbers) + len(new) > _KNOWN_PIECES:
+            self._forget(wanted - new)
+        self._learn(list(new))
+        counts = np.array([len(p) for p in pieces], np.int64)
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(pieces)), np.int64, counts.sum())
+        sizes = self.sizes[number]
+        ids = self.pool[spread(self.starts[number], sizes)]
+        until = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(until)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens in a row, and how many each token has."""
+        sizes = self.token_sizes[ids]
+        return self.bytes[spread(self.token_starts[ids], sizes)], sizes
+
+    def _forget(self, keep: set[str]) -> None:
+        """Forget all pieces but those that are in use just now."""
+        old = np.fromiter((self.numbers[p] for p in keep), np.int64, len(keep))
+        self.numbers = {p: i for i, p in enumerate(keep)}
+        self.pool = self.pool[spread(self.starts[old], self.sizes[old])]
+        self.sizes = self.sizes[old]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _learn(self, new: list[str]) -> None:
+        pieces = [p.encode() for p in new]
+        starts, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        whole = np.fromiter(map(self.ranks.get, pieces, repeat(-1)), np.int64, len(new))
+        width = np.searchsorted(WIDTHS, np.fromiter(map(len, pieces), np.int64, len(new)))
+        width[whole >= 0] = -1
+        parts, at = [self.pool], len(self.pool)
+
+        def put(members: np.ndarray, ids: np.ndarray, each: np.ndarray) -> None:
+            nonlocal at
+            starts[members], sizes[members] = at + np.cumsum(each) - each, each
+            parts.append(ids.astype(np.int32))
+            at += len(ids)
+
+        one = np.flatnonzero(whole >= 0)
+        put(one, whole[one], np.ones(len(one), np.int64))
+        for i in np.flatnonzero(width == len(WIDTHS)):
+            ids = np.array(self._merge_long(pieces[i]), np.int32)
+            put(np.array([i]), ids, np.array([len(ids)]))
+        for w, columns in enumerate(WIDTHS):
+            members = np.flatnonzero(width == w)
+            for first in range(0, len(members), _CELLS // columns):
+                part = members[first:first + _CELLS // columns]
+                rows = self._merge_rows([pieces[i] for i in part], columns)
+                used = rows != PAD
+                put(part, rows[used], used.sum(axis=1))
+        self.numbers.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+        self.pool = np.concatenate(parts)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
     def _merge_rows(self, pieces: list[bytes], width: int) -> np.ndarray:
         lengths = np.array([len(p) for p in pieces])
@@ -192,7 +229,17 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
     Whole texts are encoded, each match of ``pattern`` separately and without special tokens. Null and
     empty texts have no ids. Repeated rows each get a row; other columns are not read.
     """
-    return map_texts(df, key, text, lambda texts: [tokenizer(path, pattern).encode(texts)], "ids array<int>")
+    import pyarrow as pa
+
+    def work(texts):
+        ids, counts = tokenizer(path, pattern).encode(texts)
+        return [pa.ListArray.from_arrays(pa.array(_offsets(counts), pa.int32()), pa.array(ids))]
+
+    return map_texts(df, key, text, work, "ids array<int>")
+
+
+def _offsets(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts)])
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -205,10 +252,13 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
     small_batches(df.sparkSession)
 
     def run(batches):
-        back = tokenizer(path, pattern).decode
         for batch in batches:
-            values = [back(x.as_py() or []) for x in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], names=schema.names)
+            lists = batch.column(at)
+            flat, sizes = tokenizer(path, pattern).decode(lists.flatten().to_numpy())
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            offsets = _offsets(sizes)[_offsets(counts)].astype(np.int32)
+            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

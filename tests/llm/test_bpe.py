@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -26,28 +27,38 @@ def tokenizer():
     return bpe.tokenizer(PATH, P.PATTERN)
 
 
+def encoded(tokenizer, texts):
+    ids, counts = tokenizer.encode(texts)
+    assert len(counts) == len(texts)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def decoded(tokenizer, ids):
+    return tokenizer.decode(np.array(ids, np.int32))[0].tobytes()
+
+
 def test_long_pieces_and_runs(reference, tokenizer):
     rng = random.Random(4)
     texts = ["a" * 1000, "ab" * 700, "the" * 300, " " * 500, "\n" * 300 + "x", "0123456789" * 50, "é" * 333,
              "".join(rng.choice("abcdefgh") for _ in range(5000)), "I'll don't 's't", "<|endoftext|>", ""]
-    got = tokenizer.encode(texts)
+    got = encoded(tokenizer, texts)
     assert got == [reference.encode_ordinary(t) for t in texts]
-    assert [tokenizer.decode(x).decode() for x in got] == texts
+    assert [decoded(tokenizer, x).decode() for x in got] == texts
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=200))
 def test_any_text(reference, tokenizer, text):
-    ids = tokenizer.encode([text])[0]
+    ids = encoded(tokenizer, [text])[0]
     assert ids == reference.encode_ordinary(text)
-    assert tokenizer.decode(ids) == text.encode()
+    assert decoded(tokenizer, ids) == text.encode()
 
 
-def test_the_cache_can_be_emptied(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "_CACHED_PIECES", 3)
+def test_pieces_can_be_forgotten(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "_KNOWN_PIECES", 3)
     small = bpe.Tokenizer(PATH, P.PATTERN)
-    for text in ("one two three four five", "six seven", "one more time over and over"):
-        assert small.encode([text])[0] == reference.encode_ordinary(text)
+    for text in ("one two three four five", "six seven two", "one more time over and over", None, ""):
+        assert encoded(small, [text])[0] == reference.encode_ordinary(text or "")
 
 
 def test_query_over_the_whole_table(spark, sf_dir, reference):
@@ -68,3 +79,9 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in rows) == [
         (False, 1, 0), (False, 2, 0), (False, 3, 1), (False, 3, 1), (True, 0, 1)]
     assert bpe.digests(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_decoding_null_and_empty_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [31373, 995]), (4, None), (5, [0])], "doc_id long, ids array<int>")
+    rows = {r.doc_id: bytes(r.decoded) for r in bpe.decode(df, PATH, P.PATTERN).collect()}
+    assert rows == {1: b"", 2: b"", 3: b"hello world", 4: b"", 5: b"!"}
