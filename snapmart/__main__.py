@@ -23,7 +23,7 @@ POLL_EVERY = {"processingTime": "5 minutes"}
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="snapmart")
     top.add_argument("--master", help="only for runs without spark-submit")
-    top.add_argument("--buckets", type=int, default=64, help="buckets of the keyed tables; keep it for a store's life")
+    top.add_argument("--buckets", type=int, default=64, help="buckets of the keyed tables; another number than a store has is refused")
     commands = top.add_subparsers(dest="command", required=True)
 
     load = commands.add_parser("load", help="load landing files as they arrive")
@@ -47,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def stored_tables(store: TableStore) -> Tables:
-    return Tables(**{table: store.read(table) for table, _, _ in ORDER})
+    return Tables(**{table: store.read(table) for table, *_ in ORDER})
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -60,7 +60,7 @@ def main(arguments: list[str] | None = None) -> None:
         query.awaitTermination()
     elif args.command == "sync":
         source = TableStore(spark, args.source, layout(args.buckets))
-        frames = {table: source.read(table) for table, _, _ in ORDER}
+        frames = {table: source.read(table) for table, *_ in ORDER}
         sync_tables(frames, store, store.committed() + 1, args.mode, args.by).show(truncate=False)
     else:
         tables = stored_tables(store)

@@ -104,7 +104,8 @@ def percent_change(now: Column | str, then: Column | str) -> Column:
 
 def rating_percent(positive: Column | str, negative: Column | str) -> Column:
     """Share of positive votes in percent, two decimals, half up; 0 without votes."""
-    p, votes = _col(positive), _col(positive) + _col(negative)
+    p = _col(positive).cast("decimal(20,0)")
+    votes = p + _col(negative).cast("decimal(20,0)")
     hundredths = F.call_function("div", p * 20_000 + votes, F.nullif(votes * 2, F.lit(0)))
     return F.coalesce(F.when(votes > 0, hundredths.cast("decimal(7,0)") / 100), F.lit(0)).cast("decimal(5,2)")
 
@@ -158,7 +159,8 @@ def parse_date(text: Column | str) -> Column:
 
 
 def cents_to_price(cents: Column | str) -> Column:
-    return (F.coalesce(_col(cents), F.lit(0)).cast("decimal(12,0)") / 100).cast("decimal(10,2)")
+    """Cents as a price, 0 for null; null if there are too many for one."""
+    return (F.coalesce(_col(cents), F.lit(0)).try_cast("decimal(12,0)") / 100).try_cast("decimal(10,2)")
 
 
 def strip(text: Column | str) -> Column:

@@ -1,8 +1,12 @@
-"""Change audit: what a batch did to a table, as log rows with JSON images."""
+"""Change audit: what a statement did to a table.
+
+The log has a row for every row that a statement touched, with both images as
+JSON and the fields that changed, and one header per statement, which is an
+aggregate of those. It has the same form at every size.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +15,6 @@ from pyspark.sql import types as T
 
 from snapmart.functions import scalars
 
-ROWS_PER_LOG_ROW = 1000
-
 _EMPTY_EQUALS_NULL = (T.StringType, T.DateType)
 
 
@@ -103,67 +105,60 @@ def changed_rows(before: DataFrame, after: DataFrame, key: str, tracked: Sequenc
     )
 
 
-def audit_batch(before: DataFrame, after: DataFrame, key: str, tracked: Sequence[str], table: str, database: str,
-                as_of=None, user: str | None = None, columns: Sequence[str] | None = None,
-                rows_per_log_row: int = ROWS_PER_LOG_ROW, collation: str | None = None) -> DataFrame:
-    """The log of one batch: one row with both images as JSON arrays.
+def audit_rows(before: DataFrame, after: DataFrame, key: str, tracked: Sequence[str], table: str, database: str,
+               as_of=None, user: str | None = None, columns: Sequence[str] | None = None,
+               collation: str | None = None, audit_id: int = 1) -> DataFrame:
+    """The touched rows of one statement: one row per key in either image.
 
-    A batch of more than ``rows_per_log_row`` rows is logged in several rows
-    with a ``part`` number, each holding some of the keys, so that no cell grows
-    with the batch; together they hold every row. A batch without rows is not
-    logged. Null fields are left out of the JSON.
+    Both images come from one join. ``operation`` is that of the row,
+    ``changed_fields`` the JSON list of its own changed fields, null if none
+    differs. Null fields are left out of the JSON images; ``columns`` limits them.
     """
-    return audit_parts(before, after, key, tracked, table, database, as_of, user, columns, rows_per_log_row,
-                       collation)[0]
+    shown = list(columns or after.columns)
+    flags = _flags(after, tracked, collation)
 
+    def document(side: str) -> Column:
+        def shown_as(c: str) -> Column:
+            # the writer's own format would cut microseconds
+            moment = isinstance(after.schema[c].dataType, (T.TimestampNTZType, T.TimestampType))
+            value = F.col(f"{side}.{c}")
+            return (scalars.iso_text(value) if moment else value).alias(c)
 
-def audit_parts(before: DataFrame, after: DataFrame, key: str, tracked: Sequence[str], table: str, database: str,
-                as_of=None, user: str | None = None, columns: Sequence[str] | None = None,
-                rows_per_log_row: int = ROWS_PER_LOG_ROW, collation: str | None = None) -> tuple[DataFrame, int]:
-    """``audit_batch`` and the number of parts; every ``part`` is below it."""
-    facts = batch_facts(before, after, key, tracked, collation).first()
-    largest = max(facts["rows_before"], facts["rows_after"])
-    parts = math.ceil(largest / rows_per_log_row)
-    shown = list(columns or after.columns)
+        return F.when(F.col(side).isNotNull(), F.to_json(F.struct(*[shown_as(c) for c in shown])))
 
-    def shown_as(f: T.StructField) -> Column:
-        # the writer's own format would cut microseconds
-        moment = isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))
-        return scalars.iso_text(f.name).alias(f.name) if moment else F.col(f.name)
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        document = F.to_json(F.struct(*[shown_as(df.schema[c]) for c in shown]))
-        return df.select(
-            F.pmod(F.xxhash64(key), F.lit(max(parts, 1))).cast("int").alias("part"),
-            F.lit(name).alias("side"),
-            F.struct(F.col(key).alias("k"), document.alias("json")).alias("row"),
-        )
-
-    def image(name: str) -> Column:
-        rows = F.sort_array(F.collect_list(F.when(F.col("side") == name, F.col("row"))))
-        texts = F.transform(rows, lambda row: row["json"])
-        return F.when(F.size(rows) > 0, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")))
-
-    grouped = side(before, "old").unionByName(side(after, "new")).groupBy("part").agg(
-        image("old").alias("before_rows"), image("new").alias("after_rows")
-    )
-    log = grouped.select(
+    operation = F.when(F.col("old").isNull(), "INSERT").when(F.col("new").isNull(), "DELETE").otherwise("UPDATE")
+    return image_join(before, after, key, [*tracked, *shown]).select(
+        F.lit(audit_id).cast("long").alias("audit_id"),
         F.lit(database).alias("database_name"),
         F.lit(table).alias("table_name"),
-        F.lit(facts["operation"]).alias("operation"),
         scalars.timestamp(as_of).alias("logged_at"),
         (F.current_user() if user is None else F.lit(user)).alias("user_name"),
-        "before_rows",
-        "after_rows",
-        F.lit(facts["changed_fields"]).cast("string").alias("changed_fields"),
-        "part",
+        F.col(key).cast("string").alias("row_key"),
+        operation.alias("operation"),
+        document("old").alias("before_row"),
+        document("new").alias("after_row"),
+        scalars.json_array_of(list(flags.items())).alias("changed_fields"),
     )
-    return log, parts
 
 
-def numbered_log(rows: DataFrame, start_id: int) -> DataFrame:
-    """Log rows with an increasing ``audit_id`` behind ``start_id``; parts stay in order."""
-    return rows.withColumn("audit_id", F.lit(start_id) + F.col("part") + 1).drop("part")
+def audit_headers(rows: DataFrame, tracked: Sequence[str]) -> DataFrame:
+    """One row per statement of ``audit_rows``; a statement that touched nothing has none.
+
+    The operation is INSERT or DELETE if only one image has rows, otherwise
+    UPDATE, and then ``changed_fields`` lists a field if it differs in any row, in
+    the order of ``tracked``. Rows are combined in the map tasks.
+    """
+    changed = F.from_json("changed_fields", "array<string>")
+    totals = rows.groupBy("audit_id", "database_name", "table_name", "logged_at", "user_name").agg(
+        F.count("before_row").alias("rows_before"), F.count("after_row").alias("rows_after"),
+        *[F.coalesce(F.max(F.array_contains(changed, c)), F.lit(False)).alias(f"__{c}") for c in tracked],
+    )
+    operation = (
+        F.when(F.col("rows_before") == 0, "INSERT").when(F.col("rows_after") == 0, "DELETE").otherwise("UPDATE")
+    )
+    return totals.select(
+        "audit_id", "database_name", "table_name", operation.alias("operation"), "logged_at", "user_name",
+        "rows_before", "rows_after", scalars.json_array_of([(c, F.col(f"__{c}")) for c in tracked]).alias("changed_fields"))
 
 
 def audit_tail(audit: DataFrame, n: int = 20) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,14 +42,15 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
           updated_col: str | None = None, start_id: int | None = None) -> DataFrame:
     """Matched rows take ``update_cols`` from the source, others are inserted.
 
-    The source has one row per key (see ``last_by_key``). New rows get
-    ``id_col`` counted on from the target, unless the source brings it.
+    A key that is twice in the source is an error (see ``last_by_key``). New rows
+    get ``id_col`` counted on from the target, unless the source brings it.
     ``created_col`` is set on insert only, ``updated_col`` on both. The column
     ACTION tells what happened to each row.
     """
     moment = scalars.timestamp(as_of)
     stamped = {c for c in (created_col, updated_col) if c}
     columns = target.columns
+    source = _one_per_key(source, keys)
 
     incoming = source.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(c).alias(f"__s_{c}") for c in update_cols],
@@ -82,6 +84,15 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
     return kept.unionByName(inserted)
 
 
+def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` as it is; fails when it is read if a key is there twice."""
+    others = [c for c in source.columns if c not in keys]
+    row = F.struct(F.lit(True).alias("__any"), *others)
+    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.any_value(row).alias("__row"))
+    checked = F.when(F.col("__rows") > 1, F.raise_error(F.lit(f"a key is twice in the source: {', '.join(keys)}"))).otherwise(F.col("__row"))
+    return grouped.select(*keys, checked.alias("__row")).select(*keys, *[F.col("__row")[c].alias(c) for c in others])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str], as_of=None,
            id_col: str | None = None, created_col: str | None = None,
            updated_col: str | None = None) -> DataFrame:
@@ -148,20 +159,27 @@ def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Sequence[Forei
     gone = {root: keys.select(key)}
     left = dict(tables)
     left[root] = tables[root].join(keys.select(key), key, "left_anti")
-    waiting = [root]
-    while waiting:
-        parent = waiting.pop(0)
-        for fk in (f for f in foreign_keys if f.parent == parent):
+    for parent in parents_first(foreign_keys, root):
+        for fk in (f for f in foreign_keys if f.parent == parent and parent in gone):
             deleted = gone[parent].select(F.col(fk.key).alias("__gone"))
             match = F.col(fk.column) == F.col("__gone")
             lost = left[fk.child].join(deleted, match, "left_semi")
             left[fk.child] = left[fk.child].join(deleted, match, "left_anti")
             gone[fk.child] = gone[fk.child].unionByName(lost) if fk.child in gone else lost
-            if any(f.parent == fk.child for f in foreign_keys):
-                waiting.append(fk.child)
     return left
 
 
+def parents_first(foreign_keys: Sequence[ForeignKey], root: str) -> list[str]:
+    """The tables below ``root``, each behind all its parents; refuses tables that refer in a circle."""
+    try:
+        order = TopologicalSorter({f.child: {g.parent for g in foreign_keys if g.child == f.child}
+                                   for f in foreign_keys}).static_order()
+        tables = list(order)
+    except CycleError as circle:
+        raise ValueError(f"tables refer to each other in a circle: {circle.args[1]}") from None
+    return tables if root in tables else [root]
+
+
 def cascade_rekey(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey], root: str, key: str,
                   mapping: DataFrame) -> dict[str, DataFrame]:
     """Rewrite keys of ``root`` from ``old_key`` to ``new_key``, and every reference to them."""
@@ -174,9 +192,13 @@ def cascade_rekey(tables: Mapping[str, DataFrame], foreign_keys: Sequence[Foreig
             .withColumn(column, F.coalesce("__new", column).cast(kind)).drop("__old", "__new")
         )
 
-    result = dict(tables)
+    parents_first(foreign_keys, root)
+    result, todo = dict(tables), [(root, key)]
     result[root] = rewritten(tables[root], key)
-    for fk in foreign_keys:
-        if fk.parent == root and fk.key == key:
-            result[fk.child] = rewritten(result[fk.child], fk.column)
+    while todo:  # a rewritten column may itself be a key that others refer to
+        parent, column = todo.pop(0)
+        for fk in foreign_keys:
+            if fk.parent == parent and fk.key == column:
+                result[fk.child] = rewritten(result[fk.child], fk.column)
+                todo.append((fk.child, fk.column))
     return result

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
 from snapmart.operators import changes, quality
-from snapmart.operators.audit import audit_parts, numbered_log
+from snapmart.operators.audit import audit_headers, audit_rows
 from snapmart.operators.skew import dense_ids
 from snapmart.session import held
 from snapmart.sources import feeds
-from snapmart.sources.store import TableStore
+from snapmart.sources.store import Attempt, TableStore
 from snapmart.sources.tables import with_valid_peak
 
 POLL = "polled_at"
@@ -48,93 +48,99 @@ def load_rules() -> list[quality.Rule]:
     return [
         quality.max_length("maker", TEXT_LENGTH),
         quality.max_length("publisher", TEXT_LENGTH),
+        quality.Rule("category_name_not_blank", F.forall("categories", lambda c: c.isNull() | scalars.not_blank(c))),
+        quality.Rule("price_readable", F.col("price").isNotNull()),
+        quality.Rule("ratings_readable", F.col("total_ratings").isNotNull()),
         quality.Rule("price_not_negative", F.col("price") >= 0),
         *[quality.Rule(f"{c}_not_negative", F.col(c) >= 0)
           for c in (*SNAPSHOT_FIELDS, "positive", "negative")],
     ]
 
 
-def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, top_n: int = 100, user: str = "loader",
-               database: str = "snapmart", collation: str | None = None, audited: bool = True) -> DataFrame:
-    """Load a batch and commit it; a batch that is committed already changes nothing.
-
-    Entities are found by their external id. Rows that break a rule are kept
-    apart with the reasons and do not stop the others. Returns one row of
-    tallies.
-    """
+def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, **options) -> DataFrame:
+    """``load`` as one batch, committed; a batch that is committed already changes nothing."""
     if batch <= store.committed():
         return _tally(store.spark, batch, 0, 0, 0, {}, {})
+    attempt = store.begin(batch)
+    tally = load(attempt, raw, as_of, **options)
+    attempt.commit()
+    return tally
+
+
+def load(attempt: Attempt, raw: Feeds, as_of=None, top_n: int = 100, user: str = "loader",
+         database: str = "snapmart", collation: str | None = None, audited: bool = True) -> DataFrame:
+    """Load polls; nothing counts before the attempt is committed. Returns one row of tallies.
+
+    Entities are found by their external id. Rows that break a rule, and documents
+    that cannot be read, are kept apart with the reasons and do not stop the
+    others. ``as_of`` is one moment for the whole batch.
+    """
+    moment = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
+    start = dict(attempt.marks)
     ranking = feeds.read_ranking(raw.ranking, top_n)
-    answers = (feeds.read_details(_one_answer(raw.details)), feeds.read_ratings(_one_answer(raw.ratings)),
-               feeds.read_current(_one_answer(raw.current)))
-    start = store.marks()
+    details = _one_answer(raw.details)
+    answers = feeds.read_details(details), feeds.read_ratings(_one_answer(raw.ratings)), feeds.read_current(_one_answer(raw.current))
     with held(feeds.assemble(ranking, *answers, POLL)) as assembled:
         valid, rejected = quality.split_valid(assembled, load_rules())
         with held(changes.last_by_key(valid, ["external_id"], [POLL, "position"])) as newest:
-            marks = _write(store, batch, valid, newest, start, scalars.timestamp(as_of), user, database, collation, audited)
-            store.append("quarantine", rejected.select("external_id", POLL, "reasons"), batch)
-            tally = _tally(store.spark, batch, ranking.count(), assembled.count(), newest.count(), start, marks)
-    store.commit(batch, marks)
-    return tally
+            _write(attempt, valid, newest, moment, user, database, collation, audited)
+            bad = feeds.unreadable_details(details).select("external_id", POLL, "reasons")
+            attempt.append("quarantine", rejected.select("external_id", POLL, "reasons").unionByName(bad))
+            return _tally(attempt.store.spark, attempt.batch, ranking.count(), assembled.count(), newest.count(), start, attempt.marks)
 
 
-def _write(store: TableStore, batch: int, valid: DataFrame, newest: DataFrame, start: Mapping[str, int], moment: Column,
-           user: str, database: str, collation: str | None, audited: bool) -> dict[str, int]:
+def _write(attempt: Attempt, valid: DataFrame, newest: DataFrame, moment, user: str, database: str,
+           collation: str | None, audited: bool) -> None:
     """Write all tables of a batch: ``valid`` has the rows of every poll, ``newest`` the last one per item."""
-    marks = dict(start)
+    store, marks = attempt.store, attempt.marks
 
     # entities
     touched = store.touched("entity", newest)
-    old_entities = store.read("entity", touched)
+    old_entities = attempt.read("entity", touched)
     merged = changes.merge(old_entities, newest.select("external_id", *ENTITY_FIELDS), ["external_id"], ENTITY_FIELDS,
                            "entity_id", moment, "created_at", "updated_at", marks.get("entity", 0))
-    store.rewrite("entity", merged.drop(changes.ACTION), batch, touched)
-    new_entities = store.read("entity", touched, batch)
-    _raise_mark(marks, "entity", new_entities, "entity_id")
+    attempt.rewrite("entity", merged.drop(changes.ACTION), touched)
+    new_entities = attempt.read("entity", touched)
+    attempt.raise_mark("entity", changes.highest_id(new_entities, "entity_id"))
     ids = new_entities.select("external_id", "entity_id")
 
     # categories and their pairs
     named = newest.select("external_id", F.explode("categories").alias("category_name"))
-    added = changes.new_dimension_rows(store.read("category"), named, "category_id", "category_name",
+    added = changes.new_dimension_rows(attempt.read("category"), named, "category_id", "category_name",
                                        collation=collation, start_id=marks.get("category", 0))
-    store.append("category", added, batch)
-    _raise_mark(marks, "category", store.batch_rows("category", batch), "category_id")
+    attempt.append("category", added)
+    attempt.raise_mark("category", changes.highest_id(attempt.added("category"), "category_id"))
     parents = newest.select("external_id").join(ids, "external_id").select("entity_id")
     touched = store.touched("bridge", parents)
-    pairs = _category_pairs(named.join(ids, "external_id"), store.read("category", upto=batch), collation)
-    store.rewrite("bridge", changes.replace_children(store.read("bridge", touched), pairs, "entity_id", parents),
-                  batch, touched)
+    pairs = _category_pairs(named.join(ids, "external_id"), attempt.read("category"), collation)
+    attempt.rewrite("bridge", changes.replace_children(attempt.read("bridge", touched), pairs, "entity_id", parents), touched)
 
     # readings
     readings = with_valid_peak(valid.join(ids, "external_id")).select(
         "entity_id", "position", *SNAPSHOT_FIELDS, F.col(POLL).alias("recorded_at"))
-    numbered = dense_ids(readings, ["recorded_at", "position", "entity_id"], "snapshot_id", marks.get("snapshot", 0))
-    store.append("snapshot", numbered, batch)
-    added_readings = store.batch_rows("snapshot", batch)
-    _raise_mark(marks, "snapshot", added_readings, "snapshot_id")
+    attempt.append("snapshot", dense_ids(readings, ["recorded_at", "position", "entity_id"], "snapshot_id",
+                                         marks.get("snapshot", 0)))
+    added_readings = attempt.added("snapshot")
+    attempt.raise_mark("snapshot", changes.highest_id(added_readings, "snapshot_id"))
 
     # ratings: an item without an answer in its last poll keeps what it had
     answered = changes.last_by_key(valid.where("rated"), ["external_id"], [POLL, "position"])
     votes = answered.join(ids, "external_id").select("entity_id", *RATING_FIELDS)
     touched = store.touched("rating", votes)
-    ratings = changes.merge(store.read("rating", touched), votes, ["entity_id"], RATING_FIELDS, "rating_id",
+    ratings = changes.merge(attempt.read("rating", touched), votes, ["entity_id"], RATING_FIELDS, "rating_id",
                             start_id=marks.get("rating", 0))
-    store.rewrite("rating", ratings.drop(changes.ACTION), batch, touched)
-    _raise_mark(marks, "rating", store.read("rating", touched, batch), "rating_id")
+    attempt.rewrite("rating", ratings.drop(changes.ACTION), touched)
+    attempt.raise_mark("rating", changes.highest_id(attempt.read("rating", touched), "rating_id"))
 
     if audited:
-        marks["audit"] = _log(store, batch, newest, old_entities, new_entities, added_readings, marks.get("audit", 0),
-                              moment, user, database, collation)
-    return marks
+        _log(attempt, newest, old_entities, new_entities, added_readings, moment, user, database, collation)
 
 
 def _one_answer(raw: DataFrame) -> DataFrame:
-    """One answer per item and poll, always the same one if a fetch was repeated."""
-    return raw.groupBy(POLL, "external_id").agg(F.max("body").alias("body"))
-
-
-def _raise_mark(marks: dict[str, int], table: str, rows: DataFrame, id_col: str) -> None:
-    marks[table] = max(marks.get(table, 0), changes.highest_id(rows, id_col))
+    """One answer per item and poll. Which of the answers to a repeated fetch came last is not known, so
+    the longest is taken, which was not cut short, and of those the greatest, so that it is always the same."""
+    best = F.max(F.struct(F.length("body").alias("n"), "body"))
+    return raw.groupBy(POLL, "external_id").agg(best.getField("body").alias("body"))
 
 
 def _category_pairs(named: DataFrame, categories: DataFrame, collation: str | None) -> DataFrame:
@@ -145,29 +151,28 @@ def _category_pairs(named: DataFrame, categories: DataFrame, collation: str | No
     return wanted.join(categories, folded("__wanted") == folded("category_name")).select("entity_id", "category_id")
 
 
-def _log(store: TableStore, batch: int, newest: DataFrame, old: DataFrame, new: DataFrame, readings: DataFrame,
-         start: int, moment, user: str, database: str, collation: str | None) -> int:
-    """Log the inserted and the updated entities and the new readings; returns the last log id."""
+def _log(attempt: Attempt, newest: DataFrame, old: DataFrame, new: DataFrame, readings: DataFrame, moment, user: str,
+         database: str, collation: str | None) -> None:
+    """Log the inserted and the updated entities and the new readings, each row with its own changed fields."""
     keys = newest.select("external_id")
     before = old.join(keys, "external_id", "left_semi")
     after = new.join(keys, "external_id", "left_semi")
     known = before.select("external_id")
     inserted = after.join(known, "external_id", "left_anti")
     updated = after.join(known, "external_id", "left_semi")
-    def images(frames, key, tracked, table, columns):
-        return audit_parts(*frames, key, tracked, table, database, moment, user, columns, collation=collation)
-
-    logs = [
-        images((inserted.limit(0), inserted), "entity_id", ENTITY_FIELDS, "entity", old.columns),
-        images((before, updated), "entity_id", ENTITY_FIELDS, "entity", old.columns),
-        images((readings.limit(0), readings), "snapshot_id", SNAPSHOT_FIELDS, "snapshot", None),
-    ]
-    numbered = []
-    for log, parts in logs:
-        numbered.append(numbered_log(log, start))
-        start += parts
-    store.append("audit", reduce(DataFrame.unionByName, numbered), batch)
-    return start
+    start = attempt.marks.get("audit", 0)
+
+    def images(number: int, first: DataFrame, second: DataFrame, key: str, tracked, table: str) -> DataFrame:
+        return audit_rows(first, second, key, tracked, table, database, moment, user, collation=collation,
+                          audit_id=start + number)
+
+    attempt.append("audit_row", reduce(DataFrame.unionByName, [
+        images(1, inserted.limit(0), inserted, "entity_id", ENTITY_FIELDS, "entity"),
+        images(2, before, updated, "entity_id", ENTITY_FIELDS, "entity"),
+        images(3, readings.limit(0), readings, "snapshot_id", SNAPSHOT_FIELDS, "snapshot"),
+    ]))
+    attempt.append("audit", audit_headers(attempt.added("audit_row"), [*ENTITY_FIELDS, *SNAPSHOT_FIELDS]))
+    attempt.raise_mark("audit", start + 3)
 
 
 def _tally(spark, batch: int, ranked: int, assembled: int, items: int, start: dict[str, int],

@@ -11,17 +11,19 @@ from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
 from snapmart.session import held
-from snapmart.sources.store import Keyed, TableStore
+from snapmart.sources.store import Attempt, Keyed, TableStore
 from snapmart.sources.tables import read_table, write_jdbc
 
-# Parents first; the key in the middle is the watermark, the last list names a row.
+# Parents first; then the watermark, the columns that name a row, and a further unique column.
 ORDER = (
-    ("category", "category_id", ["category_id"]),
-    ("entity", "entity_id", ["entity_id"]),
-    ("bridge", "entity_id", ["entity_id", "category_id"]),
-    ("rating", "rating_id", ["rating_id"]),
-    ("snapshot", "snapshot_id", ["snapshot_id"]),
+    ("category", "category_id", ["category_id"], "category_name"),
+    ("entity", "entity_id", ["entity_id"], "external_id"),
+    ("bridge", "entity_id", ["entity_id", "category_id"], None),
+    ("rating", "rating_id", ["rating_id"], "entity_id"),
+    ("snapshot", "snapshot_id", ["snapshot_id"], None),
 )
+# Columns that a load numbers on from the highest one.
+ID_COLUMNS = {"category": "category_id", "entity": "entity_id", "rating": "rating_id", "snapshot": "snapshot_id"}
 WAYS = ("max_key", "changed_since")
 
 
@@ -31,9 +33,10 @@ def sync_tables(source: Mapping[str, DataFrame], store: TableStore, batch: int,
     """Copy what the store lacks, commit it, and return one row of counts.
 
     FULL replaces everything. INCREMENTAL by ``max_key`` sends the rows behind
-    the highest key of each table; by ``changed_since`` entities are sent if
-    their natural key is unknown or they changed lately, and the other tables as
-    before. ``order`` names the tables, parents first, with watermark and keys.
+    the highest key of each table, but none whose unique column is there already;
+    by ``changed_since`` entities are sent if their natural key is unknown or they
+    changed lately, and the other tables as before. ``order`` names the tables,
+    parents first. A later load numbers on from the ids that were sent.
     """
     mode = sync.check_mode(mode)
     if by not in WAYS:
@@ -42,43 +45,55 @@ def sync_tables(source: Mapping[str, DataFrame], store: TableStore, batch: int,
     if batch <= store.committed():
         return _result(store.spark, order, mode, {}, started)
 
-    marks, sent = store.marks(), {}
-    for table, watermark, keys in order:
+    attempt, sent = store.begin(batch), {}
+    for table, watermark, keys, unique in order:
         if mode == "FULL":
-            sent[table] = _replace(store, table, source[table], batch, marks)
+            sent[table] = _replace(attempt, table, source[table])
         elif table == "entity" and by == "changed_since":
-            changed = sync.recent_changes(source[table], store.read(table), natural_key, changed_at, as_of, hours)
-            sent[table] = _put(store, table, changed.drop("is_new"), batch, [natural_key])
+            changed = sync.recent_changes(source[table], attempt.read(table), natural_key, changed_at, as_of, hours)
+            sent[table] = _put(attempt, table, changed.drop("is_new"), [natural_key])
         elif table == "snapshot":
-            sent[table] = _put(store, table, sync.append_gap(source[table], store.read(table), watermark), batch, keys)
+            sent[table] = _put(attempt, table, sync.append_gap(source[table], attempt.read(table), watermark), keys)
         else:
-            sent[table] = _put(store, table, sync.insert_ignore(source[table], store.read(table), watermark, keys),
-                               batch, keys)
-    store.commit(batch, marks)
+            rows = sync.insert_ignore(source[table], attempt.read(table), watermark, keys, unique)
+            sent[table] = _put(attempt, table, rows, keys)
+    attempt.commit()
     return _result(store.spark, order, mode, sent, started)
 
 
-def _replace(store: TableStore, table: str, rows: DataFrame, batch: int, marks: dict[str, int]) -> int:
-    if isinstance(store.tables[table], Keyed):
-        store.rewrite(table, rows, batch)
-        return store.read(table, upto=batch).count()
-    store.append(table, rows, batch)
-    marks[f"{table}_since"] = batch
-    return store.batch_rows(table, batch).count()
+def raise_mark(attempt: Attempt, table: str, rows: DataFrame) -> None:
+    """What is loaded later must not get an id that these rows have."""
+    if table in ID_COLUMNS:
+        attempt.raise_mark(table, changes.highest_id(rows, ID_COLUMNS[table]))
 
 
-def _put(store: TableStore, table: str, rows: DataFrame, batch: int, keys: list[str]) -> int:
+def _replace(attempt: Attempt, table: str, rows: DataFrame) -> tuple[int, int]:
+    """Rows inserted and rows updated."""
+    if isinstance(attempt.store.tables[table], Keyed):
+        attempt.rewrite(table, rows)
+    else:
+        attempt.append(table, rows, instead=True)
+    written = attempt.read(table)
+    raise_mark(attempt, table, written)
+    return written.count(), 0
+
+
+def _put(attempt: Attempt, table: str, rows: DataFrame, keys: list[str]) -> tuple[int, int]:
     """Insert or update; only the buckets that receive rows are read and written."""
-    if not isinstance(store.tables[table], Keyed):
-        store.append(table, rows, batch)
-        return store.batch_rows(table, batch).count()
+    if not isinstance(attempt.store.tables[table], Keyed):
+        attempt.append(table, rows)
+        added = attempt.added(table)
+        raise_mark(attempt, table, added)
+        return added.count(), 0
     with held(rows) as sent:
-        touched = store.touched(table, sent)
+        touched, updated = attempt.store.touched(table, sent), 0
         if touched:
-            target = store.read(table, touched)
+            target = attempt.read(table, touched)
             others = [c for c in target.columns if c not in keys]
-            store.rewrite(table, changes.upsert(target, sent, keys, others), batch, touched)
-        return sent.count()
+            updated = sent.join(target.select(*keys), keys, "left_semi").count()
+            attempt.rewrite(table, changes.upsert(target, sent, keys, others), touched)
+            raise_mark(attempt, table, sent)
+        return sent.count() - updated, updated
 
 
 def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str, str]], mode: str = "INCREMENTAL",
@@ -93,14 +108,14 @@ def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str
     spark = next(iter(source.values())).sparkSession
     started, sent = time.monotonic(), {}
     if mode == "FULL":
-        for table, _, _ in reversed(order):
+        for table, *_ in reversed(order):
             write_jdbc(source[table].limit(0), targets[table], "overwrite")
-    for table, watermark, keys in order:
+    for table, watermark, keys, _ in order:
         rows = source[table]
         if mode == "INCREMENTAL":
             rows = sync.first_by_key(rows.where(F.col(watermark) > jdbc_max_key(spark, targets[table], watermark)),
                                      keys, [watermark])
-        sent[table] = write_jdbc(rows, targets[table])
+        sent[table] = write_jdbc(rows, targets[table]), 0
     return _result(spark, order, mode, sent, started)
 
 
@@ -111,12 +126,15 @@ def jdbc_max_key(spark: SparkSession, options: Mapping[str, str], key: str) -> i
     return int(read_table(spark, asked).first()[0])
 
 
-def _result(spark: SparkSession, order: Sequence[tuple], mode: str, sent: Mapping[str, int],
+def _result(spark: SparkSession, order: Sequence[tuple], mode: str, sent: Mapping[str, tuple[int, int]],
             started: float) -> DataFrame:
-    names = [table for table, _, _ in order]
-    counts = [sent.get(n, 0) for n in names]
-    row = (mode, *counts, sum(counts), int((time.monotonic() - started) * 1000),
+    """Rows sent of each table, and how many of all were inserted and updated."""
+    names = [table for table, *_ in order]
+    counts = [sent.get(n, (0, 0)) for n in names]
+    inserted, updated = (sum(c[i] for c in counts) for i in (0, 1))
+    row = (mode, *map(sum, counts), inserted + updated, inserted, updated, int((time.monotonic() - started) * 1000),
            datetime.now(timezone.utc).replace(tzinfo=None))
     columns = ", ".join(f"{n}_rows long" for n in names)
-    return spark.createDataFrame(
-        [row], f"mode string, {columns}, total_rows long, duration_ms long, finished_at timestamp_ntz")
+    return spark.createDataFrame([row], (
+        f"mode string, {columns}, total_rows long, inserted_rows long, updated_rows long, duration_ms long, "
+        "finished_at timestamp_ntz"))

@@ -45,6 +45,7 @@ RATING = T.StructType([
     T.StructField("label", T.StringType()),
 ])
 
+# One row per statement.
 AUDIT = T.StructType([
     T.StructField("audit_id", T.LongType(), False),
     T.StructField("database_name", T.StringType(), False),
@@ -52,13 +53,28 @@ AUDIT = T.StructType([
     T.StructField("operation", T.StringType(), False),
     T.StructField("logged_at", T.TimestampNTZType(), False),
     T.StructField("user_name", T.StringType(), False),
-    T.StructField("before_rows", T.StringType()),
-    T.StructField("after_rows", T.StringType()),
+    T.StructField("rows_before", T.LongType(), False),
+    T.StructField("rows_after", T.LongType(), False),
     T.StructField("changed_fields", T.StringType()),
 ])
 
+# One row per row that a statement touched.
+AUDIT_ROW = T.StructType([
+    T.StructField("audit_id", T.LongType(), False),
+    T.StructField("database_name", T.StringType(), False),
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("logged_at", T.TimestampNTZType(), False),
+    T.StructField("user_name", T.StringType(), False),
+    T.StructField("row_key", T.StringType(), False),
+    T.StructField("operation", T.StringType(), False),
+    T.StructField("before_row", T.StringType()),
+    T.StructField("after_row", T.StringType()),
+    T.StructField("changed_fields", T.StringType()),
+])
+
+# A bad document may not tell which item it is about.
 QUARANTINE = T.StructType([
-    T.StructField("external_id", T.LongType(), False),
+    T.StructField("external_id", T.LongType()),
     T.StructField("polled_at", T.TimestampNTZType(), False),
     T.StructField("reasons", T.StringType(), False),
 ])

@@ -55,7 +55,7 @@ def read_details(raw: DataFrame) -> DataFrame:
     data = F.col("entry.data")
     return entries.select(
         *keep,
-        F.col("external_id").cast("long").alias("external_id"),
+        F.col("external_id").try_cast("long").alias("external_id"),
         scalars.strip(F.coalesce(data["name"], F.lit(""))).alias("name"),
         F.coalesce(data["short_description"], F.lit("")).alias("description"),
         scalars.cents_to_price(data["price_overview"]["final"]).alias("price"),
@@ -66,6 +66,18 @@ def read_details(raw: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_details(raw: DataFrame) -> DataFrame:
+    """Documents that are no JSON of this shape, or whose key is no number, with ``reasons``.
+
+    ``external_id`` is that of the fetch.
+    """
+    keep = [*_kept(raw), "external_id"]
+    entries = raw.select(*keep, F.explode_outer(_parsed(_DETAILS)).alias("__key", "__entry"))
+    reason = F.when(F.col("__key").isNull(), "details_readable").when(
+        F.col("__key").try_cast("long").isNull(), "details_key_readable")
+    return entries.select(*keep, reason.alias("reasons")).where(F.col("reasons").isNotNull())
+
+
 def read_ratings(raw: DataFrame) -> DataFrame:
     """Answers with success 1: ``external_id, positive, negative, label``."""
     keep = [*_kept(raw), "external_id"]
@@ -108,7 +120,7 @@ def assemble(ranking: DataFrame, details: DataFrame, ratings: DataFrame, current
         "description", "price", "released", "maker", "publisher", "categories",
         count.alias("current_count"),
         F.greatest("ranked_peak", count).alias("peak_count"),
-        F.coalesce(F.col("positive") + F.col("negative"), F.lit(0)).alias("total_ratings"),
+        F.when(F.col("rated"), F.try_add("positive", "negative")).otherwise(F.lit(0)).alias("total_ratings"),
         F.coalesce("rated", F.lit(False)).alias("rated"),
         "positive", "negative",
         scalars.rating_percent("positive", "negative").alias("positive_pct"),

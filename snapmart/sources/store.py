@@ -1,17 +1,21 @@
-"""Tables as parquet folders that are never overwritten while they are read.
-
-Every write belongs to a numbered batch and counts only once the batch is
-committed by a small file in ``_commits``, written last. A batch that died half
-way is simply run again and replaces its own folders. A store has one writer at
-a time and any number of readers.
-
-Keyed tables   <table>/bucket=<b>/batch=<n>   a batch rewrites the buckets it touches
-Series         <table>/batch=<n>/...          a batch adds rows
+"""Tables as parquet folders that are never overwritten.
+
+A batch is written by an attempt. Each attempt has folders of its own and counts
+only once its commit file is there; the file names the folders that make up the
+keyed tables, the attempt's own folders, the numbers to go on from, and how the
+tables are laid out. What an attempt that died has left behind is named by no
+commit and read by nobody. A store has one writer at a time and any number of
+readers.
+
+Keyed tables   <table>/attempt=<batch>-<id>/bucket=<b>   a batch rewrites the buckets it touches
+Series         <table>/attempt=<batch>-<id>/...          a batch adds rows
+Commits        _commits/<batch>-<id>
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -21,7 +25,7 @@ from pyspark.sql import types as T
 
 from snapmart import schema as S
 
-BUCKET, BATCH = "bucket", "batch"
+ATTEMPT, BUCKET = "attempt", "bucket"
 
 
 @dataclass(frozen=True)
@@ -40,14 +44,15 @@ class Series:
 
 def layout(buckets: int = 64) -> dict[str, Keyed | Series]:
     """The tables of a catalogue. A bucket should hold some hundred megabytes."""
+    by_day = {"table_name": lambda: F.col("table_name"), "logged_date": lambda: F.col("logged_at").cast("date")}
     return {
         "entity": Keyed(S.ENTITY, "external_id", buckets),
         "category": Series(S.CATEGORY),
         "bridge": Keyed(S.BRIDGE, "entity_id", buckets),
         "snapshot": Series(S.SNAPSHOT, {"recorded_date": lambda: F.col("recorded_at").cast("date")}),
         "rating": Keyed(S.RATING, "entity_id", buckets),
-        "audit": Series(S.AUDIT, {"table_name": lambda: F.col("table_name"),
-                                  "logged_date": lambda: F.col("logged_at").cast("date")}),
+        "audit": Series(S.AUDIT, by_day),
+        "audit_row": Series(S.AUDIT_ROW, by_day),
         "quarantine": Series(S.QUARANTINE),
     }
 
@@ -57,79 +62,51 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = dict(layout() if tables is None else tables)
-        self._pending: dict[str, int] = {}
 
-    # ---- commits
+    def _buckets(self) -> dict[str, int]:
+        return {n: t.buckets for n, t in self.tables.items() if isinstance(t, Keyed)}
+
+    def _commits(self) -> list[str]:
+        """Names of the commit files, oldest first."""
+        return sorted(self._names(f"{self.root}/_commits"))
+
+    def _state(self) -> dict:
+        """What the last commit says; refuses a store with another number of buckets."""
+        names = self._commits()
+        if not names:
+            return {"batch": -1, "marks": {}, "since": {}, "keyed": {}, "buckets": self._buckets()}
+        state = json.loads(self.text(f"{self.root}/_commits/{names[-1]}"))
+        for table, number in self._buckets().items():
+            if state["buckets"].get(table, number) != number:
+                raise ValueError(f"{table} is stored in {state['buckets'][table]} buckets, not {number}")
+        return state
 
     def committed(self) -> int:
         """The last committed batch, -1 for a new store."""
-        return max((int(n) for n in self._names(f"{self.root}/_commits")), default=-1)
+        return self._state()["batch"]
 
     def marks(self) -> dict[str, int]:
         """Numbers kept with the last commit, such as the highest id handed out."""
-        last = self.committed()
-        if last < 0:
-            return {}
-        path = self._path(f"{self.root}/_commits/{last:012d}")
-        stream = self._fs(path).open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def remember(self, marks: Mapping[str, int]) -> None:
-        """Numbers to keep with the next commit, whoever makes it."""
-        self._pending.update(marks)
+        return self._state()["marks"]
 
-    def commit(self, batch: int, marks: Mapping[str, int]) -> None:
-        folder = self._path(f"{self.root}/_commits")
-        fs = self._fs(folder)
-        fs.mkdirs(folder)
-        draft, final = self._path(f"{self.root}/_draft"), self._path(f"{self.root}/_commits/{batch:012d}")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps({**marks, **self._pending}), "utf-8"))
-        out.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"batch {batch} could not be committed")
-        self._pending.clear()
-
-    # ---- reading
-
-    def read(self, table: str, buckets: Sequence[int] | None = None, upto: int | None = None) -> DataFrame:
-        """The table as of the last commit, or as of batch ``upto``.
+    def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table as of the last commit.
 
         ``buckets`` limits a keyed table to some buckets. A series also has its
         folder columns, for filters that choose folders.
         """
-        spec = self.tables[table]
-        limit = self.committed() if upto is None else upto
-        if isinstance(spec, Keyed):
-            newest = self._newest(table, limit)
-            paths = [p for b, p in sorted(newest.items()) if buckets is None or b in buckets]
-            if not paths:
-                return self._empty(spec.schema)
-            return self.spark.read.schema(spec.schema).parquet(*paths)
-        base = f"{self.root}/{table}"
-        if not self._names(base):
-            return self._with_folders(self._empty(spec.schema), spec)
-        since = self.marks().get(f"{table}_since", 0) if limit >= 0 else 0
-        extra = [T.StructField(c, T.DateType()) for c in spec.folders if c not in spec.schema.fieldNames()]
-        full = T.StructType([*spec.schema.fields, *extra, T.StructField(BATCH, T.LongType())])
-        rows = self.spark.read.schema(full).parquet(base)
-        rows = rows.where(F.col(BATCH).between(since, limit))
-        return rows.select(*spec.schema.fieldNames(), *[f.name for f in extra])
-
-    def batch_rows(self, table: str, batch: int) -> DataFrame:
-        """Rows a batch added to a series, committed or not."""
-        spec = self.tables[table]
-        base = f"{self.root}/{table}"
-        if f"{BATCH}={batch}" not in self._names(base):
-            return self._empty(spec.schema)
-        full = T.StructType([*spec.schema.fields, T.StructField(BATCH, T.LongType())])
-        rows = self.spark.read.schema(full).parquet(base).where(F.col(BATCH) == batch)
-        return rows.select(*spec.schema.fieldNames())
-
-    # ---- writing
+        state = self._state()
+        if isinstance(self.tables[table], Keyed):
+            return self._keyed_rows(table, state["keyed"].get(table, {}), buckets)
+        since = state["since"].get(table, 0)
+        return self._series_rows(table, [n for n in self._commits() if int(n.split("-")[0]) >= since])
+
+    def begin(self, batch: int) -> Attempt:
+        """A new attempt at the batch behind the last committed one, or at a later one."""
+        state = self._state()
+        if batch <= state["batch"]:
+            raise ValueError(f"batch {batch} is committed already")
+        return Attempt(self, batch, state)
 
     def bucket_of(self, table: str, key: str | None = None) -> Column:
         spec = self.tables[table]
@@ -140,40 +117,39 @@ class TableStore:
         rows = changes.select(self.bucket_of(table).alias(BUCKET)).distinct().collect()
         return sorted(r[BUCKET] for r in rows)
 
-    def rewrite(self, table: str, rows: DataFrame, batch: int, buckets: Sequence[int] | None = None) -> None:
-        """Write the new content of the touched buckets, or of all."""
-        spec = self.tables[table]
-        if buckets is None:
-            buckets = range(spec.buckets)
-        placed = self._conformed(rows, spec.schema).withColumns(
-            {BUCKET: self.bucket_of(table), BATCH: F.lit(batch)}
-        )
-        self._write(placed.hint("rebalance", BUCKET), table, [BUCKET, BATCH])
-        for b in self._without(table, buckets, batch):
-            self._empty(spec.schema).write.mode("overwrite").parquet(f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={batch}")
-
-    def append(self, table: str, rows: DataFrame, batch: int) -> None:
-        """Add rows to a series; running the batch again replaces them."""
+    def _keyed_rows(self, table: str, folders: Mapping[str, str], buckets: Sequence[int] | None) -> DataFrame:
+        wanted = [f"{self._folder(table, name)}/{BUCKET}={b}" for b, name in folders.items()
+                  if buckets is None or int(b) in buckets]
         spec = self.tables[table]
-        placed = self._with_folders(self._conformed(rows, spec.schema), spec).withColumn(BATCH, F.lit(batch))
-        self._write(placed, table, [BATCH, *spec.folders])
+        return self.spark.read.schema(spec.schema).parquet(*wanted) if wanted else self._empty(spec.schema)
 
-    def _write(self, rows: DataFrame, table: str, folders: Sequence[str]) -> None:
-        (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*folders).parquet(f"{self.root}/{table}")
-        )
+    def _series_rows(self, table: str, names: Sequence[str]) -> DataFrame:
+        """Rows of the named attempts, as far as they wrote to the table."""
+        spec = self.tables[table]
+        extra = [T.StructField(c, T.DateType()) for c in spec.folders if c not in spec.schema.fieldNames()]
+        full = T.StructType([*spec.schema.fields, *extra])
+        present = set(self._names(f"{self.root}/{table}"))
+        paths = [self._folder(table, n) for n in names if f"{ATTEMPT}={n}" in present]
+        if not paths:
+            return self._empty(full)
+        stored = T.StructType([*full.fields, T.StructField(ATTEMPT, T.StringType())])
+        return self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*paths).select(*full.fieldNames())
 
-    def _with_folders(self, rows: DataFrame, spec: Series) -> DataFrame:
-        return rows.withColumns({c: make() for c, make in spec.folders.items()})
-
-    def _conformed(self, rows: DataFrame, wanted: T.StructType) -> DataFrame:
-        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+    def _folder(self, table: str, name: str) -> str:
+        return f"{self.root}/{table}/{ATTEMPT}={name}"
 
     def _empty(self, wanted: T.StructType) -> DataFrame:
         return self.spark.createDataFrame([], wanted)
 
-    # ---- folders
+    # ---- files
+
+    def text(self, file: str) -> str:
+        path = self._path(file)
+        stream = self._fs(path).open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -188,31 +164,63 @@ class TableStore:
             return []
         return [n for n in (s.getPath().getName() for s in fs.listStatus(path)) if not n.startswith(("_", "."))]
 
-    def _versions(self, table: str) -> Iterable[tuple[int, int]]:
-        pattern = self._path(f"{self.root}/{table}/{BUCKET}=*/{BATCH}=*")
-        for status in self._fs(pattern).globStatus(pattern) or []:
-            path = status.getPath()
-            yield int(path.getParent().getName().split("=")[1]), int(path.getName().split("=")[1])
-
-    def _newest(self, table: str, limit: int) -> dict[int, str]:
-        """Per bucket the folder of its last version up to ``limit``."""
-        newest: dict[int, int] = {}
-        for bucket, batch in self._versions(table):
-            if batch <= limit and batch > newest.get(bucket, -1):
-                newest[bucket] = batch
-        return {b: f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={n}" for b, n in newest.items()}
-
-    def _without(self, table: str, buckets: Iterable[int], batch: int) -> list[int]:
-        """Touched buckets that got no row and so no folder."""
-        written = {b for b, n in self._versions(table) if n == batch}
-        return [b for b in buckets if b not in written]
-
-    def superseded(self, table: str, keep: int = 1) -> list[str]:
-        """Folders of a keyed table that no read needs any more, for a clean-up job to delete."""
-        by_bucket: dict[int, list[int]] = {}
-        limit = self.committed()
-        for bucket, batch in self._versions(table):
-            if batch <= limit:
-                by_bucket.setdefault(bucket, []).append(batch)
-        return [f"{self.root}/{table}/{BUCKET}={b}/{BATCH}={n}"
-                for b, batches in by_bucket.items() for n in sorted(batches)[:-keep]]
+
+class Attempt:
+    """One try at a batch. It reads what is committed and what it has written itself."""
+
+    def __init__(self, store: TableStore, batch: int, state: dict):
+        self.store, self.batch = store, batch
+        self.marks: dict[str, int] = dict(state["marks"])
+        self.name = f"{batch:012d}-{uuid.uuid4().hex[:12]}"
+        self._state = {**state, "keyed": {t: dict(b) for t, b in state["keyed"].items()}, "since": dict(state["since"])}
+
+    def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        if isinstance(self.store.tables[table], Keyed):
+            return self.store._keyed_rows(table, self._state["keyed"].get(table, {}), buckets)
+        rows = self.added(table)
+        return rows if self._state["since"].get(table) == self.batch else self.store.read(table).unionByName(rows)
+
+    def added(self, table: str) -> DataFrame:
+        """Rows that this attempt added to a series."""
+        return self.store._series_rows(table, [self.name])
+
+    def rewrite(self, table: str, rows: DataFrame, buckets: Iterable[int] | None = None) -> None:
+        """The new content of the touched buckets, or of all; a bucket without rows is then empty."""
+        spec, folders = self.store.tables[table], self._state["keyed"].setdefault(table, {})
+        placed = self._conformed(rows, spec.schema).withColumn(BUCKET, self.store.bucket_of(table))
+        target = self.store._folder(table, self.name)
+        placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(target)
+        for b in range(spec.buckets) if buckets is None else buckets:
+            folders.pop(str(b), None)
+        folders.update({n.split("=")[1]: self.name for n in self.store._names(target) if n.startswith(f"{BUCKET}=")})
+
+    def append(self, table: str, rows: DataFrame, instead: bool = False) -> None:
+        """Add rows to a series, or put them in place of all that was there."""
+        spec = self.store.tables[table]
+        placed = self._conformed(rows, spec.schema).withColumns({c: make() for c, make in spec.folders.items()})
+        placed.write.partitionBy(*spec.folders).parquet(self.store._folder(table, self.name))
+        if instead:
+            self._state["since"][table] = self.batch
+
+    def raise_mark(self, name: str, value: int) -> None:
+        self.marks[name] = max(self.marks.get(name, 0), value)
+
+    def commit(self, marks: Mapping[str, int] | None = None) -> None:
+        """Publish everything at once, together with further numbers to keep."""
+        if self.store.committed() >= self.batch:
+            raise ValueError(f"batch {self.batch} was committed by another attempt")
+        folder = self.store._path(f"{self.store.root}/_commits")
+        draft = self.store._path(f"{self.store.root}/_drafts/{self.name}")
+        fs = self.store._fs(folder)
+        fs.mkdirs(folder)
+        state = {**self._state, "batch": self.batch, "marks": {**self.marks, **(marks or {})},
+                 "buckets": {**self._state["buckets"], **self.store._buckets()}}
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(state), "utf-8"))
+        out.close()
+        if not fs.rename(draft, self.store._path(f"{self.store.root}/_commits/{self.name}")):
+            raise RuntimeError(f"batch {self.batch} could not be committed")
+
+    @staticmethod
+    def _conformed(rows: DataFrame, wanted: T.StructType) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])

@@ -1,27 +1,31 @@
 """The polling loops as streaming queries.
 
 A sink may see a micro-batch twice, for instance after a restart. The number of
-the last micro-batch of every stream is kept with the commit of the store, and
-what it covers is skipped.
+the last micro-batch of every stream is published in the same commit as its rows,
+and what it covers is skipped. A micro-batch that failed is in no commit and runs
+again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from snapmart.operators.audit import audit_parts, numbered_log
+from snapmart.operators.audit import audit_headers, audit_rows
 from snapmart.operators.changes import upsert
 from snapmart.operators.latest import newest_per_group
-from snapmart.plans.load import Feeds, load_batch
+from snapmart.plans.load import Feeds, load
+from snapmart.plans.sync_job import ID_COLUMNS, raise_mark
 from snapmart.schema import LANDED
 from snapmart.session import ensure_checkpoint_dir, held
-from snapmart.sources.store import TableStore
+from snapmart.sources.store import Attempt, TableStore
 
 ONCE = {"availableNow": True}
+Work = Callable[[DataFrame, Attempt], None]
 
 
 def stream_load(store: TableStore, landing: str, checkpoint: str, trigger: dict | None = None,
@@ -32,22 +36,26 @@ def stream_load(store: TableStore, landing: str, checkpoint: str, trigger: dict
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.json(landing)
 
-    def load(rows: DataFrame, batch: int) -> None:
+    def work(rows: DataFrame, attempt: Attempt) -> None:
         with held(rows) as kept:
-            load_batch(store, Feeds.landed(kept), batch, **load_options)
+            load(attempt, Feeds.landed(kept), **load_options)
 
-    return _start(raw, once(store, checkpoint, load), checkpoint, trigger)
+    return _start(raw, once(store, checkpoint, work), checkpoint, trigger)
 
 
-def once(store: TableStore, stream: str, work: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """``work`` gets the next batch number of the store, and each micro-batch a single time."""
-    mark = f"stream:{stream}"
+def once(store: TableStore, checkpoint: str, work: Work) -> Callable[[DataFrame, int], None]:
+    """``work`` gets an attempt at the store's next batch; it is committed with the micro-batch's number.
 
+    The number is kept under the id of the query, which stands in its checkpoint:
+    a stream that starts anew, even at the same path, is another one.
+    """
     def run(rows: DataFrame, micro_batch: int) -> None:
+        mark = "stream:" + json.loads(store.text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
         if micro_batch <= store.marks().get(mark, -1):
             return
-        store.remember({mark: micro_batch})
-        work(rows, store.committed() + 1)
+        attempt = store.begin(store.committed() + 1)
+        work(rows, attempt)
+        attempt.commit({mark: micro_batch})
 
     return run
 
@@ -58,29 +66,28 @@ def stream_latest(snapshots: DataFrame, key: str, order_by: Sequence[str], sink:
     return _start(newest_per_group(snapshots, [key], order_by), sink, checkpoint, trigger, "update")
 
 
-def latest_into(store: TableStore, table: str) -> Callable[[DataFrame, int], None]:
+def latest_into(table: str) -> Work:
     """Work for ``once``: puts changed rows into a keyed table."""
-    key = store.tables[table].key
-
-    def sink(rows: DataFrame, batch: int) -> None:
+    def work(rows: DataFrame, attempt: Attempt) -> None:
         # the state is worked out once, then the rows are used several times
-        ensure_checkpoint_dir(store.spark)
+        ensure_checkpoint_dir(rows.sparkSession)
         changed = rows.checkpoint()
-        touched = store.touched(table, changed)
-        target = store.read(table, touched)
+        key = attempt.store.tables[table].key
+        touched = attempt.store.touched(table, changed)
+        target = attempt.read(table, touched)
         others = [c for c in target.columns if c != key]
-        store.rewrite(table, upsert(target, changed, [key], others), batch, touched)
-        store.commit(batch, store.marks())
+        attempt.rewrite(table, upsert(target, changed, [key], others), touched)
 
-    return sink
+    return work
 
 
 def stream_sync(source: DataFrame, store: TableStore, checkpoint: str, table: str = "snapshot",
                 trigger: dict | None = None) -> StreamingQuery:
     """Copy an append-only series; the checkpoint takes the place of the highest-key query."""
-    def copy(rows: DataFrame, batch: int) -> None:
-        store.append(table, rows, batch)
-        store.commit(batch, store.marks())
+    def copy(rows: DataFrame, attempt: Attempt) -> None:
+        attempt.append(table, rows)
+        if table in ID_COLUMNS:
+            raise_mark(attempt, table, attempt.added(table))
 
     return _start(source, once(store, checkpoint, copy), checkpoint, trigger)
 
@@ -89,13 +96,12 @@ def stream_audit(source: DataFrame, store: TableStore, checkpoint: str, key: str
                  database: str = "snapmart", user: str = "loader", as_of=None,
                  trigger: dict | None = None) -> StreamingQuery:
     """Log every micro-batch of inserted rows."""
-    def log(rows: DataFrame, batch: int) -> None:
-        marks = store.marks()
-        last = marks.get("audit", 0)
-        with held(rows) as kept:
-            entries, parts = audit_parts(kept.limit(0), kept, key, tracked, table, database, as_of, user)
-            store.append("audit", numbered_log(entries, last), batch)
-        store.commit(batch, {**marks, "audit": last + parts})
+    def log(rows: DataFrame, attempt: Attempt) -> None:
+        number = attempt.marks.get("audit", 0) + 1
+        touched = audit_rows(rows.limit(0), rows, key, tracked, table, database, as_of, user, audit_id=number)
+        attempt.append("audit_row", touched)
+        attempt.append("audit", audit_headers(attempt.added("audit_row"), tracked))
+        attempt.raise_mark("audit", number)
 
     return _start(source, once(store, checkpoint, log), checkpoint, trigger)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +65,36 @@ def num(column: str, name: str | None = None) -> str:
 
 def text(column: str, name: str | None = None) -> str:
     return f"CAST({column} AS VARCHAR) AS {name or column.split('.')[-1]}"
+
+
+def row_text(df: DataFrame, name: str) -> DataFrame:
+    """``table_name, row``: every column of a row as text, in the order of the names."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
+    return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *cells).alias("row"))
+
+
+def row_text_sql(source: str, name: str, columns: Sequence[str]) -> str:
+    """The same for a table or query; ``columns`` may hold expressions with AS."""
+    named = sorted((c.rsplit(" AS ", 1)[-1].strip(), c.rsplit(" AS ", 1)[0]) for c in columns)
+    cells = ", ".join(f"coalesce(CAST({e} AS VARCHAR), '~')" for _, e in named)
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {cells}) AS row FROM {source}"
+
+
+# The columns of the roles that are compared as text.
+ROLE_COLUMNS = {
+    "entity": ["entity_id", "external_id", "name", "description", "price", "released", "maker", "publisher", "created_at",
+               "updated_at"],
+    "category": ["category_id", "category_name"],
+    "bridge": ["entity_id", "category_id"],
+    "snapshot": ["snapshot_id", "entity_id", "current_count", "peak_count", "total_ratings", "recorded_at"],
+    "rating": ["rating_id", "entity_id", "positive", "negative", "positive_pct", "label"],
+}
+
+
+def json_sql(columns: Mapping[str, str]) -> str:
+    """JSON text of a row without its null fields; the values say how a column is shown: n as a number, t as text."""
+    def shown(name: str, kind: str) -> str:
+        value = f"CAST({name} AS VARCHAR)" if kind == "n" else f"""concat('"', CAST({name} AS VARCHAR), '"')"""
+        return f"""CASE WHEN {name} IS NOT NULL THEN concat('"{name.split('.')[-1]}":', {value}) END"""
+
+    return "concat('{', concat_ws(',', " + ", ".join(shown(n, k) for n, k in columns.items()) + "), '}')"

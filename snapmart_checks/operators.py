@@ -8,7 +8,7 @@ from snapmart.driver_tables import driver_table, role
 from snapmart.functions import scalars
 from snapmart.operators import audit, filters, history, latest, quality, sync
 from snapmart.sources.tables import to_json_rows
-from snapmart_checks.base import AS_OF, check, num, text
+from snapmart_checks.base import AS_OF, check, json_sql, num, text
 
 MEASURES = ["current_count", "peak_count", "total_ratings"]
 ENTITY_TRACKED = ["name", "price", "released", "maker", "publisher"]
@@ -55,12 +55,15 @@ def _apply_defaults(spark, sf_dir):
     return filled.select("entity_id", "maker", "description", "price", "released")
 
 
-@check("json_rows", f"""
-    SELECT rating_id, entity_id, positive, {num('positive_pct')}, label FROM rating""", ("rating",))
+@check("json_rows", """
+    SELECT rating_id, concat('{"rating_id":', CAST(rating_id AS VARCHAR), ',"entity_id":', CAST(entity_id AS VARCHAR),
+        ',"positive":', CAST(positive AS VARCHAR), ',"negative":', CAST(negative AS VARCHAR),
+        ',"positive_pct":', CAST(CAST(positive_pct AS DOUBLE) AS VARCHAR),
+        ',"label":', CASE WHEN label IS NULL THEN 'null' ELSE concat('"', label, '"') END, '}') AS row
+    FROM rating""", ("rating",))
 def _json_rows(spark, sf_dir):
     texts = to_json_rows(role(spark, sf_dir, "rating"))
-    shape = "rating_id bigint, entity_id bigint, positive bigint, positive_pct double, label string"
-    return texts.select(F.from_json("row", shape).alias("r")).select("r.*")
+    return texts.select(F.get_json_object("row", "$.rating_id").cast("long").alias("rating_id"), "row")
 
 
 @check("json_times", """
@@ -95,10 +98,11 @@ def _rating_band(spark, sf_dir):
 
 
 @check("price_label", """
-    SELECT entity_id, CASE WHEN price = 0 THEN 'Free' ELSE concat('$', CAST(price AS VARCHAR)) END AS shown
+    SELECT entity_id, CASE WHEN publisher = 'SMALL' THEN 'Free' ELSE concat('$', CAST(price AS VARCHAR)) END AS shown
     FROM entity""", ("entity",))
 def _price_label(spark, sf_dir):
-    return role(spark, sf_dir, "entity").select("entity_id", scalars.price_text("price").alias("shown"))
+    price = F.when(F.col("publisher") == "SMALL", F.lit(0)).otherwise(F.col("price"))
+    return role(spark, sf_dir, "entity").select("entity_id", scalars.price_text(price).alias("shown"))
 
 
 @check("freshness", """
@@ -227,52 +231,54 @@ def _changed_rows(spark, sf_dir):
     return audit.changed_rows(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED)
 
 
-def _log_totals(log, key: str):
-    """The parts of a log, unpacked again: rows and sum of keys of both images."""
-    def keys(image):
-        return F.from_json(image, f"array<struct<{key}: bigint>>")[key]
+_ENTITY_JSON = {"entity_id": "n", "name": "t", "price": "n", "released": "t", "maker": "t", "publisher": "t"}
 
-    unpacked = log.select(
-        "table_name", "operation", "changed_fields", "user_name",
-        F.size(keys("before_rows")).cast("long").alias("n_before"),
-        F.size(keys("after_rows")).cast("long").alias("n_after"),
-        F.aggregate(keys("before_rows"), F.lit(0).cast("long"), lambda x, y: x + y).alias("k_before"),
-        F.aggregate(keys("after_rows"), F.lit(0).cast("long"), lambda x, y: x + y).alias("k_after"),
-    )
-    return unpacked.groupBy("table_name", "operation", "changed_fields", "user_name").agg(
-        F.sum("n_before").alias("rows_before"), F.sum("n_after").alias("rows_after"),
-        F.sum("k_before").alias("keys_before"), F.sum("k_after").alias("keys_after"),
-    )
+
+def _of(alias: str, columns: dict[str, str]) -> dict[str, str]:
+    return {f"{alias}.{n}": k for n, k in columns.items()}
 
 
-def _log_sql(table: str, old: str, new: str, key: str, fields: str) -> str:
-    def total(expr: str, source: str) -> str:
-        return f"(SELECT CAST({expr} AS BIGINT) FROM {source})"
+def _touched_sql(before: str, after: str, key: str, shown: dict[str, str], differs: dict[str, str]) -> str:
+    names = _names(differs)
+    return f"""
+    SELECT CAST(coalesce(b.{key}, a.{key}) AS VARCHAR) AS row_key,
+           CASE WHEN b.{key} IS NULL THEN 'INSERT' WHEN a.{key} IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operation,
+           CASE WHEN b.{key} IS NOT NULL THEN {json_sql(_of('b', shown))} END AS before_row,
+           CASE WHEN a.{key} IS NOT NULL THEN {json_sql(_of('a', shown))} END AS after_row,
+           CASE WHEN b.{key} IS NOT NULL AND a.{key} IS NOT NULL AND {names} <> '[]' THEN {names} END AS changed_fields,
+           'loader' AS user_name, TIMESTAMP '{AS_OF}' AS logged_at
+    FROM {before} b FULL JOIN {after} a ON a.{key} = b.{key}"""
 
-    return f"""SELECT '{table}' AS table_name, 'UPDATE' AS operation, 'loader' AS user_name,
-        ({fields}) AS changed_fields,
-        {total('count(*)', old)} AS rows_before, {total('count(*)', new)} AS rows_after,
-        {total(f'sum({key})', old)} AS keys_before, {total(f'sum({key})', new)} AS keys_after"""
 
+_TOUCHED = ("row_key", "operation", "before_row", "after_row", "changed_fields", "user_name", "logged_at")
 
-@check("audit_batch", _log_sql("entity", "before", "after", "entity_id", f"""
-    SELECT {_names(_ANY)} FROM before b JOIN after a ON a.entity_id = b.entity_id"""), _IMAGES)
+
+@check("audit_batch", _touched_sql("before", "after", "entity_id", _ENTITY_JSON, _DIFFERS), _IMAGES)
 def _audit_batch(spark, sf_dir):
-    log = audit.audit_batch(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED, "entity", "shop",
-                            as_of=AS_OF, user="loader")
-    return _log_totals(log, "entity_id")
+    rows = audit.audit_rows(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED, "entity", "shop", as_of=AS_OF, user="loader")
+    return rows.select(*_TOUCHED)
+
+
+@check("audit_headers", f"""
+    SELECT CAST(1 AS BIGINT) AS audit_id, 'shop' AS database_name, 'entity' AS table_name, 'UPDATE' AS operation,
+           TIMESTAMP '{AS_OF}' AS logged_at, 'loader' AS user_name, (SELECT count(*) FROM before) AS rows_before,
+           (SELECT count(*) FROM after) AS rows_after,
+           (SELECT {_names(_ANY)} FROM before b JOIN after a ON a.entity_id = b.entity_id) AS changed_fields""", _IMAGES)
+def _audit_headers(spark, sf_dir):
+    rows = audit.audit_rows(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED, "entity", "shop", as_of=AS_OF, user="loader")
+    return audit.audit_headers(rows, ENTITY_TRACKED)
 
 
-_SNAPSHOT_ANY = {n: f"max(CASE WHEN b.{n} <> a.{n} THEN 1 ELSE 0 END) = 1" for n in MEASURES}
+_SNAPSHOT_JSON = {"snapshot_id": "n", "entity_id": "n", "current_count": "n", "peak_count": "n", "total_ratings": "n"}
+_SNAPSHOT_DIFFERS = {n: f"b.{n} <> a.{n}" for n in MEASURES}
 
 
-@check("audit_batch_snapshots", _log_sql("snapshot", "snapshot", "corrected", "snapshot_id", f"""
-    SELECT {_names(_SNAPSHOT_ANY)} FROM snapshot b JOIN corrected a ON a.snapshot_id = b.snapshot_id"""),
+@check("audit_batch_snapshots", _touched_sql("snapshot", "corrected", "snapshot_id", _SNAPSHOT_JSON, _SNAPSHOT_DIFFERS),
        ("snapshot", "corrected"))
 def _audit_batch_snapshots(spark, sf_dir):
-    log = audit.audit_batch(role(spark, sf_dir, "snapshot"), role(spark, sf_dir, "corrected"), "snapshot_id",
-                            MEASURES, "snapshot", "shop", as_of=AS_OF, user="loader")
-    return _log_totals(log, "snapshot_id")
+    rows = audit.audit_rows(role(spark, sf_dir, "snapshot"), role(spark, sf_dir, "corrected"), "snapshot_id",
+                            MEASURES, "snapshot", "shop", AS_OF, "loader", list(_SNAPSHOT_JSON))
+    return rows.select(*_TOUCHED)
 
 
 @check("audit_tail", """

@@ -8,18 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.driver_tables import COLUMNS, role, tables
+from snapmart.driver_tables import COLUMNS, driver_table, role, tables
 from snapmart.plans import catalog, reports
-from snapmart.plans.load import POLL, Feeds, load_batch
+from snapmart.operators import sync
+from snapmart.plans.load import POLL, Feeds, load, load_batch
 from snapmart.plans.sync_job import sync_tables
 from snapmart.roles import Tables
 from snapmart.schema import SNAPSHOT
 from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources.store import Keyed, TableStore, layout
+from snapmart.sources.tables import append_snapshots, overwrite_tables
 from snapmart.streaming import jobs
 from snapmart_checks import feeds as raw
-from snapmart_checks.base import AS_OF, REPORT_DAY, check
-from snapmart_checks.operators import MEASURES, _log_totals
+from snapmart_checks.base import AS_OF, REGISTRY, REPORT_DAY, ROLE_COLUMNS, check, json_sql, row_text, row_text_sql
+from snapmart_checks.operators import MEASURES
 from snapmart_checks.plans import _with_latest
 
 BUCKETS = 8
@@ -86,15 +88,101 @@ def _stream_load(spark, sf_dir):
     return _loaded_view(store)
 
 
-_SYNCED = {"category": "category_id", "entity": "entity_id", "bridge": "category_id", "rating": "rating_id",
-           "snapshot": "snapshot_id"}
+@check("load_tally", """
+    SELECT CAST(0 AS BIGINT) AS batch, count(d.external_id) AS loaded, count(*) - count(d.external_id) AS skipped,
+           CAST(0 AS BIGINT) AS rejected, CAST(0 AS BIGINT) AS entities_updated, count(d.external_id) AS entities_inserted,
+           count(d.external_id) AS snapshots_inserted,
+           (SELECT count(DISTINCT publisher) + 1 FROM entity WHERE maker IS NULL OR maker <> 'Brand#17') AS categories_inserted
+    FROM part p LEFT JOIN (SELECT external_id FROM entity WHERE maker IS NULL OR maker <> 'Brand#17') d
+      ON d.external_id = p.p_partkey * 10 + 7""", ("entity",))
+def _load_tally(spark, sf_dir):
+    store = TableStore(spark, new_folder(spark), layout(BUCKETS))
+    return load_batch(store, Feeds(**_raw_feeds(spark, sf_dir)), 0, AS_OF)
 
 
-@check("sync_store", " UNION ALL ".join(f"""
-    SELECT '{t}' AS table_name, count(*) AS rows, CAST(sum({k}) AS BIGINT) AS key_sum FROM {t}"""
-    for t, k in _SYNCED.items()), tuple(_SYNCED))
-def _sync_store(spark, sf_dir):
-    """An older copy, completed step by step, equals the source."""
+def _loaded_twice(spark, sf_dir) -> TableStore:
+    """A first attempt, a day earlier, dies before its commit; the second succeeds."""
+    store = TableStore(spark, new_folder(spark), layout(BUCKETS))
+    raw = Feeds(**_raw_feeds(spark, sf_dir))
+    load(store.begin(0), raw, "2001-11-03 00:00:00")
+    load_batch(store, raw, 0, AS_OF)
+    return store
+
+
+@check("load_retry", _LOADED_SQL, ("entity", "rating"))
+def _load_retry(spark, sf_dir):
+    return _loaded_view(_loaded_twice(spark, sf_dir))
+
+
+@check("load_retry_audit", f"""
+    SELECT 'entity' AS table_name, CAST(entity_id AS VARCHAR) AS row_key, 'INSERT' AS operation, 'loader' AS user_name,
+           TIMESTAMP '{AS_OF}' AS logged_at, CAST(1 AS BIGINT) AS audit_id FROM ({_LOADED_SQL}) l
+    UNION ALL
+    SELECT 'snapshot', CAST(snapshot_id AS VARCHAR), 'INSERT', 'loader', TIMESTAMP '{AS_OF}', 3 FROM ({_LOADED_SQL}) l""",
+       ("entity", "rating"))
+def _load_retry_audit(spark, sf_dir):
+    rows = _loaded_twice(spark, sf_dir).read("audit_row")
+    return rows.select("table_name", "row_key", "operation", "user_name", "logged_at", "audit_id")
+
+
+@check("load_after_sync", f"""
+    SELECT snapshot_id, entity_id, external_id FROM (
+        WITH l AS ({_LOADED_SQL}), n AS (SELECT count(*) // 2 AS half FROM l),
+             f AS (SELECT l.*, publisher = 'ECONOMY' OR entity_id <= half AS known FROM l, n),
+             m AS (SELECT max(snapshot_id) AS s, max(entity_id) AS e FROM f WHERE known)
+        SELECT snapshot_id, entity_id, external_id FROM f WHERE known
+        UNION ALL
+        SELECT s + row_number() OVER (ORDER BY id), id, external_id
+        FROM (SELECT s, external_id, CASE WHEN known THEN entity_id
+                     ELSE e + row_number() OVER (PARTITION BY known ORDER BY external_id) END AS id FROM f, m) g) v""",
+       ("entity", "rating"))
+def _load_after_sync(spark, sf_dir):
+    """Part of a loaded store is copied by a sync; a load into the copy numbers on behind it."""
+    raw = Feeds(**_raw_feeds(spark, sf_dir))
+    first = TableStore(spark, new_folder(spark), layout(BUCKETS))
+    load_batch(first, raw, 0, AS_OF)
+    half = first.read("entity").count() // 2
+    some = first.read("entity").where((F.col("publisher") == "ECONOMY") | (F.col("entity_id") <= half))
+    known = some.select("entity_id")
+    source = {"entity": some, "category": first.read("category")}
+    source |= {t: first.read(t).join(known, "entity_id", "left_semi") for t in ("bridge", "rating", "snapshot")}
+    copy = TableStore(spark, new_folder(spark), layout(BUCKETS))
+    sync_tables(source, copy, 0, "FULL")
+    load_batch(copy, raw, 1, AS_OF)
+    return copy.read("snapshot").join(copy.read("entity"), "entity_id").select("snapshot_id", "entity_id", "external_id")
+
+
+_BAD = {5: "details_key_readable", 6: "price_readable", 7: "details_readable", 8: "category_name_not_blank"}
+
+
+@check("load_with_bad_documents", f"""
+    SELECT external_id, CASE p_size {' '.join(f"WHEN {n} THEN '{reason}'" for n, reason in _BAD.items())} ELSE 'loaded' END AS state
+    FROM part p JOIN (SELECT external_id, maker FROM entity) e ON e.external_id = p.p_partkey * 10 + 7
+    WHERE maker IS NULL OR maker <> 'Brand#17' OR p_size IN (5, 7)""", ("entity",))
+def _load_with_bad_documents(spark, sf_dir):
+    raw = _raw_feeds(spark, sf_dir)
+    sizes = driver_table(spark, sf_dir, "part").select((F.col("p_partkey") * 10 + 7).alias("external_id"), "p_size")
+    body, size = F.col("body"), F.col("p_size")
+    broken = (
+        F.when(size == 5, F.regexp_replace(body, r'^\{"', '{"x'))
+        .when(size == 6, F.regexp_replace(body, '"release_date"', '"price_overview":{"final":10000000000000},"release_date"'))
+        .when(size == 7, F.lit("no document"))
+        .when(size == 8, F.replace(body, F.lit('"Indie"'), F.lit('" "'))).otherwise(body)
+    )
+    raw["details"] = raw["details"].join(sizes, "external_id").withColumn("body", broken).drop("p_size")
+    store = TableStore(spark, new_folder(spark), layout(BUCKETS))
+    load_batch(store, Feeds(**raw), 0, AS_OF)
+    loaded = store.read("entity").select("external_id", F.lit("loaded").alias("state"))
+    return loaded.unionByName(store.read("quarantine").select("external_id", F.col("reasons").alias("state")))
+
+
+_SYNCED = ("category", "entity", "bridge", "rating", "snapshot")
+_STAMPED = {"created_at": f"coalesce(created_at, TIMESTAMP '{AS_OF}') AS created_at",
+            "updated_at": f"coalesce(updated_at, TIMESTAMP '{AS_OF}') AS updated_at"}
+
+
+def _source_and_copy(spark, sf_dir):
+    """The roles as a source, and a store with an older copy of them."""
     now = F.lit(AS_OF).cast("timestamp_ntz")
     source = {t: role(spark, sf_dir, t) for t in _SYNCED}
     source["entity"] = source["entity"].withColumns({c: F.coalesce(c, now) for c in ("created_at", "updated_at")})
@@ -102,13 +190,98 @@ def _sync_store(spark, sf_dir):
     known = role(spark, sf_dir, "target_entity").agg(F.max("entity_id")).first()[0]
     older = {t: df.where(F.col("entity_id") <= known) if "entity_id" in df.columns else df.where("category_id < 0")
              for t, df in source.items()}
+    older["entity"] = older["entity"].withColumn("name", F.upper("name"))
     older["snapshot"] = role(spark, sf_dir, "target_snapshot")
     store = TableStore(spark, new_folder(spark), layout(BUCKETS))
     sync_tables(older, store, 0, "FULL")
+    return source, store
+
+
+def _synced_sql(name: str) -> str:
+    return " UNION ALL ".join(
+        row_text_sql(t, t, [_STAMPED.get(c, name if c == "name" else c) for c in ROLE_COLUMNS[t]]) for t in _SYNCED)
+
+
+def _synced(store: TableStore) -> DataFrame:
+    return reduce(DataFrame.unionByName, [row_text(store.read(t).select(*ROLE_COLUMNS[t]), t) for t in _SYNCED])
+
+
+_OLD = "entity_id <= (SELECT max(entity_id) FROM target_entity)"
+_LATELY = f"coalesce(updated_at, TIMESTAMP '{AS_OF}') >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR"
+
+
+@check("sync_store", _synced_sql(f"CASE WHEN {_OLD} THEN upper(name) ELSE name END AS name"), (*_SYNCED, "target_entity"))
+def _sync_store(spark, sf_dir):
+    """An older copy, completed step by step; changes to old keys are not seen."""
+    source, store = _source_and_copy(spark, sf_dir)
     sync_tables(source, store, 1, "INCREMENTAL")
-    totals = [store.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum(k).alias("key_sum"))
-              for t, k in _SYNCED.items()]
-    return reduce(DataFrame.unionByName, totals)
+    return _synced(store)
+
+
+@check("sync_store_changed", _synced_sql(f"CASE WHEN {_OLD} AND NOT {_LATELY} THEN upper(name) ELSE name END AS name"),
+       (*_SYNCED, "target_entity"))
+def _sync_store_changed(spark, sf_dir):
+    source, store = _source_and_copy(spark, sf_dir)
+    sync_tables(source, store, 1, by="changed_since", as_of=AS_OF)
+    return _synced(store)
+
+
+def _behind(table: str, target: str, key: str) -> str:
+    return f"(SELECT count(*) FROM {table} WHERE {key} > (SELECT max({key}) FROM {target}))"
+
+
+_CHANGED = f"(SELECT count(*) FROM entity WHERE {_OLD} AND {_LATELY})"
+_SENT = {"category": "(SELECT count(*) FROM category WHERE category_id >= 0)", "bridge": _behind("bridge", "target_entity", "entity_id"),
+         "entity": f"({_behind('entity', 'target_entity', 'entity_id')} + {_CHANGED})",
+         "rating": "(SELECT count(*) FROM rating WHERE entity_id > (SELECT max(entity_id) FROM target_entity))",
+         "snapshot": _behind("snapshot", "target_snapshot", "snapshot_id")}
+
+
+@check("sync_result", f"""
+    SELECT 'INCREMENTAL' AS mode, {', '.join(f'{q} AS {t}_rows' for t, q in _SENT.items())},
+           {' + '.join(_SENT.values())} AS total_rows, {' + '.join(_SENT.values())} - {_CHANGED} AS inserted_rows,
+           {_CHANGED} AS updated_rows""", (*_SYNCED, "target_entity", "target_snapshot"))
+def _sync_result(spark, sf_dir):
+    source, store = _source_and_copy(spark, sf_dir)
+    done = sync_tables(source, store, 1, by="changed_since", as_of=AS_OF)
+    return done.drop("duration_ms", "finished_at")
+
+
+@check("sync_modes", "SELECT * FROM (VALUES ('full', 'FULL'), ('Incremental', 'INCREMENTAL'), ('PARTIAL', NULL)) v(asked, mode) "
+       "WHERE (SELECT count(*) FROM region) > 0")
+def _sync_modes(spark, sf_dir):
+    def known(mode):
+        try:
+            return sync.check_mode(mode)
+        except ValueError:
+            return None
+
+    asked = spark.createDataFrame([(m, known(m)) for m in ("full", "Incremental", "PARTIAL")], "asked string, mode string")
+    return asked.join(role(spark, sf_dir, "category").limit(1).select(F.lit(1)), how="left_semi")
+
+
+@check("tables_reloaded", " UNION ALL ".join(row_text_sql(t, t, ROLE_COLUMNS[t]) for t in ("category", "bridge")),
+       ("category", "bridge"))
+def _tables_reloaded(spark, sf_dir):
+    folder, frames = new_folder(spark), {t: role(spark, sf_dir, t) for t in ("category", "bridge")}
+    targets = {t: f"{folder}/{t}" for t in frames}
+    overwrite_tables({t: df.limit(3) for t, df in frames.items()}, targets, list(frames))
+    sent = overwrite_tables(frames, targets, list(frames))
+    found = {t: spark.read.parquet(p) for t, p in targets.items()}
+    if sent != {t: df.count() for t, df in found.items()}:
+        raise ValueError(f"rows reported {sent} are not those written")
+    return reduce(DataFrame.unionByName, [row_text(df, t) for t, df in found.items()])
+
+
+@check("snapshots_appended", """
+    SELECT snapshot_id, entity_id, current_count, greatest(peak_count, current_count) AS peak_count, total_ratings, recorded_at,
+           CAST(CAST(recorded_at AS DATE) AS VARCHAR) AS recorded_date FROM snapshot""", ("snapshot",))
+def _snapshots_appended(spark, sf_dir):
+    path, rows = new_folder(spark), role(spark, sf_dir, "snapshot")
+    early = F.col("recorded_at") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    append_snapshots(rows.where(early), path)
+    append_snapshots(rows.where(~early), path)
+    return spark.read.parquet(path)
 
 
 def _reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +305,7 @@ def _stream_latest(spark, sf_dir):
     progress = f"{folder}/progress"
     jobs.stream_latest(
         _reading_stream(spark, sf_dir), "entity_id", ["recorded_at", "snapshot_id"],
-        jobs.once(store, progress, jobs.latest_into(store, "latest")),
+        jobs.once(store, progress, jobs.latest_into("latest")),
         progress, jobs.ONCE).awaitTermination()
     return store.read("latest")
 
@@ -145,17 +318,33 @@ def _stream_sync(spark, sf_dir):
     return store.read("snapshot").drop("recorded_date")
 
 
-@check("stream_audit", """
-    SELECT 'snapshot' AS table_name, 'INSERT' AS operation, CAST(NULL AS VARCHAR) AS changed_fields,
-           'loader' AS user_name, CAST(NULL AS BIGINT) AS rows_before, count(*) AS rows_after,
-           CAST(NULL AS BIGINT) AS keys_before, CAST(sum(snapshot_id) AS BIGINT) AS keys_after FROM snapshot""",
+_READING_JSON = {"snapshot_id": "n", "entity_id": "n", "current_count": "n", "peak_count": "n", "total_ratings": "n",
+                 "recorded_at": "t"}
+
+
+@check("stream_audit", f"""
+    SELECT CAST(snapshot_id AS VARCHAR) AS row_key, 'INSERT' AS operation, CAST(NULL AS VARCHAR) AS before_row,
+           {json_sql(_READING_JSON)} AS after_row, CAST(NULL AS VARCHAR) AS changed_fields, CAST(1 AS BIGINT) AS audit_id
+    FROM (SELECT * REPLACE (CASE WHEN microsecond(recorded_at) % 1000000 = 0 THEN strftime(recorded_at, '%Y-%m-%dT%H:%M:%S')
+                                 ELSE strftime(recorded_at, '%Y-%m-%dT%H:%M:%S.%f') END AS recorded_at) FROM snapshot) s""",
        ("snapshot",))
 def _stream_audit(spark, sf_dir):
     folder = new_folder(spark)
     store = TableStore(spark, f"{folder}/store", layout(BUCKETS))
     jobs.stream_audit(_reading_stream(spark, sf_dir), store, f"{folder}/progress", "snapshot_id", MEASURES, "snapshot",
                       trigger=jobs.ONCE).awaitTermination()
-    return _log_totals(store.read("audit"), "snapshot_id")
+    return store.read("audit_row").select("row_key", "operation", "before_row", "after_row", "changed_fields", "audit_id")
+
+
+def _report_part(part: str, same_as: str) -> None:
+    """Every column of a part of the daily report is that of the query it stands for."""
+    check(f"daily_report_{part}", REGISTRY[same_as].sql)(
+        lambda spark, sf_dir: getattr(reports.daily_report(tables(spark, sf_dir), REPORT_DAY), part))
+
+
+for _part, _query in (("summary", "report_summary"), ("top_now", "report_top_now"),
+                      ("top_categories", "report_top_categories"), ("movers", "report_movers")):
+    _report_part(_part, _query)
 
 
 @check("daily_report", _with_latest(("entity", "category", "bridge", "snapshot", "rating"), f"""

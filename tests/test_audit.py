@@ -58,36 +58,35 @@ def test_changed_rows(spark):
     ([(1, "a", "1.00", None)], [], "DELETE"),
     ([(1, "a", "1.00", None)], [(1, "b", None, None)], "UPDATE"),
 ])
-def test_one_log_row_per_batch(spark, before, after, operation):
-    log = audit.audit_batch(frame(spark, before), frame(spark, after), "id", TRACKED, "entity", "shop",
-                            "2024-01-01 00:00:00", "me").collect()
-    assert len(log) == 1
-    row = log[0]
-    assert (row["operation"], row["logged_at"], row["user_name"]) == (operation, datetime(2024, 1, 1), "me")
-    for image, rows in (("before_rows", before), ("after_rows", after)):
-        if rows:
-            # null fields are left out
-            assert [set(r) for r in json.loads(row[image])] == [
-                {n for n, v in zip(("id", "name", "price", "born"), r) if v is not None} for r in rows]
-        else:
-            assert row[image] is None
+def test_one_row_and_its_header(spark, before, after, operation):
+    rows = audit.audit_rows(frame(spark, before), frame(spark, after), "id", TRACKED, "entity", "shop",
+                            "2024-01-01 00:00:00", "me", audit_id=7)
+    row, header = rows.first(), audit.audit_headers(rows, TRACKED).first()
+    assert (row["row_key"], row["operation"], row["logged_at"], row["user_name"]) == ("1", operation, datetime(2024, 1, 1), "me")
+    for image, given in (("before_row", before), ("after_row", after)):
+        # null fields are left out
+        want = {n for n, v in zip(("id", "name", "price", "born"), given[0]) if v is not None} if given else None
+        assert (set(json.loads(row[image])) if row[image] else None) == want
     assert (row["changed_fields"] is not None) == (operation == "UPDATE")
+    assert (header["audit_id"], header["operation"], header["rows_before"], header["rows_after"]) == (
+        7, operation, len(before), len(after))
 
 
 def test_empty_batch_is_not_logged(spark):
     nothing = frame(spark, [])
-    assert audit.audit_batch(nothing, nothing, "id", TRACKED, "entity", "shop").count() == 0
+    rows = audit.audit_rows(nothing, nothing, "id", TRACKED, "entity", "shop")
+    assert rows.count() == 0 and audit.audit_headers(rows, TRACKED).count() == 0
 
 
-def test_large_batch_in_parts_keeps_every_row(spark):
-    before = frame(spark, [(i, "a", "1.00", None) for i in range(100)])
-    after = frame(spark, [(i, "b", "1.00", None) for i in range(20, 120)])
-    log = audit.audit_batch(before, after, "id", TRACKED, "entity", "shop", rows_per_log_row=10)
-    numbered = audit.numbered_log(log, 7).collect()
-    assert len(numbered) > 5 and len({r["audit_id"] for r in numbered}) == len(numbered)
-    assert min(r["audit_id"] for r in numbered) > 7
-    assert sorted(x["id"] for r in numbered for x in json.loads(r["before_rows"] or "[]")) == list(range(100))
-    assert sorted(x["id"] for r in numbered for x in json.loads(r["after_rows"] or "[]")) == list(range(20, 120))
+@pytest.mark.parametrize("size", [1, 1000, 1001])
+def test_the_form_does_not_depend_on_the_size(spark, size):
+    before = frame(spark, [(i, "a", "1.00", None) for i in range(size)])
+    after = frame(spark, [(i, "b", "1.00", None) for i in range(size // 2, size + size // 2)])
+    rows = audit.audit_rows(before, after, "id", TRACKED, "entity", "shop")
+    assert rows.count() == size + size // 2
+    assert rows.where("before_row IS NOT NULL").count() == rows.where("after_row IS NOT NULL").count() == size
+    headers = audit.audit_headers(rows, TRACKED).collect()
+    assert [(h["rows_before"], h["rows_after"], h["changed_fields"]) for h in headers] == [(size, size, '["name"]')]
 
 
 def test_tail_without_changes(spark):
@@ -101,5 +100,5 @@ def test_tail_without_changes(spark):
 def test_images_keep_microseconds(spark):
     after = spark.createDataFrame([(1, datetime(2024, 1, 1, 0, 0, 0, 123456)), (2, datetime(2024, 1, 1))],
                                   "id long, at timestamp_ntz")
-    log = audit.audit_batch(after.limit(0), after, "id", [], "t", "d").first()
-    assert [r["at"] for r in json.loads(log["after_rows"])] == ["2024-01-01T00:00:00.123456", "2024-01-01T00:00:00"]
+    rows = audit.audit_rows(after.limit(0), after, "id", [], "t", "d").orderBy("row_key").collect()
+    assert [json.loads(r["after_row"])["at"] for r in rows] == ["2024-01-01T00:00:00.123456", "2024-01-01T00:00:00"]

@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators import changes, quality
@@ -112,3 +113,29 @@ def test_defaults(spark):
     got = with_defaults(df, {"name": "none", "price": 0})
     assert {tuple(r) for r in got.collect()} == {("none", Decimal("0.00")), ("x", Decimal("2.00"))}
     assert got.schema["price"].dataType == df.schema["price"].dataType
+
+
+def test_a_key_twice_in_the_source_is_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "id long, name string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "id long, name string")
+    with pytest.raises(Exception, match="a key is twice in the source"):
+        changes.merge(target, source, ["id"], ["name"]).collect()
+
+
+def test_tables_that_refer_in_a_circle_are_refused(spark):
+    a = spark.createDataFrame([(1, 2)], "id long, other long")
+    circle = [ForeignKey("b", "other", "a", "id"), ForeignKey("a", "other", "b", "id")]
+    for keys in (circle, [ForeignKey("a", "other", "a", "id")]):
+        with pytest.raises(ValueError, match="circle"):
+            changes.cascade_delete({"a": a, "b": a}, keys, "a", a.select("id"), "id")
+
+
+def test_rekey_goes_down_all_levels_and_delete_waits_for_all_parents(spark):
+    tables = {n: spark.createDataFrame([(1, 1), (2, 2)], "id long, ref long") for n in "abcd"}
+    keys = [ForeignKey("b", "id", "a", "id"), ForeignKey("c", "ref", "b", "id"), ForeignKey("d", "ref", "c", "id"),
+            ForeignKey("d", "id", "a", "id")]
+    mapping = spark.createDataFrame([(1, 9)], "old_key long, new_key long")
+    moved = changes.cascade_rekey(tables, keys[:2], "a", "id", mapping)
+    assert sorted(tuple(r) for r in moved["c"].collect()) == [(1, 9), (2, 2)]
+    left = changes.cascade_delete(tables, keys, "a", spark.createDataFrame([(1,)], "id long"), "id")
+    assert all([tuple(r) for r in left[n].collect()] == [(2, 2)] for n in "abcd")

@@ -7,10 +7,10 @@ import pytest
 
 from snapmart.operators import quality
 from snapmart.operators.latest import latest_per_group
-from snapmart.plans.load import Feeds, load_batch
+from snapmart.plans.load import Feeds, load, load_batch
 from snapmart.plans.sync_job import sync_tables
 from snapmart.schema import LANDED, SNAPSHOT
-from snapmart.sources.store import TableStore, layout
+from snapmart.sources.store import Attempt, TableStore, layout
 from snapmart.streaming import jobs
 
 T1, T2 = datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 12, 5)
@@ -122,13 +122,61 @@ def test_a_committed_batch_is_not_loaded_again(spark, loaded):
 def test_a_batch_that_died_is_run_again(spark, loaded, tmp_path):
     store = TableStore(spark, str(tmp_path), layout(4))
     load_batch(store, landed(spark, FIRST), 0, "2024-01-01 12:01:00")
-    commit, store.commit = store.commit, lambda *a: (_ for _ in ()).throw(OSError("lost"))
-    with pytest.raises(OSError):
-        load_batch(store, landed(spark, SECOND), 1, "2024-01-01 12:06:00")
+    # the first attempt runs on another day, so that it writes other folders
+    load(store.begin(1), landed(spark, SECOND), "2023-12-31 23:59:00")
     assert content(store) == loaded[2]
-    store.commit = commit
     load_batch(store, landed(spark, SECOND), 1, "2024-01-01 12:06:00")
     assert content(store) == content(loaded[0])
+    for table in ("audit", "audit_row", "quarantine"):
+        assert sorted(map(str, store.read(table).collect())) == sorted(map(str, loaded[0].read(table).collect()))
+
+
+def test_an_attempt_that_was_overtaken_cannot_commit(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), layout(4))
+    rows = spark.range(5).selectExpr("id AS category_id", "CAST(id AS STRING) AS category_name")
+    late, other = store.begin(0), store.begin(0)
+    late.append("category", rows)
+    other.append("category", rows.limit(2))
+    other.commit()
+    with pytest.raises(ValueError, match="another attempt"):
+        late.commit()
+    assert store.read("category").count() == 2
+    with pytest.raises(ValueError, match="committed already"):
+        store.begin(0)
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    attempt = TableStore(spark, str(tmp_path), layout(2)).begin(0)
+    attempt.rewrite("bridge", spark.range(50).selectExpr("id AS entity_id", "id AS category_id"))
+    attempt.commit()
+    with pytest.raises(ValueError, match="2 buckets, not 3"):
+        TableStore(spark, str(tmp_path), layout(3)).read("bridge")
+    assert TableStore(spark, str(tmp_path), layout(2)).read("bridge").count() == 50
+
+
+def test_ids_go_on_behind_a_sync(spark, loaded, tmp_path):
+    store = TableStore(spark, str(tmp_path), layout(4))
+    sync_tables(source_of(loaded[0]), store, 0, "FULL")
+    new = poll(T2, [(60, 1, 1)], {60: detail("Sixty", 5, ["Racing"])}, {60: (1, 0, "Positive")})
+    load_batch(store, landed(spark, new), 1)
+    for table, key, rows in (("entity", "entity_id", 4), ("category", "category_id", 4), ("snapshot", "snapshot_id", 5),
+                             ("rating", "rating_id", 3)):
+        ids = [r[0] for r in store.read(table).select(key).collect()]
+        assert len(ids) == len(set(ids)) == rows, table
+
+
+def test_bad_documents_do_not_stop_the_others(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), layout(4))
+    rows = poll(T1, [(i, 1, 1) for i in range(1, 8)], {1: detail("One", 1), 2: detail("Two", 10**13), 3: detail("Three", 1, [" "]),
+                                                        4: detail("Four", 1), 7: detail("Seven", 1)},
+                {4: (2**63 - 1, 5, "Mixed"), 7: (4 * 10**17, 1, "Mixed")})
+    rows += [(T1, "details", 5, json.dumps({"x5": {"success": True, "data": detail("Five", 1)}})), (T1, "details", 6, "{broken")]
+    load_batch(store, landed(spark, rows), 0)
+    assert {r["name"] for r in store.read("entity").collect()} == {"One", "Seven"}
+    assert {(r["external_id"], r["reasons"]) for r in store.read("quarantine").collect()} == {
+        (2, "price_readable"), (3, "category_name_not_blank"), (4, "ratings_readable"), (5, "details_key_readable"),
+        (6, "details_readable")}
+    assert str(store.read("rating").where("positive > 5").first()["positive_pct"]) == "100.00"
 
 
 def test_two_polls_in_one_batch(spark, loaded, tmp_path):
@@ -165,15 +213,17 @@ def test_stream_equals_batch(spark, loaded, tmp_path):
 def test_buckets_emptied_and_kept(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), layout(4))
     rows = spark.range(200).selectExpr("id AS entity_id", "id AS category_id")
-    store.rewrite("bridge", rows, 0)
-    store.commit(0, {})
+    first = store.begin(0)
+    first.rewrite("bridge", rows)
+    first.commit()
     touched = store.touched("bridge", rows.where("entity_id = 7"))
     old = store.read("bridge", touched)
-    store.rewrite("bridge", old.limit(0), 1, touched)
+    second = store.begin(1)
+    second.rewrite("bridge", old.limit(0), touched)
     assert store.read("bridge").count() == 200
-    store.commit(1, {})
+    assert second.read("bridge").count() == 200 - old.count()
+    second.commit()
     assert store.read("bridge").count() == 200 - old.count() < 200
-    assert len(store.superseded("bridge")) == 1
 
 
 def source_of(store):
@@ -200,6 +250,7 @@ def test_sync_full_and_incremental_agree(spark, loaded, tmp_path):
     done = sync_tables(source_of(source), steps, 1).first()
     assert same(steps, source)
     assert (done["entity_rows"], done["snapshot_rows"]) == (2, 2)
+    assert (done["inserted_rows"], done["updated_rows"]) == (done["total_rows"], 0)
     nothing = sync_tables(source_of(source), steps, 2).first()
     assert nothing["total_rows"] == 0 and same(steps, source)
 
@@ -212,7 +263,8 @@ def test_sync_by_change_time_sees_updates(spark, loaded, tmp_path):
     sync_tables(old, store, 0, "FULL")
     sync_tables(source_of(source), store, 1, by="max_key")
     assert {r["name"] for r in store.read("entity").collect()} == {"P"}
-    sync_tables(source_of(source), store, 2, by="changed_since", as_of="2024-01-02 12:03:00")
+    done = sync_tables(source_of(source), store, 2, by="changed_since", as_of="2024-01-02 12:03:00").first()
+    assert (done["entity_rows"], done["inserted_rows"], done["updated_rows"]) == (2, 0, 2)
     # the entity last changed at 12:01 the day before stays as it was
     assert {r["name"] for r in store.read("entity").collect()} == {"P", "Twenty", "Fifty"}
 
@@ -229,7 +281,7 @@ def test_sync_to_a_database(spark, loaded, monkeypatch):
     """The steps of a copy, with a dictionary in place of the database."""
     from snapmart.plans import sync_job
     source, copy, calls = source_of(loaded[0]), {}, []
-    keys = {table: key for table, key, _ in sync_job.ORDER}
+    keys = {table: key for table, key, *_ in sync_job.ORDER}
 
     def write(df, options, mode="append"):
         rows, table = [tuple(r) for r in df.select(keys[options["dbtable"]]).collect()], options["dbtable"]
@@ -258,19 +310,19 @@ def test_sync_to_a_database(spark, loaded, monkeypatch):
     assert {t: len(rows) for t, rows in copy.items()} == {t: df.count() for t, df in source.items()}
 
 
-def test_a_stream_that_died_goes_on(spark, tmp_path):
+def test_a_stream_that_died_goes_on(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "in")
     table = write_parts(spark, path)
     store = TableStore(spark, str(tmp_path / "copy"), layout(4))
-    commit, tries = store.commit, []
+    append, tries = Attempt.append, []
 
-    def failing(*args):
+    def failing(self, *args, **kw):
         tries.append(1)
         if len(tries) == 2:
             raise OSError("lost")
-        commit(*args)
+        append(self, *args, **kw)
 
-    store.commit = failing
+    monkeypatch.setattr(Attempt, "append", failing)
 
     def run():
         jobs.stream_sync(jobs.file_stream(spark, path, SNAPSHOT, 1), store, str(tmp_path / "ck"),
@@ -279,11 +331,24 @@ def test_a_stream_that_died_goes_on(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         run()
     assert store.read("snapshot").count() < 30
+    # others may commit in between
+    store.begin(store.committed() + 1).commit()
     run()
     copied = store.read("snapshot").select(table.columns)
     assert copied.count() == 30 and copied.exceptAll(table).count() == 0
 
 
+def test_a_stream_that_starts_anew_at_the_same_path_is_another_one(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_parts(spark, path)
+    store = TableStore(spark, str(tmp_path / "copy"), layout(4))
+    for turn in range(2):
+        jobs.stream_sync(jobs.file_stream(spark, path, SNAPSHOT, 1), store, str(tmp_path / "ck"),
+                         trigger=jobs.ONCE).awaitTermination(300)
+        (tmp_path / "ck").rename(tmp_path / f"old{turn}")
+    assert store.read("snapshot").count() == 60
+
+
 def write_parts(spark, path):
     rows = [(i, i % 3, i * 10, i * 10, i, datetime(2024, 1, 1, 0, i)) for i in range(1, 31)]
     for part in (rows[:10], rows[10:12], rows[12:]):
@@ -299,7 +364,7 @@ def test_stream_latest_equals_batch(spark, tmp_path):
     stream = jobs.file_stream(spark, path, SNAPSHOT, 1)
     ck = str(tmp_path / "ck")
     query = jobs.stream_latest(stream, "entity_id", ["recorded_at", "snapshot_id"],
-                               jobs.once(store, ck, jobs.latest_into(store, "latest")), ck, jobs.ONCE)
+                               jobs.once(store, ck, jobs.latest_into("latest")), ck, jobs.ONCE)
     query.awaitTermination(300)
     want = latest_per_group(table, "entity_id", ["recorded_at", "snapshot_id"]).drop("recency")
     names = SNAPSHOT.fieldNames()
@@ -321,7 +386,9 @@ def test_stream_sync_and_audit(spark, tmp_path):
                       ["current_count"], "snapshot", trigger=jobs.ONCE).awaitTermination(300)
     log = store.read("audit").collect()
     assert {r["operation"] for r in log} == {"INSERT"} and len({r["audit_id"] for r in log}) == len(log) == 3
-    assert sorted(x["snapshot_id"] for r in log for x in json.loads(r["after_rows"])) == list(range(1, 31))
+    rows = store.read("audit_row").collect()
+    assert sorted(json.loads(r["after_row"])["snapshot_id"] for r in rows) == list(range(1, 31))
+    assert {r["audit_id"] for r in rows} == {r["audit_id"] for r in log}
     # both streams write the same store and none loses a batch
     extra = spark.createDataFrame([(31, 1, 1, 1, 1, datetime(2024, 1, 2))], SNAPSHOT)
     extra.coalesce(1).write.mode("append").parquet(path)
