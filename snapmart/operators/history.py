@@ -2,76 +2,55 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapmart.operators.skew import CHUNK, POSITION, hot_keys, range_chunks
-from snapmart.session import ensure_checkpoint_dir
+_PIECE = "__piece"
+# Numbers that order a series are cut at multiples of this.
+NUMBERS_PER_PIECE = 100_000
 
-# A group above this many rows is sorted in several tasks.
-HOT_ROWS = 5_000_000
-# Up to this many rows of keys or chunk ends are broadcast.
-_BROADCAST_ROWS = 500_000
+
+def piece_of(df: DataFrame, column: str) -> Column:
+    """The piece of a series that a row belongs to: an hour, or a range of numbers. It grows with the order."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", column)
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(column) / NUMBERS_PER_PIECE)
+    return F.col(column)
 
 
 def deltas(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[str],
-           prefix: str = "delta_", hot_rows: int = HOT_ROWS) -> DataFrame:
+           prefix: str = "delta_", piece: Column | None = None) -> DataFrame:
     """Every measure minus its value in the row before, 0 in a group's first row.
 
-    ``order_by`` should end in a unique column. Ordinary groups take one window.
-    A group of more than ``hot_rows`` rows is cut into sorted chunks; each chunk
-    takes its own window, and its first row gets the last values of the chunk
-    before.
+    ``order_by`` should end in a unique column. Every group is cut into pieces of
+    its first order column, by default hours (see ``piece_of``), so that no task
+    gets a whole group. Each piece takes a window of its own, and its first row gets
+    the last values of the piece before, which come from an aggregate with one row
+    per group and piece.
     """
-    hot = hot_keys(df.select(key), key, hot_rows)
-    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")).first()
-    if found["keys"] == 0:
-        return _windowed(df, Window.partitionBy(key).orderBy(*order_by), measures, prefix)
-
-    ensure_checkpoint_dir(df.sparkSession)
-    names = hot.select(F.col(key).alias("__hot")).checkpoint()
-    if found["keys"] <= _BROADCAST_ROWS:
-        names = F.broadcast(names)
-    is_hot = F.col(key).eqNullSafe(F.col("__hot"))
-    ordinary = _windowed(df.join(names, is_hot, "left_anti"),
-                         Window.partitionBy(key).orderBy(*order_by), measures, prefix)
-    chunks = math.ceil(found["rows"] / hot_rows) + 1
-    split = _chunked(df.join(names, is_hot, "left_semi"), key, order_by, measures, prefix, chunks,
-                     chunks + found["keys"] <= _BROADCAST_ROWS)
-    return ordinary.unionByName(split)
-
-
-def _windowed(df: DataFrame, window, measures: Sequence[str], prefix: str) -> DataFrame:
-    first = F.row_number().over(window) == 1
-    return df.withColumns({
-        prefix + m: F.col(m) - F.when(first, F.col(m)).otherwise(F.lag(m).over(window)) for m in measures
-    })
-
-
-def _chunked(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[str], prefix: str,
-             chunks: int, few_ends: bool) -> DataFrame:
-    pieces = range_chunks(df, [key, *order_by], chunks)
-    last_row = F.struct(*measures)
-    # at most one row per chunk and one more per hot key
-    ends = pieces.groupBy(key, CHUNK).agg(F.max_by(last_row, F.struct(*order_by)).alias("__last"))
+    pieces = df.withColumn(_PIECE, piece_of(df, order_by[0]) if piece is None else piece)
+    ends = pieces.groupBy(key, _PIECE).agg(F.max_by(F.struct(*measures), F.struct(*order_by)).alias("__last"))
     carried = ends.select(
-        F.col(key).alias("__key"), F.col(CHUNK).alias("__piece"),
-        F.lag("__last").over(Window.partitionBy(key).orderBy(CHUNK)).alias("__before"),
+        F.col(key).alias("__key"), F.col(_PIECE).alias("__at"),
+        F.lag("__last").over(Window.partitionBy(key).orderBy(_PIECE)).alias("__before"),
     )
-    same_piece = F.col(key).eqNullSafe(F.col("__key")) & (F.col(CHUNK) == F.col("__piece"))
-    joined = pieces.join(F.broadcast(carried) if few_ends else carried, same_piece, "left")
-    window = Window.partitionBy(key, CHUNK).orderBy(*order_by)
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(_PIECE).eqNullSafe(F.col("__at"))
+    window = Window.partitionBy(key, _PIECE).orderBy(*order_by)
     first = F.row_number().over(window) == 1
 
     def previous(m: str) -> Column:
         at_start = F.when(F.col("__before").isNull(), F.col(m)).otherwise(F.col("__before")[m])
         return F.when(first, at_start).otherwise(F.lag(m).over(window))
 
-    return joined.withColumns({prefix + m: F.col(m) - previous(m) for m in measures}).drop(
-        CHUNK, POSITION, "__key", "__piece", "__before"
+    return (
+        pieces.join(carried, same, "left")
+        .withColumns({prefix + m: F.col(m) - previous(m) for m in measures})
+        .drop(_PIECE, "__key", "__at", "__before")
     )
 
 

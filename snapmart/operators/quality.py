@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from snapmart.functions import scalars
 from snapmart.roles import Roles
 from snapmart.schema import RATING_LABELS
-from snapmart.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -108,18 +107,11 @@ def unique_violations(df: DataFrame, keys: Sequence[str], collation: str | None
     return counted.where(F.col("rows") > 1)
 
 
-def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str, few: int = 500_000) -> DataFrame:
+def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose parent is missing; a null reference passes.
 
-    References are made distinct in the map tasks and compared with the parents
-    first. If at most ``few`` are missing, they are broadcast and the child rows
-    are not shuffled. Otherwise the child is joined with the parents, where
-    Spark can split a reference that very many rows share.
+    One join of two plain sides: Spark broadcasts parents that are few, and can
+    split a reference that very many rows share.
     """
-    ensure_checkpoint_dir(child.sparkSession)
     parents = parent.select(F.col(pk).alias("__pk"))
-    references = child.select(F.col(fk).alias("__fk")).where(F.col("__fk").isNotNull()).distinct()
-    missing = references.join(parents, F.col("__fk") == F.col("__pk"), "left_anti").checkpoint()
-    if missing.count() <= few:
-        return child.join(F.broadcast(missing), F.col(fk) == F.col("__fk"), "left_semi")
     return child.where(F.col(fk).isNotNull()).join(parents, F.col(fk) == F.col("__pk"), "left_anti")

@@ -1,4 +1,4 @@
-"""Splitting groups that are too big for one task.
+"""Work in order that is too big for one task.
 
 ``range_chunks`` cuts a frame into sorted pieces of about equal size whatever
 the keys are, because the order it cuts by ends in a unique column. The pieces
@@ -22,15 +22,6 @@ POSITION = "__position"
 _ROW_BITS = 33
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows: ``key, rows``.
-
-    Counts are combined before the shuffle. The result has fewer than
-    ``df.count() / max_rows`` rows.
-    """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > max_rows)
-
-
 def range_chunks(df: DataFrame, order_by: Sequence[str], chunks: int | None = None) -> DataFrame:
     """``df`` cut by ``order_by``, with the columns CHUNK and POSITION added."""
     spark = df.sparkSession

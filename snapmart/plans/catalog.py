@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snapmart.operators.filters import filter_above, filter_at_least, filter_between
 from snapmart.operators.history import history
-from snapmart.roles import Tables
+from snapmart.roles import Roles, Tables
 
 SEPARATOR = ", "
 
@@ -53,14 +54,14 @@ def category_figures(t: Tables, how: str) -> DataFrame:
     Prices and ratings are looked up and combined per category separately. Each
     lookup is a single join of the bridge, which Spark can split if an entity
     has very many categories, and a category that holds a third of the bridge
-    sends one row per map task. A pair stands in the bridge once, and what is
-    rated is an entity.
+    sends one row per map task. Entities are counted once however often a pair
+    stands in the bridge.
     """
     r = t.roles
     # the same rows for both lookups, so that they are shuffled once
     pairs = t.bridge.select(r.entity_id, r.category_id).where(F.col(r.entity_id).isNotNull())
     prices = pairs.join(t.entity.select(r.entity_id, r.price), r.entity_id, how).groupBy(r.category_id).agg(
-        F.count(r.entity_id).alias("entities"),
+        F.count_distinct(r.entity_id).alias("entities"),
         F.avg(r.price).cast("decimal(10,2)").alias("mean_price"),
     )
     ratings = pairs.join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id, "left").groupBy(r.category_id).agg(
@@ -127,52 +128,59 @@ def top_categories(t: Tables, k: int = 10) -> DataFrame:
     return ranked.select(r.category_name, "entities", "mean_price", "mean_rating")
 
 
-def register_sql(t: Tables, prefix: str = "") -> None:
-    """Offer the same queries in SQL.
+SQL_NAMES = ("top_entities", "by_category", "best_rated", "by_price_range", "by_min_rating", "entity_history")
+
+
+def register_sql(t: Tables, prefix: str = "", names: Sequence[str] = SQL_NAMES) -> None:
+    """Offer the same queries in SQL, all or the named ones.
 
     Views ``top_entities``, ``by_category``, ``best_rated`` and table functions
-    ``by_price_range(low, high)``, ``by_min_rating(low)``, ``entity_history(id)``.
+    ``by_price_range(low, high)``, ``by_min_rating(low)``, ``entity_history(id)``;
+    the functions also need views of the tables they read.
     """
     r, spark = t.roles, t.entity.sparkSession
-    top_entities(t).createOrReplaceTempView(prefix + "top_entities")
-    by_category(t).createOrReplaceTempView(prefix + "by_category")
-    best_rated(t).createOrReplaceTempView(prefix + "best_rated")
-    t.entity.createOrReplaceTempView(prefix + "entity")
-    t.snapshot.createOrReplaceTempView(prefix + "snapshot")
-    t.rating.createOrReplaceTempView(prefix + "rating")
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {prefix}by_price_range(low DECIMAL(10,2), high DECIMAL(10,2))
-        RETURNS TABLE RETURN
+    views = {"top_entities": top_entities, "by_category": by_category, "best_rated": best_rated}
+    for name in names:
+        if name in views:
+            views[name](t).createOrReplaceTempView(prefix + name)
+            continue
+        read, signature, body = _table_function(name, r, prefix)
+        for table in read:
+            getattr(t, table).createOrReplaceTempView(prefix + table)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({signature}) RETURNS TABLE RETURN {body}")
+
+
+def _table_function(name: str, r: Roles, prefix: str) -> tuple[tuple[str, ...], str, str]:
+    """The tables a function reads, its parameters and its query."""
+    if name == "by_price_range":
+        return ("entity", "rating"), "low DECIMAL(10,2), high DECIMAL(10,2)", f"""
         SELECT e.{r.entity_id}, e.{r.external_id}, e.{r.name}, e.{r.price}, e.{r.maker}, e.{r.publisher},
                e.{r.released}, q.{r.positive_pct}, q.{r.label}
         FROM {prefix}entity e LEFT JOIN {prefix}rating q ON q.{r.entity_id} = e.{r.entity_id}
-        WHERE e.{r.price} BETWEEN low AND high
-    """)
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {prefix}by_min_rating(low DECIMAL(5,2))
-        RETURNS TABLE RETURN
+        WHERE e.{r.price} BETWEEN low AND high"""
+    if name == "by_min_rating":
+        return ("entity", "rating"), "low DECIMAL(5,2)", f"""
         SELECT e.{r.entity_id}, e.{r.external_id}, e.{r.name}, e.{r.price}, e.{r.maker}, q.{r.positive},
                q.{r.negative}, q.{r.positive_pct}, q.{r.label}, q.{r.positive} + q.{r.negative} AS votes
         FROM {prefix}entity e JOIN {prefix}rating q ON q.{r.entity_id} = e.{r.entity_id}
-        WHERE q.{r.positive_pct} >= low
-    """)
+        WHERE q.{r.positive_pct} >= low"""
+    if name != "entity_history":
+        raise ValueError(f"unknown query {name!r}, use one of {', '.join(SQL_NAMES)}")
     measures = (r.current_count, r.peak_count, r.total_ratings)
     changes = ", ".join(
         f"s.{m} - CASE WHEN row_number() OVER w > 1 THEN lag(s.{m}) OVER w "
         f"WHEN c.ends IS NULL THEN s.{m} ELSE c.ends.{m} END AS delta_{m}" for m in measures
     )
-    # a window per day, and the last values of the day before for the first row of each
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {prefix}entity_history(id BIGINT)
-        RETURNS TABLE RETURN
+    hour = f"date_trunc('HOUR', {r.recorded_at})"
+    # as history.deltas: a window per hour, and the last values of the hour before for the first row of each
+    return ("snapshot",), "id BIGINT", f"""
         SELECT s.{r.snapshot_id}, s.{r.recorded_at}, s.{r.current_count}, s.{r.peak_count}, s.{r.total_ratings},
                {changes}
         FROM {prefix}snapshot s
-        JOIN (SELECT day, lag(last_row) OVER (ORDER BY day) AS ends
-              FROM (SELECT CAST({r.recorded_at} AS DATE) AS day,
+        JOIN (SELECT hour, lag(last_row) OVER (ORDER BY hour) AS ends
+              FROM (SELECT {hour} AS hour,
                            max_by(struct({", ".join(measures)}), struct({r.recorded_at}, {r.snapshot_id})) AS last_row
                     FROM {prefix}snapshot WHERE {r.entity_id} = id GROUP BY 1)) c
-          ON c.day = CAST(s.{r.recorded_at} AS DATE)
+          ON c.hour = date_trunc('HOUR', s.{r.recorded_at})
         WHERE s.{r.entity_id} = id
-        WINDOW w AS (PARTITION BY CAST(s.{r.recorded_at} AS DATE) ORDER BY s.{r.recorded_at}, s.{r.snapshot_id})
-    """)
+        WINDOW w AS (PARTITION BY date_trunc('HOUR', s.{r.recorded_at}) ORDER BY s.{r.recorded_at}, s.{r.snapshot_id})"""

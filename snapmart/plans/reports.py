@@ -29,9 +29,8 @@ def _newest(t: Tables, last_rows: DataFrame | None) -> DataFrame:
 def _figures(t: Tables, today: Column) -> dict[str, Column]:
     r = t.roles
     return {
-        # the ids are unique and no join multiplies rows, so a count is a distinct count
-        "entities": F.count(r.entity_id),
-        "rated_entities": F.count(r.rating_id),
+        "entities": F.count_distinct(r.entity_id),
+        "rated_entities": F.count_distinct(r.rating_id),
         "current_total": F.sum(r.current_count),
         "current_mean": F.avg(F.col(r.current_count).cast("double")).cast("decimal(12,0)"),
         "highest_peak": F.max(r.peak_count),
@@ -63,11 +62,13 @@ def stats(t: Tables, report_day=None) -> DataFrame:
     return _summary_rows(t, None).agg(*[c.alias(n) for n, c in wanted.items()])
 
 
-def _current_list(t: Tables, last_rows: DataFrame | None) -> DataFrame:
+def _top_current(t: Tables, k: int, last_rows: DataFrame | None) -> DataFrame:
+    """The k entities with the highest current count; names and ratings are looked up for those only."""
     r = t.roles
+    known = _newest(t, last_rows).join(t.entity.select(r.entity_id), r.entity_id, "left_semi")
+    top = top_k(known, k, *_by_current(t)).withColumnRenamed(r.recorded_at, "last_reading")
     return (
-        _newest(t, last_rows).withColumnRenamed(r.recorded_at, "last_reading")
-        .join(t.entity.select(r.entity_id, r.external_id, r.name, r.maker, r.price), r.entity_id)
+        top.join(t.entity.select(r.entity_id, r.external_id, r.name, r.maker, r.price), r.entity_id)
         .join(t.rating.select(r.entity_id, r.positive_pct, r.label), r.entity_id, "left")
     )
 
@@ -79,7 +80,7 @@ def _by_current(t: Tables) -> list[Column]:
 def report_top_now(t: Tables, k: int = 5, last_rows: DataFrame | None = None) -> DataFrame:
     """Entities with the highest current count."""
     r = t.roles
-    return top_k(_current_list(t, last_rows), k, *_by_current(t)).select(
+    return _top_current(t, k, last_rows).orderBy(*_by_current(t)).select(
         r.name, r.maker, r.current_count, r.peak_count, r.price, r.positive_pct, r.label, "last_reading"
     )
 
@@ -87,8 +88,7 @@ def report_top_now(t: Tables, k: int = 5, last_rows: DataFrame | None = None) ->
 def top_now(t: Tables, k: int = 10) -> DataFrame:
     """The same list with the external id and a position number."""
     r = t.roles
-    order = _by_current(t)
-    return with_position(top_k(_current_list(t, None), k, *order), order).select(
+    return with_position(_top_current(t, k, None), _by_current(t)).select(
         "position", r.name, r.external_id, r.maker, r.price, r.current_count, r.peak_count,
         r.positive_pct, r.label, "last_reading",
     )
@@ -109,8 +109,9 @@ def movers(t: Tables, k: int = 5, last_rows: DataFrame | None = None) -> DataFra
     rows = _last_rows(t, 2) if last_rows is None else last_rows
     pairs = pair_up(rows, r.entity_id, [r.current_count, r.recorded_at])
     now, then = F.col(r.current_count), F.col(f"previous_{r.current_count}")
-    listed = pairs.join(t.entity.select(r.entity_id, r.name), r.entity_id)
-    return top_k(listed, k, F.abs(now - then).desc(), F.asc(r.entity_id)).select(
+    order = [F.abs(now - then).desc(), F.asc(r.entity_id)]
+    top = top_k(pairs.join(t.entity.select(r.entity_id), r.entity_id, "left_semi"), k, *order)
+    return top.join(t.entity.select(r.entity_id, r.name), r.entity_id).orderBy(*order).select(
         r.name,
         now.alias("count_now"),
         then.alias("count_before"),

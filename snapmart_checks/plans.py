@@ -80,7 +80,7 @@ def _by_price_range(spark, sf_dir):
 
 @check("by_price_range_function", _PRICE_RANGE, ("entity", "rating"))
 def _by_price_range_function(spark, sf_dir):
-    catalog.register_sql(tables(spark, sf_dir), "shop_")
+    catalog.register_sql(tables(spark, sf_dir), "shop_", ["by_price_range"])
     return spark.sql("SELECT * FROM shop_by_price_range(905, 915)")
 
 
@@ -97,7 +97,7 @@ def _by_min_rating(spark, sf_dir):
 
 @check("by_min_rating_function", _MIN_RATING, ("entity", "rating"))
 def _by_min_rating_function(spark, sf_dir):
-    catalog.register_sql(tables(spark, sf_dir), "shop_")
+    catalog.register_sql(tables(spark, sf_dir), "shop_", ["by_min_rating"])
     return spark.sql("SELECT * FROM shop_by_min_rating(66.67)")
 
 
@@ -116,7 +116,7 @@ def _entity_history(spark, sf_dir):
 
 @check("entity_history_function", _HISTORY, ("snapshot",))
 def _entity_history_function(spark, sf_dir):
-    catalog.register_sql(tables(spark, sf_dir), "shop_")
+    catalog.register_sql(tables(spark, sf_dir), "shop_", ["entity_history"])
     return spark.sql("SELECT * FROM shop_entity_history(3)")
 
 

@@ -1,9 +1,11 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators.history import deltas
 from snapmart.operators.latest import latest_pair, latest_per_group
-from snapmart.operators.skew import dense_ids, hot_keys
+from snapmart.operators.skew import dense_ids
 
 ORDER, MEASURES = ["at", "id"], ["count"]
 
@@ -31,16 +33,25 @@ def skewed():
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 400, 50, 7])
-def test_hot_groups_are_split_exactly(spark, skewed, hot_rows):
-    result = deltas(series(spark, skewed), "key", ORDER, MEASURES, hot_rows=hot_rows)
+@pytest.mark.parametrize("piece", [None, "floor(at / 50)", "at", "0"])
+def test_pieces_fit_together(spark, skewed, piece):
+    result = deltas(series(spark, skewed), "key", ORDER, MEASURES, piece=piece and F.expr(piece))
     got = {r["id"]: r["delta_count"] for r in result.collect()}
     assert got == brute_force(skewed)
 
 
-def test_hot_keys(spark, skewed):
-    found = {r["key"] for r in hot_keys(series(spark, skewed), "key", 400).collect()}
-    assert found == {0}
+def test_a_key_with_most_rows_is_dealt_by_hour(spark):
+    rows = spark.range(40_000).select(
+        F.col("id"), F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("key"),
+        F.timestamp_seconds(F.col("id") * 30).alias("at"), (F.col("id") * 7 % 1001).alias("count"))
+    result = deltas(rows, "key", ["at", "id"], ["count"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    # the rows are dealt by key and hour; only one row per piece is dealt by the key alone
+    assert "hashpartitioning(key" in plan and "__piece" in plan
+    assert not re.search(r"Window[^\n]*\[key#\d+L\], \[at#", plan)
+    total = result.where("key = 0").agg(F.sum("delta_count")).first()[0]
+    own = rows.where("key = 0").agg(F.max_by("count", "id") - F.min_by("count", "id")).first()[0]
+    assert total == own and result.count() == 40_000
 
 
 def test_first_row_is_zero_and_ties_use_id(spark):

@@ -14,11 +14,10 @@ from snapmart import Roles, Tables, driver_tables  # noqa: E402
 from snapmart.operators import changes, quality  # noqa: E402
 from snapmart.operators.changes import ForeignKey  # noqa: E402
 from snapmart.plans import catalog, reports  # noqa: E402
+from snapmart_checks import REGISTRY  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
-WHOLE_JOBS = {"load_batch", "stream_load", "sync_store", "stream_latest", "stream_sync", "stream_audit"}
-QUICK = sorted(set(QUERIES) - WHOLE_JOBS)
 
 
 def plan_of(df) -> str:
@@ -36,7 +35,7 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_cross_join_and_no_python_rows(spark, no_broadcast, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "MapInPandas",
@@ -64,7 +63,9 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_one_shuffle_of_the_readings(spark, no_broadcast):
     """Latest rows, pairing and the join with the entities share one partitioning."""
     plan = plan_of(QUERIES["report_movers"](spark, SF_DIR))
-    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("WindowGroupLimit") == 2
+    # below the cut to k rows; the names are looked up behind it
+    below = plan.split("TakeOrderedAndProject", 2)[-1].split("FileScan parquet [p_partkey", 1)[0]
+    assert below.count("Exchange hashpartitioning") == 2 and below.count("WindowGroupLimit") == 2
 
 
 def test_hot_parent_is_split_by_adaptive_execution(spark, no_broadcast):
@@ -110,6 +111,32 @@ def test_other_column_names(spark):
         assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, (tuple(r) for r in want)))
 
 
+def test_doubled_pairs_and_ratings_are_counted_once(spark):
+    t = driver_tables.tables(spark, SF_DIR)
+    doubled = Tables(t.entity, t.category, t.bridge.unionByName(t.bridge), t.snapshot, t.rating.unionByName(t.rating))
+    for figure in ("entities", "rated_entities"):
+        assert reports.summary(doubled).first()[figure] == reports.summary(t).first()[figure]
+        assert reports.stats(doubled).first()[figure] == reports.stats(t).first()[figure]
+    want = {r["category_id"]: r["entities"] for r in catalog.by_category(t).collect()}
+    assert {r["category_id"]: r["entities"] for r in catalog.by_category(doubled).collect()} == want
+
+
+def test_lists_are_cut_before_names_are_looked_up(spark, no_broadcast):
+    for name in ("report_top_now", "top_now", "report_movers"):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        cut = re.search(r"\n( *)[^\n]*TakeOrderedAndProject\(limit=\d+[^\n]*", plan)
+        assert cut and plan.index("p_name", 0) >= 0
+        assert "p_name" not in plan[cut.start():].split("TakeOrderedAndProject", 1)[1].split("\n", 1)[0]
+
+
+def test_sql_objects_on_demand(spark):
+    t = driver_tables.tables(spark, SF_DIR)
+    catalog.register_sql(t, "one_", ["by_category"])
+    assert spark.catalog.tableExists("one_by_category") and not spark.catalog.tableExists("one_top_entities")
+    with pytest.raises(ValueError):
+        catalog.register_sql(t, "one_", ["nothing"])
+
+
 def test_sql_functions_equal_the_plans(spark):
     t = driver_tables.tables(spark, SF_DIR)
     catalog.register_sql(t, "t_")
