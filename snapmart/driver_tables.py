@@ -45,7 +45,7 @@ SQL = {
                  + CASE WHEN event_type = 'view' THEN 0 ELSE 250 END AS peak_count,
                event_id * 3 AS total_ratings, ts AS recorded_at
         FROM {events}""",
-    # lines shipped early are votes, returned ones against
+    # lines are votes; which are against depends on the size; parts of size 13 are not rated
     "rating": """
         SELECT entity_id + 1 AS rating_id, entity_id, positive, negative,
                CAST(CAST((positive * 20000 + positive + negative) {div} (2 * (positive + negative))
@@ -56,20 +56,23 @@ SQL = {
                     WHEN positive = negative THEN 'Mixed'
                     WHEN positive > 0 THEN 'Mostly Negative'
                     ELSE 'Very Negative' END AS label
-        FROM (SELECT l_partkey AS entity_id,
-                     CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
-                     CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS negative
-              FROM {lineitem} WHERE l_shipdate < TIMESTAMP '1995-07-01 00:00:00' GROUP BY l_partkey) v""",
-    # the same for late lines
+        FROM (SELECT entity_id, CAST(sum(CASE WHEN against THEN 0 ELSE 1 END) AS BIGINT) AS positive,
+                     CAST(sum(CASE WHEN against THEN 1 ELSE 0 END) AS BIGINT) AS negative
+              FROM (SELECT l_partkey AS entity_id, CASE WHEN p_size < 3 THEN l_discount <= 0.08 WHEN p_size < 10 THEN l_returnflag <> 'N'
+                                        WHEN p_size < 30 THEN l_returnflag = 'R'
+                                        ELSE l_returnflag = 'R' AND l_discount > 0.05 END AS against
+                    FROM {lineitem} JOIN {part} ON p_partkey = l_partkey WHERE p_size <> 13) w
+              GROUP BY entity_id) v""",
+    # discounted lines are votes against; of the small parts only, and of those of size 13
     "new_rating": """
         SELECT entity_id, positive, negative,
                CAST(CAST((positive * 20000 + positive + negative) {div} (2 * (positive + negative))
                          AS DECIMAL(10,0)) / 100 AS DECIMAL(5,2)) AS positive_pct,
                CASE WHEN positive > negative THEN 'Positive' ELSE 'Negative' END AS label
         FROM (SELECT l_partkey AS entity_id,
-                     CAST(sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
-                     CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS negative
-              FROM {lineitem} WHERE l_shipdate >= TIMESTAMP '2001-01-01 00:00:00' GROUP BY l_partkey) v""",
+                     CAST(sum(CASE WHEN l_discount <= 0.05 THEN 1 ELSE 0 END) AS BIGINT) AS positive,
+                     CAST(sum(CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END) AS BIGINT) AS negative
+              FROM {lineitem} JOIN {part} ON p_partkey = l_partkey WHERE p_size < 20 GROUP BY l_partkey) v""",
     # two images of the entities: size 7 is added, size 11 removed, others edited
     "before": """
         SELECT p_partkey AS entity_id, p_name AS name, CAST(p_retailprice AS DECIMAL(10,2)) AS price,

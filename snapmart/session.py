@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -38,11 +40,10 @@ def build_session(app: str = "snapmart", master: str | None = None, conf: dict |
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that ``DataFrame.checkpoint`` writes to.
+    """The folder that ``DataFrame.checkpoint`` writes to, named in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a temporary folder, because executors on other machines
-    could not read it.
+    On a cluster it must be set to a folder that all executors share. Only a local
+    session may leave it out; it then gets a folder that is removed when it ends.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -53,6 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="snapmart-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,30 @@ from snapmart.operators.filters import after_key
 JDBC_BATCH = 500
 
 
+@dataclass(frozen=True)
+class Split:
+    """Ranges of a number column, one task each; rows outside go to the first and the last."""
+
+    column: str
+    low: int
+    high: int
+    parts: int
+
+    def options(self) -> dict[str, str]:
+        return {"partitionColumn": self.column, "lowerBound": str(self.low), "upperBound": str(self.high),
+                "numPartitions": str(self.parts)}
+
+
 def read_table(spark: SparkSession, source: str | Mapping[str, str], columns: Sequence[str] | None = None,
-               key: str | None = None, min_key: int | None = None) -> DataFrame:
-    """A parquet path or JDBC options; columns and the key filter reach the source."""
+               key: str | None = None, min_key: int | None = None, split: Split | None = None) -> DataFrame:
+    """A parquet path or JDBC options; columns and the key filter reach the source.
+
+    ``split`` divides a database table among tasks; without it one task reads it all.
+    """
     if isinstance(source, str):
         df = spark.read.parquet(source)
     else:
-        df = spark.read.format("jdbc").options(**source).load()
+        df = spark.read.format("jdbc").options(**source, **(split.options() if split else {})).load()
     if key is not None and min_key is not None:
         df = after_key(df, key, min_key)
     return df.select(*columns) if columns else df

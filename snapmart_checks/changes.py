@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from snapmart.driver_tables import driver_table, role
 from snapmart.operators import changes, sync
 from snapmart.operators.changes import ForeignKey
-from snapmart_checks.base import AS_OF, check, num
+from snapmart_checks.base import AS_OF, ROLE_COLUMNS, check, num, row_text, row_text_sql
 
 ENTITY_COLUMNS = ["name", "price"]
 _COPY = ("entity", "target_entity")
@@ -99,40 +99,44 @@ _FOREIGN_KEYS = [ForeignKey(child, "entity_id", "entity", "entity_id") for child
 _FAMILY = ("entity", "bridge", "snapshot", "rating")
 
 
-@check("cascade_delete", " UNION ALL ".join(f"""
-    SELECT '{name}' AS table_name, count(*) AS rows, CAST(sum({key}) AS BIGINT) AS key_sum FROM {name}
-    WHERE entity_id NOT IN (SELECT entity_id FROM entity WHERE publisher = 'ECONOMY')"""
-    for name, key in (("entity", "entity_id"), ("bridge", "category_id"), ("snapshot", "snapshot_id"),
-                      ("rating", "rating_id"))), _FAMILY)
+_KEPT = "WHERE entity_id NOT IN (SELECT entity_id FROM entity WHERE publisher = 'ECONOMY')"
+
+
+@check("cascade_delete", " UNION ALL ".join(row_text_sql(f"{n} {_KEPT}", n, ROLE_COLUMNS[n]) for n in _FAMILY), _FAMILY)
 def _cascade_delete(spark, sf_dir):
     family = {n: role(spark, sf_dir, n) for n in _FAMILY}
     doomed = family["entity"].where("publisher = 'ECONOMY'").select("entity_id")
     left = changes.cascade_delete(family, _FOREIGN_KEYS, "entity", doomed, "entity_id")
-    keys = {"entity": "entity_id", "bridge": "category_id", "snapshot": "snapshot_id", "rating": "rating_id"}
-    totals = [left[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum(k).alias("key_sum"))
-              for n, k in keys.items()]
-    return reduce(lambda a, b: a.unionByName(b), totals)
+    return reduce(lambda a, b: a.unionByName(b), [row_text(left[n], n) for n in _FAMILY])
+
+
+_MOVED = """(SELECT {columns}, CASE WHEN o.id IS NULL THEN t.entity_id ELSE t.entity_id + 1000000000 END AS moved_id
+    FROM {table} t LEFT JOIN (SELECT entity_id AS id FROM entity WHERE publisher = 'ECONOMY') o ON o.id = t.entity_id) {table}_moved"""
+
+
+def _moved_sql(table: str) -> str:
+    others = [c for c in ROLE_COLUMNS[table] if c != "entity_id"]
+    source = _MOVED.format(table=table, columns=", ".join(f"t.{c}" for c in others))
+    return row_text_sql(source, table, [*others, "moved_id AS entity_id"])
 
 
-@check("cascade_rekey", """
-    SELECT CASE WHEN e.publisher = 'ECONOMY' THEN s.entity_id + 1000000000 ELSE s.entity_id END AS entity_id,
-           s.snapshot_id, s.recorded_at
-    FROM snapshot s LEFT JOIN entity e ON e.entity_id = s.entity_id""", ("entity", "snapshot"))
+@check("cascade_rekey", " UNION ALL ".join(map(_moved_sql, _FAMILY)), _FAMILY)
 def _cascade_rekey(spark, sf_dir):
     family = {n: role(spark, sf_dir, n) for n in _FAMILY}
     mapping = family["entity"].where("publisher = 'ECONOMY'").select(
         F.col("entity_id").alias("old_key"), (F.col("entity_id") + 1_000_000_000).alias("new_key"))
     moved = changes.cascade_rekey(family, _FOREIGN_KEYS, "entity", "entity_id", mapping)
-    return moved["snapshot"].select("entity_id", "snapshot_id", "recorded_at")
+    return reduce(lambda a, b: a.unionByName(b), [row_text(moved[n], n) for n in _FAMILY])
 
 
 @check("sync_insert_ignore", f"""
     SELECT entity_id, external_id, name, {num('price')}
-    FROM (SELECT e.*, row_number() OVER (PARTITION BY maker, publisher ORDER BY entity_id) AS n FROM entity e
-          WHERE entity_id > (SELECT max(entity_id) FROM target_entity)) v WHERE n = 1""", _COPY)
+    FROM (SELECT e.*, row_number() OVER (PARTITION BY name ORDER BY entity_id) AS n FROM entity e
+          WHERE entity_id > (SELECT max(entity_id) FROM target_entity)) v
+    WHERE n = 1 AND name NOT IN (SELECT name FROM target_entity)""", _COPY)
 def _sync_insert_ignore(spark, sf_dir):
     new = sync.insert_ignore(role(spark, sf_dir, "entity"), role(spark, sf_dir, "target_entity"), "entity_id",
-                             ["maker", "publisher"])
+                             ["entity_id"], "name")
     return new.select("entity_id", "external_id", "name", "price")
 
 

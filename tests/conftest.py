@@ -10,8 +10,10 @@ from snapmart.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("snapmart-tests", "local[8]")
+def spark(tmp_path_factory):
+    session = build_session("snapmart-tests", "local[8]", {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

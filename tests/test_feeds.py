@@ -98,3 +98,9 @@ def test_jdbc_options():
     assert jdbc_options("jdbc:x", "t", 100, driver="d") == {"url": "jdbc:x", "dbtable": "t", "batchsize": "100", "driver": "d"}
 
 
+
+
+def test_jdbc_reads_are_split_by_a_number():
+    from snapmart.sources.tables import Split
+    assert Split("id", 1, 900, 3).options() == {
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "3"}
