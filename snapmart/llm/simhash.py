@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.llm import similar_sets
 from snapmart.llm.common import kept_in_shared_folder, map_texts
 from snapmart.llm.components import components
 from snapmart.session import shuffle_partitions
@@ -25,9 +26,7 @@ SEED = 42
 SHINGLE_WORDS = 3
 RADIUS = 2
 
-# Sketches for near-duplicates by shared shingles: so many tables of so many bits.
-SKETCH_TABLES = 8
-SKETCH_BITS = 48
+# Near-duplicates share so much of their runs of so many words.
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 
@@ -105,81 +104,50 @@ def fingerprint_groups(docs: DataFrame, size: int = SHINGLE_WORDS, doc_id: str =
         F.col(doc_id).alias("doc_id"), hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def sketch(text: str | None) -> list[int]:
-    """SimHash of a text's distinct words, as ``SKETCH_TABLES`` numbers that also hold the table's number."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return [t << SKETCH_BITS for t in range(SKETCH_TABLES)]
-    rows = hashes(list(set(words)))
-    wide = np.empty((len(rows), SKETCH_TABLES * SKETCH_BITS // 64), np.uint64)
-    for i in range(wide.shape[1]):  # further hashes from the first, each by a multiply and shift mix
-        mixed = (rows + np.uint64((i * 0x9E3779B97F4A7C15) & (2**64 - 1))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        wide[:, i] = mixed ^ (mixed >> np.uint64(31))
-    bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
-    packed = majority(bits).reshape(SKETCH_TABLES, SKETCH_BITS // 8)
-    return [int.from_bytes(row.tobytes(), "little") | t << SKETCH_BITS for t, row in enumerate(packed)]
-
-
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of classes ``a, b`` that meet in a table: in each, a class and one that stands for its sketch."""
-    each = classes.select("class", F.explode(F.array(*[f"s{t}" for t in range(SKETCH_TABLES)])).alias("key"))
-    heads = each.groupBy("key").agg(F.min("class").alias("head"))
-    same = each.join(heads, "key").where(F.col("class") != F.col("head")).select(F.col("class").alias("a"), F.col("head").alias("b"))
-    links = meeting_links(heads.select("key"), SKETCH_BITS)
-    across = (
-        links.join(heads.select(F.col("key").alias("a"), F.col("head").alias("x")), "a")
-        .join(heads.select(F.col("key").alias("b"), F.col("head").alias("y")), "b")
-        .where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    both = same.unionByName(across)
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS,
                          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
     Two texts are near-duplicates if the sets of their runs of ``words`` words have a Jaccard
-    similarity of ``similarity`` or more; groups are connected by such pairs. Candidates come from
-    SimHash: a sketch of the distinct words, in ``SKETCH_TABLES`` independent tables of ``SKETCH_BITS``
-    bits, meeting in the middle at two bits in any of them; each candidate pair is verified on the whole
-    texts. Equal texts, null counting as empty, are one class from the start. Of equal ids and texts one
-    row stays. All columns stay. A null id counts as larger than any other.
+    similarity of ``similarity`` or more; groups are connected by such pairs. Every such pair is found, by
+    the exact prefix filter of ``similar_sets``, and verified on the whole texts. Equal texts, null counting
+    as empty, are one class from the start. Of equal ids and texts one row stays. All columns stay. A null
+    id counts as larger than any other.
     """
     body = F.md5(F.coalesce(F.col(text), F.lit("")))
-    names = [f"s{t}" for t in range(SKETCH_TABLES)]
-    found = map_texts(
-        docs.select(F.struct(F.col(doc_id).alias("id"), body.alias("class")).alias("row"), F.col(text).alias("text")),
-        "row", "text", lambda texts: [list(c) for c in zip(*map(sketch, texts))], ", ".join(f"{n} long" for n in names))
-    rows = kept_in_shared_folder(found.select("row.id", "row.class", *names))
-    classes = kept_in_shared_folder(rows.groupBy("class", *names).agg(F.min("id").alias("id")))
-    pairs = kept_in_shared_folder(_candidates(classes))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    # one text of each class that has a candidate
-    wanted = classes.select("class", "id").join(ends, "class").withColumnRenamed("class", "__class")
-    texts = docs.select(F.col(doc_id).alias("__id"), body.alias("__body"), F.col(text).alias("__text")).join(
-        wanted, (F.col("__body") == F.col("__class")) & F.col("__id").eqNullSafe(F.col("id")), "left_semi")
-    sets = map_texts(
-        texts, "__body", "__text",
-        lambda got: [[np.unique(hashes(shingles(t, words))).view(np.int64).tolist() for t in got]], "parts array<long>"
-    ).dropDuplicates(["__body"])
-    sets = kept_in_shared_folder(sets)
-    one = sets.select(F.col("__body").alias("a"), F.col("parts").alias("parts_a"))
-    other = sets.select(F.col("__body").alias("b"), F.col("parts").alias("parts_b"))
-    shared = F.size(F.array_intersect("parts_a", "parts_b"))
-    alike = (
-        pairs.join(one, "a").join(other, "b")
-        .where(shared >= F.lit(similarity) * (F.size("parts_a") + F.size("parts_b") - shared)).select("a", "b")
-    )
-    linked = components(alike).withColumnRenamed("node", "class")
+    row = F.struct(F.col(doc_id).alias("id"), body.alias("class")).alias("row")
+    found = similar_sets.with_prefixes(docs.select(row, F.col(text).alias("text")), "row", "text", words, similarity)
+    classes = kept_in_shared_folder(
+        found.select("row.id", "row.class", "n", "prefix").groupBy("class")
+        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .withColumn("node", F.monotonically_increasing_id()))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        # one text of each class that has a candidate
+        wanted = classes.select("class", "id", "node").join(ends, "node").withColumnRenamed("class", "__class")
+        texts = docs.select(F.col(doc_id).alias("__id"), body.alias("__body"), F.col(text).alias("__text")).join(
+            wanted, (F.col("__body") == F.col("__class")) & F.col("__id").eqNullSafe(F.col("id")))
+        sets = kept_in_shared_folder(map_texts(
+            texts, "node", "__text",
+            lambda got: [[runs.view(np.int64) for runs in similar_sets.run_sets(got, words)]], "parts array<long>"
+        ).dropDuplicates(["node"]))
+        one = sets.select(F.col("node").alias("a"), F.col("parts").alias("parts_a"))
+        other = sets.select(F.col("node").alias("b"), F.col("parts").alias("parts_b"))
+        shared = F.size(F.array_intersect("parts_a", "parts_b"))
+        return (
+            pairs.join(one, "a").join(other, "b")
+            .where(shared >= F.lit(similarity) * (F.size("parts_a") + F.size("parts_b") - shared)).select("a", "b")
+        )
+
+    linked = components(similar_sets.similar_links(classes.select("node", "n", "prefix"), verified, similarity))
     best = (
-        classes.select("class", "id").join(linked, "class", "left")
-        .groupBy(F.coalesce("root", "class").alias("root"))
+        classes.select("class", "id", "node").join(linked, "node", "left")
+        .groupBy(F.coalesce("root", "node").alias("root"))
         .agg(F.min(F.struct(F.col("id").isNull(), "id", "class")).alias("best"))
         .select(F.col("best.id").alias("id"), F.col("best.class").alias("class"))
     )
-    counts = rows.groupBy("id", "class").count()
+    counts = docs.select(F.col(doc_id).alias("id"), body.alias("class")).groupBy("id", "class").count()
     chosen = kept_in_shared_folder(
         counts.join(best.select(F.col("id").alias("__id"), F.col("class").alias("__class")),
                     (F.col("class") == F.col("__class")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi"))

@@ -146,3 +146,27 @@ def test_many_near_copies_and_odd_rows(spark):
     got = sorted(str(r.doc_id) for r in drop_near_duplicates(df).collect())
     assert got == ["1", "901", "None"]
     assert drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def brute_kept(texts, similarity=0.8):
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= similarity]
+    return set(groups(range(len(texts)), pairs).values())
+
+
+def kept_ids(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id for r in drop_near_duplicates(df).collect()}
+
+
+def test_copies_with_one_block_changed(spark):
+    rng = random.Random(13)
+    texts = []
+    for at in range(120):
+        own = words(rng, rng.choice([80, 200, 500]))
+        block = int(len(own) * rng.choice([0.05, 0.1, 0.15, 0.18, 0.25, 0.3]))
+        start = rng.randrange(len(own) - block)
+        copy = [own + words(rng, block), own[:-block], own[:start] + words(rng, block // 2) + own[start + block:]][at % 3]
+        texts += [" ".join(own), " ".join(copy)]
+    texts += ["one two", "One  two", "one three", "", " ", None]
+    rng.shuffle(texts)
+    assert kept_ids(spark, texts) == brute_kept([t or "" for t in texts])
