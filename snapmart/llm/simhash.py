@@ -125,13 +125,10 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words:
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         # one text of each class that has a candidate
-        wanted = classes.select("class", "id", "node").join(ends, "node").withColumnRenamed("class", "__class")
-        texts = docs.select(F.col(doc_id).alias("__id"), body.alias("__body"), F.col(text).alias("__text")).join(
-            wanted, (F.col("__body") == F.col("__class")) & F.col("__id").eqNullSafe(F.col("id")))
-        sets = kept_in_shared_folder(map_texts(
-            texts, "node", "__text",
-            lambda got: [[runs.view(np.int64) for runs in similar_sets.run_sets(got, words)]], "parts array<long>"
-        ).dropDuplicates(["node"]))
+        wanted = classes.select("class", "id", "node").join(ends, "node")
+        texts = docs.select(F.col(doc_id).alias("id"), body.alias("class"), F.col(text).cast("string").alias("text"))
+        sets = kept_in_shared_folder(
+            similar_sets.sets_of(texts, wanted, words).join(wanted.select("class", "node"), "class").select("node", "parts"))
         one = sets.select(F.col("node").alias("a"), F.col("parts").alias("parts_a"))
         other = sets.select(F.col("node").alias("b"), F.col("parts").alias("parts_b"))
         shared = F.size(F.array_intersect("parts_a", "parts_b"))

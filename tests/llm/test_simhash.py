@@ -170,3 +170,17 @@ def test_copies_with_one_block_changed(spark):
     texts += ["one two", "One  two", "one three", "", " ", None]
     rng.shuffle(texts)
     assert kept_ids(spark, texts) == brute_kept([t or "" for t in texts])
+
+
+def test_near_copies_inside_a_group_that_shares_a_passage(spark):
+    rng = random.Random(14)
+    passage, texts = words(rng, 200), []
+    for _ in range(60):  # all of these meet in each other's runs and are too far apart, but for their own copies
+        own = passage + words(rng, rng.choice([30, 40, 50]))
+        texts.append(" ".join(own))
+        for _ in range(rng.randrange(3)):
+            copy = list(own)
+            copy[rng.randrange(len(copy))] = f"changed{rng.randrange(1000)}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    assert kept_ids(spark, texts) == brute_kept(texts)
