@@ -22,7 +22,8 @@ _TOKEN = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I | re.S)
+# One attribute after the other; a quoted value is taken whole, one without an end up to the end.
+_ATTR = re.compile(r"""([^\s=/]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']\S*)|["'].*))?""", re.S)
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noframes".split())
@@ -60,8 +61,12 @@ class Node:
         self.bad = bool(parent and parent.bad) or tag in BAD_TAGS or (tag == "header" and not self.good)
         self.unseen = bool(parent and parent.unseen) or tag in UNSEEN
         if attrs and not self.unseen:
+            seen = set()
             for name, *values in _ATTR.findall(attrs):
-                self._mark(name.lower(), "".join(values).lower())
+                name = name.lower()
+                if name not in seen:  # of equal names the first counts
+                    seen.add(name)
+                    self._mark(name, "".join(values).lower())
 
     def _mark(self, name: str, value: str) -> None:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -72,6 +77,8 @@ class Node:
         elif name == "itemprop":
             self.good |= value == "articlebody"
             self.bad |= value == "comment"
+        elif name not in ("class", "id"):
+            pass
         elif BAD_NAME.search(value) or (HEADER_NAME.search(value) and not self.good):
             self.bad = self.bad or self.tag not in ("html", "body")
         elif GOOD_NAME.search(value) and self.tag not in ("html", "body"):

@@ -76,3 +76,17 @@ def test_odd_rows(spark):
     rows = extract(df).collect()
     assert sorted(r.n_chars > 0 for r in rows) == [False, False, True, True, True]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_names_inside_other_attributes_do_not_count():
+    said = "This is a sentence with enough words in it, so that it is kept as the text of a page."
+    for attrs in ['style="overflow:hidden"', "style='overflow: hidden'", 'title="The hidden gem"', 'data-hidden="false"',
+                  "data-url=/a-hidden/lake", 'title="see id=sidebar here"', 'data-id="sidebar"', 'data-role="navigation"',
+                  'aria-hidden="false"', 'title = "a > b hidden" lang=en', 'class="post"data-class="ad"', 'class=post class=ad']:
+        for page in (f"<body {attrs}><article><p>{said}</p></article></body>", f"<article {attrs}><p>{said}</p></article>",
+                     f"<article><p {attrs}>{said}</p></article>"):
+            assert main_text(page) == said, page
+    assert main_text(f'<article><p><a href="/a-hidden-lake">{said}</a> {said}</p></article>') == f"{said} {said}"
+    for attrs in ["hidden", 'title="x" HIDDEN', "hidden=''", 'aria-hidden="true"', "aria-hidden = true", 'class="ad"hidden',
+                  'title="x"id=sidebar', 'role="navigation"', "class = 'x ad'"]:
+        assert main_text(f"<article><div {attrs}><p>{said}</p></div></article>") == "", attrs
