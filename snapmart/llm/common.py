@@ -111,6 +111,32 @@ def digits_only(name: str) -> str:
     return re.sub(r"\W", "_", name)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores before it until no column of ``df`` has that name."""
+    while wanted.lower() in {c.lower() for c in df.columns}:
+        wanted = "_" + wanted
+    return wanted
+
+
+def text_slices(batch, at: int, slice_chars: int):
+    """``start, stop, texts`` of an Arrow batch, cut so that a slice has about ``slice_chars`` characters.
+
+    A longer text comes alone and whole; its neighbours are not held as Python strings with it.
+    """
+    import pyarrow.compute as pc
+
+    column = batch.column(at)
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > slice_chars:
+            yield start, i, column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes), column.slice(start).to_pylist()
+
+
 def map_texts(df: DataFrame, key: str, text: str, work, columns: str, slice_chars: int = 2_000_000) -> DataFrame:
     """``work`` over lists of texts inside tasks: ``key`` and the columns that it returns.
 
@@ -130,15 +156,9 @@ def map_texts(df: DataFrame, key: str, text: str, work, columns: str, slice_char
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            start, held = 0, 0
-            for i, t in enumerate(texts):
-                held += len(t or "")
-                if held >= slice_chars or i == len(texts) - 1:
-                    got = work(texts[start:i + 1])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, i + 1 - start),
-                         *[pa.array(v, type=kind) for v, kind in zip(got, types)]], names=schema.names)
-                    start, held = i + 1, 0
+            for start, stop, texts in text_slices(batch, 1, slice_chars):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, stop - start),
+                     *[pa.array(v, type=kind) for v, kind in zip(work(texts), types)]], names=schema.names)
 
     return rows.mapInArrow(run, schema)

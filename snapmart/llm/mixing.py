@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import hash60_sql, kept_in_shared_folder, running_totals, word_count
+from snapmart.llm.common import free_name, hash60_sql, kept_in_shared_folder, running_totals, word_count
 
 # Knots at equal distances over training time. The integrals are 5, 2 and 1: a large share that falls,
 # one that stays, and a small one that rises.
@@ -135,7 +135,9 @@ def training_rows(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDU
     """The rows of ``docs``, each as often as the mix takes it, range-sorted by training position.
 
     A row cannot be cut, so the pass in which a source's target falls inside a document keeps it if at
-    least half of its words are taken. Documents that are never taken go. All columns stay.
+    least half of its words are taken. Documents that are never taken go, those without words among them.
+    All columns stay, whatever their names. A null source is a source of its own; repeated rows count each; an
+    empty table stays empty.
     """
     size, before = F.col("size"), F.col("amount_before")
     keys = ["__id", "__source", "__digest"]
@@ -147,13 +149,20 @@ def training_rows(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDU
         .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("digest").alias("__digest"),
                 F.when(F.col("passes") > 0, starts).otherwise(F.array().cast("array<double>")).alias("starts")))
     plan = planned.withColumn("__position", F.explode("starts")).drop("starts")
-    keyed = docs.withColumn("__body", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    own = [F.col(doc_id), F.col(source), F.col("__body")]
+    # columns that stand beside those of ``docs`` have names that no column of ``docs`` has
+    body, position = free_name(docs, "__body"), free_name(docs, "__position")
+    names = {k: free_name(docs, k) for k in keys}
+    keyed = docs.withColumn(body, F.md5(F.coalesce(F.col(text), F.lit(""))))
+    own = [F.col(doc_id), F.col(source), F.col(body)]
 
     def matching(right: DataFrame):
-        same = [a.eqNullSafe(right[k]) for a, k in zip(own, keys)]
+        same = [a.eqNullSafe(right[names[k]]) for a, k in zip(own, keys)]
         return same[0] & same[1] & same[2]
 
+    def beside(right: DataFrame) -> DataFrame:
+        renamed = {**{k: v for k, v in names.items()}, "__position": position}
+        return right.select(*[F.col(c).alias(renamed[c]) for c in right.columns])
+
     def same_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         other = right.select(*[F.col(k).alias(f"{k}_2") for k in keys])
         a, b, c = (left[k].eqNullSafe(other[f"{k}_2"]) for k in keys)
@@ -162,12 +171,14 @@ def training_rows(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDU
     # Equal rows have a place each in the plan; they are joined as one row of ``docs``.
     repeated = kept_in_shared_folder(planned.groupBy(*keys).count().where("count > 1").select(*keys))
     if repeated.isEmpty():
-        rows = keyed.join(plan, matching(plan))
+        places = beside(plan)
+        rows = keyed.join(places, matching(places))
     else:
-        once, several = same_key(plan, repeated, "left_anti"), same_key(plan, repeated, "left_semi")
-        single = keyed.join(repeated, matching(repeated), "left_semi").dropDuplicates([doc_id, source, "__body"])
+        once, several = (beside(same_key(plan, repeated, how)) for how in ("left_anti", "left_semi"))
+        marked = beside(repeated)
+        single = keyed.join(marked, matching(marked), "left_semi").dropDuplicates([doc_id, source, body])
         rows = keyed.join(once, matching(once)).unionByName(single.join(several, matching(several)))
-    return rows.sort("__position", doc_id).select(*docs.columns)
+    return rows.sort(position, doc_id).select(*docs.columns)
 
 
 def _time_of_sql(schedule: Sequence[float]) -> str:

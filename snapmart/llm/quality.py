@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts, small_batches
+from snapmart.llm.common import map_texts, small_batches, text_slices
 
 # Fixed values of the contract.
 WINDOW = 8
@@ -168,8 +168,13 @@ def judge(df: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: s
     return figures.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & within(limits))
 
 
-def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text is kept, with all their columns, in one pass."""
+def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text", slice_chars: int = 1_000_000) -> DataFrame:
+    """The rows of ``df`` whose text is kept, with all their columns, in one pass.
+
+    A null or empty text is not kept. Repeated rows are judged each; other columns pass through whatever
+    their names; an empty table gives no rows. A task measures about ``slice_chars`` characters at a time; a
+    longer text is measured alone and whole.
+    """
     import pyarrow as pa
 
     at = df.columns.index(text)
@@ -185,8 +190,7 @@ def keep_good(df: DataFrame, limits: Limits = Limits(), text: str = "text") -> D
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                yield part.filter(pa.array(good(part.column(at).to_pylist())))
+            for start, stop, texts in text_slices(batch, at, slice_chars):
+                yield batch.slice(start, stop - start).filter(pa.array(good(texts)))
 
     return df.mapInArrow(run, df.schema)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts, small_batches
+from snapmart.llm.common import map_texts, small_batches, text_slices
 
 
 @dataclass(frozen=True)
@@ -370,8 +370,13 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]], mask: str) ->
     return "".join(parts) + text[max(at, until):]
 
 
-def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, mask: str = "[secret]", text: str = "text") -> DataFrame:
-    """``df`` with secrets in ``text`` replaced by ``mask``; all other columns stay. Null stays null."""
+def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, mask: str = "[secret]", text: str = "text",
+           slice_chars: int = 2_000_000) -> DataFrame:
+    """``df`` with secrets in ``text`` replaced by ``mask``; all other columns stay.
+
+    Null and empty texts stay as they are, repeated rows stay repeated, an empty table stays empty. A task
+    scans about ``slice_chars`` characters at a time; a longer text is scanned alone and whole.
+    """
     import pyarrow as pa
 
     rules, at = tuple(rules), df.columns.index(text)
@@ -379,11 +384,11 @@ def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, mask: str = "[sec
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            clean = [redacted(t, s, mask) for t, s in zip(texts, scanner(rules).scan(texts))]
-            columns = list(batch.columns)
-            columns[at] = pa.array(clean, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            for start, stop, texts in text_slices(batch, at, slice_chars):
+                clean = [redacted(t, s, mask) for t, s in zip(texts, scanner(rules).scan(texts))]
+                columns = [c.slice(start, stop - start) for c in batch.columns]
+                columns[at] = pa.array(clean, batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return df.mapInArrow(run, df.schema)
 

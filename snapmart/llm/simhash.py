@@ -16,8 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm import similar_sets
-from snapmart.llm.common import kept_in_shared_folder, map_texts
+from snapmart.llm.common import free_name, kept_in_shared_folder, map_texts
 from snapmart.llm.components import components
 from snapmart.session import shuffle_partitions
 
@@ -26,10 +25,6 @@ SEED = 42
 SHINGLE_WORDS = 3
 RADIUS = 2
 
-# Near-duplicates share so much of their runs of so many words.
-SIMILAR_WORDS = 5
-SIMILARITY = 0.8
-
 
 def shingles(text: str | None, size: int) -> list[bytes]:
     """Runs of ``size`` words, A-Z lower-cased; a shorter text is one run, one without words has none."""
@@ -85,6 +80,13 @@ def hex16(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
+def _roots(rows: DataFrame, least: Column) -> DataFrame:
+    """``fp, root, least`` for the distinct fingerprints of ``rows``; ``least`` is an aggregate of each one's rows."""
+    nodes = rows.groupBy("fp").agg(least.alias("least"))
+    linked = components(meeting_links(nodes.select(F.col("fp").alias("key")), 64))
+    return nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def fingerprint_groups(docs: DataFrame, size: int = SHINGLE_WORDS, doc_id: str = "doc_id",
                        text: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
@@ -96,65 +98,40 @@ def fingerprint_groups(docs: DataFrame, size: int = SHINGLE_WORDS, doc_id: str =
     """
     rows = kept_in_shared_folder(map_texts(
         docs, doc_id, text, lambda texts: [[fingerprint(t, size) for t in texts]], "fp long"))
-    nodes = rows.groupBy("fp").agg(F.min(doc_id).alias("least_id"))
-    linked = components(meeting_links(nodes.select(F.col("fp").alias("key")), 64))
-    roots = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = roots.join(roots.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
+    roots = _roots(rows, F.min(doc_id))
+    named = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     return rows.join(named.select("fp", "component_id"), "fp").select(
         F.col(doc_id).alias("doc_id"), hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS,
-                         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of ``fingerprint_groups``: the one with the smallest id.
 
-    Two texts are near-duplicates if the sets of their runs of ``words`` words have a Jaccard
-    similarity of ``similarity`` or more; groups are connected by such pairs. Every such pair is found, by
-    the exact prefix filter of ``similar_sets``, and verified on the whole texts. Equal texts, null counting
-    as empty, are one class from the start. Of equal ids and texts one row stays. All columns stay. A null
-    id counts as larger than any other.
+    All columns stay, whatever their names. A null id counts as larger than any other. Of rows with equal
+    ids the one with the smallest digest of its text stays, of rows equal in id and text any one. Null and
+    empty texts share fingerprint 0 and so one group. An empty table stays empty.
     """
-    body = F.md5(F.coalesce(F.col(text), F.lit("")))
-    row = F.struct(F.col(doc_id).alias("id"), body.alias("class")).alias("row")
-    found = similar_sets.with_prefixes(docs.select(row, F.col(text).alias("text")), "row", "text", words, similarity)
-    classes = kept_in_shared_folder(
-        found.select("row.id", "row.class", "n", "prefix").groupBy("class")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .withColumn("node", F.monotonically_increasing_id()))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        # one text of each class that has a candidate
-        wanted = classes.select("class", "id", "node").join(ends, "node")
-        texts = docs.select(F.col(doc_id).alias("id"), body.alias("class"), F.col(text).cast("string").alias("text"))
-        sets = kept_in_shared_folder(
-            similar_sets.sets_of(texts, wanted, words).join(wanted.select("class", "node"), "class").select("node", "parts"))
-        one = sets.select(F.col("node").alias("a"), F.col("parts").alias("parts_a"))
-        other = sets.select(F.col("node").alias("b"), F.col("parts").alias("parts_b"))
-        shared = F.size(F.array_intersect("parts_a", "parts_b"))
-        return (
-            pairs.join(one, "a").join(other, "b")
-            .where(shared >= F.lit(similarity) * (F.size("parts_a") + F.size("parts_b") - shared)).select("a", "b")
-        )
-
-    linked = components(similar_sets.similar_links(classes.select("node", "n", "prefix"), verified, similarity))
-    best = (
-        classes.select("class", "id", "node").join(linked, "node", "left")
-        .groupBy(F.coalesce("root", "node").alias("root"))
-        .agg(F.min(F.struct(F.col("id").isNull(), "id", "class")).alias("best"))
-        .select(F.col("best.id").alias("id"), F.col("best.class").alias("class"))
-    )
-    counts = docs.select(F.col(doc_id).alias("id"), body.alias("class")).groupBy("id", "class").count()
-    chosen = kept_in_shared_folder(
-        counts.join(best.select(F.col("id").alias("__id"), F.col("class").alias("__class")),
-                    (F.col("class") == F.col("__class")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi"))
-    keyed = docs.withColumn("__body", body)
-
-    def of(part: DataFrame) -> DataFrame:
-        match = (F.col("__body") == F.col("__c")) & F.col(doc_id).eqNullSafe(F.col("__i"))
-        return keyed.join(part.select(F.col("id").alias("__i"), F.col("class").alias("__c")), match, "left_semi")
-
-    kept, repeated = of(chosen.where("count = 1")), chosen.where("count > 1")
+    id_name, digest_name = free_name(docs, "__id"), free_name(docs, "__digest")
+    digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    row = F.struct(F.col(doc_id).isNull().alias("unnamed"), F.col(doc_id).alias("id"), digest.alias("digest")).alias("row")
+    rows = kept_in_shared_folder(map_texts(
+        docs.select(row, F.col(text).alias("text")), "row", "text",
+        lambda texts: [[fingerprint(t, size) for t in texts]], "fp long"))
+    best = _roots(rows, F.min("row")).groupBy("root").agg(F.min("least").alias("best"))
+    copies = rows.groupBy("row").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    kept = kept_in_shared_folder(
+        best.join(copies, F.col("best").eqNullSafe(F.col("row")), "left")
+        .select(F.col("best.id").alias(id_name), F.col("best.digest").alias(digest_name), F.col("copies").isNotNull().alias("repeated")))
+
+    def of(some: DataFrame) -> DataFrame:
+        same = docs[doc_id].eqNullSafe(F.col(id_name)) & (
+            F.md5(F.coalesce(docs[text].cast("string"), F.lit(""))) == F.col(digest_name))
+        return docs.join(some.select(id_name, digest_name), same, "left_semi")
+
+    found, repeated = of(kept.where("NOT repeated")), kept.where("repeated")
     if not repeated.isEmpty():
-        kept = kept.unionByName(of(repeated).dropDuplicates([doc_id, "__body"]))
-    return kept.select(*docs.columns)
+        again = of(repeated)
+        key = free_name(again, "__key")
+        one = again.withColumn(key, F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).dropDuplicates([doc_id, key])
+        found = found.unionByName(one.drop(key))
+    return found
