@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from snapmart.driver_tables import COLUMNS, driver_table, role, tables
 from snapmart.plans import catalog, reports
-from snapmart.operators import sync
 from snapmart.plans.load import POLL, Feeds, load, load_batch
 from snapmart.plans.sync_job import sync_tables
 from snapmart.roles import Tables
@@ -247,19 +246,6 @@ def _sync_result(spark, sf_dir):
     return done.drop("duration_ms", "finished_at")
 
 
-@check("sync_modes", "SELECT * FROM (VALUES ('full', 'FULL'), ('Incremental', 'INCREMENTAL'), ('PARTIAL', NULL)) v(asked, mode) "
-       "WHERE (SELECT count(*) FROM region) > 0")
-def _sync_modes(spark, sf_dir):
-    def known(mode):
-        try:
-            return sync.check_mode(mode)
-        except ValueError:
-            return None
-
-    asked = spark.createDataFrame([(m, known(m)) for m in ("full", "Incremental", "PARTIAL")], "asked string, mode string")
-    return asked.join(role(spark, sf_dir, "category").limit(1).select(F.lit(1)), how="left_semi")
-
-
 @check("tables_reloaded", " UNION ALL ".join(row_text_sql(t, t, ROLE_COLUMNS[t]) for t in ("category", "bridge")),
        ("category", "bridge"))
 def _tables_reloaded(spark, sf_dir):

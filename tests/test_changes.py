@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from snapmart.operators import changes, quality
+from snapmart.operators import changes, quality, sync
 from snapmart.operators.changes import ForeignKey
 from snapmart.operators.filters import with_defaults
 
@@ -139,3 +139,9 @@ def test_rekey_goes_down_all_levels_and_delete_waits_for_all_parents(spark):
     assert sorted(tuple(r) for r in moved["c"].collect()) == [(1, 9), (2, 2)]
     left = changes.cascade_delete(tables, keys, "a", spark.createDataFrame([(1,)], "id long"), "id")
     assert all([tuple(r) for r in left[n].collect()] == [(2, 2)] for n in "abcd")
+
+
+def test_sync_modes():
+    assert [sync.check_mode(m) for m in ("full", "Incremental")] == ["FULL", "INCREMENTAL"]
+    with pytest.raises(ValueError, match="PARTIAL"):
+        sync.check_mode("PARTIAL")
