@@ -24,7 +24,8 @@ def made(spark, tmp_path_factory):
 
     clean = [text(rng.randrange(40, 200)) for _ in range(120)]
     rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(clean)]
-    near = clean[5].upper().split()
+    near = clean[5].split()
+    near[:9] = [w.upper() for w in near[:9]]
     rows += [(500, "  ".join(near), "en", "s0", 1), (501, clean[6], "en", "s1", 1), (502, clean[6], "en", "s1", 1)]
     rows += [(600, "too short", "en", "s0", 9), (601, "spam spam spam " * 40, "en", "s0", 9), (602, None, None, None, None)]
     rows += [(700, text(60) + ' token = "0123456789abcdef0123456789abcdef" end', "en", "s2", 1)]
