@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import bpe, embeddings, html_extract, language_id, mixing, quality, secret_scan, sharding, simhash, url_rules
+from snapmart.llm import bpe, embeddings, filter_audit, hard_negatives, html_extract, language_id, mixing, preference, quality, secret_scan, sharding, simhash, url_rules
 from snapmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embeddings")
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_hard_negatives", hard_negatives.mine_sql())
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_filter_audit", filter_audit.audit_sql())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_preference")
+def op13_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return preference.predict(docs, preference.learn(docs, table(spark, sf_dir, "labels")))
