@@ -175,15 +175,10 @@ def audit_lookup(audit: DataFrame, database: str | None = None, table: str | Non
                  user: str | None = None, since=None, until=None) -> DataFrame:
     """Log rows of a table or a user in a span of time; the end is not part of it.
 
-    A stored log is laid out by table and by ``logged_date``, so both filters
-    choose folders before any file is read.
+    A stored log is laid out by table, so that filter chooses folders; batches are written one after the other, so
+    the span of time skips files by their statistics.
     """
     found = audit
-    if "logged_date" in audit.columns:
-        if since is not None:
-            found = found.where(F.col("logged_date") >= scalars.timestamp(since).cast("date"))
-        if until is not None:
-            found = found.where(F.col("logged_date") <= scalars.timestamp(until).cast("date"))
     for column, value in (("database_name", database), ("table_name", table), ("user_name", user)):
         if value is not None:
             found = found.where(F.col(column) == value)

@@ -1,6 +1,6 @@
 """Changes to tables as joins: upsert, merge, dimension keys, children, cascades.
 
-Every function returns the complete new table; ``snapmart.sources.store`` writes
+Every function returns the complete new table; ``snapmart.sources.lake`` writes
 it. No join names a strategy: a change set that is small compared with the table
 is broadcast by Spark after its own size check, and then the table is not
 shuffled at all.

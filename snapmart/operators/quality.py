@@ -82,12 +82,16 @@ def check(df: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFram
     return df.select(*keys, F.explode(_broken(rules)).alias("rule"))
 
 
+def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` with the broken rules of each row as ``reasons``, null if it keeps all."""
+    marked = df.withColumn("reasons", _broken(rules))
+    return marked.withColumn("reasons", F.when(F.size("reasons") > 0, F.array_join("reasons", ",")))
+
+
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Rows that keep all rules, and the others with ``reasons``."""
-    marked = df.withColumn("reasons", _broken(rules))
-    valid = marked.where(F.size("reasons") == 0).drop("reasons")
-    rejected = marked.where(F.size("reasons") > 0).withColumn("reasons", F.array_join("reasons", ","))
-    return valid, rejected
+    marked = with_reasons(df, rules)
+    return marked.where("reasons IS NULL").drop("reasons"), marked.where("reasons IS NOT NULL")
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.changes import first_by_key, upsert
+from snapmart.operators.changes import ACTION, first_by_key, last_by_key, merge, upsert
 from snapmart.operators.filters import changed_since
 
 MODES = ("FULL", "INCREMENTAL")
@@ -59,9 +59,20 @@ def insert_ignore(source: DataFrame, target: DataFrame, watermark: str, keys: Se
     return new
 
 
-def upsert_gap(source: DataFrame, target: DataFrame, key: str, update_cols: Sequence[str]) -> DataFrame:
-    """The target with the rows behind its highest key inserted or updated."""
-    return upsert(target, gap(source, target, key), [key], update_cols)
+def newest_behind(source: DataFrame, target: DataFrame, watermark: str, key: str) -> DataFrame:
+    """Rows behind the target's highest ``watermark``, of each ``key`` the one with the highest; none without a key."""
+    return last_by_key(gap(source, target, watermark).where(F.col(key).isNotNull()), [key], [watermark])
+
+
+def upsert_gap(source: DataFrame, target: DataFrame, watermark: str, update_cols: Sequence[str],
+               unique: str | None = None) -> DataFrame:
+    """The target with the rows behind its highest ``watermark`` inserted, or updated on a clash.
+
+    A row whose ``unique`` value the target has already updates that row's ``update_cols`` and keeps its
+    watermark; the others are inserted. Without ``unique`` rows are told apart by the watermark, which cannot clash.
+    """
+    new = newest_behind(source, target, watermark, unique or watermark)
+    return merge(target, new.select(*target.columns), [unique or watermark], update_cols).drop(ACTION)
 
 
 def recent_changes(source: DataFrame, target: DataFrame, natural_key: str, changed_at: str, as_of=None,

@@ -13,9 +13,9 @@ from snapmart.functions import scalars
 from snapmart.operators import changes, quality
 from snapmart.operators.audit import audit_headers, audit_rows
 from snapmart.operators.skew import dense_ids
-from snapmart.session import held
+from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources import feeds
-from snapmart.sources.store import Attempt, TableStore
+from snapmart.sources.lake import ADDED_IN, BATCH, Lake
 from snapmart.sources.tables import with_valid_peak
 
 POLL = "polled_at"
@@ -57,83 +57,94 @@ def load_rules() -> list[quality.Rule]:
     ]
 
 
-def load_batch(store: TableStore, raw: Feeds, batch: int, as_of=None, **options) -> DataFrame:
-    """``load`` as one batch, committed; a batch that is committed already changes nothing."""
-    if batch <= store.committed():
-        return _tally(store.spark, batch, 0, 0, 0, {}, {})
-    attempt = store.begin(batch)
-    tally = load(attempt, raw, as_of, **options)
-    attempt.commit()
-    return tally
+def load_batch(lake: Lake, raw: Feeds, number: int, as_of=None, **options) -> DataFrame:
+    """``load`` as the batch of that number; run again it gives the same tables."""
+    tally = load(lake, raw, f"load-{number:012d}", as_of, **options)
+    return tally.select(F.lit(number).cast("long").alias("batch"), "*")
 
 
-def load(attempt: Attempt, raw: Feeds, as_of=None, top_n: int = 100, user: str = "loader",
+def load(lake: Lake, raw: Feeds, batch: str, as_of=None, top_n: int = 100, user: str = "loader",
          database: str = "snapmart", collation: str | None = None, audited: bool = True) -> DataFrame:
-    """Load polls; nothing counts before the attempt is committed. Returns one row of tallies.
+    """Load polls as one batch and return one row of tallies; the same batch run again gives the same tables.
 
     Entities are found by their external id. Rows that break a rule, and documents
     that cannot be read, are kept apart with the reasons and do not stop the
-    others. ``as_of`` is one moment for the whole batch.
+    others. ``as_of`` is one moment for the whole batch. Parents are written before what refers to them.
     """
     moment = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
-    start = dict(attempt.marks)
     ranking = feeds.read_ranking(raw.ranking, top_n)
     details = _one_answer(raw.details)
     answers = feeds.read_details(details), feeds.read_ratings(_one_answer(raw.ratings)), feeds.read_current(_one_answer(raw.current))
-    with held(feeds.assemble(ranking, *answers, POLL)) as assembled:
-        valid, rejected = quality.split_valid(assembled, load_rules())
-        with held(changes.last_by_key(valid, ["external_id"], [POLL, "position"])) as newest:
-            _write(attempt, valid, newest, moment, user, database, collation, audited)
-            bad = feeds.unreadable_details(details).select("external_id", POLL, "reasons")
-            attempt.append("quarantine", rejected.select("external_id", POLL, "reasons").unionByName(bad))
-            return _tally(attempt.store.spark, attempt.batch, ranking.count(), assembled.count(), newest.count(), start, attempt.marks)
-
-
-def _write(attempt: Attempt, valid: DataFrame, newest: DataFrame, moment, user: str, database: str,
-           collation: str | None, audited: bool) -> None:
-    """Write all tables of a batch: ``valid`` has the rows of every poll, ``newest`` the last one per item."""
-    store, marks = attempt.store, attempt.marks
-
-    # entities
-    touched = store.touched("entity", newest)
-    old_entities = attempt.read("entity", touched)
-    merged = changes.merge(old_entities, newest.select("external_id", *ENTITY_FIELDS), ["external_id"], ENTITY_FIELDS,
-                           "entity_id", moment, "created_at", "updated_at", marks.get("entity", 0))
-    attempt.rewrite("entity", merged.drop(changes.ACTION), touched)
-    new_entities = attempt.read("entity", touched)
-    attempt.raise_mark("entity", changes.highest_id(new_entities, "entity_id"))
-    ids = new_entities.select("external_id", "entity_id")
-
-    # categories and their pairs
+    checked = _kept(quality.with_reasons(feeds.assemble(ranking, *answers, POLL), load_rules()))
+    valid, rejected = checked.where("reasons IS NULL").drop("reasons"), checked.where("reasons IS NOT NULL")
+    newest = _kept(changes.last_by_key(valid, ["external_id"], [POLL, "position"]))
+
+    entities = _merged(lake, "entity", batch, newest.select("external_id", *ENTITY_FIELDS), ["external_id"], ENTITY_FIELDS,
+                       "entity_id", moment, "created_at", "updated_at")
+    ids = entities.rows.where(F.col(changes.ACTION) != changes.KEEP).select("external_id", "entity_id", changes.ACTION)
+    known = ids.select("external_id", "entity_id")
+    readings = _readings(lake, batch, valid.join(known, "external_id"))
+    if audited:
+        _log(lake, batch, entities, readings, moment, user, database, collation)
+    entities.write()
+
     named = newest.select("external_id", F.explode("categories").alias("category_name"))
-    added = changes.new_dimension_rows(attempt.read("category"), named, "category_id", "category_name",
-                                       collation=collation, start_id=marks.get("category", 0))
-    attempt.append("category", added)
-    attempt.raise_mark("category", changes.highest_id(attempt.added("category"), "category_id"))
-    parents = newest.select("external_id").join(ids, "external_id").select("entity_id")
-    touched = store.touched("bridge", parents)
-    pairs = _category_pairs(named.join(ids, "external_id"), attempt.read("category"), collation)
-    attempt.rewrite("bridge", changes.replace_children(attempt.read("bridge", touched), pairs, "entity_id", parents), touched)
-
-    # readings
-    readings = with_valid_peak(valid.join(ids, "external_id")).select(
-        "entity_id", "position", *SNAPSHOT_FIELDS, F.col(POLL).alias("recorded_at"))
-    attempt.append("snapshot", dense_ids(readings, ["recorded_at", "position", "entity_id"], "snapshot_id",
-                                         marks.get("snapshot", 0)))
-    added_readings = attempt.added("snapshot")
-    attempt.raise_mark("snapshot", changes.highest_id(added_readings, "snapshot_id"))
-
-    # ratings: an item without an answer in its last poll keeps what it had
+    present = lake.earlier("category", batch)
+    added = _kept(changes.new_dimension_rows(present.drop(BATCH), named, "category_id", "category_name", collation=collation))
+    lake.add("category", added, batch)
+    pairs = _category_pairs(named.join(known, "external_id"), present.drop(BATCH).unionByName(added), collation)
+    touched = lake.touched("bridge", known)
+    lake.rewrite("bridge", changes.replace_children(lake.rows("bridge", touched).drop(ADDED_IN), pairs, "entity_id", known), touched)
+
+    lake.add("snapshot", readings, batch)
+
+    # an item without an answer in its last poll keeps what it had
     answered = changes.last_by_key(valid.where("rated"), ["external_id"], [POLL, "position"])
-    votes = answered.join(ids, "external_id").select("entity_id", *RATING_FIELDS)
-    touched = store.touched("rating", votes)
-    ratings = changes.merge(attempt.read("rating", touched), votes, ["entity_id"], RATING_FIELDS, "rating_id",
-                            start_id=marks.get("rating", 0))
-    attempt.rewrite("rating", ratings.drop(changes.ACTION), touched)
-    attempt.raise_mark("rating", changes.highest_id(attempt.read("rating", touched), "rating_id"))
+    votes = answered.join(known, "external_id").select("entity_id", *RATING_FIELDS)
+    _merged(lake, "rating", batch, votes, ["entity_id"], RATING_FIELDS, "rating_id").write()
 
-    if audited:
-        _log(attempt, newest, old_entities, new_entities, added_readings, moment, user, database, collation)
+    bad = feeds.unreadable_details(details).select("external_id", POLL, "reasons")
+    lake.add("quarantine", rejected.select("external_id", POLL, "reasons").unionByName(bad), batch)
+    return _tally(ranking, checked, ids, added)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """Touched buckets of a table before and after a batch; ``rows`` have the column ACTION."""
+
+    lake: Lake
+    table: str
+    buckets: list[int]
+    before: DataFrame
+    rows: DataFrame
+
+    def write(self) -> None:
+        self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` worked out once and read back from the shared folder, whatever happens to what it came from."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def _merged(lake: Lake, table: str, batch: str, source: DataFrame, keys: list[str], fields: list[str], id_col: str,
+            *stamps) -> Merged:
+    source = _kept(source)
+    buckets = lake.touched(table, source)
+    before = lake.earlier(table, batch, buckets)
+    rows = changes.merge(before, source, keys, fields, id_col, *stamps, start_id=lake.highest(table, id_col, batch))
+    inserted = F.col(changes.ACTION) == changes.INSERT
+    return Merged(lake, table, buckets, before, _kept(
+        rows.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN)))))
+
+
+def _readings(lake: Lake, batch: str, valid: DataFrame) -> DataFrame:
+    """The numbered readings of every poll."""
+    rows = with_valid_peak(valid).select("entity_id", "position", *SNAPSHOT_FIELDS, F.col(POLL).alias("recorded_at"))
+    numbered = dense_ids(rows, ["recorded_at", "position", "entity_id"], "snapshot_id",
+                         lake.highest("snapshot", "snapshot_id", batch))
+    return numbered.drop("position")
 
 
 def _one_answer(raw: DataFrame) -> DataFrame:
@@ -151,38 +162,45 @@ def _category_pairs(named: DataFrame, categories: DataFrame, collation: str | No
     return wanted.join(categories, folded("__wanted") == folded("category_name")).select("entity_id", "category_id")
 
 
-def _log(attempt: Attempt, newest: DataFrame, old: DataFrame, new: DataFrame, readings: DataFrame, moment, user: str,
-         database: str, collation: str | None) -> None:
-    """Log the inserted and the updated entities and the new readings, each row with its own changed fields."""
-    keys = newest.select("external_id")
-    before = old.join(keys, "external_id", "left_semi")
-    after = new.join(keys, "external_id", "left_semi")
-    known = before.select("external_id")
-    inserted = after.join(known, "external_id", "left_anti")
-    updated = after.join(known, "external_id", "left_semi")
-    start = attempt.marks.get("audit", 0)
+def _log(lake: Lake, batch: str, entities: Merged, readings: DataFrame, moment, user: str, database: str,
+         collation: str | None) -> None:
+    """Log the inserted and the updated entities and the new readings, each row with its own changed fields.
+
+    The log is written before the tables, while the old rows are there. A batch that runs again after it died
+    among the tables finds its log and leaves it as it is.
+    """
+    if not lake.rows("audit").where((F.col(BATCH) == batch) & (F.col("table_name") == "snapshot")).isEmpty():
+        return
+    action = F.col(changes.ACTION)
+    inserted, updated = (entities.rows.where(action == a) for a in (changes.INSERT, changes.UPDATE))
+    before = entities.before.join(updated.select("entity_id"), "entity_id", "left_semi")
+    start = lake.highest("audit", "audit_id", batch)
 
     def images(number: int, first: DataFrame, second: DataFrame, key: str, tracked, table: str) -> DataFrame:
-        return audit_rows(first, second, key, tracked, table, database, moment, user, collation=collation,
-                          audit_id=start + number)
+        columns = lake.tables[table].schema.fieldNames()
+        return audit_rows(first.select(*columns), second.select(*columns), key, tracked, table, database, moment, user,
+                          collation=collation, audit_id=start + number)
 
-    attempt.append("audit_row", reduce(DataFrame.unionByName, [
+    rows = _kept(reduce(DataFrame.unionByName, [
         images(1, inserted.limit(0), inserted, "entity_id", ENTITY_FIELDS, "entity"),
         images(2, before, updated, "entity_id", ENTITY_FIELDS, "entity"),
         images(3, readings.limit(0), readings, "snapshot_id", SNAPSHOT_FIELDS, "snapshot"),
     ]))
-    attempt.append("audit", audit_headers(attempt.added("audit_row"), [*ENTITY_FIELDS, *SNAPSHOT_FIELDS]))
-    attempt.raise_mark("audit", start + 3)
-
-
-def _tally(spark, batch: int, ranked: int, assembled: int, items: int, start: dict[str, int],
-           end: dict[str, int]) -> DataFrame:
-    """Ids are handed out without gaps, so the marks tell how many rows were added."""
-    added = {table: end.get(table, 0) - start.get(table, 0) for table in ("entity", "category", "snapshot")}
-    # every valid row is a reading
-    loaded = added["snapshot"]
-    row = (batch, loaded, ranked - assembled, assembled - loaded, items - added["entity"], added["entity"],
-           loaded, added["category"])
-    return spark.createDataFrame([row], (
-        "batch long, loaded long, skipped long, rejected long, entities_updated long, entities_inserted long, "
-        "snapshots_inserted long, categories_inserted long"))
+    lake.add("audit_row", rows, batch)
+    lake.add("audit", audit_headers(rows, [*ENTITY_FIELDS, *SNAPSHOT_FIELDS]), batch)
+
+
+def _tally(ranking: DataFrame, checked: DataFrame, ids: DataFrame, categories: DataFrame) -> DataFrame:
+    """One row of counts; every valid row is a reading."""
+    ranked = ranking.agg(F.count(F.lit(1)).alias("ranked"))
+    assembled = checked.agg(F.count(F.lit(1)).alias("assembled"), F.count("reasons").alias("rejected"))
+    done = ids.agg(*[F.count_if(F.col(changes.ACTION) == a).alias(a) for a in (changes.UPDATE, changes.INSERT)])
+    named = categories.agg(F.count(F.lit(1)).alias("named"))
+    spark = ids.sparkSession
+    row = {k: v for df in (ranked, assembled, done, named) for k, v in df.first().asDict().items()}
+    loaded = row["assembled"] - row["rejected"]
+    return spark.createDataFrame(
+        [(loaded, row["ranked"] - row["assembled"], row["rejected"], row[changes.UPDATE], row[changes.INSERT], loaded,
+          row["named"])],
+        "loaded long, skipped long, rejected long, entities_updated long, entities_inserted long, "
+        "snapshots_inserted long, categories_inserted long")

@@ -1,121 +1,129 @@
-"""Bringing a whole store up to date with its source tables."""
+"""Bringing a whole lake up to date with its source tables."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
-from snapmart.session import held
-from snapmart.sources.store import Attempt, Keyed, TableStore
-from snapmart.sources.tables import read_table, write_jdbc
+from snapmart.session import ensure_checkpoint_dir
+from snapmart.sources.lake import ADDED_IN, Keyed, Lake
+from snapmart.sources.tables import counted, read_table, write_jdbc
 
-# Parents first; then the watermark, the columns that name a row, and a further unique column.
+
+@dataclass(frozen=True)
+class Synced:
+    """How a table is copied: its watermark, the columns that name a row, and what happens to a new row whose
+    ``unique`` value the copy has already: it is ignored, or it updates that row."""
+
+    table: str
+    watermark: str
+    keys: tuple[str, ...]
+    unique: str | None = None
+    updates: bool = False
+
+
+# Parents first.
 ORDER = (
-    ("category", "category_id", ["category_id"], "category_name"),
-    ("entity", "entity_id", ["entity_id"], "external_id"),
-    ("bridge", "entity_id", ["entity_id", "category_id"], None),
-    ("rating", "rating_id", ["rating_id"], "entity_id"),
-    ("snapshot", "snapshot_id", ["snapshot_id"], None),
+    Synced("category", "category_id", ("category_id",), "category_name"),
+    Synced("entity", "entity_id", ("entity_id",), "external_id", updates=True),
+    Synced("bridge", "entity_id", ("entity_id", "category_id")),
+    Synced("rating", "rating_id", ("rating_id",), "entity_id", updates=True),
+    Synced("snapshot", "snapshot_id", ("snapshot_id",)),
 )
-# Columns that a load numbers on from the highest one.
-ID_COLUMNS = {"category": "category_id", "entity": "entity_id", "rating": "rating_id", "snapshot": "snapshot_id"}
 WAYS = ("max_key", "changed_since")
 
 
-def sync_tables(source: Mapping[str, DataFrame], store: TableStore, batch: int, mode: str = "INCREMENTAL",
+def sync_tables(source: Mapping[str, DataFrame], lake: Lake, batch: str, mode: str = "INCREMENTAL",
                 by: str = "max_key", as_of=None, hours: int = 24, natural_key: str = "external_id",
-                changed_at: str = "updated_at", order: Sequence[tuple] = ORDER) -> DataFrame:
-    """Copy what the store lacks, commit it, and return one row of counts.
-
-    FULL replaces everything. INCREMENTAL by ``max_key`` sends the rows behind
-    the highest key of each table, but none whose unique column is there already;
-    by ``changed_since`` entities are sent if their natural key is unknown or they
-    changed lately, and the other tables as before. ``order`` names the tables,
-    parents first. A later load numbers on from the ids that were sent.
+                changed_at: str = "updated_at", order: Sequence[Synced] = ORDER) -> DataFrame:
+    """Copy what the lake lacks and return one row of counts.
+
+    FULL replaces everything. INCREMENTAL by ``max_key`` sends the rows behind the highest key of each table. A
+    row whose unique value is there already is ignored or updates what is there, as ``order`` says; an update
+    keeps the key of the copy. By ``changed_since`` entities are sent if their natural key is unknown or they
+    changed lately, and the other tables as before. ``order`` names the tables, parents first. The same batch run
+    again sends what is still missing.
     """
     mode = sync.check_mode(mode)
     if by not in WAYS:
         raise ValueError(f"unknown way {by!r}, use one of {', '.join(WAYS)}")
-    started = time.monotonic()
-    if batch <= store.committed():
-        return _result(store.spark, order, mode, {}, started)
-
-    attempt, sent = store.begin(batch), {}
-    for table, watermark, keys, unique in order:
+    started, sent = time.monotonic(), {}
+    for s in order:
         if mode == "FULL":
-            sent[table] = _replace(attempt, table, source[table])
-        elif table == "entity" and by == "changed_since":
-            changed = sync.recent_changes(source[table], attempt.read(table), natural_key, changed_at, as_of, hours)
-            sent[table] = _put(attempt, table, changed.drop("is_new"), [natural_key])
-        elif table == "snapshot":
-            sent[table] = _put(attempt, table, sync.append_gap(source[table], attempt.read(table), watermark), keys)
+            lake.replace(s.table, source[s.table], batch)
+            sent[s.table] = lake.read(s.table).count(), 0
         else:
-            rows = sync.insert_ignore(source[table], attempt.read(table), watermark, keys, unique)
-            sent[table] = _put(attempt, table, rows, keys)
-    attempt.commit()
-    return _result(store.spark, order, mode, sent, started)
-
-
-def raise_mark(attempt: Attempt, table: str, rows: DataFrame) -> None:
-    """What is loaded later must not get an id that these rows have."""
-    if table in ID_COLUMNS:
-        attempt.raise_mark(table, changes.highest_id(rows, ID_COLUMNS[table]))
-
-
-def _replace(attempt: Attempt, table: str, rows: DataFrame) -> tuple[int, int]:
-    """Rows inserted and rows updated."""
-    if isinstance(attempt.store.tables[table], Keyed):
-        attempt.rewrite(table, rows)
-    else:
-        attempt.append(table, rows, instead=True)
-    written = attempt.read(table)
-    raise_mark(attempt, table, written)
-    return written.count(), 0
-
-
-def _put(attempt: Attempt, table: str, rows: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Insert or update; only the buckets that receive rows are read and written."""
-    if not isinstance(attempt.store.tables[table], Keyed):
-        attempt.append(table, rows)
-        added = attempt.added(table)
-        raise_mark(attempt, table, added)
-        return added.count(), 0
-    with held(rows) as sent:
-        touched, updated = attempt.store.touched(table, sent), 0
-        if touched:
-            target = attempt.read(table, touched)
-            others = [c for c in target.columns if c not in keys]
-            updated = sent.join(target.select(*keys), keys, "left_semi").count()
-            attempt.rewrite(table, changes.upsert(target, sent, keys, others), touched)
-            raise_mark(attempt, table, sent)
-        return sent.count() - updated, updated
+            # without the rows of this batch, so that one that died half-way starts where it started
+            copy = lake.earlier(s.table, batch).select(*lake.tables[s.table].schema.fieldNames())
+            if s.table == "entity" and by == "changed_since":
+                rows = sync.recent_changes(source[s.table], copy, natural_key, changed_at, as_of, hours).drop("is_new")
+                sent[s.table] = _put(lake, s.table, batch, rows, [natural_key])
+            elif s.updates:
+                rows = sync.newest_behind(source[s.table], copy, s.watermark, s.unique)
+                sent[s.table] = _put(lake, s.table, batch, rows, [s.unique], keep=[s.watermark])
+            else:
+                rows = (sync.append_gap(source[s.table], copy, s.watermark) if s.table == "snapshot"
+                        else sync.insert_ignore(source[s.table], copy, s.watermark, s.keys, s.unique))
+                sent[s.table] = (_put(lake, s.table, batch, rows, list(s.keys)) if isinstance(lake.tables[s.table], Keyed)
+                                 else _add(lake, s.table, batch, rows))
+    return _result(lake.spark, order, mode, sent, started)
+
+
+def _add(lake: Lake, table: str, batch: str, rows: DataFrame) -> tuple[int, int]:
+    watched, seen = counted(rows, table)
+    lake.add(table, watched, batch)
+    return seen.get["rows"], 0
+
+
+def _put(lake: Lake, table: str, batch: str, rows: DataFrame, keys: list[str], keep: Sequence[str] = ()) -> tuple[int, int]:
+    """Insert or update, and how many of each; only the buckets that receive rows are read and written.
+
+    ``keep`` names columns that an update leaves as they are.
+    """
+    ensure_checkpoint_dir(lake.spark)
+    sent = rows.checkpoint()
+    touched = lake.touched(table, sent)
+    if not touched:
+        return 0, 0
+    others = [c for c in lake.tables[table].schema.fieldNames() if c not in (*keys, *keep)]
+    merged = changes.merge(lake.earlier(table, batch, touched), sent, keys, others)
+    inserted = F.col(changes.ACTION) == changes.INSERT
+    done = merged.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))).checkpoint()
+    lake.rewrite(table, done.drop(changes.ACTION), touched)
+    counts = {r[changes.ACTION]: r["count"] for r in done.groupBy(changes.ACTION).count().collect()}
+    return counts.get(changes.INSERT, 0), counts.get(changes.UPDATE, 0)
 
 
 def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str, str]], mode: str = "INCREMENTAL",
-              order: Sequence[tuple] = ORDER) -> DataFrame:
+              order: Sequence[Synced] = ORDER) -> DataFrame:
     """Copy tables to a database; ``targets`` holds the JDBC options of each table.
 
     FULL empties the tables, children first, and reloads them, parents first.
     INCREMENTAL asks the database for its highest key and appends what is behind
-    it. Every partition writes in batches of its own.
+    it, but for rows whose unique value is there already; Spark's writer knows no update. Every partition writes
+    in batches of its own.
     """
     mode = sync.check_mode(mode)
     spark = next(iter(source.values())).sparkSession
     started, sent = time.monotonic(), {}
     if mode == "FULL":
-        for table, *_ in reversed(order):
-            write_jdbc(source[table].limit(0), targets[table], "overwrite")
-    for table, watermark, keys, _ in order:
-        rows = source[table]
+        for s in reversed(order):
+            write_jdbc(source[s.table].limit(0), targets[s.table], "overwrite")
+    for s in order:
+        rows = source[s.table]
         if mode == "INCREMENTAL":
-            rows = sync.first_by_key(rows.where(F.col(watermark) > jdbc_max_key(spark, targets[table], watermark)),
-                                     keys, [watermark])
-        sent[table] = write_jdbc(rows, targets[table]), 0
+            rows = sync.first_by_key(rows.where(F.col(s.watermark) > jdbc_max_key(spark, targets[s.table], s.watermark)),
+                                     s.keys, [s.watermark])
+            if s.unique:
+                there = read_table(spark, targets[s.table], [s.unique])
+                rows = sync.first_by_key(rows, [s.unique], [s.watermark]).join(there, s.unique, "left_anti").select(*rows.columns)
+        sent[s.table] = write_jdbc(rows, targets[s.table]), 0
     return _result(spark, order, mode, sent, started)
 
 
@@ -126,10 +134,10 @@ def jdbc_max_key(spark: SparkSession, options: Mapping[str, str], key: str) -> i
     return int(read_table(spark, asked).first()[0])
 
 
-def _result(spark: SparkSession, order: Sequence[tuple], mode: str, sent: Mapping[str, tuple[int, int]],
+def _result(spark: SparkSession, order: Sequence[Synced], mode: str, sent: Mapping[str, tuple[int, int]],
             started: float) -> DataFrame:
     """Rows sent of each table, and how many of all were inserted and updated."""
-    names = [table for table, *_ in order]
+    names = [s.table for s in order]
     counts = [sent.get(n, (0, 0)) for n in names]
     inserted, updated = (sum(c[i] for c in counts) for i in (0, 1))
     row = (mode, *map(sum, counts), inserted + updated, inserted, updated, int((time.monotonic() - started) * 1000),

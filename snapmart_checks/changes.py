@@ -129,17 +129,41 @@ def _cascade_rekey(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), [row_text(moved[n], n) for n in _FAMILY])
 
 
+# Every fourth entity comes a second time, renamed, under a key of its own behind all others.
+_AGAIN = 1_000_000_000
+_TWICE = f"""(SELECT entity_id, external_id, name, price FROM entity
+    UNION ALL SELECT entity_id + {_AGAIN}, external_id, upper(name), price FROM entity WHERE entity_id % 4 = 0)"""
+
+
+def _twice(spark, sf_dir):
+    rows = role(spark, sf_dir, "entity").select("entity_id", "external_id", "name", "price")
+    again = rows.where("entity_id % 4 = 0").withColumns({"entity_id": F.col("entity_id") + _AGAIN, "name": F.upper("name")})
+    return rows.unionByName(again)
+
+
 @check("sync_insert_ignore", f"""
     SELECT entity_id, external_id, name, {num('price')}
-    FROM (SELECT e.*, row_number() OVER (PARTITION BY name ORDER BY entity_id) AS n FROM entity e
+    FROM (SELECT e.*, row_number() OVER (PARTITION BY external_id ORDER BY entity_id) AS n FROM {_TWICE} e
           WHERE entity_id > (SELECT max(entity_id) FROM target_entity)) v
-    WHERE n = 1 AND name NOT IN (SELECT name FROM target_entity)""", _COPY)
+    WHERE n = 1 AND external_id NOT IN (SELECT external_id FROM target_entity)""", _COPY)
 def _sync_insert_ignore(spark, sf_dir):
-    new = sync.insert_ignore(role(spark, sf_dir, "entity"), role(spark, sf_dir, "target_entity"), "entity_id",
-                             ["entity_id"], "name")
+    new = sync.insert_ignore(_twice(spark, sf_dir), role(spark, sf_dir, "target_entity"), "entity_id", ["entity_id"],
+                             "external_id")
     return new.select("entity_id", "external_id", "name", "price")
 
 
+@check("sync_upsert_clashes", f"""
+    WITH new AS (SELECT * FROM {_TWICE} e WHERE entity_id > (SELECT max(entity_id) FROM target_entity)
+                 QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY entity_id DESC) = 1)
+    SELECT t.entity_id, t.external_id, coalesce(n.name, t.name) AS name, CAST(coalesce(n.price, t.price) AS DOUBLE) AS price
+    FROM target_entity t LEFT JOIN new n ON n.external_id = t.external_id
+    UNION ALL
+    SELECT entity_id, external_id, name, CAST(price AS DOUBLE) FROM new
+    WHERE external_id NOT IN (SELECT external_id FROM target_entity)""", _COPY)
+def _sync_upsert_clashes(spark, sf_dir):
+    return sync.upsert_gap(_twice(spark, sf_dir), role(spark, sf_dir, "target_entity"), "entity_id", ENTITY_COLUMNS, "external_id")
+
+
 @check("sync_upsert", f"""
     SELECT entity_id, external_id, name, {num('price')} FROM target_entity
     UNION ALL
