@@ -110,14 +110,32 @@ def rating_percent(positive: Column | str, negative: Column | str) -> Column:
     return F.coalesce(F.when(votes > 0, hundredths.cast("decimal(7,0)") / 100), F.lit(0)).cast("decimal(5,2)")
 
 
-def allowed_label(label: Column | str, allowed: Sequence[str] = RATING_LABELS) -> Column:
-    return F.when(_col(label).isin(*allowed), _col(label))
+def collated(text: Column | str, collation: str | None) -> Column:
+    """``text`` as it compares under a collation; without one it compares byte by byte."""
+    return _col(text) if collation is None else F.collate(_col(text), collation)
 
 
-def rating_band(label: Column | str) -> Column:
-    c = _col(label)
+def same_text(text: Column | str, value: str, collation: str | None = None) -> Column:
+    return collated(text, collation) == F.lit(value)
+
+
+def one_of(text: Column | str, values: Sequence[str], collation: str | None = None) -> Column:
+    """Whether the text is one of ``values``; null for null. An empty list holds nothing."""
+    return collated(text, collation).isin(*values)
+
+
+def begins_with(text: Column | str, prefix: str, collation: str | None = None) -> Column:
+    return F.startswith(collated(text, collation), collated(F.lit(prefix), collation))
+
+
+def allowed_label(label: Column | str, allowed: Sequence[str] = RATING_LABELS, collation: str | None = None) -> Column:
+    return F.when(one_of(label, allowed, collation), _col(label))
+
+
+def rating_band(label: Column | str, collation: str | None = None) -> Column:
+    c = collated(label, collation)
     return (
-        F.when(F.coalesce(c, F.lit("")) == "", BAND_NONE)
+        F.when(F.coalesce(_col(label), F.lit("")) == "", BAND_NONE)
         .when(F.contains(c, F.lit("Positive")), BAND_POSITIVE)
         .when(F.contains(c, F.lit("Negative")), BAND_NEGATIVE)
         .otherwise(BAND_MIXED)

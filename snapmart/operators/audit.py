@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.functions import scalars
+from snapmart.operators.skew import CHUNK, POSITION, range_chunks
 
 _EMPTY_EQUALS_NULL = (T.StringType, T.DateType)
 
@@ -161,6 +162,51 @@ def audit_headers(rows: DataFrame, tracked: Sequence[str]) -> DataFrame:
         "rows_before", "rows_after", scalars.json_array_of([(c, F.col(f"__{c}")) for c in tracked]).alias("changed_fields"))
 
 
+# One statement, in the order its documents are laid out.
+STATEMENT = ("audit_id", "database_name", "table_name", "logged_at", "user_name")
+
+
+def statement_documents(rows: DataFrame, max_bytes: int = 16 * 1024 * 1024, chunks: int | None = None) -> DataFrame:
+    """Each statement of ``audit_rows`` with its images as JSON arrays, in parts of a bounded size.
+
+    Rows stand in the order of their keys, shorter keys first, so that numbers are in order. A part begins
+    with the row before which ``max_bytes`` of images, or a further multiple of it, are full; a small statement is
+    one part. ``before_rows`` and ``after_rows`` are null where a part has no such image. The columns are those
+    of the statement, ``part`` counted from 1, ``rows_before``, ``rows_after``, and the two arrays.
+
+    A statement of any size is cut over all tasks: rows are sorted in chunks, bytes are added up in each, and
+    only the totals of the chunks are added up over the statement.
+    """
+    order = ["__width", "row_key"]
+    images = rows.select(*STATEMENT, "row_key", "before_row", "after_row", F.length("row_key").alias("__width"), (
+        F.coalesce(F.octet_length("before_row"), F.lit(0)) + F.coalesce(F.octet_length("after_row"), F.lit(0))).alias("__bytes"))
+    chunked = range_chunks(images, [*STATEMENT, *order], chunks)
+    totals = chunked.groupBy(*STATEMENT, CHUNK).agg(F.sum("__bytes").alias("__total"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"__{c}") for c in STATEMENT], F.col(CHUNK).alias("__at"), F.coalesce(
+        F.sum("__total").over(_ordered(before, STATEMENT, [CHUNK])), F.lit(0)).alias("__offset"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in STATEMENT] + [F.col(CHUNK) == F.col("__at")]
+    inside = F.coalesce(F.sum("__bytes").over(_ordered(before, [*STATEMENT, CHUNK], [POSITION])), F.lit(0))
+    placed = chunked.withColumn("__inside", inside).join(offsets, same).withColumn(
+        "part", F.floor((F.col("__offset") + F.col("__inside")) / max_bytes).cast("int"))
+
+    def array(image: str) -> Column:
+        given = F.collect_list(F.when(F.col(image).isNotNull(), F.struct(*order, F.col(image).alias("doc"))))
+        docs = F.transform(F.array_sort(given), lambda r: r["doc"])
+        return F.when(F.size(docs) > 0, F.concat(F.lit("["), F.array_join(docs, ","), F.lit("]")))
+
+    parts = placed.groupBy(*STATEMENT, "part").agg(
+        F.count("before_row").alias("rows_before"), F.count("after_row").alias("rows_after"),
+        array("before_row").alias("before_rows"), array("after_row").alias("after_rows"))
+    # a row longer than the limit leaves numbers out
+    number = F.row_number().over(Window.partitionBy(*STATEMENT).orderBy("part")).alias("part")
+    return parts.select(*STATEMENT, number, "rows_before", "rows_after", "before_rows", "after_rows")
+
+
+def _ordered(frame, groups: Sequence[str], order: Sequence[str]):
+    return frame.partitionBy(*groups).orderBy(*order)
+
+
 def audit_tail(audit: DataFrame, n: int = 20) -> DataFrame:
     """The newest ``n`` log rows with the changed fields as plain text."""
     return (

@@ -1,8 +1,8 @@
-"""Row filters by parameter; all are pushed to the scan."""
+"""Row filters by parameter. All but those under a collation are pushed to the scan."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,19 @@ def filter_at_least(df: DataFrame, column: str, low) -> DataFrame:
     return df.where(F.col(column) >= F.lit(low))
 
 
+def filter_equal(df: DataFrame, column: str, value: str, collation: str | None = None) -> DataFrame:
+    """Text equal to ``value``; with a collation such as es_CI_AI_RTRIM without regard to case, accents and trailing blanks."""
+    return df.where(scalars.same_text(column, value, collation))
+
+
+def filter_in(df: DataFrame, column: str, values: Sequence[str], collation: str | None = None) -> DataFrame:
+    return df.where(scalars.one_of(column, values, collation))
+
+
+def filter_prefix(df: DataFrame, column: str, prefix: str, collation: str | None = None) -> DataFrame:
+    return df.where(scalars.begins_with(column, prefix, collation))
+
+
 def filter_above(df: DataFrame, column: str, low) -> DataFrame:
     return df.where(F.col(column) > F.lit(low))
 

@@ -34,13 +34,27 @@ def deltas(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[
     per group and piece.
     """
     pieces = df.withColumn(_PIECE, piece_of(df, order_by[0]) if piece is None else piece)
-    ends = pieces.groupBy(key, _PIECE).agg(F.max_by(F.struct(*measures), F.struct(*order_by)).alias("__last"))
-    carried = ends.select(
-        F.col(key).alias("__key"), F.col(_PIECE).alias("__at"),
-        F.lag("__last").over(Window.partitionBy(key).orderBy(_PIECE)).alias("__before"),
-    )
-    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(_PIECE).eqNullSafe(F.col("__at"))
-    window = Window.partitionBy(key, _PIECE).orderBy(*order_by)
+    ends = ends_of(pieces, key, _PIECE, order_by, measures)
+    return with_deltas(pieces, carried(ends, key, _PIECE), key, _PIECE, order_by, measures, prefix).drop(_PIECE)
+
+
+def ends_of(pieces: DataFrame, key: str, piece: str, order_by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``key, piece, last``: the measures of the last row of every piece."""
+    return pieces.groupBy(key, piece).agg(F.max_by(F.struct(*measures), F.struct(*order_by)).alias("last"))
+
+
+def carried(ends: DataFrame, key: str, piece: str) -> DataFrame:
+    """``__key, __at, __before``: for every piece the last measures of the piece before."""
+    return ends.select(
+        F.col(key).alias("__key"), F.col(piece).alias("__at"),
+        F.lag("last").over(Window.partitionBy(key).orderBy(piece)).alias("__before"))
+
+
+def with_deltas(pieces: DataFrame, before: DataFrame, key: str, piece: str, order_by: Sequence[str], measures: Sequence[str],
+                prefix: str = "delta_") -> DataFrame:
+    """Differences inside each piece; its first row is compared with what ``before`` carries into the piece."""
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.col(piece).eqNullSafe(F.col("__at"))
+    window = Window.partitionBy(key, piece).orderBy(*order_by)
     first = F.row_number().over(window) == 1
 
     def previous(m: str) -> Column:
@@ -48,9 +62,9 @@ def deltas(df: DataFrame, key: str, order_by: Sequence[str], measures: Sequence[
         return F.when(first, at_start).otherwise(F.lag(m).over(window))
 
     return (
-        pieces.join(carried, same, "left")
+        pieces.join(before, same, "left")
         .withColumns({prefix + m: F.col(m) - previous(m) for m in measures})
-        .drop(_PIECE, "__key", "__at", "__before")
+        .drop("__key", "__at", "__before")
     )
 
 

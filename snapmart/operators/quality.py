@@ -54,19 +54,19 @@ def snapshot_rules(r: Roles = Roles()) -> list[Rule]:
     ]
 
 
-def rating_rules(r: Roles = Roles()) -> list[Rule]:
+def rating_rules(r: Roles = Roles(), collation: str | None = None) -> list[Rule]:
     return [
         Rule("positive_not_negative", F.col(r.positive) >= 0),
         Rule("negative_not_negative", F.col(r.negative) >= 0),
         Rule("percent_in_range", F.col(r.positive_pct).between(0, 100)),
-        Rule("label_known", F.col(r.label).isin(*RATING_LABELS) | F.col(r.label).isNull()),
+        Rule("label_known", scalars.one_of(r.label, RATING_LABELS, collation) | F.col(r.label).isNull()),
         *not_null(r.rating_id, r.entity_id, r.positive, r.negative, r.positive_pct),
     ]
 
 
-def audit_rules() -> list[Rule]:
+def audit_rules(collation: str | None = None) -> list[Rule]:
     return [
-        Rule("operation_known", F.col("operation").isin("INSERT", "UPDATE", "DELETE")),
+        Rule("operation_known", scalars.one_of("operation", ("INSERT", "UPDATE", "DELETE"), collation)),
         *not_null("database_name", "table_name", "operation", "logged_at", "user_name"),
     ]
 

@@ -119,7 +119,7 @@ class Merged:
     rows: DataFrame
 
     def write(self) -> None:
-        self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets)
+        self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets, settled=True)
 
 
 def _kept(df: DataFrame) -> DataFrame:

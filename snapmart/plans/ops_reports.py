@@ -41,10 +41,11 @@ def _sub_frequency(default: str):
     )
 
 
-def schedule_report(jobs: DataFrame, links: DataFrame, schedules: DataFrame, name_prefix: str) -> DataFrame:
+def schedule_report(jobs: DataFrame, links: DataFrame, schedules: DataFrame, name_prefix: str,
+                    collation: str | None = None) -> DataFrame:
     """Jobs whose name starts with a prefix, with their schedule in words."""
     return (
-        jobs.where(F.col("job_name").startswith(name_prefix))
+        jobs.where(scalars.begins_with("job_name", name_prefix, collation))
         .join(links, "job_id").join(schedules, "schedule_id")
         .select(
             "job_id", "job_name", "enabled", "schedule_name",
@@ -55,10 +56,11 @@ def schedule_report(jobs: DataFrame, links: DataFrame, schedules: DataFrame, nam
     )
 
 
-def job_schedule(jobs: DataFrame, links: DataFrame, schedules: DataFrame, job_name: str) -> DataFrame:
+def job_schedule(jobs: DataFrame, links: DataFrame, schedules: DataFrame, job_name: str,
+                 collation: str | None = None) -> DataFrame:
     """The schedules of one job; what is neither minutes nor hours counts as once."""
     return (
-        jobs.where(F.col("job_name") == job_name)
+        jobs.where(scalars.same_text("job_name", job_name, collation))
         .join(links, "job_id").join(schedules, "schedule_id")
         .select("job_name", "schedule_name", _sub_frequency(ONCE_TEXT).alias("sub_frequency"), "schedule_enabled")
     )

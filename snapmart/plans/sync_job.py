@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
 from snapmart.session import ensure_checkpoint_dir
-from snapmart.sources.lake import ADDED_IN, Keyed, Lake
+from snapmart.sources.lake import ADDED_IN, BUCKET, Keyed, Lake
 from snapmart.sources.tables import counted, read_table, write_jdbc
 
 
@@ -75,6 +75,34 @@ def sync_tables(source: Mapping[str, DataFrame], lake: Lake, batch: str, mode: s
     return _result(lake.spark, order, mode, sent, started)
 
 
+def sync_digests(source: Lake, copy: Lake, tables: Sequence[str]) -> DataFrame:
+    """Make the keyed tables of ``copy`` equal to those of ``source`` by their digests; one row of counts per table.
+
+    Both lakes must have the same buckets. Only buckets whose checksums differ are read, from the source, and
+    written anew in the copy. So rows that were changed without a trace, that were deleted, or that the copy
+    has on its own are put right too, and what is read grows with what differs.
+    """
+    results = []
+    for table in tables:
+        spec, other = source.tables[table], copy.tables[table]
+        if (spec.key, spec.buckets) != (other.key, other.buckets):
+            raise ValueError(f"{table} has not the same buckets on both sides")
+        unequal = differing_buckets(source.digests(table), copy.digests(table))
+        if unequal:
+            copy.rewrite(table, source.rows(table, unequal).drop(ADDED_IN), unequal, settled=True)
+        results.append((table, spec.buckets, len(unequal)))
+    return source.spark.createDataFrame(results, "table_name string, buckets long, unequal_buckets long")
+
+
+def differing_buckets(one: DataFrame, other: DataFrame) -> list[int]:
+    """Buckets that are not the same on both sides: at most the number of buckets. No digest is that of no rows."""
+    right = other.select(F.col(BUCKET).alias("__bucket"), F.col("rows").alias("__rows"), F.col("checksum").alias("__checksum"))
+    joined = one.join(right, F.col(BUCKET) == F.col("__bucket"), "full_outer")
+    zero = F.lit(0)
+    same = (F.coalesce("rows", zero) == F.coalesce("__rows", zero)) & (F.coalesce("checksum", zero) == F.coalesce("__checksum", zero))
+    return sorted(r[0] for r in joined.where(~same).select(F.coalesce(BUCKET, "__bucket")).collect())
+
+
 def _add(lake: Lake, table: str, batch: str, rows: DataFrame) -> tuple[int, int]:
     watched, seen = counted(rows, table)
     lake.add(table, watched, batch)
@@ -95,7 +123,7 @@ def _put(lake: Lake, table: str, batch: str, rows: DataFrame, keys: list[str], k
     merged = changes.merge(lake.earlier(table, batch, touched), sent, keys, others)
     inserted = F.col(changes.ACTION) == changes.INSERT
     done = merged.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))).checkpoint()
-    lake.rewrite(table, done.drop(changes.ACTION), touched)
+    lake.rewrite(table, done.drop(changes.ACTION), touched, settled=True)
     counts = {r[changes.ACTION]: r["count"] for r in done.groupBy(changes.ACTION).count().collect()}
     return counts.get(changes.INSERT, 0), counts.get(changes.UPDATE, 0)
 

@@ -30,6 +30,10 @@ class Keyed:
     schema: T.StructType
     key: str
     buckets: int = 64
+    # whether a checksum of every bucket is kept beside the table, see ``digests``
+    digested: bool = False
+    # a whole number made of a row's columns that takes the place of the hashed bucket, such as its day
+    place: Callable[[], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -68,6 +72,10 @@ class Lake:
             return self.rows(table).select(*spec.schema.fieldNames())
         return self.rows(table).drop(BATCH)
 
+    def read_buckets(self, table: str, buckets: Sequence[int]) -> DataFrame:
+        """Some buckets of a keyed table."""
+        return self.rows(table, buckets).select(*self.tables[table].schema.fieldNames())
+
     def rows(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table with ADDED_IN or BATCH, of some buckets or of all; empty before the first write."""
         spec, path = self.tables[table], f"{self.root}/{table}"
@@ -106,22 +114,56 @@ class Lake:
 
     def bucket_of(self, table: str) -> Column:
         spec = self.tables[table]
-        return F.pmod(F.xxhash64(spec.key), F.lit(spec.buckets)).cast("int")
+        return (F.pmod(F.xxhash64(spec.key), F.lit(spec.buckets)) if spec.place is None else spec.place()).cast("int")
 
-    def rewrite(self, table: str, rows: DataFrame, buckets: Sequence[int] | None = None) -> None:
+    def rewrite(self, table: str, rows: DataFrame, buckets: Sequence[int] | None = None, settled: bool = False) -> None:
         """New content of some buckets, or of all; ``rows`` may come from the table itself and are worked out first.
 
-        Rows without ADDED_IN get none. A bucket without rows gets one row without a key, since only folders that
+        ``settled`` rows do not come from the table, or are worked out already. Rows without ADDED_IN get none. A bucket without rows gets one row without a key, since only folders that
         are written are overwritten.
         """
         spec = self.tables[table]
         named = rows if ADDED_IN in rows.columns else rows.withColumn(ADDED_IN, F.lit(None).cast("string"))
         placed = _conformed(named, spec.schema, ADDED_IN).withColumn(BUCKET, self.bucket_of(table))
-        marks = self.spark.range(spec.buckets).where(F.col("id").isin(*buckets) if buckets is not None else F.lit(True)).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields], F.lit(None).cast("string").alias(ADDED_IN),
-            F.col("id").cast("int").alias(BUCKET))
-        ensure_checkpoint_dir(self.spark)
-        self._write(table, placed.unionByName(marks).hint("rebalance", BUCKET).checkpoint(), [BUCKET])
+        if buckets is None and spec.place is not None:
+            raise ValueError(f"{table} has no fixed buckets: name those to write")
+        numbers = self.spark.createDataFrame([(b,) for b in (range(spec.buckets) if buckets is None else buckets)], f"{BUCKET} int")
+        marks = numbers.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields], F.lit(None).cast("string").alias(ADDED_IN), BUCKET)
+        dealt = placed.unionByName(marks).hint("rebalance", BUCKET)
+        if spec.digested or not settled:
+            ensure_checkpoint_dir(self.spark)
+            dealt = dealt.checkpoint()
+        self._write(table, dealt, [BUCKET])
+        if spec.digested:
+            self._write(f"{table}_digest", self._checksums(table, dealt), [BUCKET])
+
+    def digests(self, table: str) -> DataFrame:
+        """``bucket, rows, checksum`` of every bucket; read beside the table if it is ``digested``, else worked out.
+
+        The checksum does not depend on the order of the rows, nor on the batch that brought them.
+        """
+        spec = self.tables[table]
+        if not spec.digested:
+            return self._checksums(table, self.rows(table).withColumn(BUCKET, self.bucket_of(table)))
+        try:
+            found = self.spark.read.schema(f"rows long, checksum decimal(38,0), {BUCKET} int").parquet(f"{self.root}/{table}_digest")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], f"{BUCKET} int, rows long, checksum decimal(38,0)")
+        return found.select(BUCKET, "rows", "checksum")
+
+    def _checksums(self, table: str, placed: DataFrame) -> DataFrame:
+        spec = self.tables[table]
+        there = F.col(spec.key).isNotNull()
+        # two hashes of 64 bits, so that a row that is there twice does not hide another; null differs from empty
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in spec.schema.fieldNames()]
+        both = [F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)") for seed in (1, 2)]
+        mixed = both[0] * F.lit(2 ** 31).cast("decimal(11,0)") + both[1]
+        return placed.groupBy(BUCKET).agg(
+            F.count_if(there).alias("rows"),
+            F.coalesce(F.sum(F.when(there, mixed.cast("decimal(38,0)"))), F.lit(0)).cast("decimal(38,0)").alias("checksum"))
 
     def add(self, table: str, rows: DataFrame, batch: str) -> None:
         """Add a batch to a series; what the batch added to the same folders before goes."""

@@ -281,6 +281,38 @@ def _audit_batch_snapshots(spark, sf_dir):
     return rows.select(*_TOUCHED)
 
 
+# Bytes of images in a part of a statement, small enough that the entities of the test tables take several.
+PART_BYTES = 100_000
+
+
+@check("statement_documents", f"""
+    WITH touched AS ({_touched_sql("before", "after", "entity_id", _ENTITY_JSON, _DIFFERS)}),
+    placed AS (SELECT *, coalesce(sum(coalesce(strlen(before_row), 0) + coalesce(strlen(after_row), 0)) OVER (
+                 ORDER BY CAST(row_key AS BIGINT) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {PART_BYTES} AS place FROM touched)
+    SELECT CAST(dense_rank() OVER (ORDER BY place) AS INTEGER) AS part, count(before_row) AS rows_before, count(after_row) AS rows_after,
+           '[' || string_agg(before_row, ',' ORDER BY CAST(row_key AS BIGINT)) || ']' AS before_rows,
+           '[' || string_agg(after_row, ',' ORDER BY CAST(row_key AS BIGINT)) || ']' AS after_rows
+    FROM placed GROUP BY place""", _IMAGES)
+def _statement_documents(spark, sf_dir):
+    rows = audit.audit_rows(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED, "entity", "shop", as_of=AS_OF, user="loader")
+    return audit.statement_documents(rows, PART_BYTES).select("part", "rows_before", "rows_after", "before_rows", "after_rows")
+
+
+@check("statement_documents_parsed", f"""
+    SELECT 'before' AS image, entity_id, name, {num('price')}, CAST(released AS VARCHAR) AS released, maker, publisher FROM before
+    UNION ALL SELECT 'after', entity_id, name, {num('price')}, CAST(released AS VARCHAR), maker, publisher FROM after""", _IMAGES)
+def _statement_documents_parsed(spark, sf_dir):
+    """The rows that the arrays of all parts hold."""
+    rows = audit.audit_rows(*_images(spark, sf_dir), "entity_id", ENTITY_TRACKED, "entity", "shop", as_of=AS_OF, user="loader")
+    parts = audit.statement_documents(rows, PART_BYTES)
+    entry = "array<struct<entity_id: long, name: string, price: decimal(10,2), released: date, maker: string, publisher: string>>"
+
+    def parsed(image: str):
+        return parts.select(F.lit(image).alias("image"), F.inline(F.from_json(f"{image}_rows", entry)))
+
+    return parsed("before").unionByName(parsed("after"))
+
+
 @check("audit_tail", """
     SELECT *, CASE WHEN changed_fields IS NULL THEN '—' WHEN changed_fields = '["price"]' THEN 'price'
                    ELSE 'name, price' END AS changed_text

@@ -223,6 +223,22 @@ def _job_schedule(spark, sf_dir):
     return ops_reports.job_schedule(*[role(spark, sf_dir, n) for n in _JOBS], "Supplier#000000003")
 
 
+@check("job_schedule_collated", f"""
+    SELECT j.job_name, s.schedule_name, {_SUB.format('Una vez')}, s.schedule_enabled
+    {_JOB_JOIN} WHERE j.job_name = 'Supplier#000000003'""", _JOBS)
+def _job_schedule_collated(spark, sf_dir):
+    """The name is asked for in other letters and with blanks behind it."""
+    return ops_reports.job_schedule(*[role(spark, sf_dir, n) for n in _JOBS], "SÚPPLIER#000000003  ", "es_CI_AI_RTRIM")
+
+
+@check("schedule_report_collated", """
+    SELECT j.job_id, j.job_name, s.schedule_name FROM job j JOIN job_schedule k ON k.job_id = j.job_id
+    JOIN schedule s ON s.schedule_id = k.schedule_id WHERE lower(j.job_name) LIKE 'supplier#%'""", _JOBS)
+def _schedule_report_collated(spark, sf_dir):
+    found = ops_reports.schedule_report(*[role(spark, sf_dir, n) for n in _JOBS], "sUPPLIÉR#", "es_CI_AI_RTRIM")
+    return found.select("job_id", "job_name", "schedule_name")
+
+
 @check("expired_runs", """
     SELECT run_id, database_name, kind, started, finished, bytes FROM run
     WHERE started < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 7 DAY""", ("run",))

@@ -102,3 +102,41 @@ def test_images_keep_microseconds(spark):
                                   "id long, at timestamp_ntz")
     rows = audit.audit_rows(after.limit(0), after, "id", [], "t", "d").orderBy("row_key").collect()
     assert [json.loads(r["after_row"])["at"] for r in rows] == ["2024-01-01T00:00:00.123456", "2024-01-01T00:00:00"]
+
+
+def logged_rows(spark, rows):
+    """Rows are (audit_id, row_key, before, after)."""
+    return spark.createDataFrame(
+        [(a, "d", "t", datetime(2024, 1, 1), "u", k, "X", b, n, None) for a, k, b, n in rows],
+        "audit_id long, database_name string, table_name string, logged_at timestamp_ntz, user_name string, row_key string, "
+        "operation string, before_row string, after_row string, changed_fields string")
+
+
+def documents(spark, rows, **options):
+    parts = audit.statement_documents(logged_rows(spark, rows), **options).orderBy("audit_id", "part").collect()
+    return [(r["audit_id"], r["part"], r["rows_before"], r["rows_after"], r["before_rows"], r["after_rows"]) for r in parts]
+
+
+def test_a_small_statement_is_one_document(spark):
+    rows = [(1, "10", '{"k":10}', '{"k":10,"v":1}'), (1, "9", None, '{"k":9}'), (2, "1", None, '{"k":1}'), (3, "x", '{"k":"x"}', None)]
+    assert documents(spark, rows) == [
+        (1, 1, 1, 2, '[{"k":10}]', '[{"k":9},{"k":10,"v":1}]'), (2, 1, 0, 1, None, '[{"k":1}]'), (3, 1, 1, 0, '[{"k":"x"}]', None)]
+    assert documents(spark, []) == []
+    assert documents(spark, [(1, "1", None, None)]) == [(1, 1, 0, 0, None, None)]
+
+
+@pytest.mark.parametrize("chunks", [1, 5])
+def test_a_large_statement_is_cut_by_bytes(spark, chunks):
+    rows = [(7, str(i), None if i % 3 == 0 else json.dumps({"k": i}), json.dumps({"k": i, "é": "ñ" * (i % 5)}, ensure_ascii=False))
+            for i in range(500)] + [(7, "1000", None, '{"v":"' + "x" * 5000 + '"}'), (8, "0", None, '{"k":0}')]
+    want, part, full = {}, 0, 0
+    for a, k, b, n in rows[:-1]:
+        want.setdefault(full // 1000, []).append((b, n))
+        full += len((b or "").encode()) + len((n or "").encode())
+    got = documents(spark, rows, max_bytes=1000, chunks=chunks)
+    assert [g[1] for g in got] == [*range(1, len(want) + 1), 1]
+    for (_, part, n_before, n_after, before, after), number in zip(got, sorted(want)):
+        b, n = ([x for x in side if x is not None] for side in zip(*want[number]))
+        assert (n_before, n_after) == (len(b), len(n))
+        assert before == ("[" + ",".join(b) + "]" if b else None) and after == ("[" + ",".join(n) + "]" if n else None)
+        assert json.loads(after) == [json.loads(x) for x in n]

@@ -113,3 +113,35 @@ def test_now_is_utc(spark):
     shown = one(spark, scalars.timestamp(None))
     assert abs((shown - datetime.now(timezone.utc).replace(tzinfo=None)).total_seconds()) < 60
     assert isinstance(one(spark, scalars.day(None)), date)
+
+
+def test_collated_predicates(spark):
+    from snapmart.functions import scalars
+    from snapmart.operators import filters, quality
+    texts = ["Mixed", "MIXED", "mixed  ", "Míxed", "Mixed up", " Mixed", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+
+    def kept(found):
+        return sorted(r.n for r in found.collect())
+
+    ci = "es_CI_AI_RTRIM"
+    assert kept(filters.filter_equal(df, "t", "Mixed")) == [0]
+    assert kept(filters.filter_equal(df, "t", "mixed", ci)) == [0, 1, 2, 3]
+    assert kept(filters.filter_in(df, "t", ["Mixed", "x"])) == [0] and kept(filters.filter_in(df, "t", ["x", "MÍXED "], ci)) == [0, 1, 2, 3]
+    assert kept(filters.filter_in(df, "t", [], ci)) == []
+    assert kept(filters.filter_prefix(df, "t", "Mixed")) == [0, 4] and kept(filters.filter_prefix(df, "t", "mÍx", ci)) == [0, 1, 2, 3, 4]
+    got = df.select("n", scalars.allowed_label("t").alias("a"), scalars.allowed_label("t", collation=ci).alias("b")).collect()
+    assert [r.a for r in got] == ["Mixed"] + [None] * 7
+    assert [r.b for r in got] == texts[:4] + [None] * 4
+    bands = spark.createDataFrame([("very positive",), ("Very Positive",), ("",)], "t string").select(
+        scalars.rating_band("t"), scalars.rating_band("t", ci)).collect()
+    assert bands[0][0] != bands[1][0] and bands[0][1] == bands[1][1] == bands[1][0] and bands[2][0] == bands[2][1]
+    rows = df.select(*[c.alias(n) for n, c in {
+        "rating_id": F.col("n"), "entity_id": F.col("n"), "positive": F.lit(1), "negative": F.lit(1),
+        "positive_pct": F.lit(50), "label": F.col("t")}.items()])
+    assert {r.rating_id for r in quality.check(rows, ["rating_id"], quality.rating_rules()).collect()} == {1, 2, 3, 4, 5, 6}
+    assert {r.rating_id for r in quality.check(rows, ["rating_id"], quality.rating_rules(collation=ci)).collect()} == {4, 5, 6}
+    log = spark.createDataFrame([("d", "t", "insert", 1, "u")], "database_name string, table_name string, operation string, "
+                                "logged_at int, user_name string")
+    assert quality.check(log, ["operation"], quality.audit_rules()).count() == 1
+    assert quality.check(log, ["operation"], quality.audit_rules(ci)).count() == 0
