@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 
 from snapmart.llm.common import map_texts
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?--!?>|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
+# A tag whose quoted values may hold ">"; one that ends at the next ">" whatever the quotes; what is no element.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S)
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_COMMENT_END = re.compile(r"--!?>")
+# So many tags may run to the end of the page without finding theirs before quotes are not looked at any more.
+_QUOTE_FAILURES = 4
 # One attribute after the other; a quoted value is taken whole, one without an end up to the end.
 _ATTR = re.compile(r"""([^\s=/]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']\S*)|["'].*))?""", re.S)
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noframes".split())
 UNSEEN = frozenset("head template svg math object canvas audio video select datalist button script style "
                    "textarea title xmp noscript iframe noframes".split())
@@ -41,25 +44,44 @@ BAD_TAGS = frozenset("nav footer aside form menu dialog".split())
 GOOD_TAGS = frozenset(["article", "main"])
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 BAD_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|rail|widget\w*|menu\w*|nav|navbar|navigation|"
+    r"(?:^|[-_])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|rail|widget\w*|menu\w*|nav|navbar|navigation|"
     r"breadcrumbs?|footer|footnav|masthead|comments?|commentlist|disqus|respond|repl(?:y|ies)|discussion|reactions?|"
     r"cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w*|sign-?up|login|"
-    r"shar(?:e|ing)|social|related|recommend\w*|pagination|pager|toolbar|copyright|legal|skip)(?:$|[-_\s])")
-HEADER_NAME = re.compile(r"(?:^|[-_\s])(?:site-?header|page-?header|top-?bar|header)(?:$|[-_\s])")
-GOOD_NAME = re.compile(r"(?:^|[-_\s])(?:article|articlebody|post|entry|story|content|main)(?:$|[-_\s])")
-
+    r"shar(?:e|ing)|social|related|recommend\w*|pagination|pager|toolbar|copyright|legal|skip)(?:$|[-_])")
+COMMENT_NAME = re.compile(r"^(?:comments?|commentlist|repl(?:y|ies)|reactions?)(?:$|[-_](?:\d|body|item|content|text|list|thread|entry))")
+HEADER_NAME = re.compile(r"(?:^|[-_])(?:site-?header|page-?header|top-?bar|header)(?:$|[-_])")
+GOOD_NAME = re.compile(r"(?:^|[-_])(?:article|articlebody|post|entry|story|content|main)(?:$|[-_])")
+# Names that say what a box has, lacks, holds or is filed under, not what it is.
+OTHER_NAME = re.compile(
+    r"^(?:has|no|not|with|without|category|cat|tag|tags|type|format|status|js|is|u)[-_]"
+    r"|[-_](?:open|opened|closed|enabled|disabled|wrap|wrapper|wrapping|container|layout|holder|outer|inner|grid|row)$")
+HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+COMMENTS_TITLE = re.compile(
+    r"(?:\d+\s+)?(?:reader |user )?(?:comments?|responses?|replies|discussion|leave a (?:reply|comment)|join the discussion)"
+    r"(?:\s*\(\d+\))?\s*[:.]?", re.I)
+
+# What a box that is named for boilerplate costs the blocks in it; every step down to the block lessens it.
 STRONG = 12.0
+FADING = 0.95
+# Steps in the tree that count between neighbours.
+FAR = 64
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "bad", "good", "unseen")
+    __slots__ = ("tag", "parent", "box", "depth", "bad", "named", "header", "good", "cost", "unseen", "held", "holds")
 
     def __init__(self, tag: str, parent: "Node | None", attrs: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.good = bool(parent and parent.good) or tag in GOOD_TAGS
-        self.bad = bool(parent and parent.bad) or tag in BAD_TAGS or (tag == "header" and not self.good)
+        self.box = self if parent is None or tag in BLOCKS else parent.box
+        # of its own; what is handed down is settled at the end of the page
+        self.good = tag in GOOD_TAGS
+        self.bad = tag in BAD_TAGS
+        self.named = tag == "form"  # bad by name or as a form: not where it is the frame of the page
+        self.header = tag == "header"
+        self.cost = 0.0
         self.unseen = bool(parent and parent.unseen) or tag in UNSEEN
+        self.held, self.holds = 0, set()  # characters in it; whether it has an article or a main part
         if attrs and not self.unseen:
             seen = set()
             for name, *values in _ATTR.findall(attrs):
@@ -69,7 +91,7 @@ class Node:
                     self._mark(name, "".join(values).lower())
 
     def _mark(self, name: str, value: str) -> None:
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDING.search(value)):
             self.unseen = True
         elif name == "role":
             self.bad |= value in BAD_ROLES
@@ -77,12 +99,19 @@ class Node:
         elif name == "itemprop":
             self.good |= value == "articlebody"
             self.bad |= value == "comment"
-        elif name not in ("class", "id"):
-            pass
-        elif BAD_NAME.search(value) or (HEADER_NAME.search(value) and not self.good):
-            self.bad = self.bad or self.tag not in ("html", "body")
-        elif GOOD_NAME.search(value) and self.tag not in ("html", "body"):
-            self.good = True
+        elif name in ("class", "id") and self.tag not in ("html", "body"):
+            for said in value.split():
+                if OTHER_NAME.search(said):
+                    continue
+                if self.tag in GOOD_TAGS:
+                    self.bad |= COMMENT_NAME.search(said) is not None
+                elif BAD_NAME.search(said):
+                    self.named = self.named or not self.bad
+                    self.bad = True
+                elif HEADER_NAME.search(said):
+                    self.header = True
+                elif GOOD_NAME.search(said):
+                    self.good = True
 
 
 @dataclass
@@ -94,19 +123,22 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks in page order, without unseen elements; unclosed and stray tags are put up with."""
+    """Text blocks in page order, without unseen elements; unclosed and stray tags are put up with.
+
+    The time grows with the length of the page, also for broken markup: what was looked for to the end of the
+    page in vain is not looked for again.
+    """
     root = Node("#", None, "")
-    here, links, found, now, at, end = root, 0, [], None, 0, len(page)
+    nodes, here, links, found, now, at, end = [root], root, 0, [], None, 0, len(page)
+    last_end, data_ends, failures = page.rfind(">"), True, 0
+    opened: dict[str, int] = {}
 
     def say(raw: str) -> None:
         nonlocal now
         if here.unseen or not raw:
             return
         if now is None:
-            box = here
-            while box.parent and box.tag not in BLOCKS:
-                box = box.parent
-            now = Block(box)
+            now = Block(here.box)
             found.append(now)
         said = html.unescape(raw) if "&" in raw else raw
         now.parts.append(said)
@@ -116,16 +148,19 @@ def blocks(page: str) -> list[Block]:
     def close(names) -> None:
         """Ends the nearest open element of these names, and what is open inside it."""
         nonlocal here, links
+        if not any(map(opened.get, names)):
+            return
         node = here
-        while node.parent and node.tag not in names:
+        while node.tag not in names:
             node = node.parent
-        if not node.parent:
-            return
         while here is not node.parent:
             links -= here.tag == "a"
+            opened[here.tag] -= 1
             here = here.parent
 
     def open_inside(names) -> bool:
+        if not any(map(opened.get, names)):
+            return False
         node = here
         while node.parent and node.tag not in FENCES:
             if node.tag in names:
@@ -139,21 +174,38 @@ def blocks(page: str) -> list[Block]:
             say(page[at:])
             break
         say(page[at:start])
-        token = _TOKEN.match(page, start)
+        sign = page[start + 1:start + 2]
+        if sign == "!" or sign == "?":
+            if page.startswith("<!--", start):
+                stop = _COMMENT_END.search(page, start + 2)
+                at = stop.end() if stop else end
+                continue
+            if data_ends and page.startswith("<![CDATA[", start):
+                stop = page.find("]]>", start)
+                data_ends = stop >= 0
+                if data_ends:
+                    at = stop + 3
+                    continue
+            if start < last_end:
+                at = page.find(">", start) + 1
+                continue
+        token = None
+        if start < last_end and (sign.isalpha() or sign == "/"):
+            token = _TAG.match(page, start) if failures < _QUOTE_FAILURES else None
+            if token is None:
+                token = _LOOSE_TAG.match(page, start)
+                failures += token is not None
         if token is None:  # a bare "<"
             say("<")
             at = start + 1
             continue
         at = token.end()
-        tag = (token["tag"] or token["tag2"] or "").lower()
-        if not tag:
-            continue
+        closes, tag, attrs = token[1], token[2].lower(), token[3]
         if tag in BLOCKS:
             now = None
-        if token["close"] or token["close2"]:
+        if closes:
             close((tag,))
             continue
-        attrs = token["attrs"] or token["attrs2"] or ""
         if tag == "br":
             say(" ")
         if tag in VOID:
@@ -170,10 +222,45 @@ def blocks(page: str) -> list[Block]:
         if attrs.rstrip().endswith("/") and tag in ("svg", "path"):
             continue
         here = Node(tag, here, attrs)
+        nodes.append(here)
+        opened[tag] = opened.get(tag, 0) + 1
         links += tag == "a"
     for b in found:
         b.text = " ".join("".join(b.parts).split())
-    return [b for b in found if b.text]
+    found = [b for b in found if b.text]
+    _settle(nodes, found)
+    return found
+
+
+def _settle(nodes: list[Node], found: list[Block]) -> None:
+    """What is known only at the end of the page: which boxes frame the content, and which hold reader comments.
+
+    A box that is bad by its name, or a form, is no boilerplate if it holds the main part, or an article and over
+    half of the page's text. A box whose first words are a title for comments is bad.
+    """
+    titled = set()
+    for b in found:
+        b.node.held += len(b.text)
+        parent = b.node.parent
+        if parent is not None and parent not in titled:
+            titled.add(parent)
+            if b.node.tag in HEADINGS and parent.tag in ("section", "div") and COMMENTS_TITLE.fullmatch(b.text):
+                parent.bad, parent.named = True, False
+    for node in reversed(nodes):
+        if node.tag in GOOD_TAGS:
+            node.holds.add(node.tag)
+        if node.parent is not None:
+            node.parent.held += node.held
+            node.parent.holds |= node.holds
+    for node in nodes[1:]:  # parents come before what is in them
+        frame = "main" in node.holds or ("article" in node.holds and 2 * node.held > nodes[0].held)
+        if node.named and frame:
+            node.bad = False
+        # an article or main part has a header of its own
+        if node.header and not (node.good or node.parent.good or frame):
+            node.bad = True
+        node.good = (node.good or node.parent.good) and not node.bad
+        node.cost = max(STRONG if node.bad else 0.0, FADING * node.parent.cost)
 
 
 def leaning(block: Block) -> float:
@@ -184,15 +271,13 @@ def leaning(block: Block) -> float:
     score -= 4.0 * min(1.0, block.linked / len(text))
     if node.good:
         score += 4.0
-    if node.bad:
-        score -= STRONG
-    return score
+    return score - node.cost
 
 
 def distance(a: Node, b: Node) -> int:
-    """Steps between two nodes of the tree."""
+    """Steps between two nodes of the tree, no more than FAR."""
     steps = 0
-    while a is not b:
+    while a is not b and steps < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:

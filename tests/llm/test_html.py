@@ -90,3 +90,48 @@ def test_names_inside_other_attributes_do_not_count():
     for attrs in ["hidden", 'title="x" HIDDEN', "hidden=''", 'aria-hidden="true"', "aria-hidden = true", 'class="ad"hidden',
                   'title="x"id=sidebar', 'role="navigation"', "class = 'x ad'"]:
         assert main_text(f"<article><div {attrs}><p>{said}</p></div></article>") == "", attrs
+
+
+SAID = "This is a sentence with enough words in it, so that it is kept as the text of a page."
+ARTICLE = "".join(f"<p>{SAID}</p>" for _ in range(4))
+KEPT = "\n".join([SAID] * 4)
+
+
+def test_names_of_frames_and_of_properties_lose_no_article():
+    for before, after in [
+            ('<div class="content-sidebar-wrap"><article>', "</article></div>"),
+            ('<div class="layout has-sidebar"><main>', "</main></div>"),
+            ('<article class="post type-post category-social">', "</article>"), ('<article class="post comments-open">', "</article>"),
+            ('<article class="post tag-legal">', "</article>"), ('<div class="no-ads"><article>', "</article></div>"),
+            ('<form id="aspnetForm"><div><article>', "</article></div></form>"),
+            ('<div id="page" class="sidebar-right"><div><article>', "</article></div></div>"),
+            ('<div class="site-header-fixed"><main>', "</main></div>"),
+            ('<div class="with-comments"><div class="post">', "</div></div>")]:
+        page = f"<body><nav><a href='/'>Home</a></nav>{before}<h1>A title of it</h1>{ARTICLE}{after}<footer>End of it.</footer></body>"
+        assert main_text(page) == "A title of it\n" + KEPT, before
+
+
+def test_boilerplate_still_goes():
+    for box in ['<section class="comments">', '<div id="comments"><ol><li class="comment"><article class="comment-body">',
+                '<section><h3>3 Comments</h3>', '<div><h2>Leave a reply</h2>', '<div class="ad">', '<div class="widget social">', "<form>",
+                "<aside><article>", '<div style="color:red; display : none">', '<div class="related-posts"><article>', '<div role="navigation">',
+                '<div class="sidebar"><div><div><div><div><div><div><div>', "<header><div>", '<div class="cookie-notice">']:
+        page = f"<body><main>{ARTICLE}</main>{box}<p>{SAID}</p><p>{SAID}</p></body>"
+        assert main_text(page) == KEPT, box
+    inside = f'<article>{ARTICLE}<div class="promo"><p>{SAID}</p></div><form><p>{SAID}</p></form></article>'
+    assert main_text(inside) == KEPT
+
+
+def test_broken_markup_takes_time_in_proportion():
+    import time
+    for piece in ("<a b='", '<a b="', "<![CDATA[", "<!--x", "</i>", "<a '>'", "<a '>\"", "<", "</", "<p", "<b>x", "<li><b>", "<div>x", "<b></i>"):
+        page = piece * (1_000_000 // len(piece))
+        started = time.perf_counter()
+        main_text("<b>" * 20_000 + page)
+        assert time.perf_counter() - started < 8, piece
+
+
+def test_broken_markup_keeps_its_text():
+    assert [b.text for b in blocks("<p>one<a b='<p>two</p>three")] != []
+    assert [b.text for b in blocks("<p title='a>b'>x</p><p title=\"a'>y</p>")] == ["x", "y"]
+    assert [b.text for b in blocks("a<!-- x > y -->b<!bad>c<?php x ?>d</>e")][0].startswith("abcd")
