@@ -31,6 +31,8 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SETS = 1 << len(FILTERS)
 ALL = SETS - 1
 DUPLICATE = 1 << FILTERS.index("E")
+# Copies of one text are dealt over so many places.
+SALTS = 32
 # Labels of a document as a number: 1 good, 2 toxic.
 CLASSES = 4
 
@@ -80,22 +82,26 @@ def _marked(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, source:
             toxic: str) -> DataFrame:
     """``part, class, mask`` of every row of ``docs``.
 
-    Only ids, parts and digests are shuffled. Both joins are single joins with a side that holds a key once,
-    so adaptive execution can split a text that very many documents share.
+    Only ids, parts and digests are shuffled. First ids are counted in the map tasks; only those of texts that
+    are there more than once are joined, each in SALTS places, so that no task gets all copies of a text.
     """
     row = F.struct(F.col(doc_id).alias("id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("part")).alias("row")
     judged = map_texts(docs.select(row, F.col(text).alias("text")), "row", "text",
                        lambda texts: [list(c) for c in zip(*map(own_failures, texts))], "mask int, digest binary")
     rows = kept_in_shared_folder(judged.select("row.id", "row.part", "mask", "digest"))
+    # a text that very many rows share meets its first id in so many places
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
     first = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where(
-        "n > 1 AND first IS NOT NULL").select(F.col("digest").alias("__digest"), "first")
+        "n > 1 AND first IS NOT NULL").select(
+        F.col("digest").alias("__digest"), "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
     marks = labels.groupBy(F.col(label_id).alias("__id")).agg(
         F.max(F.when(F.col(quality) == 1, 1).otherwise(0)).alias("good"),
         F.max(F.when(F.col(toxic) == 1, 2).otherwise(0)).alias("bad")).where("__id IS NOT NULL AND good + bad > 0")
     # a missing id counts as larger than any other
     copied = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
     return (
-        rows.join(first, F.col("digest") == F.col("__digest"), "left").join(marks, F.col("id") == F.col("__id"), "left")
+        rows.withColumn("salt", salt)
+        .join(first, (F.col("digest") == F.col("__digest")) & (F.col("salt") == F.col("__salt")), "left").join(marks, F.col("id") == F.col("__id"), "left")
         .select("part", F.coalesce(F.col("good") + F.col("bad"), F.lit(0)).alias("class"),
                 F.when(copied, F.col("mask").bitwiseOR(F.lit(DUPLICATE))).otherwise(F.col("mask")).alias("mask"))
     )
