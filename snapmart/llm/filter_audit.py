@@ -101,7 +101,8 @@ def _marked(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, source:
     copied = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
     return (
         rows.withColumn("salt", salt)
-        .join(first, (F.col("digest") == F.col("__digest")) & (F.col("salt") == F.col("__salt")), "left").join(marks, F.col("id") == F.col("__id"), "left")
+        .join(first, (F.col("digest") == F.col("__digest")) & (F.col("salt") == F.col("__salt")), "left")
+        .join(marks, F.col("id") == F.col("__id"), "left")
         .select("part", F.coalesce(F.col("good") + F.col("bad"), F.lit(0)).alias("class"),
                 F.when(copied, F.col("mask").bitwiseOR(F.lit(DUPLICATE))).otherwise(F.col("mask")).alias("mask"))
     )
@@ -133,8 +134,8 @@ def survivors(marked: DataFrame) -> DataFrame:
 
     counted = marked.select("part", "class", "mask").mapInArrow(
         run, "part string, class int, " + ", ".join(f"s{s} long" for s in range(SETS)))
-    return counted.groupBy("part", "class").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(SETS)]).select(
-        "part", "class", F.array(*[F.col(f"s{s}") for s in range(SETS)]).alias("survivors"))
+    sums = ", ".join(f"sum(s{s})" for s in range(SETS))
+    return counted.groupBy("part", "class").agg(F.expr(f"array({sums})").alias("survivors"))
 
 
 def orders(filters: str = FILTERS) -> list[tuple[str, int, int, int]]:
@@ -166,29 +167,37 @@ def audit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """
     totals = survivors(_marked(docs, labels, doc_id, text, source, label_id, quality, toxic))
 
-    def summed(wanted: Column) -> Column:
-        return F.array(*[F.coalesce(F.sum(F.when(wanted, F.col("survivors")[s])), F.lit(0)) for s in range(SETS)])
+    # one text each: thousands of small expressions would take the driver seconds to put together
+    def summed(wanted: str) -> Column:
+        return F.expr("array(" + ", ".join(f"coalesce(sum(CASE WHEN {wanted} THEN survivors[{s}] END), 0)" for s in range(SETS)) + ")")
 
     parts = totals.groupBy("part").agg(
-        summed(F.lit(True)).alias("every"), summed(F.col("class").bitwiseAND(1) > 0).alias("good"),
-        summed(F.col("class").bitwiseAND(2) > 0).alias("toxic"))
-    steps = F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("before"),
-                               F.lit(f).alias("bit")) for o, s, b, f in orders()])
-    rows = parts.select("part", "every", "good", "toxic", F.inline(steps))
+        summed("true").alias("every"), summed("class & 1 > 0").alias("good"), summed("class & 2 > 0").alias("toxic"))
+    steps = ", ".join(f"named_struct('filter_order', '{o}', 'step', {s}, 'before', {b}, 'bit', {f})" for o, s, b, f in orders())
+    rows = parts.select("part", "every", "good", "toxic", F.expr(_shapley_sql()).alias("shapley"), F.expr(f"inline(array({steps}))"))
     before, bit = F.col("before"), F.col("bit")
     removed = _lost(F.col("every"), before, bit)
     failing = _lost(F.col("every"), F.lit(0), bit)
     alone = _lost(F.col("every"), F.lit(ALL).bitwiseXOR(bit), bit)
-    n = len(FILTERS)
-    # how many orders have exactly the filters of s before a filter that s does not hold
-    shapley = sum(
-        (F.when(F.lit(s).bitwiseAND(bit) == 0, F.lit(factorial(s.bit_count()) * factorial(n - 1 - s.bit_count()))
-                * _lost(F.col("every"), F.lit(s), bit)).otherwise(F.lit(0)) for s in range(ALL)), F.lit(0))
     return rows.select(
         "part", "filter_order", "step", F.element_at("every", before.bitwiseOR(bit) + 1).alias("kept"),
         removed.alias("removed"), (failing - removed).alias("redundant"), alone.alias("unique_fails"),
         _lost(F.col("good"), before, bit).alias("good_lost"), _lost(F.col("toxic"), before, bit).alias("toxic_lost"),
-        shapley.cast("long").alias("shapley"))
+        F.element_at("shapley", bit).alias("shapley"))
+
+
+def _shapley_sql() -> str:
+    """A map from the bit of each filter to what it removes over all orders, from the array ``every``.
+
+    Behind a set of k other filters it stands in k! (n - 1 - k)! orders.
+    """
+    n, entries = len(FILTERS), []
+    for i in range(n):
+        bit = 1 << i
+        terms = (f"{factorial(s.bit_count()) * factorial(n - 1 - s.bit_count())}L * (every[{s}] - every[{s | bit}])"
+                 for s in range(SETS) if not s & bit)
+        entries.append(f"{bit}, {' + '.join(terms)}")
+    return f"map({', '.join(entries)})"
 
 
 def audit_sql() -> str:
