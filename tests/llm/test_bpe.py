@@ -85,3 +85,13 @@ def test_decoding_null_and_empty_ids(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, [31373, 995]), (4, None), (5, [0])], "doc_id long, ids array<int>")
     rows = {r.doc_id: bytes(r.decoded) for r in bpe.decode(df, PATH, P.PATTERN).collect()}
     assert rows == {1: b"", 2: b"", 3: b"hello world", 4: b"", 5: b"!"}
+
+
+def test_round_trip_in_one_task(spark):
+    texts = [None, "", "a b  c\n", "é😀 ñandú", "x" * 5000, "word " * 3000, "\x00�"]
+    df = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, ids string").repartition(2)
+    path, pattern = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    apart = {r.doc_id: (r.ids, r.decoded) for r in bpe.decode(bpe.encode(df, path, pattern), path, pattern).collect()}
+    both = {r.doc_id: (r.ids, r.decoded) for r in bpe.round_trip(df, path, pattern).collect()}
+    assert both == apart and {i: bytes(d) for i, (_, d) in both.items()} == {i: (t or "").encode() for i, t in enumerate(texts)}
+    assert bpe.round_trip(df.limit(0), path, pattern).count() == 0
