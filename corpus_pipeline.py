@@ -41,7 +41,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token ids of every text, none for null, and whether they decode to it again."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select(F.struct("doc_id", "lang", "source", "n_chars", "text").alias("row"), "text")
-    both = bpe.decode(bpe.encode(rows, path, pattern, "row"), path, pattern)
+    both = bpe.round_trip(rows, path, pattern, "row")
     return both.select("row.doc_id", "row.lang", "row.source", "row.n_chars", F.size("ids").cast("long").alias("n_tokens"),
                        "ids", (F.col("decoded") == F.coalesce("row.text", F.lit("")).cast("binary")).alias("decodes"))
 
