@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -23,6 +24,9 @@ ENTITY_FIELDS = ["name", "description", "price", "released", "maker", "publisher
 RATING_FIELDS = ["positive", "negative", "positive_pct", "label"]
 SNAPSHOT_FIELDS = ["current_count", "peak_count", "total_ratings"]
 TEXT_LENGTH = 255
+# What a load numbers on from the highest number there is.
+ID_COLUMNS = {"entity": "entity_id", "category": "category_id", "snapshot": "snapshot_id", "rating": "rating_id",
+              "audit": "audit_id"}
 
 
 @dataclass(frozen=True)
@@ -79,18 +83,22 @@ def load(lake: Lake, raw: Feeds, batch: str, as_of=None, top_n: int = 100, user:
     valid, rejected = checked.where("reasons IS NULL").drop("reasons"), checked.where("reasons IS NOT NULL")
     newest = _kept(changes.last_by_key(valid, ["external_id"], [POLL, "position"]))
 
+    start = lake.highest(ID_COLUMNS, batch)
     entities = _merged(lake, "entity", batch, newest.select("external_id", *ENTITY_FIELDS), ["external_id"], ENTITY_FIELDS,
-                       "entity_id", moment, "created_at", "updated_at")
+                       "entity_id", start, moment, "created_at", "updated_at")
+    # the ids are used after the table has changed
+    entities = replace(entities, rows=_kept(entities.rows))
     ids = entities.rows.where(F.col(changes.ACTION) != changes.KEEP).select("external_id", "entity_id", changes.ACTION)
     known = ids.select("external_id", "entity_id")
-    readings = _readings(lake, batch, valid.join(known, "external_id"))
+    readings = _readings(valid.join(known, "external_id"), start["snapshot"])
     if audited:
-        _log(lake, batch, entities, readings, moment, user, database, collation)
+        _log(lake, batch, entities, readings, start["audit"], moment, user, database, collation)
     entities.write()
 
     named = newest.select("external_id", F.explode("categories").alias("category_name"))
     present = lake.earlier("category", batch)
-    added = _kept(changes.new_dimension_rows(present.drop(BATCH), named, "category_id", "category_name", collation=collation))
+    added = changes.new_dimension_rows(present.drop(BATCH), named, "category_id", "category_name", collation=collation,
+                                       start_id=start["category"])
     lake.add("category", added, batch)
     pairs = _category_pairs(named.join(known, "external_id"), present.drop(BATCH).unionByName(added), collation)
     touched = lake.touched("bridge", known)
@@ -101,7 +109,7 @@ def load(lake: Lake, raw: Feeds, batch: str, as_of=None, top_n: int = 100, user:
     # an item without an answer in its last poll keeps what it had
     answered = changes.last_by_key(valid.where("rated"), ["external_id"], [POLL, "position"])
     votes = answered.join(known, "external_id").select("entity_id", *RATING_FIELDS)
-    _merged(lake, "rating", batch, votes, ["entity_id"], RATING_FIELDS, "rating_id").write()
+    _merged(lake, "rating", batch, votes, ["entity_id"], RATING_FIELDS, "rating_id", start).write()
 
     bad = feeds.unreadable_details(details).select("external_id", POLL, "reasons")
     lake.add("quarantine", rejected.select("external_id", POLL, "reasons").unionByName(bad), batch)
@@ -119,7 +127,7 @@ class Merged:
     rows: DataFrame
 
     def write(self) -> None:
-        self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets, settled=True)
+        self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets)
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -129,22 +137,19 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def _merged(lake: Lake, table: str, batch: str, source: DataFrame, keys: list[str], fields: list[str], id_col: str,
-            *stamps) -> Merged:
-    source = _kept(source)
+            start: Mapping[str, int], *stamps) -> Merged:
     buckets = lake.touched(table, source)
     before = lake.earlier(table, batch, buckets)
-    rows = changes.merge(before, source, keys, fields, id_col, *stamps, start_id=lake.highest(table, id_col, batch))
+    rows = changes.merge(before, source, keys, fields, id_col, *stamps, start_id=start[table])
     inserted = F.col(changes.ACTION) == changes.INSERT
-    return Merged(lake, table, buckets, before, _kept(
-        rows.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN)))))
+    return Merged(lake, table, buckets, before,
+                  rows.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))))
 
 
-def _readings(lake: Lake, batch: str, valid: DataFrame) -> DataFrame:
+def _readings(valid: DataFrame, start: int) -> DataFrame:
     """The numbered readings of every poll."""
     rows = with_valid_peak(valid).select("entity_id", "position", *SNAPSHOT_FIELDS, F.col(POLL).alias("recorded_at"))
-    numbered = dense_ids(rows, ["recorded_at", "position", "entity_id"], "snapshot_id",
-                         lake.highest("snapshot", "snapshot_id", batch))
-    return numbered.drop("position")
+    return dense_ids(rows, ["recorded_at", "position", "entity_id"], "snapshot_id", start).drop("position")
 
 
 def _one_answer(raw: DataFrame) -> DataFrame:
@@ -162,7 +167,7 @@ def _category_pairs(named: DataFrame, categories: DataFrame, collation: str | No
     return wanted.join(categories, folded("__wanted") == folded("category_name")).select("entity_id", "category_id")
 
 
-def _log(lake: Lake, batch: str, entities: Merged, readings: DataFrame, moment, user: str, database: str,
+def _log(lake: Lake, batch: str, entities: Merged, readings: DataFrame, start: int, moment, user: str, database: str,
          collation: str | None) -> None:
     """Log the inserted and the updated entities and the new readings, each row with its own changed fields.
 
@@ -174,30 +179,30 @@ def _log(lake: Lake, batch: str, entities: Merged, readings: DataFrame, moment,
     action = F.col(changes.ACTION)
     inserted, updated = (entities.rows.where(action == a) for a in (changes.INSERT, changes.UPDATE))
     before = entities.before.join(updated.select("entity_id"), "entity_id", "left_semi")
-    start = lake.highest("audit", "audit_id", batch)
 
     def images(number: int, first: DataFrame, second: DataFrame, key: str, tracked, table: str) -> DataFrame:
         columns = lake.tables[table].schema.fieldNames()
         return audit_rows(first.select(*columns), second.select(*columns), key, tracked, table, database, moment, user,
                           collation=collation, audit_id=start + number)
 
-    rows = _kept(reduce(DataFrame.unionByName, [
+    lake.add("audit_row", reduce(DataFrame.unionByName, [
         images(1, inserted.limit(0), inserted, "entity_id", ENTITY_FIELDS, "entity"),
         images(2, before, updated, "entity_id", ENTITY_FIELDS, "entity"),
         images(3, readings.limit(0), readings, "snapshot_id", SNAPSHOT_FIELDS, "snapshot"),
-    ]))
-    lake.add("audit_row", rows, batch)
-    lake.add("audit", audit_headers(rows, [*ENTITY_FIELDS, *SNAPSHOT_FIELDS]), batch)
+    ]), batch)
+    written = lake.rows("audit_row").where(F.col(BATCH) == batch)
+    lake.add("audit", audit_headers(written, [*ENTITY_FIELDS, *SNAPSHOT_FIELDS]), batch)
 
 
 def _tally(ranking: DataFrame, checked: DataFrame, ids: DataFrame, categories: DataFrame) -> DataFrame:
     """One row of counts; every valid row is a reading."""
-    ranked = ranking.agg(F.count(F.lit(1)).alias("ranked"))
-    assembled = checked.agg(F.count(F.lit(1)).alias("assembled"), F.count("reasons").alias("rejected"))
-    done = ids.agg(*[F.count_if(F.col(changes.ACTION) == a).alias(a) for a in (changes.UPDATE, changes.INSERT)])
-    named = categories.agg(F.count(F.lit(1)).alias("named"))
-    spark = ids.sparkSession
-    row = {k: v for df in (ranked, assembled, done, named) for k, v in df.first().asDict().items()}
+    one = F.count(F.lit(1)).cast("long")
+    counts = {
+        "ranked": (ranking, one), "assembled": (checked, one), "rejected": (checked, F.count("reasons")), "named": (categories, one),
+        **{a: (ids, F.count_if(F.col(changes.ACTION) == a)) for a in (changes.UPDATE, changes.INSERT)},
+    }
+    rows = [df.agg(count.alias("rows")).select(F.lit(name).alias("name"), "rows") for name, (df, count) in counts.items()]
+    row, spark = {r["name"]: r["rows"] for r in reduce(DataFrame.unionByName, rows).collect()}, ids.sparkSession
     loaded = row["assembled"] - row["rejected"]
     return spark.createDataFrame(
         [(loaded, row["ranked"] - row["assembled"], row["rejected"], row[changes.UPDATE], row[changes.INSERT], loaded,

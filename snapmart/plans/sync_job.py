@@ -89,7 +89,7 @@ def sync_digests(source: Lake, copy: Lake, tables: Sequence[str]) -> DataFrame:
             raise ValueError(f"{table} has not the same buckets on both sides")
         unequal = differing_buckets(source.digests(table), copy.digests(table))
         if unequal:
-            copy.rewrite(table, source.rows(table, unequal).drop(ADDED_IN), unequal, settled=True)
+            copy.rewrite(table, source.rows(table, unequal).drop(ADDED_IN), unequal)
         results.append((table, spec.buckets, len(unequal)))
     return source.spark.createDataFrame(results, "table_name string, buckets long, unequal_buckets long")
 
@@ -123,7 +123,7 @@ def _put(lake: Lake, table: str, batch: str, rows: DataFrame, keys: list[str], k
     merged = changes.merge(lake.earlier(table, batch, touched), sent, keys, others)
     inserted = F.col(changes.ACTION) == changes.INSERT
     done = merged.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))).checkpoint()
-    lake.rewrite(table, done.drop(changes.ACTION), touched, settled=True)
+    lake.rewrite(table, done.drop(changes.ACTION), touched)
     counts = {r[changes.ACTION]: r["count"] for r in done.groupBy(changes.ACTION).count().collect()}
     return counts.get(changes.INSERT, 0), counts.get(changes.UPDATE, 0)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,9 +105,11 @@ class Lake:
         mark = ADDED_IN if isinstance(self.tables[table], Keyed) else BATCH
         return self.rows(table, buckets).where(F.col(mark).isNull() | (F.col(mark) != batch))
 
-    def highest(self, table: str, column: str, batch: str) -> int:
-        """The highest number in ``column`` but for those of this batch, 0 if there is none."""
-        return self.earlier(table, batch).agg(F.coalesce(F.max(column), F.lit(0)).alias("m")).first()["m"]
+    def highest(self, columns: Mapping[str, str], batch: str) -> dict[str, int]:
+        """For each table the highest number in a column but for those of this batch, 0 if there is none; one job."""
+        found = [self.earlier(t, batch).agg(F.max(c).cast("long").alias("m")).select(F.lit(t).alias("t"), "m")
+                 for t, c in columns.items()]
+        return {r["t"]: r["m"] or 0 for r in reduce(DataFrame.unionByName, found).collect()}
 
     def touched(self, table: str, changes: DataFrame) -> list[int]:
         """Buckets that hold the keys of ``changes``: at most the number of buckets."""
@@ -116,10 +119,11 @@ class Lake:
         spec = self.tables[table]
         return (F.pmod(F.xxhash64(spec.key), F.lit(spec.buckets)) if spec.place is None else spec.place()).cast("int")
 
-    def rewrite(self, table: str, rows: DataFrame, buckets: Sequence[int] | None = None, settled: bool = False) -> None:
-        """New content of some buckets, or of all; ``rows`` may come from the table itself and are worked out first.
+    def rewrite(self, table: str, rows: DataFrame, buckets: Sequence[int] | None = None) -> None:
+        """New content of some buckets, or of all.
 
-        ``settled`` rows do not come from the table, or are worked out already. Rows without ADDED_IN get none. A bucket without rows gets one row without a key, since only folders that
+        ``rows`` may come from the table itself: the new files are put in place when all of them are written. What
+        was read from the table before must not be used again, since it would be read anew. Rows without ADDED_IN get none. A bucket without rows gets one row without a key, since only folders that
         are written are overwritten.
         """
         spec = self.tables[table]
@@ -131,7 +135,8 @@ class Lake:
         marks = numbers.select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields], F.lit(None).cast("string").alias(ADDED_IN), BUCKET)
         dealt = placed.unionByName(marks).hint("rebalance", BUCKET)
-        if spec.digested or not settled:
+        if spec.digested:
+            # used twice
             ensure_checkpoint_dir(self.spark)
             dealt = dealt.checkpoint()
         self._write(table, dealt, [BUCKET])

@@ -79,7 +79,7 @@ def deltas_into(spec: Readings):
         others = stored.join(affected, pair, "left_anti")
         lake.rewrite(READINGS, others.unionByName(worked.select(*others.columns)), days)
         # behind the readings: a batch that dies between the two works the same days out again
-        lake.rewrite(ENDS, ends, buckets, settled=True)
+        lake.rewrite(ENDS, ends, buckets)
 
     return work
 

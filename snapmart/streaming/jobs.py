@@ -112,7 +112,7 @@ def stream_changes(source: DataFrame, lake: Lake, checkpoint: str, table: str, o
         after = last.where(F.col(KIND) == PUT).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
         if lake.rows("audit").where((F.col(BATCH) == batch) & (F.col("table_name") == table)).isEmpty():
             touched_rows = audit_rows(before, after, spec.key, tracked, table, database, as_of, user, collation=collation,
-                                      audit_id=lake.highest("audit", "audit_id", batch))
+                                      audit_id=lake.highest({"audit": "audit_id"}, batch)["audit"])
             kind = F.col("operation")
             number = F.when(kind == "INSERT", 1).when(kind == "UPDATE", 2).otherwise(3)
             logged = _kept(touched_rows.where((kind != "UPDATE") | F.col("changed_fields").isNotNull())
@@ -130,7 +130,7 @@ def stream_audit(source: DataFrame, lake: Lake, checkpoint: str, key: str, track
                  trigger: dict | None = None) -> StreamingQuery:
     """Log every micro-batch of rows that are only ever inserted; ``stream_changes`` logs changes of all kinds."""
     def log(rows: DataFrame, lake: Lake, batch: str) -> None:
-        number = lake.highest("audit", "audit_id", batch) + 1
+        number = lake.highest({"audit": "audit_id"}, batch)["audit"] + 1
         logged = _kept(audit_rows(rows.limit(0), rows, key, tracked, table, database, as_of, user, audit_id=number))
         lake.add("audit_row", logged, batch)
         lake.add("audit", audit_headers(logged, tracked), batch)

@@ -12,10 +12,11 @@ from snapmart.operators import distinct, latest
 from snapmart.plans.sync_job import sync_digests
 from snapmart.schema import RATING, SNAPSHOT
 from snapmart.sources.bucketed import read_bucketed, save_bucketed, sorted_deltas
+from snapmart.sources.clustered import look_up, save_clustered
 from snapmart.sources.lake import Keyed, Lake
 from snapmart.streaming import jobs
 from snapmart.streaming.deltas import Readings, deltas_into
-from snapmart_checks.base import REGISTRY, ROLE_COLUMNS, check, row_text, row_text_sql
+from snapmart_checks.base import REGISTRY, ROLE_COLUMNS, check, num, row_text, row_text_sql
 from snapmart_checks.operators import MEASURES
 from snapmart_checks.stores import new_folder
 
@@ -71,6 +72,27 @@ def distinct_in_all(spark, sf_dir):
     return distinct.counted(distinct.merged(_day_maps(spark, sf_dir)), name="entities")
 
 
+@check("look_up_readings", """
+    SELECT snapshot_id, entity_id, current_count, recorded_at FROM snapshot
+    WHERE entity_id = 3 AND recorded_at >= TIMESTAMP '2024-01-05 00:00:00' AND recorded_at < TIMESTAMP '2024-01-25 00:00:00'""",
+       ("snapshot",))
+def look_up_readings(spark, sf_dir):
+    path = new_folder(spark)
+    save_clustered(role(spark, sf_dir, "snapshot"), path, ["entity_id", "recorded_at"], 8)
+    found = look_up(spark.read.parquet(path), "entity_id", 3, "recorded_at", "2024-01-05 00:00:00", "2024-01-25 00:00:00")
+    return found.select("snapshot_id", "entity_id", "current_count", "recorded_at")
+
+
+@check("look_up_entity", f"""
+    SELECT entity_id, name, {num('price')} FROM entity WHERE description = (SELECT max(description) FROM entity)""", ("entity",))
+def look_up_entity(spark, sf_dir):
+    """An entity by a text that stands anywhere in the table."""
+    path, rows = new_folder(spark), role(spark, sf_dir, "entity")
+    save_clustered(rows, path, ["entity_id"], 4, {"description": 100_000})
+    wanted = rows.agg(F.max("description")).first()[0]
+    return look_up(spark.read.parquet(path), "description", wanted).select("entity_id", "name", "price")
+
+
 READINGS = Readings(SNAPSHOT, "snapshot_id", "entity_id", tuple(ORDER), tuple(MEASURES))
 
 
@@ -99,11 +121,11 @@ def differing_lakes(spark: SparkSession, sf_dir: str) -> tuple[Lake, Lake]:
     folder, spec = new_folder(spark), {"rating": Keyed(RATING, "entity_id", _BUCKETS, digested=True)}
     source, copy = (Lake(spark, f"{folder}/{n}", spec) for n in ("source", "copy"))
     rows = role(spark, sf_dir, "rating")
-    source.rewrite("rating", rows, settled=True)
+    source.rewrite("rating", rows)
     odd = rows.where(_ODD)
     changed = odd.where("entity_id % 2 = 0").withColumn("positive", F.col("positive") + 5)
     extra = odd.withColumns({"entity_id": -F.col("entity_id"), "rating_id": -F.col("rating_id")})
-    copy.rewrite("rating", rows.where(f"NOT ({_ODD})").unionByName(changed).unionByName(extra), settled=True)
+    copy.rewrite("rating", rows.where(f"NOT ({_ODD})").unionByName(changed).unionByName(extra))
     return source, copy
 
 

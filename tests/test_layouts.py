@@ -13,6 +13,7 @@ from snapmart.operators.history import deltas
 from snapmart.plans.sync_job import sync_digests
 from snapmart.schema import RATING, SNAPSHOT
 from snapmart.sources.bucketed import read_bucketed, save_bucketed, sorted_deltas
+from snapmart.sources.clustered import look_up, save_clustered
 from snapmart.sources.lake import Keyed, Lake
 from snapmart.streaming.deltas import Readings, deltas_into
 from snapmart_checks import layouts
@@ -168,3 +169,39 @@ def test_a_micro_batch_of_deltas_that_died_is_run_again(spark, tmp_path):
     work(spark.createDataFrame(rows[30:], SNAPSHOT), lake, "b")
     want = deltas(spark.createDataFrame(rows, SNAPSHOT), "entity_id", ["recorded_at", "snapshot_id"], ["current_count", "total_ratings"])
     assert sorted(map(tuple, lake.read("reading_delta").select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def rows_read(df):
+    """Rows that the scans of a query gave, and the rows of the result."""
+    got = len(df.collect())
+    plan, total, todo = df._jdf.queryExecution().executedPlan(), 0, []
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        if "Scan" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            total += node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total, got
+
+
+def test_look_ups_read_few_rows(spark, tmp_path):
+    n, path = 200_000, str(tmp_path / "t")
+    df = spark.range(0, n, 1, 4).select(
+        (F.col("id") * 7919 % 1000).alias("k"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("t"),
+        F.md5(F.col("id").cast("string")).alias("name"))
+    save_clustered(df, path, ["k", "t"], 8, {"name": 20_000}, row_group_bytes=256 * 1024)
+    stored = spark.read.parquet(path)
+    assert rows_read(stored) == (n, n)
+    read, got = rows_read(look_up(stored, "k", 77))
+    assert got == 200 and read <= n / 8
+    read, got = rows_read(look_up(stored, "k", 77, "t", "1970-01-01 05:00:00", "1970-01-01 06:00:00"))
+    assert 0 < got < 200 and read <= n / 8
+    # the name stands anywhere: only Bloom filters can leave row groups out
+    wanted = df.where("k = 500").first()["name"]
+    read, got = rows_read(look_up(stored, "name", wanted))
+    assert got == 1 and read <= n / 4
+    read, got = rows_read(look_up(stored, "name", "no such name"))
+    assert got == 0 and read <= n / 10
