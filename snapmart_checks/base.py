@@ -42,7 +42,9 @@ def check(name: str, sql: str | None = None, roles: Sequence[str] = ()):
     """Register a function of (spark, sf_dir); ``sql`` may use the named roles as tables."""
     text = sql
     if sql is not None and roles:
-        text = "WITH " + ",\n".join(f"{r} AS ({driver_tables.role_sql(r)})" for r in roles) + "\n" + sql
+        own = sql.strip()
+        rest = f",\n{own[5:]}" if own.startswith("WITH ") else f"\n{sql}"
+        text = "WITH " + ",\n".join(f"{r} AS ({driver_tables.role_sql(r)})" for r in roles) + rest
 
     def register(run):
         REGISTRY[name] = Check(lambda spark, sf_dir: plain(run(spark, sf_dir)), text)
