@@ -105,3 +105,19 @@ def test_sample_is_bounded_and_counts_are_whole(spark, sf_dir, monkeypatch):
     kept = [r for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
     assert asked["sizes"] == (5, 5)
     assert asked["counts"] == (sum(r.quality == 1 for r in kept), sum(r.quality == 0 for r in kept))
+
+
+def test_every_labelled_document_takes_part(spark):
+    """More of each label than any sample held, and few of one label: the figures of all give means and limit."""
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 9 > 3), " ".join("ab" if x else "AB#" for x in rng.random(12) < (0.6 if i % 9 > 3 else 0.45)))
+            for i in range(9000)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    for kept in (rows, [r for r in rows if r[1] or r[0] % 300 == 0]):
+        labels = spark.createDataFrame([(i, q) for i, q, _ in kept], "doc_id long, quality int")
+        model = learn(docs, labels)
+        taught = [(q, features(t)) for i, q, t in kept if zlib.crc32(str(i).encode()) % 4 != 2]
+        figures, bad = np.array([f for _, f in taught]), sum(q == 0 for q, _ in taught)
+        assert np.allclose(model.means, figures.mean(axis=0), atol=1e-9)
+        raw = np.sort(preference.standard(figures, model) @ np.array(model.weights))
+        assert abs(model.limit - (raw[bad - 1] + raw[bad]) / 2) < 1e-9
