@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.operators.filters import filter_above, filter_at_least, filter_between
@@ -51,24 +51,31 @@ def top_entities(t: Tables, collation: str | None = None) -> DataFrame:
 def category_figures(t: Tables, how: str) -> DataFrame:
     """Per category of the bridge: number of entities, mean price, mean and best rating.
 
-    Prices and ratings are looked up and combined per category separately. Each
-    lookup is a single join of the bridge, which Spark can split if an entity
-    has very many categories, and a category that holds a third of the bridge
-    sends one row per map task. Entities are counted once however often a pair
-    stands in the bridge.
+    The bridge is shuffled and sorted by entity once, for both look-ups and for telling repeated pairs: entities are
+    counted once however often a pair stands in the bridge. So no task keeps a set of pairs, the sort can go to disk,
+    and a category that holds a third of the bridge sends one row per task.
     """
     r = t.roles
-    # the same rows for both lookups, so that they are shuffled once
-    pairs = t.bridge.select(r.entity_id, r.category_id).where(F.col(r.entity_id).isNotNull())
-    prices = pairs.join(t.entity.select(r.entity_id, r.price), r.entity_id, how).groupBy(r.category_id).agg(
-        F.count_distinct(r.entity_id).alias("entities"),
-        F.avg(r.price).cast("decimal(10,2)").alias("mean_price"),
-    )
-    ratings = pairs.join(t.rating.select(r.entity_id, r.positive_pct), r.entity_id, "left").groupBy(r.category_id).agg(
-        F.avg(r.positive_pct).cast("decimal(5,2)").alias("mean_rating"),
+
+    def numbered(df: DataFrame, column: str, number: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(r.entity_id).orderBy(r.entity_id))
+        return df.select(r.entity_id, column).withColumn(number, nth)
+
+    before = F.lag(r.category_id).over(Window.partitionBy(r.entity_id).orderBy(r.category_id))
+    pairs = t.bridge.select(r.entity_id, r.category_id).where(
+        F.col(r.entity_id).isNotNull() & F.col(r.category_id).isNotNull()).withColumn("__before", before)
+    looked_up = (
+        pairs.join(numbered(t.entity, r.price, "__price"), r.entity_id, how)
+        .join(numbered(t.rating, r.positive_pct, "__rating"), r.entity_id, "left"))
+    # a price or rating that stands there twice must not multiply the others
+    one_price, one_rating = (F.coalesce(c, F.lit(1)) == 1 for c in ("__price", "__rating"))
+    new = F.col("__before").isNull() | (F.col("__before") != F.col(r.category_id))
+    return looked_up.groupBy(r.category_id).agg(
+        F.count_if(new & one_price & one_rating).alias("entities"),
+        F.avg(F.when(one_rating, F.col(r.price))).cast("decimal(10,2)").alias("mean_price"),
+        F.avg(F.when(one_price, F.col(r.positive_pct))).cast("decimal(5,2)").alias("mean_rating"),
         F.max(r.positive_pct).cast("decimal(5,2)").alias("best_rating"),
     )
-    return prices.join(ratings, r.category_id, "left")
 
 
 def by_category(t: Tables) -> DataFrame:

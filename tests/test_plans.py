@@ -125,6 +125,18 @@ def test_doubled_pairs_and_ratings_are_counted_once(spark):
     assert {r["category_id"]: r["entities"] for r in catalog.by_category(doubled).collect()} == want
 
 
+def test_category_figures_keep_no_set_of_pairs(spark, no_broadcast):
+    """The bridge is sorted by entity; only the categories themselves are hashed."""
+    t = driver_tables.tables(spark, SF_DIR)
+    stored = t.bridge.localCheckpoint()
+    plan = plan_of(catalog.by_category(Tables(t.entity, t.category, stored, t.snapshot, t.rating)))
+    assert not re.search(r"HashAggregate\(keys=\[category_id#\d+L?, entity_id#", plan)
+    assert not re.search(r"HashAggregate\(keys=\[entity_id#\d+L?, category_id#", plan)
+    doubled = Tables(t.entity.unionByName(t.entity), t.category, stored.unionByName(stored), t.snapshot,
+                     t.rating.unionByName(t.rating))
+    assert sorted(catalog.by_category(doubled).collect()) == sorted(catalog.by_category(t).collect())
+
+
 def test_lists_are_cut_before_names_are_looked_up(spark, no_broadcast):
     for name in ("report_top_now", "top_now", "report_movers"):
         plan = plan_of(QUERIES[name](spark, SF_DIR))
