@@ -8,10 +8,13 @@ row by row, so that a role costs no more than reading its tables.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.roles import Tables
+from snapmart.session import shuffle_partitions
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -168,11 +171,17 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One role as a DataFrame."""
+def dealt(table: DataFrame, key: str) -> DataFrame:
+    """A table of few bytes but many rows, which one or two tasks would read, dealt over all of them."""
+    return table.repartition(shuffle_partitions(table.sparkSession), key)
+
+
+def role(spark: SparkSession, sf_dir: str, name: str, deal: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
+    """One role as a DataFrame; ``deal`` names tables to be ``dealt``, each with its key."""
     text = SQL[name].replace("TIMESTAMP '", "TIMESTAMP_NTZ '").replace("{div}", "div")
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: driver_table(spark, sf_dir, t) for t in used})
+    read = {t: driver_table(spark, sf_dir, t) for t in used}
+    return spark.sql(text, **{t: dealt(df, deal[t]) if t in deal else df for t, df in read.items()})
 
 
 def role_sql(name: str) -> str:

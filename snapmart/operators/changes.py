@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions import scalars
@@ -85,12 +85,13 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` as it is; fails when it is read if a key is there twice."""
-    others = [c for c in source.columns if c not in keys]
-    row = F.struct(F.lit(True).alias("__any"), *others)
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.any_value(row).alias("__row"))
-    checked = F.when(F.col("__rows") > 1, F.raise_error(F.lit(f"a key is twice in the source: {', '.join(keys)}"))).otherwise(F.col("__row"))
-    return grouped.select(*keys, checked.alias("__row")).select(*keys, *[F.col("__row")[c].alias(c) for c in others])
+    """``source`` as it is; fails when it is read if a key is there twice.
+
+    The window takes the order that the joins by these keys need as well.
+    """
+    twice = F.raise_error(F.lit(f"a key is twice in the source: {', '.join(keys)}")).cast("boolean")
+    counted = source.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return counted.where(F.when(F.col("__rows") > 1, twice).otherwise(F.lit(True))).drop("__rows")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str], as_of=None,

@@ -14,7 +14,6 @@ from snapmart.functions import scalars
 from snapmart.operators import changes, quality
 from snapmart.operators.audit import audit_headers, audit_rows
 from snapmart.operators.skew import dense_ids
-from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources import feeds
 from snapmart.sources.lake import ADDED_IN, BATCH, Lake
 from snapmart.sources.tables import with_valid_peak
@@ -77,17 +76,19 @@ def load(lake: Lake, raw: Feeds, batch: str, as_of=None, top_n: int = 100, user:
     """
     moment = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
     ranking = feeds.read_ranking(raw.ranking, top_n)
-    details = _one_answer(raw.details)
-    answers = feeds.read_details(details), feeds.read_ratings(_one_answer(raw.ratings)), feeds.read_current(_one_answer(raw.current))
-    checked = _kept(quality.with_reasons(feeds.assemble(ranking, *answers, POLL), load_rules()))
+    # read for the rows and for what is unreadable
+    documents = lake.keep("load_documents", feeds.all_details(_one_answer(raw.details)))
+    details = documents.where("success").drop("success", "reasons", "fetched_id")
+    answers = details, feeds.read_ratings(_one_answer(raw.ratings)), feeds.read_current(_one_answer(raw.current))
+    checked = lake.keep("load_checked", quality.with_reasons(feeds.assemble(ranking, *answers, POLL), load_rules()))
     valid, rejected = checked.where("reasons IS NULL").drop("reasons"), checked.where("reasons IS NOT NULL")
-    newest = _kept(changes.last_by_key(valid, ["external_id"], [POLL, "position"]))
+    newest = lake.keep("load_newest", changes.last_by_key(valid, ["external_id"], [POLL, "position"]))
 
     start = lake.highest(ID_COLUMNS, batch)
     entities = _merged(lake, "entity", batch, newest.select("external_id", *ENTITY_FIELDS), ["external_id"], ENTITY_FIELDS,
                        "entity_id", start, moment, "created_at", "updated_at")
     # the ids are used after the table has changed
-    entities = replace(entities, rows=_kept(entities.rows))
+    entities = replace(entities, rows=lake.keep("load_entities", entities.rows))
     ids = entities.rows.where(F.col(changes.ACTION) != changes.KEEP).select("external_id", "entity_id", changes.ACTION)
     known = ids.select("external_id", "entity_id")
     readings = _readings(valid.join(known, "external_id"), start["snapshot"])
@@ -108,10 +109,10 @@ def load(lake: Lake, raw: Feeds, batch: str, as_of=None, top_n: int = 100, user:
 
     # an item without an answer in its last poll keeps what it had
     answered = changes.last_by_key(valid.where("rated"), ["external_id"], [POLL, "position"])
-    votes = answered.join(known, "external_id").select("entity_id", *RATING_FIELDS)
+    votes = lake.keep("load_votes", answered.join(known, "external_id").select("entity_id", *RATING_FIELDS))
     _merged(lake, "rating", batch, votes, ["entity_id"], RATING_FIELDS, "rating_id", start).write()
 
-    bad = feeds.unreadable_details(details).select("external_id", POLL, "reasons")
+    bad = documents.where("reasons IS NOT NULL").select(F.col("fetched_id").alias("external_id"), POLL, "reasons")
     lake.add("quarantine", rejected.select("external_id", POLL, "reasons").unionByName(bad), batch)
     return _tally(ranking, checked, ids, added)
 
@@ -130,12 +131,6 @@ class Merged:
         self.lake.rewrite(self.table, self.rows.drop(changes.ACTION), self.buckets)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` worked out once and read back from the shared folder, whatever happens to what it came from."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _merged(lake: Lake, table: str, batch: str, source: DataFrame, keys: list[str], fields: list[str], id_col: str,
             start: Mapping[str, int], *stamps) -> Merged:
     buckets = lake.touched(table, source)
@@ -196,13 +191,15 @@ def _log(lake: Lake, batch: str, entities: Merged, readings: DataFrame, start: i
 
 def _tally(ranking: DataFrame, checked: DataFrame, ids: DataFrame, categories: DataFrame) -> DataFrame:
     """One row of counts; every valid row is a reading."""
-    one = F.count(F.lit(1)).cast("long")
-    counts = {
-        "ranked": (ranking, one), "assembled": (checked, one), "rejected": (checked, F.count("reasons")), "named": (categories, one),
-        **{a: (ids, F.count_if(F.col(changes.ACTION) == a)) for a in (changes.UPDATE, changes.INSERT)},
-    }
-    rows = [df.agg(count.alias("rows")).select(F.lit(name).alias("name"), "rows") for name, (df, count) in counts.items()]
-    row, spark = {r["name"]: r["rows"] for r in reduce(DataFrame.unionByName, rows).collect()}, ids.sparkSession
+    one = F.count(F.lit(1))
+    # each frame is read once
+    counts = [
+        (ranking, {"ranked": one}), (checked, {"assembled": one, "rejected": F.count("reasons")}), (categories, {"named": one}),
+        (ids, {a: F.count_if(F.col(changes.ACTION) == a) for a in (changes.UPDATE, changes.INSERT)}),
+    ]
+    rows = [df.agg(F.map_from_arrays(F.array(*map(F.lit, wanted)), F.array(*wanted.values())).alias("rows")) for df, wanted in counts]
+    found = reduce(DataFrame.unionByName, rows).select(F.explode("rows").alias("name", "rows"))
+    row, spark = {r["name"]: r["rows"] for r in found.collect()}, ids.sparkSession
     loaded = row["assembled"] - row["rejected"]
     return spark.createDataFrame(
         [(loaded, row["ranked"] - row["assembled"], row["rejected"], row[changes.UPDATE], row[changes.INSERT], loaded,

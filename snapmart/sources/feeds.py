@@ -52,10 +52,11 @@ def read_details(raw: DataFrame) -> DataFrame:
     """Successful entries, flattened; ``categories`` stays an array."""
     keep = _kept(raw)
     entries = raw.select(*keep, F.explode(_parsed(_DETAILS)).alias("external_id", "entry")).where("entry.success")
-    data = F.col("entry.data")
-    return entries.select(
-        *keep,
-        F.col("external_id").try_cast("long").alias("external_id"),
+    return entries.select(*keep, F.col("external_id").try_cast("long").alias("external_id"), *_flattened(F.col("entry.data")))
+
+
+def _flattened(data: Column) -> list[Column]:
+    return [
         scalars.strip(F.coalesce(data["name"], F.lit(""))).alias("name"),
         F.coalesce(data["short_description"], F.lit("")).alias("description"),
         scalars.cents_to_price(data["price_overview"]["final"]).alias("price"),
@@ -63,7 +64,7 @@ def read_details(raw: DataFrame) -> DataFrame:
         scalars.joined(data["developers"]).alias("maker"),
         scalars.joined(data["publishers"]).alias("publisher"),
         F.coalesce(data["genres"]["description"], F.array().cast("array<string>")).alias("categories"),
-    )
+    ]
 
 
 def unreadable_details(raw: DataFrame) -> DataFrame:
@@ -73,9 +74,25 @@ def unreadable_details(raw: DataFrame) -> DataFrame:
     """
     keep = [*_kept(raw), "external_id"]
     entries = raw.select(*keep, F.explode_outer(_parsed(_DETAILS)).alias("__key", "__entry"))
-    reason = F.when(F.col("__key").isNull(), "details_readable").when(
-        F.col("__key").try_cast("long").isNull(), "details_key_readable")
-    return entries.select(*keep, reason.alias("reasons")).where(F.col("reasons").isNotNull())
+    return entries.select(*keep, _unreadable("__key").alias("reasons")).where(F.col("reasons").isNotNull())
+
+
+def _unreadable(key: str) -> Column:
+    return F.when(F.col(key).isNull(), "details_readable").when(F.col(key).try_cast("long").isNull(), "details_key_readable")
+
+
+def all_details(raw: DataFrame) -> DataFrame:
+    """The rows of ``read_details``, with ``success``, and those of ``unreadable_details``, with ``reasons``, from one parse.
+
+    A document whose key is no number may be both. ``fetched_id`` is the ``external_id`` of the fetch.
+    """
+    keep = _kept(raw)
+    entries = raw.select(*keep, F.col("external_id").alias("fetched_id"),
+                         F.explode_outer(_parsed(_DETAILS)).alias("__key", "__entry"))
+    return entries.select(
+        *keep, "fetched_id", F.col("__key").try_cast("long").alias("external_id"), *_flattened(F.col("__entry.data")),
+        F.coalesce("__entry.success", F.lit(False)).alias("success"), _unreadable("__key").alias("reasons"),
+    ).where(F.col("success") | F.col("reasons").isNotNull())
 
 
 def read_ratings(raw: DataFrame) -> DataFrame:

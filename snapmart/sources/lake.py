@@ -111,6 +111,16 @@ class Lake:
                  for t, c in columns.items()]
         return {r["t"]: r["m"] or 0 for r in reduce(DataFrame.unionByName, found).collect()}
 
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` worked out once and read back, whatever happens to what they came from.
+
+        They lie in columns beside the tables, so what uses a few of them reads no more. The next batch that keeps
+        rows by this name takes their place.
+        """
+        path = f"{self.root}/kept_rows/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def touched(self, table: str, changes: DataFrame) -> list[int]:
         """Buckets that hold the keys of ``changes``: at most the number of buckets."""
         return sorted(r[BUCKET] for r in changes.select(self.bucket_of(table).alias(BUCKET)).distinct().collect())

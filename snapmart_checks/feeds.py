@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.driver_tables import driver_table, role
+from snapmart.driver_tables import dealt, driver_table, role
 from snapmart.sources import feeds
 from snapmart_checks.base import check, num, text
 
@@ -39,7 +39,7 @@ def _feed_ranking(spark, sf_dir):
 
 def raw_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per entity; some fail, some lack price, maker or date."""
-    e = role(spark, sf_dir, "entity")
+    e = role(spark, sf_dir, "entity", {"part": "p_partkey"})
     data = F.struct(
         F.concat(F.lit("  "), "name", F.lit(" ")).alias("name"),
         F.col("description").alias("short_description"),
@@ -91,7 +91,7 @@ def _feed_ratings(spark, sf_dir):
 
 def raw_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer per part; parts without a size over 25 have no live count."""
-    parts = driver_table(spark, sf_dir, "part")
+    parts = dealt(driver_table(spark, sf_dir, "part"), "p_partkey")
     result = F.when(F.col("p_size") > 25, 1).otherwise(42)
     count = F.when(F.col("p_size") != 30, F.col("p_size") * 100)
     answer = F.struct(F.struct(result.alias("result"), count.alias("player_count")).alias("response"))
@@ -111,7 +111,7 @@ def _feed_current(spark, sf_dir):
 
 def raw_item_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ranking document per part, holding that part."""
-    parts = driver_table(spark, sf_dir, "part")
+    parts = dealt(driver_table(spark, sf_dir, "part"), "p_partkey")
     entry = F.struct((F.col("p_partkey") * 10 + 7).alias("appid"), (F.col("p_size") * 90).alias("concurrent_in_game"),
                      (F.col("p_size") * 95).alias("peak_in_game"))
     return parts.select(F.to_json(F.struct(F.struct(F.array(entry).alias("ranks")).alias("response"))).alias("body"))

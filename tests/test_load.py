@@ -519,3 +519,25 @@ def test_a_clash_updates_or_is_ignored(spark, loaded, tmp_path):
         assert found == {1: "Ten", 2: "Again", 3: "Fifty"}
         assert {r["rating_id"]: r["positive"] for r in lake.read("rating").collect()}[1] == 77
         assert lake.read("category").count() == 3
+
+
+class Watched(Lake):
+    """Keeps the plans of what is written."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.plans = {}
+
+    def _write(self, table, rows, folders):
+        self.plans[table] = rows._jdf.queryExecution().optimizedPlan().toString()
+        super()._write(table, rows, folders)
+
+
+def test_documents_are_read_once(spark, tmp_path):
+    lake = Watched(spark, str(tmp_path), layout(2))
+    rows = poll(T1, [(1, 1, 1), (2, 2, 2)], {1: detail("One", 1)}, {1: (1, 0, "Positive")})
+    rows += [(T1, "details", 2, "{broken"), (T1, "details", 3, json.dumps({"x3": {"success": True, "data": detail("Three", 1)}}))]
+    load_batch(lake, landed(spark, rows), 0)
+    assert {(r["external_id"], r["reasons"]) for r in lake.read("quarantine").collect()} == {
+        (2, "details_readable"), (3, "details_key_readable")}
+    assert not [t for t in ("entity", "rating", "quarantine") if "from_json" in lake.plans[t]]
