@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.operators import history
 from snapmart.operators.changes import last_by_key
-from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources.lake import Keyed, Lake
 
 READINGS, ENDS, DAY = "reading_delta", "reading_end", "day"
@@ -57,22 +56,23 @@ def deltas_into(spec: Readings):
 
     def work(rows: DataFrame, lake: Lake, batch: str) -> None:
         named = rows.where(F.col(spec.key).isNotNull() & F.col(spec.id).isNotNull() & F.col(spec.order_by[0]).isNotNull())
-        new = _kept(last_by_key(named.select(*spec.schema.fieldNames()), [spec.id], spec.order_by).withColumn(DAY, spec.day()))
+        new = lake.keep("deltas_new", last_by_key(named.select(*spec.schema.fieldNames()), [spec.id], spec.order_by)
+                        .withColumn(DAY, spec.day()))
         buckets = lake.touched(ENDS, new)
         if not buckets:
             return
         known = lake.read_buckets(ENDS, buckets)
-        touched = new.select(*pair).distinct()
-        following = (
-            touched.join(known.select(F.col(spec.key).alias("__key"), F.col(DAY).alias("__day")),
-                         (F.col(spec.key) == F.col("__key")) & (F.col("__day") > F.col(DAY)))
-            .groupBy(*pair).agg(F.min("__day").alias("__next")).select(spec.key, F.col("__next").alias(DAY)))
-        affected = _kept(touched.unionByName(following).distinct())
+        # every day of a key once, touched or not; the day behind a touched one is affected as well
+        both = known.select(*pair, F.lit(False).alias("__touched")).unionByName(new.select(*pair, F.lit(True).alias("__touched")))
+        marked = both.groupBy(*pair).agg(F.max("__touched").alias("__touched"))
+        behind = F.lag("__touched", 1, False).over(Window.partitionBy(spec.key).orderBy(DAY)).alias("__behind")
+        affected = lake.keep("deltas_affected", marked.select("*", behind).where("__touched OR __behind").select(*pair))
         days = sorted(r[0] for r in affected.select(DAY).distinct().collect())
         stored = lake.read_buckets(READINGS, days).withColumn(DAY, spec.day())
         inside = stored.join(affected, pair, "left_semi").select(*spec.schema.fieldNames(), DAY)
-        pieces = inside.join(new.select(spec.id), spec.id, "left_anti").unionByName(new)
-        ends = _kept(known.join(affected, pair, "left_anti").unionByName(
+        # used for the ends and for the differences
+        pieces = lake.keep("deltas_pieces", inside.join(new.select(spec.id), spec.id, "left_anti").unionByName(new))
+        ends = lake.keep("deltas_ends", known.join(affected, pair, "left_anti").unionByName(
             history.ends_of(pieces, spec.key, DAY, spec.order_by, spec.measures)))
         worked = history.with_deltas(pieces, history.carried(ends, spec.key, DAY), spec.key, DAY, spec.order_by, spec.measures,
                                      spec.prefix)
@@ -82,8 +82,3 @@ def deltas_into(spec: Readings):
         lake.rewrite(ENDS, ends, buckets)
 
     return work
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()

@@ -205,3 +205,22 @@ def test_look_ups_read_few_rows(spark, tmp_path):
     assert got == 1 and read <= n / 4
     read, got = rows_read(look_up(stored, "name", "no such name"))
     assert got == 0 and read <= n / 10
+
+
+def test_affected_days_are_found_without_pairs_of_days(spark, tmp_path):
+    """Each reading touches one day, so no join may meet every later day of its key."""
+    plans = {}
+
+    class Watched(Lake):
+        def keep(self, name, rows):
+            plans[name] = rows._jdf.queryExecution().optimizedPlan().toString()
+            return super().keep(name, rows)
+
+    at = datetime(2024, 1, 1)
+    lake, work = Watched(spark, str(tmp_path), SERIES.tables(2)), deltas_into(SERIES)
+    rows = [(i, i % 2, i * i, 100, i, at + timedelta(days=i // 2)) for i in range(12)]
+    work(spark.createDataFrame(rows[:4] + rows[8:], SNAPSHOT), lake, "a")
+    work(spark.createDataFrame(rows[4:8], SNAPSHOT), lake, "b")
+    assert "Join" not in plans["deltas_affected"]
+    want = deltas(spark.createDataFrame(rows, SNAPSHOT), "entity_id", ["recorded_at", "snapshot_id"], ["current_count", "total_ratings"])
+    assert sorted(map(tuple, lake.read("reading_delta").select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
