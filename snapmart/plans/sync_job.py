@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators import changes, sync
-from snapmart.session import ensure_checkpoint_dir
 from snapmart.sources.lake import ADDED_IN, BUCKET, Keyed, Lake
 from snapmart.sources.tables import counted, read_table, write_jdbc
 
@@ -70,7 +69,7 @@ def sync_tables(source: Mapping[str, DataFrame], lake: Lake, batch: str, mode: s
             else:
                 rows = (sync.append_gap(source[s.table], copy, s.watermark) if s.table == "snapshot"
                         else sync.insert_ignore(source[s.table], copy, s.watermark, s.keys, s.unique))
-                sent[s.table] = (_put(lake, s.table, batch, rows, list(s.keys)) if isinstance(lake.tables[s.table], Keyed)
+                sent[s.table] = (_put(lake, s.table, batch, rows) if isinstance(lake.tables[s.table], Keyed)
                                  else _add(lake, s.table, batch, rows))
     return _result(lake.spark, order, mode, sent, started)
 
@@ -109,23 +108,34 @@ def _add(lake: Lake, table: str, batch: str, rows: DataFrame) -> tuple[int, int]
     return seen.get["rows"], 0
 
 
-def _put(lake: Lake, table: str, batch: str, rows: DataFrame, keys: list[str], keep: Sequence[str] = ()) -> tuple[int, int]:
+def _put(lake: Lake, table: str, batch: str, rows: DataFrame, keys: Sequence[str] = (),
+         keep: Sequence[str] = ()) -> tuple[int, int]:
     """Insert or update, and how many of each; only the buckets that receive rows are read and written.
 
-    ``keep`` names columns that an update leaves as they are.
+    Without ``keys`` no row can be there, as behind a watermark, and the rows are put to the stored ones without
+    a look-up. ``keep`` names columns that an update leaves as they are.
     """
-    ensure_checkpoint_dir(lake.spark)
-    sent = rows.checkpoint()
+    sent, spec = lake.keep("sync_sent", rows), lake.tables[table]
     touched = lake.touched(table, sent)
     if not touched:
         return 0, 0
-    others = [c for c in lake.tables[table].schema.fieldNames() if c not in (*keys, *keep)]
-    merged = changes.merge(lake.earlier(table, batch, touched), sent, keys, others)
-    inserted = F.col(changes.ACTION) == changes.INSERT
-    done = merged.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))).checkpoint()
-    lake.rewrite(table, done.drop(changes.ACTION), touched)
-    counts = {r[changes.ACTION]: r["count"] for r in done.groupBy(changes.ACTION).count().collect()}
-    return counts.get(changes.INSERT, 0), counts.get(changes.UPDATE, 0)
+    stored = lake.earlier(table, batch, touched)
+    if keys:
+        others = [c for c in spec.schema.fieldNames() if c not in (*keys, *keep)]
+        merged = changes.merge(stored, sent, keys, others)
+        inserted = F.col(changes.ACTION) == changes.INSERT
+        done = merged.withColumn(ADDED_IN, F.when(inserted, F.lit(batch)).otherwise(F.col(ADDED_IN))).drop(changes.ACTION)
+    else:
+        done = stored.unionByName(sent.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields], F.lit(batch).alias(ADDED_IN)))
+    lake.rewrite(table, done, touched)
+    all_sent = sent.count()
+    if not keys:
+        return all_sent, 0
+    # the mark of the batch tells what was inserted; a row without the table's key updates nothing and is not seen again
+    named = sent.where(F.col(spec.key).isNotNull()).count()
+    updated = named - lake.rows(table, touched).where(F.col(ADDED_IN) == batch).count()
+    return all_sent - updated, updated
 
 
 def sync_jdbc(source: Mapping[str, DataFrame], targets: Mapping[str, Mapping[str, str]], mode: str = "INCREMENTAL",

@@ -541,3 +541,14 @@ def test_documents_are_read_once(spark, tmp_path):
     assert {(r["external_id"], r["reasons"]) for r in lake.read("quarantine").collect()} == {
         (2, "details_readable"), (3, "details_key_readable")}
     assert not [t for t in ("entity", "rating", "quarantine") if "from_json" in lake.plans[t]]
+
+
+def test_rows_behind_the_watermark_are_not_looked_up(spark, loaded, tmp_path):
+    lake, source = Watched(spark, str(tmp_path), layout(4)), source_of(loaded[0])
+    parts = {t: df.where("entity_id = 1") if "entity_id" in df.columns else df for t, df in source.items()}
+    sync_tables(parts, lake, "b0", "FULL")
+    for _ in range(2):
+        done = sync_tables(source, lake, "b1").first()
+        assert done["bridge_rows"] == source["bridge"].where("entity_id > 1").count() > 0 and done["updated_rows"] == 0
+        assert "Join" not in lake.plans["bridge"]
+        assert sorted(map(tuple, lake.read("bridge").collect())) == sorted(map(tuple, source["bridge"].select("entity_id", "category_id").collect()))
