@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.functions import scalars
 from snapmart.operators.changes import ACTION, first_by_key, last_by_key, merge, upsert
-from snapmart.operators.filters import changed_since
 
 MODES = ("FULL", "INCREMENTAL")
 
@@ -77,11 +77,14 @@ def upsert_gap(source: DataFrame, target: DataFrame, watermark: str, update_cols
 
 def recent_changes(source: DataFrame, target: DataFrame, natural_key: str, changed_at: str, as_of=None,
                    hours: int = 24) -> DataFrame:
-    """Source rows to send: unknown natural keys, and known ones changed lately. ``is_new`` tells which."""
-    known = target.select(natural_key)
-    new = source.join(known, natural_key, "left_anti")
-    changed = changed_since(source, changed_at, as_of, hours).join(known, natural_key, "left_semi")
-    return new.withColumn("is_new", F.lit(True)).unionByName(changed.withColumn("is_new", F.lit(False)))
+    """Source rows to send: unknown natural keys, and known ones changed lately. ``is_new`` tells which.
+
+    One join finds both, so the source is worked out once. A row without a key is not known.
+    """
+    known = target.select(natural_key).distinct().withColumn("__known", F.lit(True))
+    found = source.join(known, natural_key, "left").withColumn("is_new", F.col("__known").isNull()).drop("__known")
+    lately = scalars.is_recent(changed_at, scalars.timestamp(as_of), hours)
+    return found.where(F.col("is_new") | lately)
 
 
 def apply_recent_changes(source: DataFrame, target: DataFrame, natural_key: str, changed_at: str, as_of=None,

@@ -1,3 +1,4 @@
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -145,3 +146,16 @@ def test_sync_modes():
     assert [sync.check_mode(m) for m in ("full", "Incremental")] == ["FULL", "INCREMENTAL"]
     with pytest.raises(ValueError, match="PARTIAL"):
         sync.check_mode("PARTIAL")
+
+
+def test_recent_changes_in_one_join(spark):
+    """A key that the target holds twice, and none, send a row once; a change without a time is not lately."""
+    columns = "key long, name string, changed timestamp_ntz"
+    late, early = datetime(2024, 1, 2), datetime(2023, 1, 1)
+    sent = [(1, "late", late), (2, "early", early), (3, "untimed", None), (4, "new", early), (5, "new", None), (None, "no key", early)]
+    known = spark.createDataFrame([(k,) for k in (1, 1, 2, 3, None)], "key long")
+    found = sync.recent_changes(spark.createDataFrame(sent, columns), known, "key", "changed", "2024-01-02 12:00:00")
+    assert {tuple(r)[1:] for r in found.select("changed", "name", "is_new").collect()} == {
+        ("late", False), ("new", True), ("no key", True)}
+    assert found.count() == 4
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
